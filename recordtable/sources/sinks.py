@@ -57,10 +57,20 @@ def append(df: DataFrame, sink: Sink) -> None:
     _write(df, sink, "append")
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
 
 
 def overwrite_staged(

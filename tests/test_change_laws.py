@@ -1,0 +1,119 @@
+"""Laws of the batch change operators on tables with in-batch duplicates."""
+
+import pytest
+
+from conftest import rows
+from recordtable.fields import Field
+from recordtable.operators.change import delete, insert_new, patch, upsert
+
+T_SCHEMA = "k long, a int, b string"
+I_SCHEMA = "k long, a int, b string, seq long"
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame([(1, 10, "x"), (2, 20, "y"), (3, 30, "z")], T_SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def incoming(spark):
+    return spark.createDataFrame(
+        [
+            (3, 31, "z1", 5),    # clashes with the table
+            (4, 40, "n1", 7),    # new, first of two
+            (4, 41, "n2", 9),    # new, in-batch duplicate
+            (5, 50, "m", 1),     # new
+            (None, 0, "?", 2),   # no key
+        ],
+        I_SCHEMA,
+    )
+
+
+@pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
+def test_insert_new(table, incoming, bcast):
+    result, rejected = insert_new(table, incoming, "k", "seq", max_broadcast_rows=bcast)
+    assert rows(result) == [(1, 10, "x"), (2, 20, "y"), (3, 30, "z"), (4, 40, "n1"), (5, 50, "m")]
+    got = rows(rejected.select("k", "seq", "reason"))
+    assert got == [(3, 5, "key_exists"), (4, 9, "duplicate_in_batch"), (None, 2, "null_key")]
+    # rows(result) + rows(rejected) = rows(table) + rows(incoming)
+    assert result.count() + rejected.count() == table.count() + incoming.count()
+
+
+@pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
+def test_upsert_last_wins_and_idempotent(table, incoming, bcast):
+    once = upsert(table, incoming, "k", "seq", max_broadcast_rows=bcast)
+    assert rows(once) == [(1, 10, "x"), (2, 20, "y"), (3, 31, "z1"), (4, 41, "n2"), (5, 50, "m")]
+    twice = upsert(once, incoming, "k", "seq", max_broadcast_rows=bcast)
+    assert rows(twice) == rows(once)
+
+
+@pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
+def test_delete_inverts_insert_of_new_keys(spark, table, bcast):
+    new = spark.createDataFrame([(7, 1, "a", 1), (8, 2, "b", 2)], I_SCHEMA)
+    inserted, rejected = insert_new(table, new, "k", "seq", max_broadcast_rows=bcast)
+    assert rejected.count() == 0
+    back, missing = delete(inserted, new.select("k"), "k", max_broadcast_rows=bcast)
+    assert rows(back) == rows(table)
+    assert missing.count() == 0
+
+
+@pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
+def test_delete_reports_missing(spark, table, bcast):
+    keys = spark.createDataFrame([(2,), (9,), (9,)], "key long")
+    result, missing = delete(table, keys, "k", keys_key="key", max_broadcast_rows=bcast)
+    assert rows(result) == [(1, 10, "x"), (3, 30, "z")]
+    assert rows(missing) == [(9,), (9,)]
+
+
+FIELDS = (Field("a", "int"), Field("b", "text"))
+P_SCHEMA = "k long, seq long, j string"
+
+
+def test_patch_field_wise_fold(spark):
+    # FIXTURES: key 1 gets {"a":5}, {"b":"7"}, {"a":null} -> a default, b = "7";
+    # key 2 gets {"b":"1"} -> a unchanged.
+    table = spark.createDataFrame([(1, 10, "x"), (2, 20, "y"), (3, 30, "z")], T_SCHEMA)
+    patches = spark.createDataFrame(
+        [(1, 1, '{"a": 5}'), (1, 2, '{"b": "7"}'), (1, 3, '{"a": null}'), (2, 1, '{"b": 1, "k": 99}'),
+         (8, 1, '{"a": 1}')],
+        P_SCHEMA,
+    )
+    result, missing = patch(table, patches, "k", "seq", "j", FIELDS)
+    assert rows(result) == [(1, 0, "7"), (2, 20, "1"), (3, 30, "z")]
+    assert rows(missing) == [(8, 1, '{"a": 1}')]
+    assert result.columns == table.columns
+
+
+def test_empty_patch_changes_nothing(spark, table):
+    patches = spark.createDataFrame([(1, 1, "{}"), (2, 1, "not json"), (3, 1, '{"zzz": 1}')], P_SCHEMA)
+    result, missing = patch(table, patches, "k", "seq", "j", FIELDS)
+    assert rows(result) == rows(table)
+    assert missing.count() == 0
+
+
+@pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
+def test_two_patches_in_one_batch_equal_sequential(spark, table, bcast):
+    p1 = spark.createDataFrame([(1, 1, '{"a": 1, "b": "p"}'), (2, 1, '{"a": 2}')], P_SCHEMA)
+    p2 = spark.createDataFrame([(1, 2, '{"b": "q"}'), (3, 2, '{"a": null, "b": null}')], P_SCHEMA)
+    both, _ = patch(table, p1.unionByName(p2), "k", "seq", "j", FIELDS, max_broadcast_rows=bcast)
+    first, _ = patch(table, p1, "k", "seq", "j", FIELDS, max_broadcast_rows=bcast)
+    seq, _ = patch(first, p2, "k", "seq", "j", FIELDS, max_broadcast_rows=bcast)
+    assert rows(both) == rows(seq) == [(1, 1, "q"), (2, 2, "y"), (3, 0, "")]
+
+
+def test_hot_key_batch(spark, table):
+    """One key holding most of a batch: first/last by seq still exact."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(0, 5000).select(
+        F.lit(4).cast("long").alias("k"), (F.col("id") % 97).cast("int").alias("a"),
+        F.col("id").cast("string").alias("b"), F.col("id").alias("seq"))
+    cold = spark.range(0, 100).select((F.col("id") + 10).alias("k"), F.lit(1).alias("a"),
+                                      F.lit("c").alias("b"), F.col("id").alias("seq"))
+    batch = hot.unionByName(cold)
+    up = upsert(table, batch, "k", "seq", max_broadcast_rows=None)
+    assert up.where("k = 4").collect()[0].b == "4999"
+    ins, rej = insert_new(table, batch, "k", "seq", max_broadcast_rows=None)
+    assert ins.where("k = 4").collect()[0].b == "0"
+    assert ins.count() == 3 + 1 + 100
+    assert rej.count() == 4999

@@ -1,0 +1,109 @@
+"""Coercion edge table (FIXTURES.md section 4) and document explode cases."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from recordtable.fields import Field
+from recordtable.functions.json_rules import has_field, join_list
+from recordtable.operators.ingest import explode_documents, parse_records
+
+# (case, json text, as int, as text, has field)
+EDGE = [
+    ("int", '{"id": 7}', 7, "7", True),
+    ("numeric string", '{"id": "12"}', 12, "12", True),
+    ("padded string", '{"id": " 12 "}', 12, " 12 ", True),
+    ("fraction string", '{"id": "12.7"}', 12, "12.7", True),
+    ("fraction", '{"id": -12.7}', -12, "-12.7", True),
+    ("boolean", '{"id": true}', 1, "true", True),
+    ("explicit null", '{"id": null}', 0, "", True),
+    ("missing", '{"x": 1}', 0, "", False),
+    ("not a number", '{"id": "x"}', 0, "x", True),
+    ("array", '{"id": [1]}', 0, "", True),
+    ("out of range", '{"id": 99999999999}', 0, "99999999999", True),
+    ("scalar document", "5", 0, "", False),
+    ("broken document", '{"id": ', 0, "", False),
+]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    data = [(i, e[1]) for i, e in enumerate(EDGE)]
+    df = spark.createDataFrame(data, "i int, j string")
+    parsed = parse_records(df, "j", [Field("id", "int", "as_int"), Field("id", "text", "as_text")], keep=["i", "j"])
+    has = df.select("i", has_field(F.try_parse_json("j"), "id").alias("has"))
+    return {r["i"]: r for r in parsed.join(has, "i").collect()}
+
+
+@pytest.mark.parametrize("idx", range(len(EDGE)), ids=[e[0] for e in EDGE])
+def test_edge_case(edge, idx):
+    case, _, as_int, as_text, has = EDGE[idx]
+    r = edge[idx]
+    assert r["as_int"] == as_int, case
+    assert r["as_text"] == as_text, case
+    assert r["has"] == has, case
+
+
+def test_long_and_double_rules(spark):
+    df = spark.createDataFrame([('{"a": 99999999999, "b": "2.5"}',), ('{"a": "x", "b": true}',)], "j string")
+    out = parse_records(df, "j", [Field("a", "long"), Field("b", "double")]).collect()
+    assert [(r.a, r.b) for r in out] == [(99999999999, 2.5), (0, 1.0)]
+
+
+LISTS = [
+    ('{"roles": ["Carry", "Escape"]}', "Carry,Escape"),
+    ('{"roles": []}', ""),
+    ('{"roles": null}', None),
+    ('{"x": 1}', None),
+    ('{"roles": ["a", null]}', "a"),
+    ('{"roles": ["a", null, 7]}', "a,7"),
+    ('{"roles": "Carry"}', "Carry"),
+    ('{"roles": {"a": 1}}', ""),
+]
+
+
+def test_list_rule_and_join(spark):
+    df = spark.createDataFrame([(i, j) for i, (j, _) in enumerate(LISTS)], "i int, j string")
+    parsed = parse_records(df, "j", [Field("roles", "list")], keep=["i"])
+    got = {r.i: r.roles for r in parsed.select("i", join_list("roles").alias("roles")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(LISTS)}
+
+
+def test_explode_documents_records_and_rejects(spark):
+    docs = [
+        (1, '[{"id": 1}, 5, null]'),
+        (2, '{"x": {"id": 9}, "y": 3}'),
+        (3, "["),
+        (4, "7"),
+        (5, "[]"),
+        (6, "null"),
+    ]
+    df = spark.createDataFrame(docs, "d int, j string")
+    records, rejects = explode_documents(df, "j", [Field("id", "int")], keep=["d"])
+    assert rows(records) == [(1, 0, 1), (2, 0, 9)]
+    got = rows(rejects.select("d", "pos", "reason"))
+    assert got == [
+        (1, 1, "not_an_object"),
+        (1, 2, "not_an_object"),
+        (2, 1, "not_an_object"),
+        (3, None, "unparsable"),
+        (4, None, "scalar_root"),
+        (6, None, "scalar_root"),
+    ]
+
+
+def test_hero_document_shape(spark):
+    from recordtable.fields import HERO_FIELDS
+
+    doc = (
+        '[{"id": 1, "name": "npc_a", "localized_name": "Anti", "base_health": 200, "base_mana": "75",'
+        ' "base_attack_min": 29, "base_attack_max": 33, "move_speed": 310, "primary_attr": "agi",'
+        ' "roles": ["Carry", "Escape", "Nuker"]}, {"localized_name": "NoId"}]'
+    )
+    df = spark.createDataFrame([(doc,)], "j string")
+    records, rejects = explode_documents(df, "j", HERO_FIELDS)
+    got = sorted(records.collect(), key=lambda r: r.pos)
+    assert got[0].hero_id == 1 and got[0].hero_name == "Anti" and got[0].base_mana == 75
+    assert got[0].roles == ["Carry", "Escape", "Nuker"] and got[0].primary_attribute == "agi"
+    assert got[1].hero_id is None and got[1].base_health == 0 and got[1].roles is None
+    assert rejects.count() == 0
