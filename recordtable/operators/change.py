@@ -7,15 +7,16 @@ is never read and overwritten in one step: pass the result to
 
 Scale rules used throughout:
 
-* In-batch duplicates are resolved with ``min/max(seq)`` per key (partial
-  aggregation inside each task, so a key holding a third of the batch is
-  one row per task before the shuffle) and a join back on ``(key, seq)``,
-  which spreads a hot key over all partitions. No window over the key.
+* In-batch duplicates are resolved with one ``min_by/max_by(row, seq)``
+  aggregation per key (partial aggregation inside each task, so a key
+  holding a third of the batch is one row per task before the shuffle).
+  The rows that lost are found by an anti join on ``(key, seq)``, which
+  spreads a hot key over all partitions. No window over the key.
 * A change set proven small by a bounded count is broadcast; the big table
   is then only scanned (key column only) with a broadcast filter and never
   shuffled. Larger change sets use shuffle joins on the key, where AQE
   splits skewed partitions.
-* ``seq`` must be unique per key; ties would keep both rows.
+* ``seq`` must be unique per key; on a tie one row is picked.
 """
 
 from __future__ import annotations
@@ -54,13 +55,16 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _batch_winners(incoming: DataFrame, key: str, seq: str, pick: str) -> tuple[DataFrame, DataFrame]:
-    """Split a batch into one row per key (first or last by ``seq``) and the other rows."""
-    agg = F.min(seq) if pick == "first" else F.max(seq)
-    chosen = incoming.groupBy(key).agg(agg.alias(seq))
-    winners = incoming.join(chosen, [key, seq], "left_semi")
-    others = incoming.join(chosen, [key, seq], "left_anti")
-    return winners, others
+def _batch_winners(incoming: DataFrame, key: str, seq: str, pick: str) -> DataFrame:
+    """One row per key: the first (``pick="first"``) or last row by ``seq``.
+
+    A single aggregation carrying the whole row as a struct: each task
+    keeps one row per key before the shuffle (a hot key costs one row per
+    task), and there is no join back to the batch.
+    """
+    row = F.struct(*[F.col(c) for c in incoming.columns])
+    agg = F.min_by(row, F.col(seq)) if pick == "first" else F.max_by(row, F.col(seq))
+    return incoming.groupBy(key).agg(agg.alias("__rt_w")).select("__rt_w.*")
 
 
 def _with_reason(df: DataFrame, reason: str) -> DataFrame:
@@ -79,18 +83,22 @@ def insert_new(
     Inside the batch the first row by ``seq`` wins per key. Returns
     ``(result, rejected)``: ``result`` has the table's columns; ``rejected``
     has the incoming columns plus ``reason`` = ``key_exists``,
-    ``duplicate_in_batch`` or ``null_key``. Rows of result plus rows of
+    ``duplicate_in_batch``, ``null_seq`` or ``null_key``. Rows of result plus rows of
     rejected = rows of table plus rows of incoming.
     """
     small = _small(incoming, max_broadcast_rows)
     null_keys = _with_reason(incoming.where(F.col(key).isNull()), "null_key")
-    valid = incoming.where(F.col(key).isNotNull())
-    winners, dups = _batch_winners(valid, key, seq, "first")
-    present = _side(_present_keys(table, winners, key, small), small)
+    null_seqs = _with_reason(incoming.where(F.col(key).isNotNull() & F.col(seq).isNull()), "null_seq")
+    valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    winners = _batch_winners(valid, key, seq, "first")
+    dups = valid.join(winners.select(key, seq), [key, seq], "left_anti")
+    present = _side(_present_keys(table, valid, key, small), small)
     new = winners.join(present, key, "left_anti")
     clash = _with_reason(winners.join(present, key, "left_semi"), "key_exists")
     result = table.unionByName(new.select(*table.columns))
-    rejected = clash.unionByName(_with_reason(dups, "duplicate_in_batch")).unionByName(null_keys)
+    rejected = (
+        clash.unionByName(_with_reason(dups, "duplicate_in_batch")).unionByName(null_seqs).unionByName(null_keys)
+    )
     return result, rejected
 
 
@@ -103,13 +111,15 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys and replace existing ones; the last row by ``seq`` wins per key.
 
-    Rows with a NULL key are ignored. Idempotent: upserting the same batch
+    Rows with a NULL key or NULL ``seq`` are ignored. Idempotent: upserting the same batch
     twice gives the same table as once.
     """
     small = _small(incoming, max_broadcast_rows)
-    valid = incoming.where(F.col(key).isNotNull())
-    winners, _ = _batch_winners(valid, key, seq, "last")
-    kept = table.join(_side(winners.select(key), small), key, "left_anti")
+    valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    winners = _batch_winners(valid, key, seq, "last")
+    # small batch: broadcast its raw keys; large: the winners' keys (one per key)
+    drop_keys = F.broadcast(valid.select(key)) if small else winners.select(key)
+    kept = table.join(drop_keys, key, "left_anti")
     return kept.unionByName(winners.select(*table.columns))
 
 
