@@ -86,7 +86,7 @@ def insert_new(
     ``duplicate_in_batch``, ``null_seq`` or ``null_key``. Rows of result plus rows of
     rejected = rows of table plus rows of incoming.
     """
-    small = _small(incoming, max_broadcast_rows)
+    small = _small(incoming.select(key), max_broadcast_rows)
     null_keys = _with_reason(incoming.where(F.col(key).isNull()), "null_key")
     null_seqs = _with_reason(incoming.where(F.col(key).isNotNull() & F.col(seq).isNull()), "null_seq")
     valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
@@ -114,7 +114,7 @@ def upsert(
     Rows with a NULL key or NULL ``seq`` are ignored. Idempotent: upserting the same batch
     twice gives the same table as once.
     """
-    small = _small(incoming, max_broadcast_rows)
+    small = _small(incoming.select(key), max_broadcast_rows)
     valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
     winners = _batch_winners(valid, key, seq, "last")
     # small batch: broadcast its raw keys; large: the winners' keys (one per key)
@@ -184,7 +184,7 @@ def patch(
     given. Returns ``(result, missing)``; ``missing`` holds the patch rows
     whose key is not in the table.
     """
-    small = _small(patches, max_broadcast_rows)
+    small = _small(patches.select(key), max_broadcast_rows)
     folded = fold_patches(patches, key, seq, json_col, fields)
     types = dict((f.name, f.dataType.simpleString()) for f in table.schema.fields)
     patched = {f.out for f in fields}

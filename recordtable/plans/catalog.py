@@ -26,6 +26,7 @@ from recordtable.operators.change import delete, insert_new, patch, upsert
 from recordtable.operators.contract import check_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
+from recordtable.plans.refresh import build_batch
 from recordtable.sources.files import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +96,20 @@ def q_join_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PART_LOAD_CONTRACT = Contract(
+    key="p_partkey", not_null=("p_partkey",), defaults={"p_size": 0}, max_len={"p_name": 100}, load_ts="loaded_at"
+)
+
+
+def q_refresh_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refresh pipeline up to the write: documents -> table-shaped rows with defaults.
+
+    The load time is left out of the result (it differs per run).
+    """
+    batch, _ = build_batch(part_documents(spark, sf_dir), "doc", PART_FIELDS, PART_LOAD_CONTRACT)
+    return batch.drop("__seq", "loaded_at")
+
+
 # --- storage / contract ------------------------------------------------------
 
 def q_read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "explode_documents": q_explode_documents,
     "map_columns": q_map_columns,
     "join_list": q_join_list,
+    "refresh_batch": q_refresh_batch,
     "read_table": q_read_table,
     "check_contract": q_check_contract,
     "count_rows": q_count_rows,
@@ -279,6 +295,7 @@ FROM events""",
     "join_list": """
 SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
 FROM events GROUP BY user_id""",
+    "refresh_batch": "SELECT p_partkey, p_name, p_type, p_size, p_retailprice FROM part",
     "read_table": "SELECT * FROM customer",
     "check_contract": """
 SELECT count(*) AS rows,
