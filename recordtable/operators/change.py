@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordtable.fields import Field
-from recordtable.functions.json_rules import has_field, read_field
+from recordtable.functions.json_rules import has_field, join_list, read_field
 from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 _V = "__rt_v"
@@ -151,17 +151,24 @@ def fold_patches(
     seq: str,
     json_col: str,
     fields: Sequence[Field],
+    list_sep: str | None = ",",
 ) -> DataFrame:
     """One row per key: for each field, the value from the last patch (by ``seq``) that has it.
 
     Column ``__p_<column>`` is a struct ``{v}`` when some patch has the field
     (an explicit JSON null gives the field default) and NULL when none does.
+    List fields are joined with ``list_sep`` (``None`` keeps the array).
     ``max_by`` aggregates partially inside each task.
     """
     parsed = patches.select(F.col(key), F.col(seq), F.try_parse_json(F.col(json_col)).alias(_V))
     v = F.col(_V)
+
+    def value(f: Field):
+        c = read_field(v, f)
+        return join_list(c, list_sep) if (f.kind == "list" and list_sep is not None) else c
+
     aggs = [
-        F.max_by(F.struct(read_field(v, f).alias("v")), F.when(has_field(v, f.name), F.col(seq))).alias(f"__p_{f.out}")
+        F.max_by(F.struct(value(f).alias("v")), F.when(has_field(v, f.name), F.col(seq))).alias(f"__p_{f.out}")
         for f in fields
     ]
     return parsed.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
@@ -175,6 +182,7 @@ def patch(
     json_col: str,
     fields: Sequence[Field],
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    list_sep: str | None = ",",
 ) -> tuple[DataFrame, DataFrame]:
     """Apply partial updates ``(key, seq, json)`` field by field.
 
@@ -185,7 +193,7 @@ def patch(
     whose key is not in the table.
     """
     small = _small(patches.select(key), max_broadcast_rows)
-    folded = fold_patches(patches, key, seq, json_col, fields)
+    folded = fold_patches(patches, key, seq, json_col, fields, list_sep)
     types = dict((f.name, f.dataType.simpleString()) for f in table.schema.fields)
     patched = {f.out for f in fields}
     joined = table.join(_side(folded, small), key, "left")
