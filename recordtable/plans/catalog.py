@@ -44,6 +44,7 @@ PART_FIELDS = (
     Field("p_type", "text"),
     Field("p_size", "int"),
     Field("p_retailprice", "double"),
+    Field("p_words", "list"),
 )
 
 SUPPLIER_FIELDS = (
@@ -55,8 +56,11 @@ SUPPLIER_FIELDS = (
 
 
 def part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` rows folded into JSON array documents per brand, at most 256 records each."""
-    part = table(spark, sf_dir, "part")
+    """``part`` rows folded into JSON array documents per brand, at most 256 records each.
+
+    Each record also carries ``p_words``, the name split into a JSON list.
+    """
+    part = table(spark, sf_dir, "part").withColumn("p_words", F.split(F.col("p_name"), " "))
     return to_documents(part, ["p_brand"], [f.name for f in PART_FIELDS], "p_partkey", 256)
 
 
@@ -295,7 +299,10 @@ FROM events""",
     "join_list": """
 SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
 FROM events GROUP BY user_id""",
-    "refresh_batch": "SELECT p_partkey, p_name, p_type, p_size, p_retailprice FROM part",
+    "refresh_batch": """
+SELECT p_partkey, p_name, p_type, p_size, p_retailprice,
+       array_to_string(string_split(p_name, ' '), ',') AS p_words
+FROM part""",
     "read_table": "SELECT * FROM customer",
     "check_contract": """
 SELECT count(*) AS rows,
