@@ -114,7 +114,7 @@ def to_documents(
     """
     if chunk_size < 1:
         raise ValueError("chunk_size must be >= 1")
-    chunk = F.floor(F.col(chunk_key) / F.lit(chunk_size)).alias("chunk")
+    chunk = F.expr(f"`{chunk_key}` div {int(chunk_size)}").alias("chunk")
     return df.groupBy(*[F.col(c) for c in group_cols], chunk).agg(
         F.to_json(F.collect_list(F.struct(*[F.col(c) for c in record_cols]))).alias(doc_col)
     )

@@ -17,11 +17,18 @@ from pyspark.sql import functions as F
 from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_set
 
 
-def _check_limit(n: Any) -> int:
+# Top-n keeps n rows per task and merges them in one place; beyond this many
+# rows a listing is a sort-and-write job, not a preview.
+MAX_LIST_ROWS = 1_000_000
+
+
+def _check_limit(n: Any, max_n: int = MAX_LIST_ROWS) -> int:
     if isinstance(n, bool) or not isinstance(n, int):
         raise ValueError(f"limit must be an integer, got {n!r}")
     if n < 0:
         raise ValueError(f"limit must be >= 0, got {n}")
+    if n > max_n:
+        raise ValueError(f"limit {n} is above {max_n}; sort with find/orderBy and write the result instead")
     return n
 
 
@@ -71,13 +78,15 @@ def list_rows(
     order_by: Sequence[str | Column],
     n: int = 10,
     key: str | None = None,
+    max_n: int = MAX_LIST_ROWS,
 ) -> DataFrame:
     """First ``n`` rows by ``order_by`` (nulls first), key as last tie-break.
 
     Plans as TakeOrderedAndProject: every task keeps its own top ``n`` and
-    only those reach the final merge, so the cost is one scan.
+    only those reach the final merge, so the cost is one scan. ``n`` above
+    ``max_n`` is refused rather than funnelled through one task.
     """
-    n = _check_limit(n)
+    n = _check_limit(n, max_n)
     return df.select(*cols).orderBy(*_sort_cols(order_by, key)).limit(n)
 
 

@@ -117,3 +117,30 @@ def test_hot_key_batch(spark, table):
     assert ins.where("k = 4").collect()[0].b == "0"
     assert ins.count() == 3 + 1 + 100
     assert rej.count() == 4999
+
+
+def test_hot_key_patch_and_delete(spark):
+    """A key holding a third of the rows: patch fold and delete stay exact, no window in the plans."""
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    table = spark.range(0, n).select((F.col("id") % 1000).alias("k"), F.lit(1).alias("a"), F.lit("t").alias("b"))
+    table = table.dropDuplicates(["k"])  # 1000 unique keys
+    patches = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000 + 2000).alias("k"),
+        F.col("id").alias("seq"),
+        F.to_json(F.struct((F.col("id") % 100).cast("int").alias("a"))).alias("j"),
+    )
+    for bound in (2_000_000, None):
+        result, missing = patch(table, patches, "k", "seq", "j", FIELDS, max_broadcast_rows=bound)
+        got = result.where("k = 7").collect()[0]
+        assert got.a == (n - 3) % 100  # last id divisible by 3 is n-3
+        assert result.count() == 1000
+        assert missing.count() == n - n // 3
+        assert "Window" not in result._jdf.queryExecution().executedPlan().toString()
+    orders = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("c"))
+    keys = spark.createDataFrame([(7,), (9999,)], "c long")
+    for bound in (2_000_000, None):
+        kept, missing = delete(orders, keys, "c", max_broadcast_rows=bound)
+        assert kept.count() == orders.where("c != 7").count()
+        assert [r.c for r in missing.collect()] == [9999]
