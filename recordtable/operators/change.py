@@ -37,18 +37,29 @@ def _small(df: DataFrame, max_rows: int | None) -> bool:
     return bool(max_rows) and bounded_rows(df, max_rows) is not None
 
 
+# Partition column of the key-bucket layout (recordtable.sources.layout);
+# when both sides carry it, joins on the key also match on it, so dynamic
+# partition pruning limits the table scan to the buckets of the change set.
+_BUCKET = "_bucket"
+
+
+def _join_cols(table: DataFrame, other: DataFrame, key: str) -> list[str]:
+    return [key, _BUCKET] if _BUCKET in table.columns and _BUCKET in other.columns else [key]
+
+
 def _present_keys(table: DataFrame, keys: DataFrame, key: str, small: bool) -> DataFrame:
-    """Keys of ``table`` that occur in ``keys``.
+    """Keys of ``table`` that occur in ``keys`` (with the bucket column when both have it).
 
     Small ``keys``: a broadcast semi join over the table's key column, then a
     distinct (local dedup in each task first), so the result has at most as
     many rows as ``keys`` and may itself be broadcast. Otherwise the table's
     key column as is, for a shuffle join.
     """
-    tk = table.select(key)
+    cols = _join_cols(table, keys, key)
+    tk = table.select(*cols)
     if not small:
-        return tk
-    return tk.join(F.broadcast(keys.select(key)), key, "left_semi").distinct()
+        return tk.select(key)
+    return tk.join(F.broadcast(keys.select(*cols)), cols, "left_semi").select(key).distinct()
 
 
 def _side(df: DataFrame, small: bool) -> DataFrame:

@@ -28,6 +28,7 @@ from recordtable.operators.contract import apply_defaults
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
+from recordtable.sources.layout import BUCKET_COL, bucket_of, overwrite_buckets, touched_buckets, with_bucket
 from recordtable.sources.sinks import ParquetSink, overwrite_staged, path_exists
 
 # ---------------------------------------------------------------------------
@@ -61,6 +62,10 @@ class RecordStore:
     stats_avgs: Mapping[str, str] = field(default_factory=lambda: dict(HERO_STATS_AVGS))
     view: str = HERO_VIEW
     list_sep: str = ","
+    # Key-bucket layout: None = one flat parquet table rewritten whole on every
+    # change; n = partitioned into n key buckets, changes rewrite only the
+    # buckets they touch and key lookups read one bucket.
+    buckets: int | None = None
 
     # -- reads ---------------------------------------------------------------
     def table(self) -> DataFrame:
@@ -70,7 +75,10 @@ class RecordStore:
         return read.list_rows(self.table(), self.list_cols, [self.name_col], n, key=self.contract.key)
 
     def view_one(self, key_value: Any) -> DataFrame:
-        return read.lookup(self.table(), self.contract.key, key_value)
+        t = self.table()
+        if self.buckets:
+            t = t.where(F.col(BUCKET_COL) == bucket_of(F.lit(key_value), self.buckets))
+        return read.lookup(t, self.contract.key, key_value)
 
     def find(self, text: str, mode: str = "like", ignore_case: bool = False) -> DataFrame:
         return read.find(self.table(), self.name_col, text, mode, ignore_case, cols=self.find_cols, key=self.contract.key)
@@ -91,9 +99,28 @@ class RecordStore:
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         out = shared_path(self.spark, name)
-        df.write.parquet(out)
+        df.drop(BUCKET_COL).write.parquet(out)
         return self.spark.read.parquet(out)
 
+    def _scope(self, changed: DataFrame, key: str) -> tuple[DataFrame, list[int] | None]:
+        """The part of the table a change can affect: all of it, or the buckets of the changed keys.
+
+        Every key of the change set lives in a touched bucket, so existence
+        checks against the scoped table are exact, and every scan of it is
+        pruned to those bucket directories.
+        """
+        if not self.buckets:
+            return self.table(), None
+        touched = touched_buckets(changed, key, self.buckets)
+        return self.table().where(F.col(BUCKET_COL).isin(touched)), touched
+
+    def _replace(self, result: DataFrame, touched: list[int] | None) -> None:
+        """Write the new table: whole (flat layout) or only the touched buckets."""
+        if touched is None:
+            overwrite_staged(self.spark, result, ParquetSink(self.path))
+        else:
+            overwrite_buckets(self.spark, result, self.path, touched)
+
     def add(self, records: DataFrame, json_col: str = "json", seq: str = "seq",
             run_ts: datetime | None = None) -> DataFrame:
         """Insert records (one JSON object per row, ordered by ``seq``) whose key is new.
@@ -102,9 +129,12 @@ class RecordStore:
         """
         parsed = parse_records(records, json_col, self.fields, keep=[seq])
         incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts)
-        result, rejected = change.insert_new(self.table(), incoming, self.contract.key, "seq")
+        if self.buckets:
+            incoming = with_bucket(incoming, self.contract.key, self.buckets)
+        table, touched = self._scope(incoming, self.contract.key)
+        result, rejected = change.insert_new(table, incoming, self.contract.key, "seq")
         kept = self._keep(rejected, "rejected")
-        overwrite_staged(self.spark, result, ParquetSink(self.path))
+        self._replace(result, touched)
         return kept
 
     def update(self, patches: DataFrame, key: str | None = None, seq: str = "seq", json_col: str = "json") -> DataFrame:
@@ -115,20 +145,22 @@ class RecordStore:
         key = key or self.contract.key
         fields = [f for f in self.fields if f.out != self.contract.key]
         p = patches.withColumnRenamed(key, self.contract.key) if key != self.contract.key else patches
-        result, missing = change.patch(self.table(), p, self.contract.key, seq, json_col, fields, list_sep=self.list_sep)
+        table, touched = self._scope(p, self.contract.key)
+        result, missing = change.patch(table, p, self.contract.key, seq, json_col, fields, list_sep=self.list_sep)
         kept = self._keep(missing, "missing")
-        overwrite_staged(self.spark, result, ParquetSink(self.path))
+        self._replace(result, touched)
         return kept
 
     def delete(self, keys: DataFrame, key: str | None = None) -> DataFrame:
         """Remove rows by key; returns the requested keys that matched nothing."""
-        result, missing = change.delete(self.table(), keys, self.contract.key, key)
+        table, touched = self._scope(keys, key or self.contract.key)
+        result, missing = change.delete(table, keys, self.contract.key, key)
         kept = self._keep(missing, "missing")
-        overwrite_staged(self.spark, result, ParquetSink(self.path))
+        self._replace(result, touched)
         return kept
 
     def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None) -> RefreshResult:
         """Load landed documents (see ``read_documents``): upsert by key, safe rewrite."""
         current = self.table() if path_exists(self.spark, self.path) else None
         return refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
-                       current=current, run_ts=run_ts)
+                       current=current, run_ts=run_ts, buckets=self.buckets)

@@ -21,6 +21,7 @@ from recordtable.functions.json_rules import join_list
 from recordtable.operators.change import upsert
 from recordtable.operators.contract import apply_defaults, check_contract
 from recordtable.operators.ingest import explode_documents
+from recordtable.sources.layout import BUCKET_COL, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.sinks import ParquetSink, overwrite_staged
 
 
@@ -67,20 +68,38 @@ def refresh(
     target: ParquetSink,
     current: DataFrame | None = None,
     run_ts: datetime | None = None,
+    buckets: int | None = None,
 ) -> RefreshResult:
-    """Load documents into ``target``: upsert by key (records without a key are left out)."""
+    """Load documents into ``target``: upsert by key (records without a key are left out).
+
+    With ``buckets``, the target uses the key-bucket layout
+    (``recordtable.sources.layout``) and only the buckets holding incoming
+    keys are read and rewritten.
+    """
     batch, rejects = build_batch(documents, doc_col, fields, contract, run_ts)
+    if buckets:
+        batch = with_bucket(batch, contract.key, buckets)
     batch = batch.persist()
     try:
         contract_row = check_contract(batch.drop("__seq"), contract).first().asDict()
         n_rejects = rejects.count()
         table_cols = [c for c in batch.columns if c != "__seq"]
         incoming = batch.where(F.col(contract.key).isNotNull())
+        touched = touched_buckets(incoming, contract.key, buckets) if (buckets and current is not None) else None
         if current is None:
-            result = upsert(incoming.limit(0).drop("__seq"), incoming, contract.key, "__seq")
+            base = incoming.limit(0).drop("__seq")
+        elif touched is not None:  # only the buckets holding incoming keys are read
+            base = current.select(*table_cols).where(F.col(BUCKET_COL).isin(touched))
+        else:
+            base = current.select(*table_cols)
+        result = upsert(base, incoming, contract.key, "__seq").select(*table_cols)
+        if not buckets:
+            stage = overwrite_staged(spark, result, target)
+        elif current is None:
+            write_bucketed(result, target.path)
+            stage = None
         else:
-            result = upsert(current.select(*table_cols), incoming, contract.key, "__seq")
-        stage = overwrite_staged(spark, result.select(*table_cols), target)
+            stage = overwrite_buckets(spark, result, target.path, touched)
     finally:
         batch.unpersist()
     rows = spark.read.parquet(target.path).count()

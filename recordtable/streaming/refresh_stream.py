@@ -30,8 +30,13 @@ def start_refresh_stream(
     layout: str = "lines",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what has landed and stops."""
+    """Start the stream; ``available_now`` processes what has landed and stops.
+
+    With ``buckets`` the target keeps the key-bucket layout and each
+    micro-batch rewrites only the buckets its keys fall in.
+    """
     reader = spark.readStream.format("text")
     if layout == "whole":
         reader = reader.option("wholetext", "true")
@@ -45,7 +50,7 @@ def start_refresh_stream(
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         current = spark.read.parquet(target.path) if path_exists(spark, target.path) else None
-        refresh(spark, batch, "doc", fields, contract, target, current=current)
+        refresh(spark, batch, "doc", fields, contract, target, current=current, buckets=buckets)
 
     writer = (
         docs.writeStream.foreachBatch(apply_batch)

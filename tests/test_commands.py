@@ -20,12 +20,12 @@ HEROES = [
 ]
 
 
-@pytest.fixture()
-def store(spark, tmp_path):
+@pytest.fixture(params=[None, 8], ids=["flat", "buckets"])
+def store(spark, tmp_path, request):
     land = tmp_path / "land"
     os.makedirs(land)
     (land / "heroes.json").write_text(json.dumps(HEROES))
-    s = RecordStore(spark, str(tmp_path / "hero_stats"))
+    s = RecordStore(spark, str(tmp_path / "hero_stats"), buckets=request.param)
     r = s.download(read_documents(spark, str(land), layout="whole"))
     assert r.rows_loaded == 4 and r.rejects == 0
     return s
@@ -75,3 +75,42 @@ def test_add_update_delete(spark, store):
     missing = store.delete(keys)
     assert [r.hero_id for r in missing.collect()] == [77]
     assert sorted(r.hero_id for r in store.table().collect()) == [2, 3, 4, 5]
+
+
+def test_bucketed_change_rewrites_only_touched_buckets(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from recordtable.sources.layout import BUCKET_COL
+
+    land = tmp_path / "land"
+    os.makedirs(land)
+    many = [{"id": i, "localized_name": f"H{i:03d}", "move_speed": 300 + i % 7,
+             "primary_attr": ["agi", "str", "int"][i % 3]} for i in range(200)]
+    (land / "h.json").write_text(json.dumps(many))
+    s = RecordStore(spark, str(tmp_path / "t"), buckets=16)
+    s.download(read_documents(spark, str(land), layout="whole"))
+
+    def files():
+        out = {}
+        for d in sorted(os.listdir(s.path)):
+            if d.startswith(BUCKET_COL):
+                out[d] = sorted(f for f in os.listdir(os.path.join(s.path, d)) if f.endswith(".parquet"))
+        return out
+
+    before = files()
+    assert len(before) == 16
+    patches = spark.createDataFrame([(7, 1, '{"base_health": 999}')], "hero_id long, seq long, json string")
+    s.update(patches)
+    after = files()
+    bucket7 = s.view_one(7).select(BUCKET_COL).collect()[0][0]
+    changed = {d for d in before if before[d] != after.get(d)}
+    assert changed == {f"{BUCKET_COL}={bucket7}"}
+    assert s.view_one(7).collect()[0].base_health == 999
+    assert s.table().count() == 200
+    # delete every key of one bucket: the bucket directory goes away
+    keys = s.table().where(F.col(BUCKET_COL) == bucket7).select("hero_id")
+    s.delete(keys)
+    assert f"{BUCKET_COL}={bucket7}" not in files()
+    assert s.table().where(F.col(BUCKET_COL) == bucket7).count() == 0
+    plan = s.view_one(8)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan
