@@ -1,9 +1,9 @@
 """Join-side helpers.
 
 Broadcasting is only done for a side whose row count has been *proven*
-small by a bounded count (``limit(max_rows + 1).count()``); anything larger
-is left to a shuffle join, where AQE may still switch to a broadcast from
-measured stage sizes and splits skewed partitions.
+small by a count; anything larger is left to a shuffle join, where AQE may
+still switch to a broadcast from measured stage sizes and splits skewed
+partitions.
 """
 
 from __future__ import annotations
@@ -19,10 +19,16 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else None.
 
-    Stops reading once ``max_rows + 1`` rows are seen, so it never counts a
-    big input in full.
+    A plain ``count()`` over no columns: each task counts its rows and one
+    reducer adds up one number per task. It costs one pass over ``df`` (the
+    change or key set, never the big table it is joined to). A
+    ``limit(max_rows + 1).count()`` is not used: it plans as a per-task
+    limit feeding up to ``max_rows + 1`` rows *per task* into a single
+    partition, which grows with the number of tasks.
     """
-    n = df.limit(max_rows + 1).count()
+    if max_rows < 0:
+        return None
+    n = df.select(F.lit(1).alias("one")).count()
     return n if n <= max_rows else None
 
 

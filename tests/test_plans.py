@@ -48,7 +48,7 @@ def test_large_change_set_is_not_broadcast(spark):
     assert "BroadcastExchange" not in p and "SortMergeJoin" in p
 
 
-def test_bounded_rows_stops_at_bound(spark):
+def test_bounded_rows(spark):
     df = spark.range(0, 1000)
     assert bounded_rows(df, 5) is None
     assert bounded_rows(df, 1000) == 1000

@@ -78,16 +78,17 @@ def test_refresh_pipeline_idempotent(spark, tmp_path, layout):
     assert strip(t2) == strip(t1) and r2.rows_loaded == 2
 
 
-def test_refresh_stream(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4], ids=["flat", "buckets"])
+def test_refresh_stream(spark, tmp_path, buckets):
     from recordtable.streaming.refresh_stream import start_refresh_stream
 
     land, target, ckpt = str(tmp_path / "land"), str(tmp_path / "heroes"), str(tmp_path / "ckpt")
     _land(land, "a.json", HEROES_1, "lines")
-    q = start_refresh_stream(spark, land, HERO_FIELDS, HERO_CONTRACT, ParquetSink(target), ckpt)
+    q = start_refresh_stream(spark, land, HERO_FIELDS, HERO_CONTRACT, ParquetSink(target), ckpt, buckets=buckets)
     q.awaitTermination(120)
     assert set(_table(spark, target)) == {1, 2}
     _land(land, "b.json", HEROES_2, "lines")
-    q = start_refresh_stream(spark, land, HERO_FIELDS, HERO_CONTRACT, ParquetSink(target), ckpt)
+    q = start_refresh_stream(spark, land, HERO_FIELDS, HERO_CONTRACT, ParquetSink(target), ckpt, buckets=buckets)
     q.awaitTermination(120)
     t = _table(spark, target)
     assert set(t) == {1, 2, 3}
