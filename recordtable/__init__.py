@@ -14,7 +14,9 @@ from recordtable.operators.contract import apply_defaults, check_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.joins import bounded_rows, checked_broadcast
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
+from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch, refresh
+from recordtable.sources.layout import bucket_of, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.files import read_documents, read_table
 from recordtable.sources.jdbc import read_jdbc
 from recordtable.sources.sinks import JdbcSink, ParquetSink, append, overwrite_staged
@@ -27,7 +29,8 @@ __all__ = [
     "explode_documents", "map_columns", "parse_records", "to_documents",
     "bounded_rows", "checked_broadcast",
     "count_rows", "find", "group_stats", "key_counts", "list_rows", "lookup", "run_sql",
-    "build_batch", "refresh",
+    "RecordStore", "build_batch", "refresh",
+    "bucket_of", "overwrite_buckets", "touched_buckets", "with_bucket", "write_bucketed",
     "read_documents", "read_table", "read_jdbc",
     "JdbcSink", "ParquetSink", "append", "overwrite_staged",
 ]
