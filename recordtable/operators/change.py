@@ -53,12 +53,13 @@ def _present_keys(table: DataFrame, keys: DataFrame, key: str, small: bool) -> D
     Small ``keys``: a broadcast semi join over the table's key column, then a
     distinct (local dedup in each task first), so the result has at most as
     many rows as ``keys`` and may itself be broadcast. Otherwise the table's
-    key column as is, for a shuffle join.
+    distinct keys, for a shuffle join: the build side of the anti/semi join
+    then holds each key once, even when the table repeats a key many times.
     """
     cols = _join_cols(table, keys, key)
     tk = table.select(*cols)
     if not small:
-        return tk.select(key)
+        return tk.select(key).distinct()
     return tk.join(F.broadcast(keys.select(*cols)), cols, "left_semi").select(key).distinct()
 
 
@@ -148,7 +149,7 @@ def delete(
     """
     wanted = keys.select(F.col(keys_key or key).alias(key)).where(F.col(key).isNotNull())
     small = _small(wanted, max_broadcast_rows)
-    result = table.join(_side(wanted, small), key, "left_anti")
+    result = table.join(F.broadcast(wanted) if small else wanted.distinct(), key, "left_anti")
     present = _side(_present_keys(table, wanted, key, small), small)
     missing = wanted.join(present, key, "left_anti")
     if keys_key and keys_key != key:

@@ -45,9 +45,12 @@ def key_set(
     """Project ``keys`` to one key column without NULLs; broadcast it if proven small.
 
     Returns ``(keys, broadcast)``. Duplicate keys do not change semi/anti
-    joins, so no distinct (and no shuffle) is added here.
+    joins. A set too big to broadcast is made distinct: the partial
+    aggregate collapses a hot key inside each task, and the join reuses the
+    aggregate's hash partitioning, so no exchange is added and no join task
+    receives a hot key's duplicates.
     """
     ks = keys.select(F.col(key)).where(F.col(key).isNotNull())
     if max_broadcast_rows and bounded_rows(ks, max_broadcast_rows) is not None:
         return F.broadcast(ks), True
-    return ks, False
+    return ks.distinct(), False
