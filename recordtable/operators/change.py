@@ -99,17 +99,28 @@ def insert_new(
     rejected = rows of table plus rows of incoming.
     """
     small = _small(incoming.select(key), max_broadcast_rows)
-    null_keys = _with_reason(incoming.where(F.col(key).isNull()), "null_key")
-    null_seqs = _with_reason(incoming.where(F.col(key).isNotNull() & F.col(seq).isNull()), "null_seq")
     valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
     winners = _batch_winners(valid, key, seq, "first")
-    dups = valid.join(winners.select(key, seq), [key, seq], "left_anti")
     present = _side(_present_keys(table, valid, key, small), small)
     new = winners.join(present, key, "left_anti")
-    clash = _with_reason(winners.join(present, key, "left_semi"), "key_exists")
     result = table.unionByName(new.select(*table.columns))
+
+    # One pass over the batch classifies every rejected row: a per-key row
+    # (winning seq, key already in the table) joined to the batch on the key.
+    info = winners.select(F.col(key), F.col(seq).alias("__rt_first")).join(
+        present.select(F.col(key), F.lit(True).alias("__rt_exists")), key, "left"
+    )
+    reason = (
+        F.when(F.col(key).isNull(), F.lit("null_key"))
+        .when(F.col(seq).isNull(), F.lit("null_seq"))
+        .when(F.col(seq) != F.col("__rt_first"), F.lit("duplicate_in_batch"))
+        .when(F.col("__rt_exists"), F.lit("key_exists"))
+    )
     rejected = (
-        clash.unionByName(_with_reason(dups, "duplicate_in_batch")).unionByName(null_seqs).unionByName(null_keys)
+        incoming.join(info, key, "left")
+        .withColumn("reason", reason)
+        .where(F.col("reason").isNotNull())
+        .select(*incoming.columns, "reason")
     )
     return result, rejected
 
