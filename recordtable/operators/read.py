@@ -59,6 +59,8 @@ def key_counts(
     if small:
         rows = rows.join(ks, key, "left_semi")
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    if small:  # at most one row per requested key: proven small as well
+        counts = F.broadcast(counts)
     return (
         wanted.join(counts, key, "left")
         .select(F.col(key).alias(keys_key), F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name))
