@@ -123,7 +123,8 @@ def find(
     """Rows whose ``col`` contains ``text``.
 
     ``mode="like"``: ``text`` is placed inside ``%...%`` and its own ``%``
-    and ``_`` act as wildcards. ``mode="literal"``: plain substring.
+    and ``_`` act as wildcards (a backslash is matched literally).
+    ``mode="literal"``: plain substring.
     ``ignore_case`` lowers both sides. ``text`` is always a bound literal,
     never spliced into SQL. NULL values never match. Sorted by
     ``order_by`` (default ``col``) with ``key`` as tie-break when given.
@@ -135,7 +136,8 @@ def find(
     if ignore_case:
         c, t = F.lower(c), text.lower()
     if mode == "like":
-        cond = c.like(f"%{t}%")
+        # % and _ stay wildcards; a backslash is data, not LIKE's escape
+        cond = c.like("%" + t.replace("\\", "\\\\") + "%")
     elif mode == "literal":
         cond = c.contains(F.lit(t))
     else:

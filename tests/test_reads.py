@@ -9,7 +9,7 @@ from recordtable.operators.read import count_rows, find, group_stats, key_counts
 @pytest.fixture(scope="module")
 def names(spark):
     return spark.createDataFrame(
-        [(1, "Anti-Mage"), (2, "anti_x"), (3, "Axe"), (4, None), (5, "50% off"), (6, "it's")],
+        [(1, "Anti-Mage"), (2, "anti_x"), (3, "Axe"), (4, None), (5, "50% off"), (6, "it's"), (7, "a\\b")],
         "id int, name string",
     )
 
@@ -33,6 +33,11 @@ def test_find_quote_is_data_not_sql(names):
     assert [r.id for r in find(names, "name", "it's").collect()] == [6]
 
 
+def test_find_backslash_is_data(names):
+    assert [r.id for r in find(names, "name", "a\\b").collect()] == [7]
+    assert [r.id for r in find(names, "name", "\\").collect()] == [7]
+
+
 def test_list_rows_nulls_first_key_tiebreak(names):
     got = list_rows(names, ["id", "name"], ["name"], 3, key="id").collect()
     assert [r.id for r in got] == [4, 5, 1]
