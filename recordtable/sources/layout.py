@@ -51,8 +51,13 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_bucketed(df: DataFrame, path: str, mode: str = "error") -> None:
-    """First write of a bucketed table (``df`` must carry ``_bucket``)."""
-    df.write.mode(mode).partitionBy(BUCKET_COL).parquet(path)
+    """First write of a bucketed table (``df`` must carry ``_bucket``).
+
+    Rows are hash-partitioned on the bucket first, so each bucket is written
+    by one task: one file per bucket instead of one per task and bucket.
+    Keys are unique, so buckets are even and no task gets a hot bucket.
+    """
+    df.repartition(BUCKET_COL).write.mode(mode).partitionBy(BUCKET_COL).parquet(path)
 
 
 def overwrite_buckets(
@@ -72,7 +77,8 @@ def overwrite_buckets(
     stage = shared_path(spark, "stage")
     if not buckets:
         return stage
-    result.where(F.col(BUCKET_COL).isin(buckets)).write.mode("error").parquet(stage)
+    # one task per bucket (see write_bucketed): the stage and the table get one file per bucket
+    result.where(F.col(BUCKET_COL).isin(buckets)).repartition(BUCKET_COL).write.mode("error").parquet(stage)
     staged = spark.read.parquet(stage)
     (
         staged.write.mode("overwrite")

@@ -99,12 +99,19 @@ def test_bucketed_change_rewrites_only_touched_buckets(spark, tmp_path):
 
     before = files()
     assert len(before) == 16
+    assert all(len(v) == 1 for v in before.values())  # one file per bucket
     patches = spark.createDataFrame([(7, 1, '{"base_health": 999}')], "hero_id long, seq long, json string")
     s.update(patches)
     after = files()
     bucket7 = s.view_one(7).select(BUCKET_COL).collect()[0][0]
     changed = {d for d in before if before[d] != after.get(d)}
     assert changed == {f"{BUCKET_COL}={bucket7}"}
+    assert all(len(v) == 1 for v in after.values())
+    # a change touching every bucket still leaves one file per bucket
+    everyone = spark.createDataFrame([(i, 2, '{"move_speed": 1}') for i in range(200)], "hero_id long, seq long, json string")
+    s.update(everyone)
+    assert all(len(v) == 1 for v in files().values())
+    assert s.table().where("move_speed = 1").count() == 200
     assert s.view_one(7).collect()[0].base_health == 999
     assert s.table().count() == 200
     # delete every key of one bucket: the bucket directory goes away
