@@ -29,7 +29,8 @@ from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
 from recordtable.sources.layout import BUCKET_COL, bucket_of, overwrite_buckets, touched_buckets, with_bucket
-from recordtable.sources.sinks import ParquetSink, overwrite_staged, path_exists
+from recordtable.sources.fs import path_exists
+from recordtable.sources.sinks import ParquetSink, overwrite_staged
 
 # ---------------------------------------------------------------------------
 # The original tool's projections, sort column, statistics

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtable.session import shared_path
+from recordtable.sources.fs import delete_path
 
 BUCKET_COL = "_bucket"
 
@@ -44,12 +45,6 @@ def touched_buckets(changes: DataFrame, key: str, n: int) -> list[int]:
     return sorted(r.b for r in rows)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def write_bucketed(df: DataFrame, path: str, mode: str = "error") -> None:
     """First write of a bucketed table (``df`` must carry ``_bucket``).
 
@@ -87,12 +82,9 @@ def overwrite_buckets(
         .parquet(path)
     )
     present = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
-    fs, _ = _fs(spark, path)
     for b in buckets:
         if b not in present:
-            _, p = _fs(spark, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
-            fs.delete(p, True)
+            delete_path(spark, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
     if not keep_stage:
-        _, p = _fs(spark, stage)
-        fs.delete(p, True)
+        delete_path(spark, stage)
     return stage

@@ -18,6 +18,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from recordtable.session import shared_path
+from recordtable.sources.fs import delete_path
 from recordtable.sources.jdbc import jdbc_write_options
 
 
@@ -57,22 +58,6 @@ def append(df: DataFrame, sink: Sink) -> None:
     _write(df, sink, "append")
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def _delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    fs.delete(p, True)
-
-
 def overwrite_staged(
     spark: SparkSession,
     df: DataFrame,
@@ -92,5 +77,5 @@ def overwrite_staged(
     staged = spark.read.parquet(stage)
     _write(staged, sink, "overwrite")
     if not keep_stage:
-        _delete_path(spark, stage)
+        delete_path(spark, stage)
     return stage

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from recordtable.fields import Contract, Field
 from recordtable.plans.refresh import refresh
 from recordtable.session import shared_path
-from recordtable.sources.sinks import ParquetSink, path_exists
+from recordtable.sources.fs import path_exists
+from recordtable.sources.sinks import ParquetSink
 
 
 def start_refresh_stream(

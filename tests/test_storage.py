@@ -11,7 +11,8 @@ from recordtable.fields import HERO_CONTRACT, HERO_FIELDS
 from recordtable.plans.refresh import refresh
 from recordtable.sources.files import read_documents
 from recordtable.sources.jdbc import jdbc_read_options, jdbc_write_options
-from recordtable.sources.sinks import ParquetSink, append, overwrite_staged, path_exists
+from recordtable.sources.fs import path_exists
+from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
 
 def test_staged_overwrite_of_a_table_read_by_the_plan(spark, tmp_path):
