@@ -75,6 +75,32 @@ def q_parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(events, "props", [Field("k", "int"), Field("label", "text")], keep=["event_id"])
 
 
+def mixed_event_json(events: DataFrame) -> DataFrame:
+    """Each event re-encoded as JSON whose field types depend on its ``event_type``.
+
+    click: ``{"k": 69, "label": "click"}``; view: ``{"k": "69", "label": null}``;
+    error: ``{"k": " 69 "}``; purchase: ``{"k": <value, e.g. 6.55>, "label": true}``;
+    signup: ``{"k": [69], "label": {"t": "signup"}}``. Every event is kept.
+    """
+    et = F.col("event_type")
+    k = F.get_json_object(F.col("props"), "$.k")
+    doc = (
+        F.when(et == "click", F.to_json(F.struct(k.cast("int").alias("k"), et.alias("label"))))
+        .when(et == "view", F.concat(F.lit('{"k": "'), k, F.lit('", "label": null}')))
+        .when(et == "error", F.concat(F.lit('{"k": " '), k, F.lit(' "}')))
+        .when(et == "purchase", F.concat(F.lit('{"k": '), F.col("value").cast("string"), F.lit(', "label": true}')))
+        .otherwise(F.concat(F.lit('{"k": ['), k, F.lit('], "label": '), F.to_json(F.struct(et.alias("t"))), F.lit("}")))
+    )
+    return events.select("event_id", doc.alias("doc"))
+
+
+def q_parse_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The int and text rules over every event, on numbers, numeric and padded strings,
+    fractions, arrays, booleans, nulls, objects and absent fields."""
+    docs = mixed_event_json(table(spark, sf_dir, "events"))
+    return parse_records(docs, "doc", [Field("k", "int"), Field("label", "text")], keep=["event_id"])
+
+
 def q_explode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     docs = to_documents(supplier, ["s_nationkey"], [f.name for f in SUPPLIER_FIELDS], "s_suppkey", 64)
@@ -250,6 +276,7 @@ def q_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "flagship_stats": q_flagship,
     "parse_records": q_parse_records,
+    "parse_coercion": q_parse_coercion,
     "explode_documents": q_explode_documents,
     "map_columns": q_map_columns,
     "join_list": q_join_list,
@@ -293,6 +320,15 @@ ORACLE_SQL: dict[str, str] = {
 SELECT event_id,
        coalesce(try_cast(json_extract_string(props, '$.k') AS INTEGER), 0) AS k,
        coalesce(json_extract_string(props, '$.label'), '') AS label
+FROM events""",
+    "parse_coercion": """
+SELECT event_id,
+       CASE event_type
+         WHEN 'purchase' THEN CAST(trunc(value) AS INTEGER)
+         WHEN 'signup' THEN 0
+         ELSE CAST(json_extract_string(props, '$.k') AS INTEGER)
+       END AS k,
+       CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'true' ELSE '' END AS label
 FROM events""",
     "explode_documents": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "map_columns": "SELECT p_partkey AS record_id, p_name AS record_name, p_type AS attribute, p_size FROM part",
