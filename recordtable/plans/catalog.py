@@ -259,6 +259,20 @@ def q_patch_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing
 
 
+MIXED_PATCH_FIELDS = (Field("k", "int", "s_acctbal"), Field("label", "text", "s_name"))
+
+
+def q_patch_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field-wise patch fold with mixed encodings: ``label`` absent (error events) keeps the
+    name, ``label: null`` (view events) sets it to the default, others set it."""
+    events = table(spark, sf_dir, "events")
+    patches = mixed_event_json(events).join(events.select("event_id", "user_id"), "event_id").select(
+        F.col("user_id").alias("s_suppkey"), "event_id", "doc"
+    )
+    result, _ = patch(table(spark, sf_dir, "supplier"), patches, "s_suppkey", "event_id", "doc", MIXED_PATCH_FIELDS)
+    return result
+
+
 def machinery_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "MACHINERY")
 
@@ -298,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "upsert": q_upsert,
     "patch": q_patch,
     "patch_missing": q_patch_missing,
+    "patch_mixed": q_patch_mixed,
     "delete": q_delete,
     "delete_missing": q_delete_missing,
 }
@@ -399,6 +414,29 @@ FROM supplier s LEFT JOIN p ON s.s_suppkey = p.s_suppkey""",
     "patch_missing": """
 SELECT user_id AS s_suppkey, event_id, props FROM events
 WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
+    "patch_mixed": """
+WITH e AS (
+  SELECT user_id AS s_suppkey, event_id,
+         CASE event_type
+           WHEN 'purchase' THEN CAST(trunc(value) AS INTEGER)
+           WHEN 'signup' THEN 0
+           ELSE CAST(json_extract_string(props, '$.k') AS INTEGER)
+         END AS k,
+         event_type <> 'error' AS has_label,
+         CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'true' ELSE '' END AS label
+  FROM events
+),
+p AS (
+  SELECT s_suppkey, arg_max(k, event_id) AS k,
+         arg_max(label, event_id) FILTER (WHERE has_label) AS label,
+         bool_or(has_label) AS any_label
+  FROM e GROUP BY s_suppkey
+)
+SELECT s.s_suppkey,
+       CASE WHEN p.any_label THEN p.label ELSE s.s_name END AS s_name,
+       s.s_nationkey,
+       CASE WHEN p.s_suppkey IS NULL THEN s.s_acctbal ELSE CAST(p.k AS DOUBLE) END AS s_acctbal
+FROM supplier s LEFT JOIN p ON s.s_suppkey = p.s_suppkey""",
     "delete": """
 SELECT * FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')""",
