@@ -108,6 +108,25 @@ def q_explode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(*[f.out for f in SUPPLIER_FIELDS])
 
 
+def supplier_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier documents per nation (at most 64 elements) where a supplier in debt
+    (negative balance) is landed as its bare key number instead of an object."""
+    supplier = table(spark, sf_dir, "supplier")
+    element = F.when(
+        F.col("s_acctbal") >= 0, F.to_json(F.struct(*[F.col(f.name) for f in SUPPLIER_FIELDS]))
+    ).otherwise(F.col("s_suppkey").cast("string"))
+    chunk = F.expr("s_suppkey div 64")
+    return supplier.groupBy("s_nationkey", chunk).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(element), ","), F.lit("]")).alias("doc")
+    )
+
+
+def q_explode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements that are not objects go to the reject output with their JSON text."""
+    _, rejects = explode_documents(supplier_mixed_documents(spark, sf_dir), "doc", SUPPLIER_FIELDS)
+    return rejects.select("reason", "value")
+
+
 def q_map_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return map_columns(part, {"p_partkey": "record_id", "p_name": "record_name", "p_type": "attribute"}, keep=["p_size"])
@@ -292,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "parse_records": q_parse_records,
     "parse_coercion": q_parse_coercion,
     "explode_documents": q_explode_documents,
+    "explode_rejects": q_explode_rejects,
     "map_columns": q_map_columns,
     "join_list": q_join_list,
     "refresh_batch": q_refresh_batch,
@@ -346,6 +366,8 @@ SELECT event_id,
        CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'true' ELSE '' END AS label
 FROM events""",
     "explode_documents": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "explode_rejects": """
+SELECT 'not_an_object' AS reason, CAST(s_suppkey AS VARCHAR) AS value FROM supplier WHERE s_acctbal < 0""",
     "map_columns": "SELECT p_partkey AS record_id, p_name AS record_name, p_type AS attribute, p_size FROM part",
     "join_list": """
 SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
