@@ -172,6 +172,16 @@ def q_check_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_contract(table(spark, sf_dir, "part"), PART_CONTRACT)
 
 
+ORDERS_BY_CUSTOMER_CONTRACT = Contract(
+    key="o_custkey", not_null=("o_custkey", "o_orderdate"), max_len={"o_orderpriority": 8, "o_orderstatus": 1}
+)
+
+
+def q_check_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contract that ``orders`` breaks: its customer key repeats, priorities are too long."""
+    return check_contract(table(spark, sf_dir, "orders"), ORDERS_BY_CUSTOMER_CONTRACT)
+
+
 # --- reads -------------------------------------------------------------------
 
 def q_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "refresh_batch": q_refresh_batch,
     "read_table": q_read_table,
     "check_contract": q_check_contract,
+    "check_contract_violations": q_check_contract_violations,
     "count_rows": q_count_rows,
     "key_counts": q_key_counts,
     "list_rows": q_list_rows,
@@ -384,6 +395,14 @@ SELECT count(*) AS rows,
        count(*) FILTER (WHERE p_name IS NULL) AS null_p_name,
        count(*) FILTER (WHERE length(p_name) > 10) AS too_long_p_name
 FROM part""",
+    "check_contract_violations": """
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE o_custkey IS NULL) AS null_key,
+       count(o_custkey) - count(DISTINCT o_custkey) AS duplicate_key,
+       count(*) FILTER (WHERE o_orderdate IS NULL) AS null_o_orderdate,
+       count(*) FILTER (WHERE length(o_orderpriority) > 8) AS too_long_o_orderpriority,
+       count(*) FILTER (WHERE length(o_orderstatus) > 1) AS too_long_o_orderstatus
+FROM orders""",
     "count_rows": "SELECT count(*) AS rows FROM orders",
     "key_counts": """
 SELECT c.c_custkey, count(o.o_orderkey) AS n
