@@ -75,7 +75,7 @@ def q_parse_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(events, "props", [Field("k", "int"), Field("label", "text")], keep=["event_id"])
 
 
-def mixed_event_json(events: DataFrame) -> DataFrame:
+def mixed_event_json(events: DataFrame, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Each event re-encoded as JSON whose field types depend on its ``event_type``.
 
     click: ``{"k": 69, "label": "click"}``; view: ``{"k": "69", "label": null}``;
@@ -91,7 +91,7 @@ def mixed_event_json(events: DataFrame) -> DataFrame:
         .when(et == "purchase", F.concat(F.lit('{"k": '), F.col("value").cast("string"), F.lit(', "label": true}')))
         .otherwise(F.concat(F.lit('{"k": ['), k, F.lit('], "label": '), F.to_json(F.struct(et.alias("t"))), F.lit("}")))
     )
-    return events.select("event_id", doc.alias("doc"))
+    return events.select(*keep, doc.alias("doc"))
 
 
 def q_parse_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,8 +294,7 @@ MIXED_PATCH_FIELDS = (Field("k", "int", "s_acctbal"), Field("label", "text", "s_
 def q_patch_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field-wise patch fold with mixed encodings: ``label`` absent (error events) keeps the
     name, ``label: null`` (view events) sets it to the default, others set it."""
-    events = table(spark, sf_dir, "events")
-    patches = mixed_event_json(events).join(events.select("event_id", "user_id"), "event_id").select(
+    patches = mixed_event_json(table(spark, sf_dir, "events"), keep=("user_id", "event_id")).select(
         F.col("user_id").alias("s_suppkey"), "event_id", "doc"
     )
     result, _ = patch(table(spark, sf_dir, "supplier"), patches, "s_suppkey", "event_id", "doc", MIXED_PATCH_FIELDS)

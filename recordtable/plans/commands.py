@@ -103,6 +103,13 @@ class RecordStore:
         df.drop(BUCKET_COL).write.parquet(out)
         return self.spark.read.parquet(out)
 
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.path)
+
+    def _require(self) -> None:
+        if not self.exists():
+            raise FileNotFoundError(f"no table at {self.path}; load it with add() or download() first")
+
     def _scope(self, changed: DataFrame, key: str) -> tuple[DataFrame, list[int] | None]:
         """The part of the table a change can affect: all of it, or the buckets of the changed keys.
 
@@ -132,7 +139,11 @@ class RecordStore:
         incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts)
         if self.buckets:
             incoming = with_bucket(incoming, self.contract.key, self.buckets)
-        table, touched = self._scope(incoming, self.contract.key)
+        if self.exists():
+            table, touched = self._scope(incoming, self.contract.key)
+        else:  # first add creates the table (an empty one of the batch's shape)
+            table = incoming.drop("seq").limit(0)
+            touched = touched_buckets(incoming, self.contract.key, self.buckets) if self.buckets else None
         result, rejected = change.insert_new(table, incoming, self.contract.key, "seq")
         kept = self._keep(rejected, "rejected")
         self._replace(result, touched)
@@ -143,6 +154,7 @@ class RecordStore:
 
         Returns the patch rows whose key is not in the table.
         """
+        self._require()
         key = key or self.contract.key
         fields = [f for f in self.fields if f.out != self.contract.key]
         p = patches.withColumnRenamed(key, self.contract.key) if key != self.contract.key else patches
@@ -154,6 +166,7 @@ class RecordStore:
 
     def delete(self, keys: DataFrame, key: str | None = None) -> DataFrame:
         """Remove rows by key; returns the requested keys that matched nothing."""
+        self._require()
         table, touched = self._scope(keys, key or self.contract.key)
         result, missing = change.delete(table, keys, self.contract.key, key)
         kept = self._keep(missing, "missing")
@@ -162,6 +175,6 @@ class RecordStore:
 
     def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None) -> RefreshResult:
         """Load landed documents (see ``read_documents``): upsert by key, safe rewrite."""
-        current = self.table() if path_exists(self.spark, self.path) else None
+        current = self.table() if self.exists() else None
         return refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
                        current=current, run_ts=run_ts, buckets=self.buckets)

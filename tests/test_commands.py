@@ -121,3 +121,15 @@ def test_bucketed_change_rewrites_only_touched_buckets(spark, tmp_path):
     assert s.table().where(F.col(BUCKET_COL) == bucket7).count() == 0
     plan = s.view_one(8)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_bucket" in plan
+
+
+@pytest.mark.parametrize("buckets", [None, 4], ids=["flat", "buckets"])
+def test_first_add_creates_table(spark, tmp_path, buckets):
+    s = RecordStore(spark, str(tmp_path / "new_table"), buckets=buckets)
+    with pytest.raises(FileNotFoundError):
+        s.delete(spark.createDataFrame([(1,)], "hero_id long"))
+    adds = spark.createDataFrame([(1, '{"id": 9, "localized_name": "Nine"}'), (2, '{"id": 9}')], "seq long, json string")
+    rejected = s.add(adds)
+    assert [(r.seq, r.reason) for r in rejected.collect()] == [(2, "duplicate_in_batch")]
+    assert [(r.hero_id, r.hero_name) for r in s.table().collect()] == [(9, "Nine")]
+    assert s.view_one(9).count() == 1
