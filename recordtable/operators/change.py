@@ -168,6 +168,18 @@ def delete(
     return result, missing
 
 
+def _wrapped(f: Field) -> bool:
+    """Whether a field's folded value needs a struct wrapper.
+
+    A numeric field with a default is never NULL when a patch mentions it,
+    so a NULL fold already means "not mentioned" and the bare value is kept:
+    fixed-width aggregation buffers let the fold run as a HashAggregate.
+    Text, list and default-less fields can be NULL or variable-width and are
+    wrapped as ``{v}`` (``{NULL}`` = set to NULL, NULL = not mentioned).
+    """
+    return not (f.kind in ("int", "long", "double") and f.default is not None)
+
+
 def fold_patches(
     patches: DataFrame,
     key: str,
@@ -178,9 +190,10 @@ def fold_patches(
 ) -> DataFrame:
     """One row per key: for each field, the value from the last patch (by ``seq``) that has it.
 
-    Column ``__p_<column>`` is a struct ``{v}`` when some patch has the field
-    (an explicit JSON null gives the field default) and NULL when none does.
-    List fields are joined with ``list_sep`` (``None`` keeps the array).
+    Column ``__p_<column>`` is NULL when no patch has the field; otherwise it
+    holds the value (an explicit JSON null gives the field default), wrapped
+    as a struct ``{v}`` for fields that ``_wrapped`` says need it. List
+    fields are joined with ``list_sep`` (``None`` keeps the array).
     ``max_by`` aggregates partially inside each task.
     """
     parsed = patches.select(F.col(key), F.col(seq), F.try_parse_json(F.col(json_col)).alias(_V))
@@ -188,10 +201,11 @@ def fold_patches(
 
     def value(f: Field):
         c = read_field(v, f)
-        return join_list(c, list_sep) if (f.kind == "list" and list_sep is not None) else c
+        c = join_list(c, list_sep) if (f.kind == "list" and list_sep is not None) else c
+        return F.struct(c.alias("v")) if _wrapped(f) else c
 
     aggs = [
-        F.max_by(F.struct(value(f).alias("v")), F.when(has_field(v, f.name), F.col(seq))).alias(f"__p_{f.out}")
+        F.max_by(value(f), F.when(has_field(v, f.name), F.col(seq))).alias(f"__p_{f.out}")
         for f in fields
     ]
     return parsed.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
@@ -218,13 +232,14 @@ def patch(
     small = _small(patches.select(key), max_broadcast_rows)
     folded = fold_patches(patches, key, seq, json_col, fields, list_sep)
     types = dict((f.name, f.dataType.simpleString()) for f in table.schema.fields)
-    patched = {f.out for f in fields}
+    patched = {f.out: f for f in fields}
     joined = table.join(_side(folded, small), key, "left")
     out = []
     for c in table.columns:
         if c in patched:
             p = F.col(f"__p_{c}")
-            out.append(F.when(p.isNotNull(), p.getField("v").cast(types[c])).otherwise(F.col(c)).alias(c))
+            new = p.getField("v") if _wrapped(patched[c]) else p
+            out.append(F.when(p.isNotNull(), new.cast(types[c])).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     result = joined.select(*out)
