@@ -13,6 +13,7 @@ DataFrame never re-reads the new table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -67,6 +68,9 @@ class RecordStore:
     # change; n = partitioned into n key buckets, changes rewrite only the
     # buckets they touch and key lookups read one bucket.
     buckets: int | None = None
+    # Where add/update/delete write the rows they could not apply (default:
+    # a fresh folder under the shared spark.checkpoint.dir). Kept for the caller.
+    report_dir: str | None = None
 
     # -- reads ---------------------------------------------------------------
     def table(self) -> DataFrame:
@@ -99,7 +103,10 @@ class RecordStore:
         return apply_defaults(records.select(*cols, *[c for c in records.columns if c == "seq"]), self.contract, run_ts)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        out = shared_path(self.spark, name)
+        if self.report_dir:
+            out = f"{self.report_dir.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        else:
+            out = shared_path(self.spark, name)
         df.drop(BUCKET_COL).write.parquet(out)
         return self.spark.read.parquet(out)
 

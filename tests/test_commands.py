@@ -125,7 +125,7 @@ def test_bucketed_change_rewrites_only_touched_buckets(spark, tmp_path):
 
 @pytest.mark.parametrize("buckets", [None, 4], ids=["flat", "buckets"])
 def test_first_add_creates_table(spark, tmp_path, buckets):
-    s = RecordStore(spark, str(tmp_path / "new_table"), buckets=buckets)
+    s = RecordStore(spark, str(tmp_path / "new_table"), buckets=buckets, report_dir=str(tmp_path / "reports"))
     with pytest.raises(FileNotFoundError):
         s.delete(spark.createDataFrame([(1,)], "hero_id long"))
     adds = spark.createDataFrame([(1, '{"id": 9, "localized_name": "Nine"}'), (2, '{"id": 9}')], "seq long, json string")
@@ -133,3 +133,4 @@ def test_first_add_creates_table(spark, tmp_path, buckets):
     assert [(r.seq, r.reason) for r in rejected.collect()] == [(2, "duplicate_in_batch")]
     assert [(r.hero_id, r.hero_name) for r in s.table().collect()] == [(9, "Nine")]
     assert s.view_one(9).count() == 1
+    assert any(d.startswith("rejected-") for d in os.listdir(tmp_path / "reports"))
