@@ -47,13 +47,15 @@ class Contract:
     """What a keyed table promises.
 
     ``key`` is the business key (unique, not null); ``not_null`` lists other
-    required columns; ``defaults`` maps a column to the value that fills a
-    NULL; ``max_len`` maps a text column to its maximum length; ``load_ts``
-    names the column stamped with the load time (or None).
+    required columns; ``not_empty`` lists text columns reported when empty
+    or NULL; ``defaults`` maps a column to the value that fills a NULL;
+    ``max_len`` maps a text column to its maximum length; ``load_ts`` names
+    the column stamped with the load time (or None).
     """
 
     key: str
     not_null: tuple[str, ...] = ()
+    not_empty: tuple[str, ...] = ()
     defaults: dict[str, Any] = field(default_factory=dict)
     max_len: dict[str, int] = field(default_factory=dict)
     load_ts: str | None = None
@@ -79,6 +81,7 @@ HERO_FIELDS = (
 HERO_CONTRACT = Contract(
     key="hero_id",
     not_null=("hero_id",),
+    not_empty=("hero_name",),
     defaults={
         "base_health": 0,
         "base_mana": 0,

@@ -11,7 +11,7 @@ from recordtable.fields import Contract
 
 
 def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """One metrics row: ``rows``, ``null_key``, ``duplicate_key``, ``null_<col>``, ``too_long_<col>``.
+    """One metrics row: ``rows``, ``null_key``, ``duplicate_key``, ``null_<col>``, ``empty_<col>``, ``too_long_<col>``.
 
     ``duplicate_key`` is the number of non-NULL key values beyond the first
     for each key (``count(key) - count(distinct key)``). One pass; the
@@ -27,6 +27,8 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     for c in contract.not_null:
         if c != contract.key:
             metrics.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
+    for c in contract.not_empty:
+        metrics.append(F.count_if(F.coalesce(F.col(c), F.lit("")) == F.lit("")).alias(f"empty_{c}"))
     for c, n in contract.max_len.items():
         metrics.append(F.count_if(F.length(F.col(c)) > F.lit(n)).alias(f"too_long_{c}"))
     return df.agg(*metrics)

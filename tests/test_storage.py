@@ -122,3 +122,16 @@ def test_stream_replay_is_idempotent(spark, tmp_path):
     again = _table(spark, target)
     strip = lambda t: {k: tuple(v)[:-1] for k, v in t.items()}  # noqa: E731 - drop load time
     assert strip(again) == strip(first) and set(first) == {1, 2, 3}
+
+
+def test_check_contract_metrics(spark):
+    from recordtable.fields import Contract
+    from recordtable.operators.contract import check_contract
+
+    df = spark.createDataFrame(
+        [(1, "a"), (1, ""), (None, None), (2, "toolongname"), (3, "ok")], "k int, name string"
+    )
+    row = check_contract(df, Contract(key="k", not_null=("k", "name"), not_empty=("name",),
+                                      max_len={"name": 5})).first().asDict()
+    assert row == {"rows": 5, "null_key": 1, "duplicate_key": 1, "null_name": 1, "empty_name": 2,
+                   "too_long_name": 1}
