@@ -55,18 +55,24 @@ SUPPLIER_FIELDS = (
 )
 
 
-def part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_documents(spark: SparkSession, sf_dir: str, with_words: bool = True) -> DataFrame:
     """``part`` rows folded into JSON array documents per brand, at most 256 records each.
 
-    Each record also carries ``p_words``, the name split into a JSON list.
+    With ``with_words`` each record also carries ``p_words``, the name split
+    into a JSON list.
     """
-    part = table(spark, sf_dir, "part").withColumn("p_words", F.split(F.col("p_name"), " "))
-    return to_documents(part, ["p_brand"], [f.name for f in PART_FIELDS], "p_partkey", 256)
+    part = table(spark, sf_dir, "part")
+    fields = [f.name for f in PART_FIELDS]
+    if with_words:
+        part = part.withColumn("p_words", F.split(F.col("p_name"), " "))
+    else:
+        fields.remove("p_words")
+    return to_documents(part, ["p_brand"], fields, "p_partkey", 256)
 
 
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> records (coercion rules) -> stats per type."""
-    records, _ = explode_documents(part_documents(spark, sf_dir), "doc", PART_FIELDS)
+    records, _ = explode_documents(part_documents(spark, sf_dir, with_words=False), "doc", PART_FIELDS)
     return group_stats(records, "p_type", {"p_size": "avg_size", "p_retailprice": "avg_price"}, "n", digits=4)
 
 
