@@ -119,5 +119,3 @@ def read_field(v: Column, f: Field) -> Column:
             c = F.coalesce(c, F.lit(f.default))
     return c.alias(f.out)
 
-
-SPARK_TYPES = {"int": "int", "long": "bigint", "double": "double", "text": "string", "list": "array<string>"}

@@ -245,9 +245,6 @@ def q_run_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- changes -----------------------------------------------------------------
 
-SUPPLIER_COLS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
-
-
 def supplier_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
