@@ -4,7 +4,7 @@ All rules work on a ``VARIANT`` column (``try_parse_json``) and use only
 ``try_*`` built-ins, so they stay JVM-side, run inside whole-stage codegen
 and never raise under ANSI mode.
 
-Rules (see README "Coercion rules"):
+Rules (see README "Semantics"):
 
 * int / long: a JSON integer, a numeric string (padded or fractional, which
   truncates toward zero) or a boolean (1/0) gives the number; anything else,
@@ -28,17 +28,29 @@ from recordtable.fields import Field
 _SIMPLE_KEY = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def json_path(name: str) -> str:
-    """Variant path for one top-level key."""
+def json_path(name: str) -> str | None:
+    """Variant path for one top-level key, or None when no path can spell it.
+
+    Paths take ``$.key``, ``$['key']`` or ``$["key"]`` and have no escapes,
+    so a key holding both quote characters has no path.
+    """
     if _SIMPLE_KEY.match(name):
         return f"$.{name}"
-    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-    return f"$['{escaped}']"
+    if "'" not in name:
+        return f"$['{name}']"
+    if '"' not in name:
+        return f'$["{name}"]'
+    return None
 
 
 def _at(v: Column, name: str | None, target: str) -> Column:
-    path = "$" if name is None else json_path(name)
-    return F.try_variant_get(v, path, target)
+    if name is None:
+        return F.try_variant_get(v, "$", target)
+    path = json_path(name)
+    if path is not None:
+        return F.try_variant_get(v, path, target)
+    member = F.try_variant_get(v, "$", "map<string,variant>").getItem(name)
+    return F.try_variant_get(member, "$", target)
 
 
 def _lit(value, spark_type: str) -> Column:

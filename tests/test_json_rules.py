@@ -107,3 +107,14 @@ def test_hero_document_shape(spark):
     assert got[0].roles == ["Carry", "Escape", "Nuker"] and got[0].primary_attribute == "agi"
     assert got[1].hero_id is None and got[1].base_health == 0 and got[1].roles is None
     assert rejects.count() == 0
+
+
+def test_field_names_needing_bracket_paths(spark):
+    doc = '{"a.b": 1, "c d": "x", "it\'s": 3, "say \\"it\'s\\"": 4}'
+    df = spark.createDataFrame([(doc,)], "j string")
+    fields = [Field("a.b", "int", "ab"), Field("c d", "text", "cd"), Field("it's", "int", "q"),
+              Field('say "it\'s"', "int", "both"), Field("missing'\"", "int", "none")]
+    out = parse_records(df, "j", fields)
+    assert [tuple(r) for r in out.collect()] == [(1, "x", 3, 4, 0)]
+    has = df.select(has_field(F.try_parse_json("j"), 'say "it\'s"').alias("h")).first().h
+    assert has is True
