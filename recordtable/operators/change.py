@@ -229,6 +229,9 @@ def patch(
     given. Returns ``(result, missing)``; ``missing`` holds the patch rows
     whose key is not in the table.
     """
+    unknown = [f.out for f in fields if f.out not in table.columns]
+    if unknown:
+        raise ValueError(f"patch fields target columns the table does not have: {unknown}")
     small = _small(patches.select(key), max_broadcast_rows)
     folded = fold_patches(patches, key, seq, json_col, fields, list_sep)
     types = dict((f.name, f.dataType.simpleString()) for f in table.schema.fields)

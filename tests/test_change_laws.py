@@ -144,3 +144,10 @@ def test_hot_key_patch_and_delete(spark):
         kept, missing = delete(orders, keys, "c", max_broadcast_rows=bound)
         assert kept.count() == orders.where("c != 7").count()
         assert [r.c for r in missing.collect()] == [9999]
+
+
+
+def test_patch_unknown_column_raises(spark, table):
+    patches = spark.createDataFrame([(1, 1, '{"zz": 1}')], P_SCHEMA)
+    with pytest.raises(ValueError):
+        patch(table, patches, "k", "seq", "j", [Field("zz", "int")])
