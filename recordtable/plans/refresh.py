@@ -22,7 +22,7 @@ from recordtable.operators.change import upsert
 from recordtable.operators.contract import apply_defaults, check_contract
 from recordtable.operators.ingest import explode_documents
 from recordtable.sources.layout import BUCKET_COL, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
-from recordtable.sources.sinks import ParquetSink, overwrite_staged
+from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
 
 @dataclass
@@ -72,6 +72,9 @@ def refresh(
 ) -> RefreshResult:
     """Load documents into ``target``: upsert by key (records without a key are left out).
 
+    ``current`` is the table now at ``target``, or None for a first load
+    (then ``target`` must not exist yet).
+
     With ``buckets``, the target uses the key-bucket layout
     (``recordtable.sources.layout``) and only the buckets holding incoming
     keys are read and rewritten.
@@ -93,11 +96,14 @@ def refresh(
         else:
             base = current.select(*table_cols)
         result = upsert(base, incoming, contract.key, "__seq").select(*table_cols)
-        if not buckets:
-            stage = overwrite_staged(spark, result, target)
-        elif current is None:
-            write_bucketed(result, target.path)
+        if current is None:  # first load: nothing reads the target, no stage needed
+            if buckets:
+                write_bucketed(result, target.path)
+            else:
+                append(result, target, mode="error")
             stage = None
+        elif not buckets:
+            stage = overwrite_staged(spark, result, target)
         else:
             stage = overwrite_buckets(spark, result, target.path, touched)
     finally:

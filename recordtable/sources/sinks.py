@@ -53,9 +53,12 @@ def _write(df: DataFrame, sink: Sink, mode: str) -> None:
         raise TypeError(f"unknown sink {sink!r}")
 
 
-def append(df: DataFrame, sink: Sink) -> None:
-    """Append rows; each task commits its own partition (JDBC appends are not atomic)."""
-    _write(df, sink, "append")
+def append(df: DataFrame, sink: Sink, mode: str = "append") -> None:
+    """Append rows (``mode="error"``: create, failing if the sink exists).
+
+    Each task commits its own partition; JDBC appends are not atomic.
+    """
+    _write(df, sink, mode)
 
 
 def overwrite_staged(
