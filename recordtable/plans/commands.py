@@ -29,9 +29,16 @@ from recordtable.operators.contract import apply_defaults
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
-from recordtable.sources.layout import BUCKET_COL, bucket_of, overwrite_buckets, touched_buckets, with_bucket
+from recordtable.sources.layout import (
+    BUCKET_COL,
+    bucket_of,
+    overwrite_buckets,
+    touched_buckets,
+    with_bucket,
+    write_bucketed,
+)
 from recordtable.sources.fs import path_exists
-from recordtable.sources.sinks import ParquetSink, overwrite_staged
+from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
 # ---------------------------------------------------------------------------
 # The original tool's projections, sort column, statistics
@@ -129,9 +136,18 @@ class RecordStore:
         touched = touched_buckets(changed, key, self.buckets)
         return self.table().where(F.col(BUCKET_COL).isin(touched)), touched
 
-    def _replace(self, result: DataFrame, touched: list[int] | None) -> None:
-        """Write the new table: whole (flat layout) or only the touched buckets."""
-        if touched is None:
+    def _replace(self, result: DataFrame, touched: list[int] | None, first: bool = False) -> None:
+        """Write the new table: whole (flat layout) or only the touched buckets.
+
+        ``first``: the table does not exist yet, so nothing reads it and it is
+        written directly, without a stage.
+        """
+        if first:
+            if self.buckets:
+                write_bucketed(result, self.path)
+            else:
+                append(result, ParquetSink(self.path), mode="error")
+        elif touched is None:
             overwrite_staged(self.spark, result, ParquetSink(self.path))
         else:
             overwrite_buckets(self.spark, result, self.path, touched)
@@ -146,14 +162,14 @@ class RecordStore:
         incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts)
         if self.buckets:
             incoming = with_bucket(incoming, self.contract.key, self.buckets)
-        if self.exists():
+        first = not self.exists()
+        if first:  # the first add creates the table (an empty one of the batch's shape)
+            table, touched = incoming.drop("seq").limit(0), None
+        else:
             table, touched = self._scope(incoming, self.contract.key)
-        else:  # first add creates the table (an empty one of the batch's shape)
-            table = incoming.drop("seq").limit(0)
-            touched = touched_buckets(incoming, self.contract.key, self.buckets) if self.buckets else None
         result, rejected = change.insert_new(table, incoming, self.contract.key, "seq")
         kept = self._keep(rejected, "rejected")
-        self._replace(result, touched)
+        self._replace(result, touched, first=first)
         return kept
 
     def update(self, patches: DataFrame, key: str | None = None, seq: str = "seq", json_col: str = "json") -> DataFrame:
