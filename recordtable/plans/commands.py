@@ -80,17 +80,23 @@ class RecordStore:
     report_dir: str | None = None
 
     # -- reads ---------------------------------------------------------------
-    def table(self) -> DataFrame:
+    def raw_table(self) -> DataFrame:
+        """The stored table, with the layout's ``_bucket`` column when bucketed."""
         return self.spark.read.parquet(self.path)
 
+    def table(self) -> DataFrame:
+        """The table as users see it (no layout columns)."""
+        raw = self.raw_table()
+        return raw.drop(BUCKET_COL) if BUCKET_COL in raw.columns else raw
+
     def list(self, n: int = HERO_LIST_DEFAULT) -> DataFrame:
         return read.list_rows(self.table(), self.list_cols, [self.name_col], n, key=self.contract.key)
 
     def view_one(self, key_value: Any) -> DataFrame:
-        t = self.table()
-        if self.buckets:
-            t = t.where(F.col(BUCKET_COL) == bucket_of(F.lit(key_value), self.buckets))
-        return read.lookup(t, self.contract.key, key_value)
+        if not self.buckets:
+            return read.lookup(self.table(), self.contract.key, key_value)
+        t = self.raw_table().where(F.col(BUCKET_COL) == bucket_of(F.lit(key_value), self.buckets))
+        return read.lookup(t, self.contract.key, key_value).drop(BUCKET_COL)
 
     def find(self, text: str, mode: str = "like", ignore_case: bool = False) -> DataFrame:
         return read.find(self.table(), self.name_col, text, mode, ignore_case, cols=self.find_cols, key=self.contract.key)
@@ -134,7 +140,7 @@ class RecordStore:
         if not self.buckets:
             return self.table(), None
         touched = touched_buckets(changed, key, self.buckets)
-        return self.table().where(F.col(BUCKET_COL).isin(touched)), touched
+        return self.raw_table().where(F.col(BUCKET_COL).isin(touched)), touched
 
     def _replace(self, result: DataFrame, touched: list[int] | None, first: bool = False) -> None:
         """Write the new table: whole (flat layout) or only the touched buckets.
@@ -198,6 +204,6 @@ class RecordStore:
 
     def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None) -> RefreshResult:
         """Load landed documents (see ``read_documents``): upsert by key, safe rewrite."""
-        current = self.table() if self.exists() else None
+        current = self.raw_table() if self.exists() else None
         return refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
                        current=current, run_ts=run_ts, buckets=self.buckets)
