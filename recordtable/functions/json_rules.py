@@ -62,8 +62,18 @@ def has_field(v: Column, name: str) -> Column:
     return _at(v, name, "variant").isNotNull()
 
 
+def is_object(x: Column) -> Column:
+    """True when variant ``x`` is a JSON object.
+
+    Casting to a one-field struct succeeds exactly for objects (the field
+    may be absent) and looks up one key, where ``schema_of_variant`` would
+    walk the whole value.
+    """
+    return F.try_variant_get(x, "$", "struct<__rt_probe:variant>").isNotNull()
+
+
 def _is_container(x: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(x).rlike("^(ARRAY|OBJECT)"), F.lit(False))
+    return is_object(x) | F.try_variant_get(x, "$", "array<variant>").isNotNull()
 
 
 def json_number(v: Column, name: str | None, spark_type: str, default=0) -> Column:
@@ -101,11 +111,10 @@ def json_text(v: Column, name: str | None, default="") -> Column:
 def json_list(v: Column, name: str | None) -> Column:
     x = _at(v, name, "variant")
     as_array = F.try_variant_get(x, "$", "array<string>")
-    is_object = F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
     scalar = F.try_variant_get(x, "$", "string")
     return (
         F.when(as_array.isNotNull(), as_array)
-        .when(is_object, F.array().cast("array<string>"))
+        .when(is_object(x), F.array().cast("array<string>"))
         .when(scalar.isNotNull(), F.array(scalar))
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtable.fields import Field
-from recordtable.functions.json_rules import read_field
+from recordtable.functions.json_rules import is_object, read_field
 
 _V = "__rt_v"
 _E = "__rt_e"
@@ -69,11 +69,11 @@ def explode_documents(
     elements = _elements(F.col(_V))
 
     exploded = docs.select(*keep, F.posexplode(elements).alias("pos", _E))
-    is_object = F.coalesce(F.schema_of_variant(F.col(_E)).startswith("OBJECT"), F.lit(False))
+    obj = is_object(F.col(_E))
 
-    records = exploded.where(is_object).select(*keep, "pos", *[read_field(F.col(_E), f) for f in fields])
+    records = exploded.where(obj).select(*keep, "pos", *[read_field(F.col(_E), f) for f in fields])
 
-    element_rejects = exploded.where(~is_object).select(
+    element_rejects = exploded.where(~obj).select(
         *keep,
         "pos",
         F.lit("not_an_object").alias("reason"),
