@@ -21,6 +21,7 @@ from recordtable.functions.json_rules import join_list
 from recordtable.operators.change import upsert
 from recordtable.operators.contract import apply_defaults, check_contract
 from recordtable.operators.ingest import explode_documents
+from recordtable.session import shared_path
 from recordtable.sources.layout import BUCKET_COL, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
@@ -31,6 +32,7 @@ class RefreshResult:
     rejects: int
     rows_loaded: int
     stage: str | None
+    rejects_path: str | None = None
 
 
 def build_batch(
@@ -75,6 +77,9 @@ def refresh(
     ``current`` is the table now at ``target``, or None for a first load
     (then ``target`` must not exist yet).
 
+    The elements and documents that could not be read are written under the
+    shared checkpoint folder (``RefreshResult.rejects_path``).
+
     With ``buckets``, the target uses the key-bucket layout
     (``recordtable.sources.layout``) and only the buckets holding incoming
     keys are read and rewritten.
@@ -85,7 +90,9 @@ def refresh(
     batch = batch.persist()
     try:
         contract_row = check_contract(batch.drop("__seq"), contract).first().asDict()
-        n_rejects = rejects.count()
+        rejects_path = shared_path(spark, "rejects")
+        rejects.write.parquet(rejects_path)
+        n_rejects = spark.read.parquet(rejects_path).count()
         table_cols = [c for c in batch.columns if c != "__seq"]
         incoming = batch.where(F.col(contract.key).isNotNull())
         touched = touched_buckets(incoming, contract.key, buckets) if (buckets and current is not None) else None
@@ -109,4 +116,4 @@ def refresh(
     finally:
         batch.unpersist()
     rows = spark.read.parquet(target.path).count()
-    return RefreshResult(contract_row, n_rejects, rows, stage)
+    return RefreshResult(contract_row, n_rejects, rows, stage, rejects_path)

@@ -68,6 +68,8 @@ def test_refresh_pipeline_idempotent(spark, tmp_path, layout):
     r1 = refresh(spark, docs, "doc", HERO_FIELDS, HERO_CONTRACT, ParquetSink(target))
     assert r1.rows_loaded == 2 and r1.rejects == 1
     assert r1.contract_row["null_key"] == 1
+    bad = spark.read.parquet(r1.rejects_path).collect()
+    assert [(r.reason, r.value) for r in bad] == [("not_an_object", "5")]
     t1 = _table(spark, target)
     assert t1[1].roles == "Carry,Escape" and t1[2].base_mana == 75 and t1[2].roles is None
     assert t1[1].processed_date is not None
