@@ -34,6 +34,24 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return df.agg(*metrics)
 
 
+def check_batch(df: DataFrame, key: str, seq: str) -> DataFrame:
+    """One metrics row for a change batch: ``rows``, ``null_key``, ``null_seq``, ``duplicate_key_seq``.
+
+    The change operators pick one row per key by ``seq``; ``duplicate_key_seq``
+    (rows beyond the first for a repeated non-NULL ``(key, seq)`` pair)
+    must be 0 for that pick to be exact. The distinct shuffles on the pair,
+    so a hot key is spread by its ``seq`` values.
+    """
+    pair = F.struct(F.col(key), F.col(seq))
+    both = F.col(key).isNotNull() & F.col(seq).isNotNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(key).isNull()).alias("null_key"),
+        F.count_if(F.col(seq).isNull()).alias("null_seq"),
+        (F.count_if(both) - F.count_distinct(F.when(both, pair))).alias("duplicate_key_seq"),
+    )
+
+
 def apply_defaults(df: DataFrame, contract: Contract, run_ts: datetime | None = None) -> DataFrame:
     """Fill NULLs with the contract defaults and stamp ``load_ts`` (``run_ts`` or the query start time)."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from recordtable.fields import Contract, Field
 from recordtable.functions.json_rules import join_list as join_list_expr
 from recordtable.operators.change import delete, insert_new, patch, upsert
-from recordtable.operators.contract import check_contract
+from recordtable.operators.contract import check_batch, check_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
 from recordtable.plans.refresh import build_batch
@@ -188,6 +188,11 @@ def q_check_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_contract(table(spark, sf_dir, "orders"), ORDERS_BY_CUSTOMER_CONTRACT)
 
 
+def q_check_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patch batch (events by user, ordered by event id) is fit for the per-key pick."""
+    return check_batch(supplier_patches(spark, sf_dir), "s_suppkey", "event_id")
+
+
 # --- reads -------------------------------------------------------------------
 
 def q_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "read_table": q_read_table,
     "check_contract": q_check_contract,
     "check_contract_violations": q_check_contract_violations,
+    "check_batch": q_check_batch,
     "count_rows": q_count_rows,
     "key_counts": q_key_counts,
     "list_rows": q_list_rows,
@@ -405,6 +411,14 @@ SELECT count(*) AS rows,
        count(*) FILTER (WHERE length(o_orderpriority) > 8) AS too_long_o_orderpriority,
        count(*) FILTER (WHERE length(o_orderstatus) > 1) AS too_long_o_orderstatus
 FROM orders""",
+    "check_batch": """
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE user_id IS NULL) AS null_key,
+       count(*) FILTER (WHERE event_id IS NULL) AS null_seq,
+       count(*) FILTER (WHERE user_id IS NOT NULL AND event_id IS NOT NULL)
+         - count(DISTINCT (user_id, event_id)) FILTER (WHERE user_id IS NOT NULL AND event_id IS NOT NULL)
+         AS duplicate_key_seq
+FROM events""",
     "count_rows": "SELECT count(*) AS rows FROM orders",
     "key_counts": """
 SELECT c.c_custkey, count(o.o_orderkey) AS n

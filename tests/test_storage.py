@@ -137,3 +137,11 @@ def test_check_contract_metrics(spark):
                                       max_len={"name": 5})).first().asDict()
     assert row == {"rows": 5, "null_key": 1, "duplicate_key": 1, "null_name": 1, "empty_name": 2,
                    "too_long_name": 1}
+
+
+def test_check_batch(spark):
+    from recordtable.operators.contract import check_batch
+
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (2, None), (7, 5), (7, 5), (7, 5)], "k long, s long")
+    assert check_batch(df, "k", "s").first().asDict() == {
+        "rows": 8, "null_key": 1, "null_seq": 1, "duplicate_key_seq": 3}
