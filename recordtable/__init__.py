@@ -8,9 +8,9 @@ overwrite. See README.md.
 """
 
 from recordtable.fields import HERO_CONTRACT, HERO_FIELDS, Contract, Field
-from recordtable.functions.json_rules import has_field, join_list, json_int, json_list, json_text, read_field
+from recordtable.functions.json_rules import has_field, is_object, join_list, json_int, json_list, json_text, read_field
 from recordtable.operators.change import delete, fold_patches, insert_new, patch, upsert
-from recordtable.operators.contract import apply_defaults, check_contract
+from recordtable.operators.contract import apply_defaults, check_batch, check_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.joins import bounded_rows, checked_broadcast
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
@@ -23,9 +23,9 @@ from recordtable.sources.sinks import JdbcSink, ParquetSink, append, overwrite_s
 
 __all__ = [
     "Contract", "Field", "HERO_CONTRACT", "HERO_FIELDS",
-    "has_field", "join_list", "json_int", "json_list", "json_text", "read_field",
+    "has_field", "is_object", "join_list", "json_int", "json_list", "json_text", "read_field",
     "delete", "fold_patches", "insert_new", "patch", "upsert",
-    "apply_defaults", "check_contract",
+    "apply_defaults", "check_batch", "check_contract",
     "explode_documents", "map_columns", "parse_records", "to_documents",
     "bounded_rows", "checked_broadcast",
     "count_rows", "find", "group_stats", "key_counts", "list_rows", "lookup", "run_sql",
