@@ -7,16 +7,18 @@ is never read and overwritten in one step: pass the result to
 
 Scale rules used throughout:
 
-* In-batch duplicates are resolved with one ``min_by/max_by(row, seq)``
+* In-batch duplicates are resolved with one ``min_by/max_by(row, order)``
   aggregation per key (partial aggregation inside each task, so a key
   holding a third of the batch is one row per task before the shuffle).
-  The rows that lost are found by an anti join on ``(key, seq)``, which
-  spreads a hot key over all partitions. No window over the key.
+  The rejected rows of ``insert_new`` are classified by one left join of
+  the batch to a per-key row. No window over the key.
 * A change set proven small by a bounded count is broadcast; the big table
   is then only scanned (key column only) with a broadcast filter and never
   shuffled. Larger change sets use shuffle joins on the key, where AQE
   splits skewed partitions.
-* ``seq`` must be unique per key; on a tie one row is picked.
+* ``seq`` should be unique per key (``check_batch`` reports repeats); rows
+  tied on ``seq`` are ordered by a hash of their content, so the pick is
+  the same on every run and after any recomputation.
 """
 
 from __future__ import annotations
@@ -67,15 +69,30 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def _batch_winners(incoming: DataFrame, key: str, seq: str, pick: str) -> DataFrame:
-    """One row per key: the first (``pick="first"``) or last row by ``seq``.
+_ORD = "__rt_ord"
+
+
+def _with_order(df: DataFrame, seq: str) -> DataFrame:
+    """Add a total order for picking rows: ``(seq, xxhash64(row))``.
+
+    Rows tied on ``seq`` are told apart by their content, so the pick does not
+    depend on input order and a recomputed partition picks the same row.
+    Rows tied on both are identical, and either pick gives the same result.
+    Map columns cannot be hashed and are left out of the hash.
+    """
+    hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map<")]
+    return df.withColumn(_ORD, F.struct(F.col(seq).alias("s"), F.xxhash64(*hashable).alias("h")))
+
+
+def _batch_winners(incoming: DataFrame, key: str, pick: str) -> DataFrame:
+    """One row per key: the first (``pick="first"``) or last row by ``_ORD``.
 
     A single aggregation carrying the whole row as a struct: each task
     keeps one row per key before the shuffle (a hot key costs one row per
     task), and there is no join back to the batch.
     """
     row = F.struct(*[F.col(c) for c in incoming.columns])
-    agg = F.min_by(row, F.col(seq)) if pick == "first" else F.max_by(row, F.col(seq))
+    agg = F.min_by(row, F.col(_ORD)) if pick == "first" else F.max_by(row, F.col(_ORD))
     return incoming.groupBy(key).agg(agg.alias("__rt_w")).select("__rt_w.*")
 
 
@@ -96,28 +113,30 @@ def insert_new(
     ``(result, rejected)``: ``result`` has the table's columns; ``rejected``
     has the incoming columns plus ``reason`` = ``key_exists``,
     ``duplicate_in_batch``, ``null_seq`` or ``null_key``. Rows of result plus rows of
-    rejected = rows of table plus rows of incoming.
+    rejected = rows of table plus rows of incoming (rows repeated exactly,
+    same key, seq and values, count once).
     """
     small = _small(incoming.select(key), max_broadcast_rows)
-    valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
-    winners = _batch_winners(valid, key, seq, "first")
+    ordered = _with_order(incoming, seq)
+    valid = ordered.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    winners = _batch_winners(valid, key, "first")
     present = _side(_present_keys(table, valid, key, small), small)
     new = winners.join(present, key, "left_anti")
     result = table.unionByName(new.select(*table.columns))
 
     # One pass over the batch classifies every rejected row: a per-key row
-    # (winning seq, key already in the table) joined to the batch on the key.
-    info = winners.select(F.col(key), F.col(seq).alias("__rt_first")).join(
+    # (winning order, key already in the table) joined to the batch on the key.
+    info = winners.select(F.col(key), F.col(_ORD).alias("__rt_first")).join(
         present.select(F.col(key), F.lit(True).alias("__rt_exists")), key, "left"
     )
     reason = (
         F.when(F.col(key).isNull(), F.lit("null_key"))
         .when(F.col(seq).isNull(), F.lit("null_seq"))
-        .when(F.col(seq) != F.col("__rt_first"), F.lit("duplicate_in_batch"))
+        .when(F.col(_ORD) != F.col("__rt_first"), F.lit("duplicate_in_batch"))
         .when(F.col("__rt_exists"), F.lit("key_exists"))
     )
     rejected = (
-        incoming.join(info, key, "left")
+        ordered.join(info, key, "left")
         .withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
         .select(*incoming.columns, "reason")
@@ -138,8 +157,8 @@ def upsert(
     twice gives the same table as once.
     """
     small = _small(incoming.select(key), max_broadcast_rows)
-    valid = incoming.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
-    winners = _batch_winners(valid, key, seq, "last")
+    valid = _with_order(incoming, seq).where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    winners = _batch_winners(valid, key, "last")
     # small batch: broadcast its raw keys; large: the winners' keys (one per key)
     drop_keys = F.broadcast(valid.select(key)) if small else winners.select(key)
     kept = table.join(drop_keys, key, "left_anti")
@@ -172,10 +191,9 @@ def _wrapped(f: Field) -> bool:
     """Whether a field's folded value needs a struct wrapper.
 
     A numeric field with a default is never NULL when a patch mentions it,
-    so a NULL fold already means "not mentioned" and the bare value is kept:
-    fixed-width aggregation buffers let the fold run as a HashAggregate.
-    Text, list and default-less fields can be NULL or variable-width and are
-    wrapped as ``{v}`` (``{NULL}`` = set to NULL, NULL = not mentioned).
+    so a NULL fold already means "not mentioned" and the bare value is kept.
+    Text, list and default-less fields can be NULL and are wrapped as
+    ``{v}`` (``{NULL}`` = set to NULL, NULL = not mentioned).
     """
     return not (f.kind in ("int", "long", "double") and f.default is not None)
 
@@ -196,7 +214,9 @@ def fold_patches(
     fields are joined with ``list_sep`` (``None`` keeps the array).
     ``max_by`` aggregates partially inside each task.
     """
-    parsed = patches.select(F.col(key), F.col(seq), F.try_parse_json(F.col(json_col)).alias(_V))
+    # order: seq, then the patch text, so patches tied on seq are picked the same way every time
+    order = F.struct(F.col(seq).alias("s"), F.xxhash64(F.col(json_col)).alias("h"))
+    parsed = patches.select(F.col(key), order.alias(_ORD), F.try_parse_json(F.col(json_col)).alias(_V))
     v = F.col(_V)
 
     def value(f: Field):
@@ -205,7 +225,7 @@ def fold_patches(
         return F.struct(c.alias("v")) if _wrapped(f) else c
 
     aggs = [
-        F.max_by(value(f), F.when(has_field(v, f.name), F.col(seq))).alias(f"__p_{f.out}")
+        F.max_by(value(f), F.when(has_field(v, f.name), F.col(_ORD))).alias(f"__p_{f.out}")
         for f in fields
     ]
     return parsed.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)

@@ -151,3 +151,21 @@ def test_patch_unknown_column_raises(spark, table):
     patches = spark.createDataFrame([(1, 1, '{"zz": 1}')], P_SCHEMA)
     with pytest.raises(ValueError):
         patch(table, patches, "k", "seq", "j", [Field("zz", "int")])
+
+
+def test_seq_ties_pick_the_same_row_in_any_order(spark, table):
+    rows_ = [(4, 1, "p", 5), (4, 2, "q", 5), (4, 3, "r", 5), (9, 1, "s", 1)]
+    picks, rejects = set(), set()
+    for order in (rows_, rows_[::-1], [rows_[1], rows_[3], rows_[0], rows_[2]]):
+        b = spark.createDataFrame(order, "k long, a int, b string, seq long").repartition(3)
+        up = upsert(table, b, "k", "seq", max_broadcast_rows=None)
+        picks.add(up.where("k = 4").collect()[0].b)
+        ins, rej = insert_new(table, b, "k", "seq", max_broadcast_rows=None)
+        assert ins.count() + rej.count() == table.count() + b.count()
+        rejects.add(tuple(sorted(r.b for r in rej.where("k = 4").collect())))
+    assert len(picks) == 1 and len(rejects) == 1
+    p = spark.createDataFrame([(1, 5, '{"a": 1}'), (1, 5, '{"a": 2}')], P_SCHEMA)
+    vals = {patch(table, p.repartition(2), "k", "seq", "j", FIELDS)[0].where("k = 1").collect()[0].a for _ in range(3)}
+    vals |= {patch(table, spark.createDataFrame(p.collect()[::-1], P_SCHEMA), "k", "seq", "j", FIELDS)[0]
+             .where("k = 1").collect()[0].a}
+    assert len(vals) == 1
