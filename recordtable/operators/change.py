@@ -12,7 +12,7 @@ Scale rules used throughout:
   holding a third of the batch is one row per task before the shuffle).
   The rejected rows of ``insert_new`` are classified by one left join of
   the batch to a per-key row. No window over the key.
-* A change set proven small by a bounded count is broadcast; the big table
+* A change set proven small by a count is broadcast; the big table
   is then only scanned (key column only) with a broadcast filter and never
   shuffled. Larger change sets use shuffle joins on the key, where AQE
   splits skewed partitions.
@@ -39,9 +39,10 @@ def _small(df: DataFrame, max_rows: int | None) -> bool:
     return bool(max_rows) and bounded_rows(df, max_rows) is not None
 
 
-# Partition column of the key-bucket layout (recordtable.sources.layout);
-# when both sides carry it, joins on the key also match on it, so dynamic
-# partition pruning limits the table scan to the buckets of the change set.
+# Partition column of the key-bucket layout (recordtable.sources.layout).
+# When both sides carry it, existence checks match on it as well as on the
+# key; the store scopes the table to the touched buckets before calling the
+# operators, so their scans are pruned to those bucket folders.
 _BUCKET = "_bucket"
 
 
@@ -96,10 +97,6 @@ def _batch_winners(incoming: DataFrame, key: str, pick: str) -> DataFrame:
     return incoming.groupBy(key).agg(agg.alias("__rt_w")).select("__rt_w.*")
 
 
-def _with_reason(df: DataFrame, reason: str) -> DataFrame:
-    return df.withColumn("reason", F.lit(reason))
-
-
 def insert_new(
     table: DataFrame,
     incoming: DataFrame,
