@@ -1,9 +1,9 @@
 """Reads over a keyed table (W09-W13, W16).
 
 Every function returns a lazy DataFrame; none runs an action except the
-bounded size check behind a broadcast. Filters are column expressions, so
-Catalyst pushes them to the scan; projections are explicit, so only the
-needed columns are read.
+row count that decides whether a key set may be broadcast. Filters are
+column expressions, so Catalyst pushes them to the scan; projections are
+explicit, so only the needed columns are read.
 """
 
 from __future__ import annotations
