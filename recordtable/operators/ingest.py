@@ -48,9 +48,13 @@ def explode_documents(
     json_col: str,
     fields: Sequence[Field],
     keep: Iterable[str] | None = None,
+    single: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents -> ``(records, rejects)``.
 
+    ``single=True``: every document is one record (JSON Lines of objects);
+    a document that is not an object is rejected as ``not_an_object``.
+
     ``records``: ``keep`` columns, ``pos`` (position in the document) and one
     typed column per field, for every element that is a JSON object.
 
@@ -66,7 +70,10 @@ def explode_documents(
     """
     keep = _cols(keep)
     docs = df.select(*keep, F.col(json_col).alias("__rt_text"), F.try_parse_json(F.col(json_col)).alias(_V))
-    elements = _elements(F.col(_V))
+    if single:
+        elements = F.when(F.col(_V).isNotNull(), F.array(F.col(_V)))
+    else:
+        elements = _elements(F.col(_V))
 
     exploded = docs.select(*keep, F.posexplode(elements).alias("pos", _E))
     obj = is_object(F.col(_E))

@@ -202,8 +202,12 @@ class RecordStore:
         self._replace(result, touched)
         return kept
 
-    def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None) -> RefreshResult:
-        """Load landed documents (see ``read_documents``): upsert by key, safe rewrite."""
+    def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None,
+                 single: bool = False) -> RefreshResult:
+        """Load landed documents (see ``read_documents``): upsert by key, safe rewrite.
+
+        ``single=True`` for one record per document (JSON Lines of objects).
+        """
         current = self.raw_table() if self.exists() else None
         return refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
-                       current=current, run_ts=run_ts, buckets=self.buckets)
+                       current=current, run_ts=run_ts, buckets=self.buckets, single=single)

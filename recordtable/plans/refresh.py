@@ -42,15 +42,17 @@ def build_batch(
     contract: Contract,
     run_ts: datetime | None = None,
     list_sep: str = ",",
-    order_cols: Sequence[str] = ("source_file", "pos"),
+    order_cols: Sequence[str] = ("source_file", "doc_order", "pos"),
+    single: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents -> ``(rows in table shape with a ``__seq`` column, rejects)``.
 
     List fields are joined with ``list_sep``; ``__seq`` orders records
-    (later file / later position wins in the upsert).
+    (later file, later line, later position wins in the upsert). ``single``: each
+    document is one record (JSON Lines of objects), see ``explode_documents``.
     """
     keep = [c for c in order_cols if c in documents.columns and c != "pos"]
-    records, rejects = explode_documents(documents, doc_col, fields, keep=keep)
+    records, rejects = explode_documents(documents, doc_col, fields, keep=keep, single=single)
     cols = []
     for f in fields:
         c = F.col(f.out)
@@ -71,6 +73,7 @@ def refresh(
     current: DataFrame | None = None,
     run_ts: datetime | None = None,
     buckets: int | None = None,
+    single: bool = False,
 ) -> RefreshResult:
     """Load documents into ``target``: upsert by key (records without a key are left out).
 
@@ -84,7 +87,7 @@ def refresh(
     (``recordtable.sources.layout``) and only the buckets holding incoming
     keys are read and rewritten.
     """
-    batch, rejects = build_batch(documents, doc_col, fields, contract, run_ts)
+    batch, rejects = build_batch(documents, doc_col, fields, contract, run_ts, single=single)
     if buckets:
         batch = with_bucket(batch, contract.key, buckets)
     batch = batch.persist()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,8 +15,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.parquet(path)
 
 
+def doc_order(block: str = "_metadata.file_block_start") -> Column:
+    """Order of documents inside a file: (byte offset of the file split, row id).
+
+    Row ids rise with line order inside a split, and splits of one file are
+    ordered by their offset, so with the file name this orders lines as
+    they appear in the file (and is reproducible for the same files).
+    """
+    return F.struct(F.col(block).alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def read_documents(spark: SparkSession, path: str, layout: str = "lines", doc_col: str = "doc") -> DataFrame:
-    """Landed JSON text -> ``(source_file, doc)`` rows.
+    """Landed JSON text -> ``(source_file, doc_order, doc)`` rows.
 
     ``layout="lines"``: one document per line (JSON Lines); files are split
     across tasks, so this scales with the input. ``layout="whole"``: one
@@ -30,6 +40,6 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines", doc_co
         df = spark.read.text(path, wholetext=True)
     else:
         raise ValueError(f"unknown layout {layout!r}; expected 'lines' or 'whole'")
-    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias(doc_col)).where(
-        F.trim(F.col(doc_col)) != F.lit("")
-    )
+    return df.select(
+        F.col("_metadata.file_path").alias("source_file"), doc_order().alias("doc_order"), F.col("value").alias(doc_col)
+    ).where(F.trim(F.col(doc_col)) != F.lit(""))

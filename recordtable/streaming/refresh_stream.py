@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from recordtable.fields import Contract, Field
 from recordtable.plans.refresh import refresh
 from recordtable.session import shared_path
+from recordtable.sources.files import doc_order
 from recordtable.sources.fs import path_exists
 from recordtable.sources.sinks import ParquetSink
 
@@ -32,11 +33,13 @@ def start_refresh_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     buckets: int | None = None,
+    single: bool = False,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what has landed and stops.
 
     With ``buckets`` the target keeps the key-bucket layout and each
-    micro-batch rewrites only the buckets its keys fall in.
+    micro-batch rewrites only the buckets its keys fall in. ``single``: one
+    record per line instead of one document per line.
     """
     reader = spark.readStream.format("text")
     if layout == "whole":
@@ -46,12 +49,15 @@ def start_refresh_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     docs = reader.load(landing_dir).select(
-        F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("doc")
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("doc"),
     ).where(F.trim(F.col("doc")) != F.lit(""))
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.withColumn("doc_order", doc_order("block")).drop("block")
         current = spark.read.parquet(target.path) if path_exists(spark, target.path) else None
-        refresh(spark, batch, "doc", fields, contract, target, current=current, buckets=buckets)
+        refresh(spark, batch, "doc", fields, contract, target, current=current, buckets=buckets, single=single)
 
     writer = (
         docs.writeStream.foreachBatch(apply_batch)

@@ -118,3 +118,12 @@ def test_field_names_needing_bracket_paths(spark):
     assert [tuple(r) for r in out.collect()] == [(1, "x", 3, 4, 0)]
     has = df.select(has_field(F.try_parse_json("j"), 'say "it\'s"').alias("h")).first().h
     assert has is True
+
+
+def test_explode_single_record_documents(spark):
+    docs = [(1, '{"id": 1}'), (2, '[{"id": 2}]'), (3, "5"), (4, "{bad"), (5, '{"id": "7", "x": [1]}')]
+    df = spark.createDataFrame(docs, "d int, j string")
+    records, rejects = explode_documents(df, "j", [Field("id", "int")], keep=["d"], single=True)
+    assert rows(records) == [(1, 0, 1), (5, 0, 7)]
+    assert rows(rejects.select("d", "pos", "reason")) == [(2, 0, "not_an_object"), (3, 0, "not_an_object"),
+                                                         (4, None, "unparsable")]

@@ -178,3 +178,29 @@ def test_change_streams(spark, tmp_path, buckets):
     q = start_change_stream(store, str(dels), "delete", "hero_id long", str(tmp_path / "c_del"))
     q.awaitTermination(120)
     assert [r.hero_id for r in store.table().collect()] == [2]
+
+
+def test_refresh_one_record_per_line(spark, tmp_path):
+    land, target = tmp_path / "land", str(tmp_path / "heroes")
+    os.makedirs(land)
+    with open(land / "r.jsonl", "w") as fh:
+        for d in HEROES_1 + HEROES_2:
+            fh.write(json.dumps(d) + "\n")
+    r = refresh(spark, read_documents(spark, str(land)), "doc", HERO_FIELDS, HERO_CONTRACT, ParquetSink(target),
+                single=True)
+    t = _table(spark, target)
+    assert set(t) == {1, 2, 3} and t[2].hero_name == "Two v2" and r.rejects == 1
+
+
+@pytest.mark.parametrize("single", [False, True], ids=["array-per-line", "record-per-line"])
+def test_later_line_wins_within_a_file(spark, tmp_path, single):
+    land, target = tmp_path / "land", str(tmp_path / "heroes")
+    os.makedirs(land)
+    with open(land / "r.jsonl", "w") as fh:
+        for i in range(200):
+            rec = {"id": i % 3, "localized_name": f"v{i:03d}"}
+            fh.write(json.dumps(rec if single else [rec]) + "\n")
+    refresh(spark, read_documents(spark, str(land)), "doc", HERO_FIELDS, HERO_CONTRACT, ParquetSink(target),
+            single=single)
+    t = _table(spark, target)
+    assert {k: v.hero_name for k, v in t.items()} == {0: "v198", 1: "v199", 2: "v197"}
