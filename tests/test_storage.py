@@ -204,3 +204,17 @@ def test_later_line_wins_within_a_file(spark, tmp_path, single):
             single=single)
     t = _table(spark, target)
     assert {k: v.hero_name for k, v in t.items()} == {0: "v198", 1: "v199", 2: "v197"}
+
+
+def test_refresh_stream_one_record_per_line(spark, tmp_path):
+    from recordtable.streaming.refresh_stream import start_refresh_stream
+
+    land, target = tmp_path / "land", str(tmp_path / "heroes")
+    os.makedirs(land)
+    with open(land / "r.jsonl", "w") as fh:
+        for i in range(50):
+            fh.write(json.dumps({"id": i % 2, "localized_name": f"v{i:02d}"}) + "\n")
+    q = start_refresh_stream(spark, str(land), HERO_FIELDS, HERO_CONTRACT, ParquetSink(target),
+                             str(tmp_path / "ckpt"), single=True)
+    q.awaitTermination(120)
+    assert {k: v.hero_name for k, v in _table(spark, target).items()} == {0: "v48", 1: "v49"}
