@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL
-from recordtable.operators.change import delete, upsert
+from recordtable.operators.change import delete
 from recordtable.operators.joins import bounded_rows, checked_broadcast
 from recordtable.plans import catalog as C
 

@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from recordtable.fields import HERO_CONTRACT, HERO_FIELDS
