@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from recordtable.fields import HERO_CONTRACT, HERO_FIELDS, Contract, Field
 from recordtable.functions.json_rules import join_list
 from recordtable.operators import change, read
-from recordtable.operators.contract import apply_defaults
+from recordtable.operators.contract import apply_defaults, check_batch
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
@@ -158,14 +158,23 @@ class RecordStore:
         else:
             overwrite_buckets(self.spark, result, self.path, touched)
 
+    @staticmethod
+    def _check(batch: DataFrame, key: str, seq: str) -> None:
+        row = check_batch(batch, key, seq).first()
+        if row.duplicate_key_seq:
+            raise ValueError(f"{row.duplicate_key_seq} rows repeat a ({key}, {seq}) pair; seq must order each key")
+
     def add(self, records: DataFrame, json_col: str = "json", seq: str = "seq",
-            run_ts: datetime | None = None) -> DataFrame:
+            run_ts: datetime | None = None, check: bool = False) -> DataFrame:
         """Insert records (one JSON object per row, ordered by ``seq``) whose key is new.
 
         Returns the rejected rows (existing key, in-batch duplicate, no key).
+        ``check=True`` first refuses a batch that repeats a (key, seq) pair.
         """
         parsed = parse_records(records, json_col, self.fields, keep=[seq])
         incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts)
+        if check:
+            self._check(incoming, self.contract.key, "seq")
         if self.buckets:
             incoming = with_bucket(incoming, self.contract.key, self.buckets)
         first = not self.exists()
@@ -178,12 +187,16 @@ class RecordStore:
         self._replace(result, touched, first=first)
         return kept
 
-    def update(self, patches: DataFrame, key: str | None = None, seq: str = "seq", json_col: str = "json") -> DataFrame:
+    def update(self, patches: DataFrame, key: str | None = None, seq: str = "seq", json_col: str = "json",
+               check: bool = False) -> DataFrame:
         """Apply partial updates ``(key, seq, json)``; the key inside the JSON is ignored.
 
-        Returns the patch rows whose key is not in the table.
+        Returns the patch rows whose key is not in the table. ``check=True``
+        first refuses a batch that repeats a (key, seq) pair.
         """
         self._require()
+        if check:
+            self._check(patches, key or self.contract.key, seq)
         key = key or self.contract.key
         fields = [f for f in self.fields if f.out != self.contract.key]
         p = patches.withColumnRenamed(key, self.contract.key) if key != self.contract.key else patches

@@ -136,3 +136,15 @@ def test_first_add_creates_table(spark, tmp_path, buckets):
     assert [(r.hero_id, r.hero_name) for r in s.table().collect()] == [(9, "Nine")]
     assert s.view_one(9).count() == 1
     assert any(d.startswith("rejected-") for d in os.listdir(tmp_path / "reports"))
+
+
+def test_checked_batches_refuse_repeated_seq(spark, tmp_path):
+    s = RecordStore(spark, str(tmp_path / "t"))
+    s.add(spark.createDataFrame([(1, '{"id": 1}')], "seq long, json string"), check=True)
+    bad = spark.createDataFrame([(1, 5, '{"base_health": 1}'), (1, 5, '{"base_health": 2}')],
+                                "hero_id long, seq long, json string")
+    with pytest.raises(ValueError):
+        s.update(bad, check=True)
+    assert s.view_one(1).collect()[0].base_health == 0
+    s.update(bad)  # unchecked: the (seq, hash) order picks one patch, the same one every time
+    assert s.view_one(1).collect()[0].base_health in (1, 2)
