@@ -7,6 +7,7 @@ On a cluster, use the cluster's session: the library reads its settings
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,9 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; make a scratch one only when none is set (tests)."""
+    """Return the session's checkpoint folder; make a scratch one only when none is set (tests).
+
+    A scratch folder is machine-local, so it is made only where the driver and
+    the executors are one process.
+    """
     d = checkpoint_dir(spark)
     if not d:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         d = tempfile.mkdtemp(prefix="recordtable-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
