@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtable.llm import exact_dedup as op3
+from recordtable.llm import packing as op4
 from recordtable.llm import simhash as op10
 from recordtable.llm.common import read_table
 
@@ -29,6 +31,16 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+#: Path of the tokenizer file; the same on the driver and the executors.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    packed = op4.pack_documents(docs, VOCABULARY, carry={"ids_crc32": F.crc32("ids")})
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return op10.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -36,6 +48,7 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": q_exact_dedup,
+    "op4_packing": q_packing,
     "op10_simhash": q_simhash,
 }
 
