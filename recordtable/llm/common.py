@@ -49,6 +49,16 @@ def with_membership(df: DataFrame, hashed: Column, members: DataFrame, member_ha
     return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(word, bit, "__h")
 
 
+def join_hot(many: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where ``few`` is an aggregate by it and ``many`` may hold a hot key.
+
+    The hash beside the key makes Spark exchange both sides anew for the join;
+    only then can AQE split a hot key's rows.
+    """
+    few = few.withColumn("__j", F.xxhash64(key))
+    return many.withColumn("__j", F.xxhash64(key)).join(few, ["__j", key], how).drop("__j")
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     """Hash that identifies a document row by its id and whole text (null text counts as empty)."""
     return F.xxhash64(df[id_col], F.coalesce(df[text_col], F.lit("")))

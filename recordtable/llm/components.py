@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import stage
+from recordtable.llm.common import join_hot, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a").toDF("a", "b"))
     low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return join_hot(both.where("b > a"), low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = join_hot(edges, low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(low.select("a", F.col("m").alias("b")))
 
 

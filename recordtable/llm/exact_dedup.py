@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import remove_rows, row_key, stage, with_membership
+from recordtable.llm.common import join_hot, remove_rows, row_key, stage, with_membership
 
 PREFIX_CHARS = 256
 
@@ -67,7 +67,7 @@ def exact_dedup(
     groups = candidates.groupBy("digest").agg(F.max("__id").alias("keep_id"), F.count("*").alias("group_size"))
     # copies of one row are told apart by a number, so exactly one of them stays
     nth = F.row_number().over(Window.partitionBy("digest", "__id").orderBy("__id"))
-    many = candidates.withColumn("__nth", nth).join(groups, "digest")
+    many = join_hot(candidates.withColumn("__nth", nth), groups, "digest")
     kept = F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)
     columns = ["keep_id", "group_size", "kept", "digest", F.col("__key").alias("row_key"), *carry]
     many = many.withColumn("kept", kept).select(F.col("__id").alias(id_col), *columns)

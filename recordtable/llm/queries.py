@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordtable.llm import decontaminate as op6
 from recordtable.llm import exact_dedup as op3
 from recordtable.llm import packing as op4
 from recordtable.llm import simhash as op10
@@ -41,6 +42,11 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = op6.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return leaks.drop("row_key")
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return op10.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -49,6 +55,7 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
+    "op6_decontamination": q_decontamination,
     "op10_simhash": q_simhash,
 }
 

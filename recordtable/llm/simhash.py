@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import remove_rows, row_key, stage
+from recordtable.llm.common import join_hot, remove_rows, row_key, stage
 from recordtable.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -292,7 +292,7 @@ def near_duplicates(
     roots = connected_components(fingerprint_links(distinct, max_distance, block))
     grouped = distinct.join(roots, distinct.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.select("fp", "root").join(least, "root").select("fp", "component_id")
+    named = join_hot(grouped.select("fp", "root"), least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
