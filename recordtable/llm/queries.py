@@ -5,16 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtable.llm import decontaminate as op6
 from recordtable.llm import exact_dedup as op3
+from recordtable.llm import langid as op2
 from recordtable.llm import packing as op4
 from recordtable.llm import simhash as op10
 from recordtable.llm.common import read_table
 
 
+def held_out() -> Column:
+    """Documents that language identification must not learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    judged = op2.identify(docs, training=~held_out())
+    return judged.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     whole = {"text_sha256": F.sha2("text", 256)}
@@ -53,6 +65,7 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": q_language_id,
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
     "op6_decontamination": q_decontamination,
