@@ -12,6 +12,7 @@ from recordtable.llm import decontaminate as op6
 from recordtable.llm import exact_dedup as op3
 from recordtable.llm import langid as op2
 from recordtable.llm import packing as op4
+from recordtable.llm import secrets as op8
 from recordtable.llm import simhash as op10
 from recordtable.llm.common import read_table
 
@@ -59,6 +60,15 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("row_key")
 
 
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op8.scan_secrets(read_table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{op8.KINDS[i]}") for i in range(3)
+    ]
+    digest = F.sha2(op8.span_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, op8.span_text(F.col("spans")).alias("spans"))
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return op10.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -69,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
     "op6_decontamination": q_decontamination,
+    "op8_secrets": q_secrets,
     "op10_simhash": q_simhash,
 }
 

@@ -1,0 +1,180 @@
+"""Secret scan with multipart credential linking, in DataFrame functions only.
+
+Base spans are found by pattern alone (``assign``, ``access``, ``hex``). Weak
+parts are common in clean text and reported only in company: a credential is
+an identifier, a secret and often an endpoint, so a weak part counts when the
+complementary part starts within ``scope`` code points of it:
+
+* ``weak_id`` (user, client id, ...): a secret in scope;
+* ``weak_secret`` (a short assigned value, a bare 40-character key): an identifier or an endpoint in scope;
+* ``endpoint`` (a URL with a scheme): both an identifier and a secret in scope.
+
+Identifiers are ``access`` and ``weak_id``, secrets are ``assign``, ``hex``
+and ``weak_secret``.
+
+The interval join works on cells of ``scope`` code points: each part joins the
+summary of its cell (for each class: last start of the cell before, any in the
+cell, first start of the cell after), which decides exactly whether a part of
+that class is in scope. Summaries are partial aggregates; pairs of parts are
+never made, so a text full of parts costs time in proportion to its length.
+
+Defined results: null text counts as empty (no spans); repeated rows get equal
+results; spans may overlap; positions are code points, ends exclusive; other
+columns are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from recordtable.llm.common import row_key, stage
+
+SCOPE = 256
+
+# Patterns of the parts.
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]{14,}"
+HEX = r"[0-9a-f]{16,}"
+WEAK_ID = r"""(?i)(access_?key_?id|client_?id|user_?name|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,})"""
+KEY_RUN = r"[A-Za-z0-9+/]{40,}"
+ENDPOINT = r"""(?i)(https?|ftps?|ssh|s3|jdbc:[a-z]+|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\x00-\x20"'<>]+"""
+
+#: Order of kinds in results: base kinds, then those that linking adds.
+KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
+IDENTIFIER, SECRET, END = 0, 1, 2
+CLASS_OF = (SECRET, IDENTIFIER, SECRET, IDENTIFIER, SECRET, END)
+LEAST_SECRET, LEAST_WEAK_SECRET, KEY_LENGTH = 12, 4, 40
+
+_SPAN = "array<struct<start:int,kind:int,end:int>>"
+
+
+def _matches(text: Column, pattern: str, value_group: int = 0) -> Column:
+    """Leftmost non-overlapping matches as ``array<struct<start, end, size>>``; size: length of the value group.
+
+    A text is its gaps and matches in turn, so a match starts at the sum of the lengths before it.
+    """
+    p = F.lit(pattern)
+    whole = F.regexp_extract_all(text, p, F.lit(0))
+    value = F.regexp_extract_all(text, p, F.lit(value_group))
+    lengths = F.arrays_zip(
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
+        F.transform(whole, F.length).alias("match"),
+        F.transform(value, F.length).alias("size"),
+    )
+    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,size:int>>) as found)")
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + x["match"]
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["size"].alias("size")))
+        return F.struct(end.alias("at"), F.concat(acc["found"], one).alias("found"))
+
+    # the last gap has no match: its fields are null
+    return F.aggregate(F.filter(lengths, lambda x: x["match"].isNotNull()), empty, add)["found"]
+
+
+def _spans(found: Column, kind: str) -> Column:
+    number = F.lit(KINDS.index(kind))
+    return F.transform(found, lambda x: F.struct(x["start"].alias("start"), number.alias("kind"), x["end"].alias("end"))).cast(_SPAN)
+
+
+def _none() -> Column:
+    return F.expr(f"cast(array() as {_SPAN})")
+
+
+def _parts(text: Column) -> tuple[Column, Column]:
+    """(base spans, weak parts) of a text; the plain tests before the patterns are conditions of any match."""
+    assigns = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
+    assign = _matches(text, ASSIGN, 2)
+    base = F.concat(
+        F.when(assigns, _spans(F.filter(assign, lambda x: x["size"] >= LEAST_SECRET), "assign")).otherwise(_none()),
+        F.when(F.contains(text, F.lit("AKIA")), _spans(_matches(text, ACCESS), "access")).otherwise(_none()),
+        F.when(text.rlike(HEX), _spans(_matches(text, HEX), "hex")).otherwise(_none()),
+    )
+    short = F.filter(assign, lambda x: (x["size"] >= LEAST_WEAK_SECRET) & (x["size"] < LEAST_SECRET))
+    bare = F.filter(_matches(text, KEY_RUN), lambda x: x["size"] == KEY_LENGTH)
+    weak = F.concat(
+        F.when(assigns, F.concat(_spans(_matches(text, WEAK_ID), "weak_id"), _spans(short, "weak_secret"))).otherwise(_none()),
+        F.when(text.rlike(KEY_RUN), _spans(bare, "weak_secret")).otherwise(_none()),
+        F.when(F.contains(text, F.lit("://")), _spans(_matches(text, ENDPOINT), "endpoint")).otherwise(_none()),
+    )
+    return base, weak
+
+
+def _linked(parts: DataFrame, scope: int) -> DataFrame:
+    """``key, extra``: the weak parts of each text that have their complement in scope."""
+    class_of = F.element_at(F.array(*map(F.lit, CLASS_OF)), F.col("p.kind") + 1)
+    each = (
+        parts.where(F.size("weak") > 0)
+        .select("key", F.explode(F.concat("base", "weak")).alias("p"))
+        .select("key", "p", class_of.alias("class"), F.floor(F.col("p.start") / scope).alias("cell"))
+    )
+    sums = []
+    for c in (IDENTIFIER, SECRET, END):
+        at = F.when(F.col("class") == c, F.col("p.start"))
+        sums += [F.min(at).alias(f"first{c}"), F.max(at).alias(f"last{c}")]
+    cells = each.groupBy("key", "cell").agg(*sums)
+    # a cell's summary as its neighbours see it
+    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("step")
+    seen = cells.select("*", step).withColumn("cell", F.col("cell") + F.col("step"))
+    sums = []
+    for c in (IDENTIFIER, SECRET, END):
+        sums += [
+            F.max(F.when(F.col("step") == 1, F.col(f"last{c}"))).alias(f"before{c}"),
+            F.count(F.when(F.col("step") == 0, F.col(f"last{c}"))).alias(f"here{c}"),
+            F.min(F.when(F.col("step") == -1, F.col(f"first{c}"))).alias(f"after{c}"),
+        ]
+    around = seen.groupBy("key", "cell").agg(*sums)
+
+    def near(c: int) -> Column:
+        start = F.col("p.start")
+        return (
+            F.coalesce(start - F.col(f"before{c}") <= scope, F.lit(False))
+            | (F.col(f"here{c}") > 0)
+            | F.coalesce(F.col(f"after{c}") - start <= scope, F.lit(False))
+        )
+
+    kind = F.col("p.kind")
+    counts = (
+        F.when(kind == KINDS.index("weak_id"), near(SECRET))
+        .when(kind == KINDS.index("weak_secret"), near(IDENTIFIER) | near(END))
+        .when(kind == KINDS.index("endpoint"), near(IDENTIFIER) & near(SECRET))
+        .otherwise(F.lit(False))
+    )
+    weak = each.where(F.col("p.kind") >= KINDS.index("weak_id"))
+    return weak.join(around, ["key", "cell"]).where(counts).groupBy("key").agg(F.collect_set("p").alias("extra"))
+
+
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+    """One row per input row: ``<id_col>, row_key, base, spans``, the last two ``array<struct<start, kind, end>>``.
+
+    ``kind`` is a place in :data:`KINDS`; spans are in order of start, kind, end.
+    """
+    rows = docs.select(
+        F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    base, weak = _parts(F.col("text"))
+    parts = rows.select("id", "key", F.array_sort(base).alias("base"), weak.alias("weak"))
+    # a bare key inside a base span is no finding of its own
+    inside = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"])))
+    parts = stage(parts.withColumn("weak", inside), "secret-parts")
+    joined = parts.join(_linked(parts, scope), "key", "left")
+    spans = F.array_sort(F.concat("base", F.coalesce("extra", _none())))
+    return joined.select(F.col("id").alias(id_col), F.col("key").alias("row_key"), "base", spans.alias("spans"))
+
+
+def span_text(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    names = F.array(*map(F.lit, KINDS))
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])))
+
+
+def span_values(docs: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``<id_col>, kind, start, end, value``: the found texts of rows that have any."""
+    some = scanned.where(F.size("spans") > 0).select("row_key", "spans").dropDuplicates(["row_key"])
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("__text"), row_key(docs, id_col, text_col).alias("row_key"))
+    each = rows.join(some, "row_key").select(id_col, "__text", F.explode("spans").alias("s"))
+    name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.kind") + 1)
+    value = F.substring(F.col("__text"), F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
+    return each.select(id_col, name.alias("kind"), "s.start", "s.end", value.alias("value"))
