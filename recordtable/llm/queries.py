@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from recordtable.llm import decontaminate as op6
 from recordtable.llm import exact_dedup as op3
 from recordtable.llm import langid as op2
+from recordtable.llm import licenses as op7
 from recordtable.llm import packing as op4
 from recordtable.llm import secrets as op8
+from recordtable.llm import sharding as op9
 from recordtable.llm import simhash as op10
 from recordtable.llm.common import read_table
 
@@ -60,6 +62,44 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("row_key")
 
 
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op7.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(lower({text}), {_quoted(op7.COPYRIGHT_LINE)}, '\\1', 'g')"
+    for old, new in op7.SPELLINGS:
+        out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
+    out = f"string_split(regexp_replace({out}, {_quoted(op7.NOT_WORD)}, ' ', 'g'), chr(10))"
+    return f"[trim(x) FOR x IN {out} IF trim(x) <> '']"
+
+
+SQL_LICENSES = f"""
+WITH known(license_id, unit, text) AS (
+    VALUES {", ".join("(" + ", ".join(map(_quoted, k)) + ")" for k in op7.known_licenses())}
+),
+digests AS (
+    SELECT sha256(array_to_string({_canonical_sql("text")}, ' ')) AS digest, unit, min(license_id) AS license_id
+    FROM known GROUP BY ALL
+),
+whole AS (SELECT digest, min(license_id) AS license_id FROM digests GROUP BY digest),
+lines AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
+each_line AS (SELECT DISTINCT doc_id, sha256(l) AS digest FROM (SELECT doc_id, unnest(lines) AS l FROM lines)),
+named AS (
+    SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+    FROM each_line JOIN digests USING (digest) WHERE unit = 'notice' GROUP BY doc_id
+)
+SELECT doc_id, d.digest, license_id, coalesce(notices, '') AS notices
+FROM (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM lines) d
+LEFT JOIN whole USING (digest) LEFT JOIN named USING (doc_id)
+"""
+
+
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op8.scan_secrets(read_table(spark, sf_dir, "documents"))
     counts = [
@@ -69,6 +109,13 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, op8.span_text(F.col("spans")).alias("spans"))
 
 
+def q_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = op9.shard(read_table(spark, sf_dir, "documents"))
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return op10.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -79,10 +126,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
     "op6_decontamination": q_decontamination,
+    "op7_licenses": q_licenses,
     "op8_secrets": q_secrets,
+    "op9_sharding": q_sharding,
     "op10_simhash": q_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": SQL_EXACT_DEDUP,
+    "op7_licenses": SQL_LICENSES,
 }
