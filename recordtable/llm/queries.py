@@ -16,6 +16,7 @@ from recordtable.llm import packing as op4
 from recordtable.llm import secrets as op8
 from recordtable.llm import sharding as op9
 from recordtable.llm import simhash as op10
+from recordtable.llm import urlfilter as op5
 from recordtable.llm.common import read_table
 
 
@@ -57,6 +58,19 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+URL_RULES = (
+    op5.Rule("allow", "org/"),
+    op5.Rule("block", "example.org/es/"),
+    op5.Rule("block", "example.org/en/1"),
+    op5.Rule("allow", "com/fr/"),
+    op5.Rule("block", "com/de/"),
+)
+
+
+def q_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = op6.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return leaks.drop("row_key")
@@ -125,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": q_language_id,
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
+    "op5_url_filter": q_url_filter,
     "op6_decontamination": q_decontamination,
     "op7_licenses": q_licenses,
     "op8_secrets": q_secrets,
