@@ -8,18 +8,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordtable.llm import credentials as op8
 from recordtable.llm import decontaminate as op6
 from recordtable.llm import exact_dedup as op3
 from recordtable.llm import langid as op2
 from recordtable.llm import licenses as op7
+from recordtable.llm import linededup as op1
 from recordtable.llm import packing as op4
-from recordtable.llm import secrets as op8
 from recordtable.llm import sharding as op9
 from recordtable.llm import simhash as op10
 from recordtable.llm import urlfilter as op5
 from recordtable.llm.common import read_table
 
 
+def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.dedup_lines(read_table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def held_out() -> Column:
     """Documents that language identification must not learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -136,6 +141,7 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": q_line_dedup,
     "op2_language_id": q_language_id,
     "op3_exact_dedup": q_exact_dedup,
     "op4_packing": q_packing,
