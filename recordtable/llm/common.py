@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +61,11 @@ def join_hot(many: DataFrame, few: DataFrame, key: str, how: str = "inner") -> D
     return many.withColumn("__j", F.xxhash64(key)).join(few, ["__j", key], how).drop("__j")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` and its lambdas use it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     """Hash that identifies a document row by its id and whole text (null text counts as empty)."""
     return F.xxhash64(df[id_col], F.coalesce(df[text_col], F.lit("")))

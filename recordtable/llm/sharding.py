@@ -23,11 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import stage
+from recordtable.llm.common import let, stage
 
 SHARDS = 40
 BITS = 6
 ROW_BYTES = 16
+#: A table of at most 2**18 cells is broadcast, a larger one is joined by a shuffle.
+BROADCAST_BITS = 18
 
 
 def category(value: Column, bits: int = BITS) -> Column:
@@ -59,38 +61,42 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     def bit(plane: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1), plane)
 
-    def turn(x: Column, q: Column) -> Column:
+    def turned(x: Column, q: Column) -> Column:
         low = q - 1
 
         def one(x: Column, i: Column) -> Column:
+            def swapped(swap: Column) -> Column:
+                return F.transform(
+                    x, lambda v, j: v.bitwiseXOR(F.when(j == 0, swap).otherwise(0)).bitwiseXOR(F.when(j == i, swap).otherwise(0))
+                )
+
             here = F.get(x, i)
-            swap = (F.get(x, F.lit(0)).bitwiseXOR(here)).bitwiseAND(low)
             flipped = F.transform(x, lambda v, j: F.when(j == 0, v.bitwiseXOR(low)).otherwise(v))
-            swapped = F.transform(
-                x, lambda v, j: v.bitwiseXOR(F.when(j == 0, swap).otherwise(0)).bitwiseXOR(F.when(j == i, swap).otherwise(0))
-            )
-            return F.when(here.bitwiseAND(q) != 0, flipped).otherwise(swapped)
+            swap = F.get(x, F.lit(0)).bitwiseXOR(here).bitwiseAND(low)
+            return F.when(here.bitwiseAND(q) != 0, flipped).otherwise(let(swap, swapped))
 
         return F.aggregate(axes, x, one)
 
-    x = F.aggregate(planes, F.array(*[c.cast("int") for c in cells]), lambda x, p: turn(x, bit(p)))
-    # Gray code: each axis by the one before, then all by the last one's higher planes
-    gray = F.transform(
-        x, lambda v, i: F.aggregate(F.slice(x, F.lit(1), i + 1), F.lit(0), lambda a, w: a.bitwiseXOR(w))
-    )
-    tail = F.aggregate(
-        planes,
-        F.lit(0),
-        lambda t, p: F.when(F.get(gray, F.lit(n - 1)).bitwiseAND(bit(p)) != 0, t.bitwiseXOR(bit(p) - 1)).otherwise(t),
-    )
-    planes_all = F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1))
-    return F.aggregate(
-        planes_all,
-        F.lit(0).cast("long"),
-        lambda h, p: F.aggregate(
-            gray, h, lambda h, v: h * 2 + F.call_function("getbit", v.bitwiseXOR(tail), p).cast("long")
-        ),
-    )
+    def gray(x: Column) -> Column:
+        return F.transform(x, lambda v, i: F.aggregate(F.slice(x, F.lit(1), i + 1), F.lit(0), lambda a, w: a.bitwiseXOR(w)))
+
+    def tail(x: Column) -> Column:
+        last = F.get(x, F.lit(n - 1))
+        return F.aggregate(
+            planes, F.lit(0), lambda t, p: F.when(last.bitwiseAND(bit(p)) != 0, t.bitwiseXOR(bit(p) - 1)).otherwise(t)
+        )
+
+    def interleaved(x: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)),
+            F.lit(0).cast("long"),
+            lambda h, p: F.aggregate(x, h, lambda h, v: h * 2 + F.call_function("getbit", v, p).cast("long")),
+        )
+
+    x = F.aggregate(planes, F.array(*[c.cast("int") for c in cells]), lambda x, p: let(bit(p), lambda q: turned(x, q)))
+    # Gray code: each axis by those before it, then all by the last one's higher planes
+    untwisted = let(let(x, gray), lambda x: let(tail(x), lambda t: F.transform(x, lambda v: v.bitwiseXOR(t))))
+    return let(untwisted, interleaved)
 
 
 def hilbert_order(rows: DataFrame, index: str, ties: list[str]) -> DataFrame:
@@ -128,8 +134,14 @@ def shard(
         F.col(id_col).alias("__id"),
         size.alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        hilbert_index(cells, bits).alias("curve"),
+        F.array(*cells).alias("cell"),
     )
+    # texts are read once; the curve's index is worked out once for each cell in use
+    rows = stage(rows, "shard-rows")
+    axes = [F.get("cell", F.lit(i)) for i in range(len(cells))]
+    curve = rows.select("cell").distinct().withColumn("curve", hilbert_index(axes, bits))
+    small = len(cells) * bits <= BROADCAST_BITS  # so many cells at most, whatever the data
+    rows = rows.join(F.broadcast(curve) if small else curve, "cell").drop("cell")
     placed = hilbert_order(rows, "curve", ["text_crc32", "size", "__id"])
     # exact in whole numbers: shard s holds the places p with s * total <= p * shards < (s + 1) * total
     number = F.expr(f"place * {shards} div total")
