@@ -58,7 +58,7 @@ WORD, NUMBER, UNIT, CAPITALISED, NOTHING = range(5)
 #: Set beside the kind of a token that ends a sentence.
 STOP = 8
 #: Entries of a task's word table; a fuller one is emptied, which costs time only.
-WORD_TABLE = 1 << 20
+WORD_TABLE = 1 << 18
 
 
 class _Words(dict):
@@ -145,6 +145,8 @@ def _windows(
         for i in range(b.num_rows):
             tokens = (text[i].as_py() or "").split()
             hashed, literal, place = template(tokens, words)
+            if len(words) > WORD_TABLE:
+                words.clear()
             for size in [min(window, len(hashed)) or 1] if short is None else [window, *short]:
                 h = windows(hashed, size)
                 at = np.arange(len(h)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0]
@@ -155,8 +157,6 @@ def _windows(
                         out["h"].append(h[p].view(np.int64))
                         out["pos"].append(p)
                         out["slots"].append([tokens[place[q]].strip(OUTER) for q in range(p, p + size) if not literal[q]])
-        if len(words) > WORD_TABLE:
-            words.clear()
         yield pa.record_batch(
             {
                 "row": ids.take(pa.array(out["row"], pa.int64())),

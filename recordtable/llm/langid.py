@@ -10,9 +10,10 @@ cosine as score.
 Rejection by distance: for each language and size class (power of two of the
 number of different features) the limit is ``REJECT_SHARE`` of the 1 %
 quantile of the scores that correctly predicted training documents get, so a
-document is rejected only if it is far beyond its kind. A class in which
-fewer than ``REJECT_ROWS`` training documents fell rejects nothing. Texts
-without letters are ``und`` and rejected.
+document is rejected only if it is far beyond its kind. Where fewer than
+``REJECT_ROWS`` training documents fell, the limit is ``REJECT_FLOOR`` (hardly
+a common n-gram with any centroid) for texts of 8 different features or more,
+and none for shorter ones. Texts without letters are ``und`` and rejected.
 
 What covers what: document frequencies and the rejection quantiles are taken
 over all training documents; only the clustering is fitted on a sample, of
@@ -46,6 +47,7 @@ MAX_LABELS = 1000
 REJECT_SHARE = 0.5
 REJECT_QUANTILE = 0.01
 REJECT_ROWS = 30
+REJECT_FLOOR = 0.02
 UNKNOWN = "und"
 
 #: ASCII letters (lower-cased before) and the bytes of all other characters stay, the rest are spaces.
@@ -234,7 +236,8 @@ def identify(
     )
     # at most MAX_LABELS languages x 16 size classes
     judged = out.join(F.broadcast(limits), ["lang_pred", "size_class"], "left")
-    rejected = (F.col("features") == 0) | (F.col("score") < F.coalesce("limit", F.lit(0.0)))
+    floor = F.when(F.col("features") >= 8, REJECT_FLOOR if model else 0.0).otherwise(0.0)
+    rejected = (F.col("features") == 0) | (F.col("score") < F.coalesce("limit", floor))
     return judged.select(F.col("id").alias(id_col), "lang_pred", "score", rejected.alias("rejected"), F.col("key").alias("row_key"))
 
 

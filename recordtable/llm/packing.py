@@ -8,8 +8,9 @@
 3. Full sequences are final. If the number of sequences with gaps equals the
    DFF bound over all their pieces (from their 1 to ``capacity`` size counts),
    the packing is certified and ends. Otherwise the groups with gaps exchange
-   those pieces: they are dealt anew, to fewer groups, and packed again; a
-   round that saves no sequence is dropped and ends the search.
+   those pieces: they are dealt anew, to fewer groups, and packed again. A
+   round that saves no sequence is dropped; ``PATIENCE`` such rounds in a row
+   end the search.
 
 Only (number, length) of a piece moves while packing. A group is bounded by
 ``group_rows`` whatever the data, so no task holds more; a piece's number is
@@ -37,6 +38,7 @@ from recordtable.llm.common import stage
 CAPACITY = 1024
 GROUP_ROWS = 100_000
 MAX_ROUNDS = 12
+PATIENCE = 2
 
 # The published byte-level BPE split pattern, and its special token.
 BYTE_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -184,6 +186,7 @@ def pack(
     )
     done, active, best, bound = [full], pieces.where(F.col("length") < capacity).select("number", "length"), None, 0
     kept: DataFrame | None = None
+    idle = 0
     for turn in range(max_rounds):
         sizes = {r["length"]: r["n"] for r in active.groupBy("length").agg(F.count("*").alias("n")).collect()}
         rows = sum(sizes.values())  # at most capacity - 1 counts reach the driver
@@ -203,8 +206,12 @@ def pack(
         made = packed.where("offset = 0").agg(
             F.count("*").alias("all"), F.count(F.when(F.col("fill") < capacity, 1)).alias("gaps")
         ).first()
-        if best is not None and made["all"] >= best:
-            break  # nothing saved: the earlier packing of these pieces stays
+        if best is not None and made["all"] >= best:  # nothing saved: the earlier packing of these pieces stays
+            idle += 1
+            if idle == PATIENCE:
+                break
+            continue
+        idle = 0
         final, kept = packed.where(F.col("fill") == capacity), packed.where(F.col("fill") < capacity)
         done.append(final.select("number", "sequence_id", "offset", "certified"))
         active, best = kept.select("number", "length"), made["gaps"]

@@ -1,0 +1,76 @@
+"""Language ID: held-out accuracy, what may be learned from, and odd rows."""
+
+import zlib
+
+import numpy as np
+from cases import SF_ORACLE, awkward, nothing  # noqa: F401
+from pyspark.sql import functions as F
+
+from recordtable.llm import langid as L
+from recordtable.llm.queries import held_out, q_language_id
+
+
+def test_features_ignore_case_digits_and_punctuation():
+    a, b = L.features("Hello, World! 42"), L.features("hello   world")
+    assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    for nothing_there in (None, "", "123 -- 4", " \n"):
+        assert not len(L.features(nothing_there)[0])
+    assert len(L.features("a")[0]) == 1  # " a "
+
+
+def test_clusters_are_unit_vectors_and_find_groups():
+    rng = np.random.default_rng(0)
+    x = np.concatenate([np.eye(8)[i] + 0.05 * rng.random((20, 8)) for i in (0, 3, 6)]).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    c = L.cluster(x, 3)
+    assert np.allclose(np.linalg.norm(c, axis=1), 1, atol=1e-4)
+    assert sorted(c.argmax(axis=1).tolist()) == [0, 3, 6]
+    assert len(L.cluster(x[:1], 4)) == 1
+
+
+def test_held_out_accuracy_and_contract(spark):
+    rows = q_language_id(spark, SF_ORACLE).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang").collect()}
+    assert len(rows) == len(truth)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.lang_pred in {"en", "de", "fr", "es"} for r in rows)
+    unseen = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in unseen]) > 0.98
+    assert sum(r.rejected for r in rows) <= 0.005 * len(rows)
+
+
+def test_held_out_labels_and_other_columns_do_not_matter(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    changed = docs.withColumn("lang", F.when(held_out(), F.lit("zz")).otherwise(F.col("lang"))).withColumn("source", F.lit(None).cast("string"))
+
+    def result(df):
+        return {r.doc_id: (r.lang_pred, round(r.score, 5)) for r in L.identify(df, training=~held_out()).collect()}
+
+    assert result(docs) == result(changed)
+
+
+def test_far_text_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text", "lang")
+    far = spark.createDataFrame([(10**9, "这是一个完全不同的语言的文本" * 40, None), (10**9 + 1, "qxzj wvkq " * 200, None)], docs.schema)
+    rows = {r.doc_id: r.rejected for r in L.identify(docs.union(far)).where("doc_id >= 1000000000").collect()}
+    assert rows == {10**9: True, 10**9 + 1: True}
+
+
+def test_awkward_rows(spark, awkward):
+    rows = L.identify(awkward).collect()
+    assert len(rows) == awkward.count()
+    by = {r.doc_id: r for r in rows}
+    for i in (4, 5, 6, 7):  # no letters
+        assert (by[i].lang_pred, by[i].score, by[i].rejected) == ("und", 0.0, True)
+    for i in (1, 2, 8, 9, 10):
+        assert by[i].lang_pred != "und" and not by[i].rejected
+    left = L.drop_unidentified(awkward)
+    assert left.columns == awkward.columns
+    assert left.count() == awkward.count() - 4
+
+
+def test_without_labels_or_rows(spark, awkward, nothing):
+    rows = L.identify(awkward.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in rows} == {"und"}
+    assert {r.doc_id for r in rows if r.rejected} == {4, 5, 6, 7}
+    assert L.identify(nothing).count() == 0
