@@ -12,7 +12,7 @@ from recordtable.functions.json_rules import has_field, is_object, join_list, js
 from recordtable.operators.change import delete, fold_patches, insert_new, patch, upsert
 from recordtable.operators.contract import apply_defaults, check_batch, check_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
-from recordtable.operators.joins import bounded_rows, checked_broadcast
+from recordtable.operators.joins import bounded_bytes, bounded_rows, split_join
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch, refresh
@@ -27,7 +27,7 @@ __all__ = [
     "delete", "fold_patches", "insert_new", "patch", "upsert",
     "apply_defaults", "check_batch", "check_contract",
     "explode_documents", "map_columns", "parse_records", "to_documents",
-    "bounded_rows", "checked_broadcast",
+    "bounded_bytes", "bounded_rows", "split_join",
     "count_rows", "find", "group_stats", "key_counts", "list_rows", "lookup", "run_sql",
     "RecordStore", "build_batch", "refresh",
     "bucket_of", "overwrite_buckets", "touched_buckets", "with_bucket", "write_bucketed",

@@ -9,7 +9,7 @@ Rules (see README "Semantics"):
 * int / long: a JSON integer, a numeric string (padded or fractional, which
   truncates toward zero) or a boolean (1/0) gives the number; anything else,
   including out-of-range values, gives the default.
-* double: a JSON number, a numeric string or a boolean; else the default.
+* double: a finite JSON number, numeric string or boolean; else the default (also for NaN and infinity).
 * text: a scalar's text; JSON null, arrays and objects give the default.
 * list: an array gives its elements as text (nulls kept here, skipped by
   ``join_list``); a scalar gives a one-element list; an object gives an
@@ -79,8 +79,15 @@ def _is_container(x: Column) -> Column:
 def json_number(v: Column, name: str | None, spark_type: str, default=0) -> Column:
     """Integer-like or double read of one field with the numeric rule."""
     direct = _at(v, name, spark_type)
-    via_text = _at(v, name, "string").try_cast("double").try_cast(spark_type)
-    out = F.coalesce(direct, via_text)
+    text = _at(v, name, "string")
+    if spark_type == "double":
+        out = F.coalesce(direct, text.try_cast("double"))
+        out = F.when(~F.isnan(out) & (F.abs(out) < F.lit(float("inf"))), out)  # a JSON number is finite
+    else:
+        # decimals first: a double has 53 bits and would move a long key to its neighbour
+        exact = text.try_cast("decimal(38,10)")
+        out = F.coalesce(direct, F.when(exact >= 0, F.floor(exact)).otherwise(F.ceil(exact)).try_cast(spark_type),
+                         text.try_cast("double").try_cast(spark_type))
     if default is not None:
         out = F.coalesce(out, _lit(default, spark_type))
     return out

@@ -1,7 +1,10 @@
 """Batch row changes on a keyed table (W14 patch, W15 insert/upsert, W17 delete).
 
 Each function takes the current table and a change set and returns the new
-table plus the changes it could not apply; nothing is written. The table
+table plus the changes it could not apply. The change set is computed once:
+it is written under the shared checkpoint folder and every output reads that
+copy (``staged=True`` says that the caller has done so); the table itself is
+not written. The table
 is never read and overwritten in one step: pass the result to
 ``recordtable.sources.sinks.overwrite_staged``.
 
@@ -25,12 +28,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtable.fields import Field
 from recordtable.functions.json_rules import has_field, join_list, read_field
-from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
+from recordtable.operators.joins import (
+    DEFAULT_MAX_BROADCAST_BYTES,
+    DEFAULT_MAX_BROADCAST_ROWS,
+    bounded_bytes,
+    bounded_rows,
+    split_join,
+)
+from recordtable.sources.sinks import stage
 
 _V = "__rt_v"
 
@@ -73,15 +83,17 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
 _ORD = "__rt_ord"
 
 
-def _with_order(df: DataFrame, seq: str) -> DataFrame:
+def _with_order(df: DataFrame, seq: str, untied: Sequence[str] = ()) -> DataFrame:
     """Add a total order for picking rows: ``(seq, xxhash64(row))``.
 
+    ``untied``: columns that must not decide a tie (a load time differs from run to run).
+
     Rows tied on ``seq`` are told apart by their content, so the pick does not
     depend on input order and a recomputed partition picks the same row.
     Rows tied on both are identical, and either pick gives the same result.
     Map columns cannot be hashed and are left out of the hash.
     """
-    hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map<")]
+    hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map<") and c not in untied]
     return df.withColumn(_ORD, F.struct(F.col(seq).alias("s"), F.xxhash64(*hashable).alias("h")))
 
 
@@ -97,12 +109,23 @@ def _batch_winners(incoming: DataFrame, key: str, pick: str) -> DataFrame:
     return incoming.groupBy(key).agg(agg.alias("__rt_w")).select("__rt_w.*")
 
 
+def _ordered(incoming: DataFrame, seq: str, untied: Sequence[str], staged: bool) -> DataFrame:
+    ordered = _with_order(incoming, seq, untied)
+    return ordered if staged else stage(ordered, "batch")
+
+
+def _unusable(ordered: DataFrame, key: str, seq: str) -> Column:
+    return F.when(F.col(key).isNull(), F.lit("null_key")).when(F.col(seq).isNull(), F.lit("null_seq"))
+
+
 def insert_new(
     table: DataFrame,
     incoming: DataFrame,
     key: str,
     seq: str,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    untied: Sequence[str] = (),
+    staged: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Add rows whose key is new; never replace.
 
@@ -113,11 +136,12 @@ def insert_new(
     rejected = rows of table plus rows of incoming (rows repeated exactly,
     same key, seq and values, count once).
     """
-    small = _small(incoming.select(key), max_broadcast_rows)
-    ordered = _with_order(incoming, seq)
+    ordered = _ordered(incoming, seq, untied, staged)
+    small = _small(ordered.select(key), max_broadcast_rows)
     valid = ordered.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
     winners = _batch_winners(valid, key, "first")
-    present = _side(_present_keys(table, valid, key, small), small)
+    keys = valid.select(*_join_cols(table, valid, key))
+    present = _side(_present_keys(table, keys, key, small), small)
     new = winners.join(present, key, "left_anti")
     result = table.unionByName(new.select(*table.columns))
 
@@ -127,17 +151,11 @@ def insert_new(
         present.select(F.col(key), F.lit(True).alias("__rt_exists")), key, "left"
     )
     reason = (
-        F.when(F.col(key).isNull(), F.lit("null_key"))
-        .when(F.col(seq).isNull(), F.lit("null_seq"))
-        .when(F.col(_ORD) != F.col("__rt_first"), F.lit("duplicate_in_batch"))
-        .when(F.col("__rt_exists"), F.lit("key_exists"))
-    )
-    rejected = (
-        ordered.join(info, key, "left")
-        .withColumn("reason", reason)
-        .where(F.col("reason").isNotNull())
-        .select(*incoming.columns, "reason")
+        F.coalesce(_unusable(ordered, key, seq), F.when(F.col(_ORD) != F.col("__rt_first"), F.lit("duplicate_in_batch")),
+                   F.when(F.col("__rt_exists"), F.lit("key_exists")))
     )
+    joined = ordered.join(F.broadcast(info), key, "left") if small else split_join(ordered, info, key, "left")
+    rejected = joined.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(*incoming.columns, "reason")
     return result, rejected
 
 
@@ -147,19 +165,24 @@ def upsert(
     key: str,
     seq: str,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+    untied: Sequence[str] = (),
+    staged: bool = False,
+) -> tuple[DataFrame, DataFrame]:
     """Insert new keys and replace existing ones; the last row by ``seq`` wins per key.
 
-    Rows with a NULL key or NULL ``seq`` are ignored. Idempotent: upserting the same batch
-    twice gives the same table as once.
+    Returns ``(result, rejected)``; ``rejected`` holds the rows that cannot
+    be used, with ``reason`` = ``null_key`` or ``null_seq``. Idempotent:
+    upserting the same batch twice gives the same table as once.
     """
-    small = _small(incoming.select(key), max_broadcast_rows)
-    valid = _with_order(incoming, seq).where(F.col(key).isNotNull() & F.col(seq).isNotNull())
+    ordered = _ordered(incoming, seq, untied, staged)
+    small = _small(ordered.select(key), max_broadcast_rows)
+    valid = ordered.where(F.col(key).isNotNull() & F.col(seq).isNotNull())
     winners = _batch_winners(valid, key, "last")
-    # small batch: broadcast its raw keys; large: the winners' keys (one per key)
-    drop_keys = F.broadcast(valid.select(key)) if small else winners.select(key)
+    # the keys of the staged batch, one per key
+    drop_keys = _side(valid.select(key).distinct(), small)
     kept = table.join(drop_keys, key, "left_anti")
-    return kept.unionByName(winners.select(*table.columns))
+    unusable = ordered.withColumn("reason", _unusable(ordered, key, seq)).where(F.col("reason").isNotNull())
+    return kept.unionByName(winners.select(*table.columns)), unusable.select(*incoming.columns, "reason")
 
 
 def delete(
@@ -237,23 +260,26 @@ def patch(
     fields: Sequence[Field],
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
     list_sep: str | None = ",",
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply partial updates ``(key, seq, json)`` field by field.
 
     A field takes the value of the last patch (by ``seq``) that mentions it;
     fields no patch mentions keep the stored value; an explicit null sets
     the field default. Keys in the JSON are ignored except the ``fields``
-    given. Returns ``(result, missing)``; ``missing`` holds the patch rows
+    given. The folded patches (one row per key) are staged and broadcast only
+    if their measured bytes are within ``max_broadcast_bytes``. Returns ``(result, missing)``; ``missing`` holds the patch rows
     whose key is not in the table.
     """
     unknown = [f.out for f in fields if f.out not in table.columns]
     if unknown:
         raise ValueError(f"patch fields target columns the table does not have: {unknown}")
-    small = _small(patches.select(key), max_broadcast_rows)
-    folded = fold_patches(patches, key, seq, json_col, fields, list_sep)
+    folded = stage(fold_patches(patches, key, seq, json_col, fields, list_sep), "patches")
+    small = _small(folded.select(key), max_broadcast_rows)
     types = dict((f.name, f.dataType.simpleString()) for f in table.schema.fields)
     patched = {f.out: f for f in fields}
-    joined = table.join(_side(folded, small), key, "left")
+    narrow = small and bounded_bytes(folded, max_broadcast_bytes)
+    joined = table.join(_side(folded, narrow), key, "left")
     out = []
     for c in table.columns:
         if c in patched:
@@ -263,6 +289,9 @@ def patch(
         else:
             out.append(F.col(c))
     result = joined.select(*out)
-    present = _side(_present_keys(table, patches.where(F.col(key).isNotNull()), key, small), small)
+    keys = folded.select(key)
+    if _BUCKET in patches.columns:
+        keys = patches.where(F.col(key).isNotNull()).select(key, _BUCKET).distinct()
+    present = _side(_present_keys(table, keys, key, small), small)
     missing = patches.join(present, key, "left_anti")
     return result, missing

@@ -35,11 +35,32 @@ def parse_records(
     return parsed.select(*keep, *[read_field(F.col(_V), f) for f in fields])
 
 
-def _elements(doc: Column) -> Column:
-    """Records of a document: array elements, or the values of a root object."""
-    return F.coalesce(
-        F.try_variant_get(doc, "$", "array<variant>"),
-        F.map_values(F.try_variant_get(doc, "$", "map<string,variant>")),
+def _element_list(text: Column, v: Column) -> Column:
+    """Elements of a document as ``array<struct<v variant, t string>>``; NULL if it is no array or object.
+
+    A document that parses as one variant gives variants (a root object's in
+    document order). One that does not, because it is larger than a variant
+    may be or because a record repeats a key, is cut into the texts of its
+    elements, which are parsed one by one: a bad record costs itself only.
+    """
+    by_key = F.from_json(text, "map<string,string>")
+    values = F.try_variant_get(v, "$", "map<string,variant>")
+    nothing = F.lit(None).cast("string")
+
+    def whole(x: Column) -> Column:
+        return F.struct(x.alias("v"), nothing.alias("t"))
+
+    def single(x: Column) -> Column:
+        return F.struct(F.try_parse_json(x).alias("v"), x.alias("t"))
+
+    items = F.try_variant_get(v, "$", "array<variant>")
+    return (
+        F.when(items.isNotNull(), F.transform(items, whole))
+        .when(values.isNotNull(), F.transform(F.map_keys(by_key), lambda k: whole(values[k])))
+        .when(v.isNull(), F.coalesce(
+            F.transform(F.from_json(text, "array<string>"), single),
+            F.transform(F.map_values(by_key), single),
+        ))
     )
 
 
@@ -59,7 +80,8 @@ def explode_documents(
     typed column per field, for every element that is a JSON object.
 
     ``rejects``: ``keep`` columns, ``pos``, ``reason`` and ``value`` (JSON
-    text) for every element that is not an object (``not_an_object``) and
+    text) for every element that is not an object (``not_an_object``) or that
+    does not parse (``unparsable_element``, e.g. a repeated key), and
     for every document that does not parse (``unparsable``, pos NULL) or
     whose root is a scalar (``scalar_root``, pos NULL). An empty array gives
     neither records nor rejects.
@@ -71,20 +93,22 @@ def explode_documents(
     keep = _cols(keep)
     docs = df.select(*keep, F.col(json_col).alias("__rt_text"), F.try_parse_json(F.col(json_col)).alias(_V))
     if single:
-        elements = F.when(F.col(_V).isNotNull(), F.array(F.col(_V)))
+        one = F.struct(F.col(_V).alias("v"), F.lit(None).cast("string").alias("t"))
+        elements = F.when(F.col(_V).isNotNull(), F.array(one))
     else:
-        elements = _elements(F.col(_V))
+        elements = _element_list(F.col("__rt_text"), F.col(_V))
 
     exploded = docs.select(*keep, F.posexplode(elements).alias("pos", _E))
-    obj = is_object(F.col(_E))
+    v, text = F.col(f"{_E}.v"), F.col(f"{_E}.t")
+    obj = is_object(v)
 
-    records = exploded.where(obj).select(*keep, "pos", *[read_field(F.col(_E), f) for f in fields])
+    records = exploded.where(obj).select(*keep, "pos", *[read_field(v, f) for f in fields])
 
     element_rejects = exploded.where(~obj).select(
         *keep,
         "pos",
-        F.lit("not_an_object").alias("reason"),
-        F.to_json(F.col(_E)).alias("value"),
+        F.when(v.isNull() & text.isNotNull(), F.lit("unparsable_element")).otherwise(F.lit("not_an_object")).alias("reason"),
+        F.coalesce(text, F.to_json(v), F.lit("null")).alias("value"),
     )
     document_rejects = docs.where(elements.isNull()).select(
         *keep,
@@ -117,11 +141,14 @@ def to_documents(
     Rows are grouped by ``group_cols`` and by ``chunk_key div chunk_size``;
     with a unique integer ``chunk_key`` no document holds more than
     ``chunk_size`` records, so a hot group is spread over many bounded
-    documents instead of one unbounded one.
+    documents instead of one unbounded one. A document that would hold more
+    (``chunk_key`` repeats or is NULL) fails the job instead of growing.
     """
     if chunk_size < 1:
         raise ValueError("chunk_size must be >= 1")
     chunk = F.expr(f"`{chunk_key}` div {int(chunk_size)}").alias("chunk")
     return df.groupBy(*[F.col(c) for c in group_cols], chunk).agg(
-        F.to_json(F.collect_list(F.struct(*[F.col(c) for c in record_cols]))).alias(doc_col)
+        F.when(
+            F.count(F.lit(1)) > chunk_size, F.raise_error(F.lit(f"chunk key {chunk_key} is not unique or is NULL"))
+        ).otherwise(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in record_cols])))).alias(doc_col)
     )

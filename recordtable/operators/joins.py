@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Default bound for narrow key sets (a few bigint columns): 2M rows stay well
 # under the usual executor broadcast budget.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Bound for sides with text: what a driver and every executor can hold beside their work.
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
@@ -32,11 +34,23 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, ``df`` unchanged otherwise."""
-    if max_rows <= 0:
-        return df
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
+def bounded_bytes(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the rows of ``df`` take at most ``max_bytes``: 16 bytes a value plus the JSON text of the rows.
+
+    One pass over ``df`` (a staged change set, never the big table).
+    """
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))) + F.lit(16 * len(df.columns))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+
+
+def split_join(many: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where ``few`` has a row per key and ``many`` may hold a hot key.
+
+    With the hash beside the key Spark exchanges both sides anew for the
+    join; only then can AQE split a hot key's rows over several tasks.
+    """
+    hashed = F.xxhash64(F.col(key))
+    return many.withColumn("__rt_j", hashed).join(few.withColumn("__rt_j", hashed), ["__rt_j", key], how).drop("__rt_j")
 
 
 def key_set(

@@ -11,24 +11,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_set
+from recordtable.sources.sinks import stage
 
 
-# Top-n keeps n rows per task and merges them in one place; beyond this many
-# rows a listing is a sort-and-write job, not a preview.
-MAX_LIST_ROWS = 1_000_000
+# Up to this many rows a listing is a top-n, merged in one place; a longer one is a range sort.
+TOP_N_ROWS = 1_000_000
 
 
-def _check_limit(n: Any, max_n: int = MAX_LIST_ROWS) -> int:
+def _check_limit(n: Any) -> int:
     if isinstance(n, bool) or not isinstance(n, int):
         raise ValueError(f"limit must be an integer, got {n!r}")
     if n < 0:
         raise ValueError(f"limit must be >= 0, got {n}")
-    if n > max_n:
-        raise ValueError(f"limit {n} is above {max_n}; sort with find/orderBy and write the result instead")
     return n
 
 
@@ -80,16 +78,33 @@ def list_rows(
     order_by: Sequence[str | Column],
     n: int = 10,
     key: str | None = None,
-    max_n: int = MAX_LIST_ROWS,
+    top_n: int = TOP_N_ROWS,
 ) -> DataFrame:
     """First ``n`` rows by ``order_by`` (nulls first), key as last tie-break.
 
-    Plans as TakeOrderedAndProject: every task keeps its own top ``n`` and
-    only those reach the final merge, so the cost is one scan. ``n`` above
-    ``max_n`` is refused rather than funnelled through one task.
+    Up to ``top_n`` rows this plans as TakeOrderedAndProject: every task keeps
+    its own top ``n`` and only those reach the final merge, so the cost is one
+    scan. A longer list has the same rows but passes through no single task:
+    rows are range-partitioned and staged, each partition numbers its own rows
+    and keeps those whose place, by the row counts of the partitions before
+    it, is below ``n``.
     """
-    n = _check_limit(n, max_n)
-    return df.select(*cols).orderBy(*_sort_cols(order_by, key)).limit(n)
+    n = _check_limit(n)
+    order = _sort_cols(order_by, key)
+    if n <= top_n:
+        return df.select(*cols).orderBy(*order).limit(n)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(*cols).repartitionByRange(parts, *order)
+    ranged = stage(ranged.withColumn("__rt_part", F.spark_partition_id()), "list")
+    counts = {r["__rt_part"]: r["n"] for r in ranged.groupBy("__rt_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, starts = 0, []  # one number per partition
+    for part in sorted(counts):
+        starts.append((part, before))
+        before += counts[part]
+    starts = df.sparkSession.createDataFrame(starts, "__rt_part int, __rt_start long")
+    own = F.row_number().over(Window.partitionBy("__rt_part").orderBy(*order))
+    kept = ranged.join(F.broadcast(starts), "__rt_part").withColumn("__rt_n", own + F.col("__rt_start"))
+    return kept.where(F.col("__rt_n") <= n).select(*cols).orderBy(*order)
 
 
 def lookup(
@@ -119,6 +134,7 @@ def find(
     cols: Sequence[str] | None = None,
     order_by: Sequence[str] | None = None,
     key: str | None = None,
+    order: bool = True,
 ) -> DataFrame:
     """Rows whose ``col`` contains ``text``.
 
@@ -127,7 +143,10 @@ def find(
     ``mode="literal"``: plain substring.
     ``ignore_case`` lowers both sides. ``text`` is always a bound literal,
     never spliced into SQL. NULL values never match. Sorted by
-    ``order_by`` (default ``col``) with ``key`` as tie-break when given.
+    ``order_by`` (default ``col``) with ``key`` as tie-break when given;
+    ``order=False`` leaves the matches as they are found. A range sort reads
+    its input twice (once for the bounds), so the matches are first
+    exchanged on the key: the table itself is scanned once.
     """
     if text is None:
         raise ValueError("find needs a search text")
@@ -145,8 +164,10 @@ def find(
     out = df.where(cond)
     if cols is not None:
         out = out.select(*cols)
-    order = list(order_by) if order_by is not None else [col]
-    return out.orderBy(*_sort_cols(order, key))
+    if not order:
+        return out
+    by = list(order_by) if order_by is not None else [col]
+    return out.repartition(F.col(key if key is not None else by[0])).orderBy(*_sort_cols(by, key))
 
 
 def group_stats(

@@ -11,11 +11,13 @@ over the same parquet files. Change sets are derived from whole tables:
   with its ``props`` JSON (``k`` -> ``s_acctbal``), ``seq`` = event id.
   User ids beyond the supplier keys are unknown keys.
 * delete: orders of every ``MACHINERY`` customer are removed.
+* store: supplier rows, then customers added, events as patches, orders' customers deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,15 @@ from pyspark.sql import functions as F
 from recordtable.fields import Contract, Field
 from recordtable.functions.json_rules import join_list as join_list_expr
 from recordtable.operators.change import delete, insert_new, patch, upsert
-from recordtable.operators.contract import check_batch, check_contract
+from recordtable.operators.contract import apply_defaults, check_batch, check_contract, split_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
+from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch
+from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.files import read_table
+from recordtable.sources.publish import read_published
+from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -273,7 +279,7 @@ def q_insert_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(table(spark, sf_dir, "supplier"), supplier_proposals(spark, sf_dir), "s_suppkey", "seq")
+    return upsert(table(spark, sf_dir, "supplier"), supplier_proposals(spark, sf_dir), "s_suppkey", "seq")[0]
 
 
 def supplier_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,8 +325,121 @@ def q_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, missing = delete(table(spark, sf_dir, "orders"), machinery_customers(spark, sf_dir), "o_custkey", "c_custkey")
-    return missing
+    """Suppliers asked to go by customer key: customers beyond the suppliers match nothing."""
+    _, missing = delete(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer"), "s_suppkey", "c_custkey")
+    return missing.select("c_custkey")
+
+
+# --- rejects, defaults and stored tables --------------------------------------
+
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event: an array of one record, a record that repeats a key beside a
+    good one, broken text, a bare number, or an empty array, by event type."""
+    events = table(spark, sf_dir, "events")
+    et, one = F.col("event_type"), F.concat(F.lit('{"k": '), F.col("event_id").cast("string"), F.lit("}"))
+    doc = (
+        F.when(et == "click", F.concat(F.lit("["), one, F.lit("]")))
+        .when(et == "view", F.concat(F.lit('[{"k": 1, "k": 2}, '), one, F.lit("]")))
+        .when(et == "error", F.concat(F.lit("["), one))
+        .when(et == "purchase", F.col("event_id").cast("string"))
+        .otherwise(F.lit("[]"))
+    )
+    return events.select("event_id", doc.alias("doc"))
+
+
+EVENT_DOC_FIELDS = (Field("k", "long", default=None),)
+
+
+def q_explode_bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and rejects of documents of every kind: a bad record costs itself only."""
+    records, rejects = explode_documents(landed_documents(spark, sf_dir), "doc", EVENT_DOC_FIELDS, keep=["event_id"])
+    records = records.select("event_id", "pos", F.lit("record").alias("reason"), F.col("k").cast("string").alias("value"))
+    return records.unionByName(rejects.select("event_id", "pos", "reason", "value"))
+
+
+def q_contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that break a contract, with the first rule they break."""
+    _, broken = split_contract(table(spark, sf_dir, "orders"), ORDERS_BY_CUSTOMER_CONTRACT)
+    return broken.select("o_orderkey", "reason")
+
+
+def q_insert_unusable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected proposals when odd order keys lose their customer and multiples of four their order key."""
+    proposals = supplier_proposals(spark, sf_dir)
+    key = F.when(F.col("seq") % 2 == 0, F.col("s_suppkey")).alias("s_suppkey")
+    seq = F.when(F.col("seq") % 4 != 0, F.col("seq")).alias("seq")
+    proposals = proposals.select(key, "s_name", "s_nationkey", "s_acctbal", seq, F.col("seq").alias("order_key"))
+    target = table(spark, sf_dir, "supplier").withColumn("order_key", F.lit(None).cast("long"))
+    _, rejected = insert_new(target, proposals, "s_suppkey", "seq")
+    return rejected.select("order_key", "s_suppkey", "seq", "reason")
+
+
+LOAD_TIME = datetime(2024, 1, 2, 3, 4, 5)
+
+
+def q_apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL discounts and missing sizes filled, and every row stamped with one load time."""
+    part = table(spark, sf_dir, "part").withColumn("p_size", F.when(F.col("p_size") > 10, F.col("p_size")))
+    out = apply_defaults(part, PART_LOAD_CONTRACT, LOAD_TIME)
+    return out.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+LIST_PATCH_FIELDS = (Field("tags", "list", "p_name"),)
+
+
+def q_patch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event patches the part of its event id with a list of its type and user; the list is stored joined."""
+    events = table(spark, sf_dir, "events")
+    tags = F.to_json(F.struct(F.array(F.col("event_type"), F.col("user_id").cast("string")).alias("tags")))
+    patches = events.select(F.col("event_id").alias("p_partkey"), F.col("event_id").alias("seq"), tags.alias("doc"))
+    result, _ = patch(table(spark, sf_dir, "part"), patches, "p_partkey", "seq", "doc", LIST_PATCH_FIELDS)
+    return result
+
+
+def q_append_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written, appended once more, then overwritten by a plan that reads the table itself."""
+    customer = table(spark, sf_dir, "customer")
+    ensure_checkpoint_dir(spark)
+    sink = ParquetSink(shared_path(spark, "customers"))
+    append(customer, sink, mode="error")
+    append(customer, sink)
+    twice = spark.read.parquet(sink.path)
+    overwrite_staged(spark, twice.groupBy(*customer.columns).agg(F.count(F.lit(1)).alias("copies")), sink)
+    return read_published(spark, sink.path)
+
+
+STORE_FIELDS = (
+    Field("s_suppkey", "long", default=None),
+    Field("s_name", "text"),
+    Field("s_nationkey", "int"),
+    Field("s_acctbal", "double"),
+)
+STORE_CONTRACT = Contract(key="s_suppkey", not_null=("s_suppkey",), max_len={"s_name": 100})
+
+
+def stored_suppliers(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
+    """A store filled from ``supplier``, then add (customers), update (events) and delete (orders' customers)."""
+    ensure_checkpoint_dir(spark)
+    store = RecordStore(spark, shared_path(spark, "suppliers"), STORE_FIELDS, STORE_CONTRACT, buckets=buckets)
+    supplier, customer = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    fields = [f.name for f in STORE_FIELDS]
+    store.add(supplier.select(F.col("s_suppkey").alias("seq"), F.to_json(F.struct(*fields)).alias("json")))
+    as_supplier = [F.col(f"c_{n}").alias(f"s_{m}") for n, m in
+                   (("custkey", "suppkey"), ("name", "name"), ("nationkey", "nationkey"), ("acctbal", "acctbal"))]
+    store.add(customer.select(F.col("c_custkey").alias("seq"), F.to_json(F.struct(*as_supplier)).alias("json")))
+    events = table(spark, sf_dir, "events")
+    patched = F.to_json(F.struct(F.col("event_type").alias("s_name")))
+    store.update(events.select(F.col("user_id").alias("s_suppkey"), F.col("event_id").alias("seq"), patched.alias("json")))
+    store.delete(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("s_suppkey")))
+    return store.table()
+
+
+def q_store_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_suppliers(spark, sf_dir, None)
+
+
+def q_store_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_suppliers(spark, sf_dir, 8)
 
 
 QUERIES: dict[str, Query] = {
@@ -354,6 +473,14 @@ QUERIES: dict[str, Query] = {
     "patch_mixed": q_patch_mixed,
     "delete": q_delete,
     "delete_missing": q_delete_missing,
+    "explode_bad_documents": q_explode_bad_documents,
+    "contract_rejects": q_contract_rejects,
+    "insert_unusable": q_insert_unusable,
+    "apply_defaults": q_apply_defaults,
+    "patch_list": q_patch_list,
+    "append_overwrite": q_append_overwrite,
+    "store_flat": q_store_flat,
+    "store_bucketed": q_store_bucketed,
 }
 
 
@@ -368,6 +495,18 @@ _STATS = """
 SELECT p_type, count(*) AS n, round(avg(p_size), 4) AS avg_size, round(avg(p_retailprice), 4) AS avg_price
 FROM part GROUP BY p_type"""
 
+_STORE = """
+WITH added AS (
+  SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
+  UNION ALL
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer
+  WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
+),
+last AS (SELECT user_id, arg_max(event_type, event_id) AS name FROM events GROUP BY user_id)
+SELECT s_suppkey, coalesce(l.name, s_name) AS s_name, s_nationkey, s_acctbal
+FROM added LEFT JOIN last l ON l.user_id = s_suppkey
+WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders)"""
+
 ORACLE_SQL: dict[str, str] = {
     "flagship_stats": _STATS,
     "parse_records": """
@@ -498,6 +637,48 @@ FROM supplier s LEFT JOIN p ON s.s_suppkey = p.s_suppkey""",
 SELECT * FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')""",
     "delete_missing": """
-SELECT c_custkey FROM customer
-WHERE c_mktsegment = 'MACHINERY' AND c_custkey NOT IN (SELECT o_custkey FROM orders)""",
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
+    "explode_bad_documents": """
+SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS pos, 'record' AS reason,
+       CAST(event_id AS VARCHAR) AS value
+FROM events WHERE event_type IN ('click', 'view')
+UNION ALL
+SELECT event_id, 0, 'unparsable_element', '{"k":1,"k":2}' FROM events WHERE event_type = 'view'
+UNION ALL
+SELECT event_id, NULL, 'unparsable', '[{"k": ' || event_id || '}' FROM events WHERE event_type = 'error'
+UNION ALL
+SELECT event_id, NULL, 'scalar_root', CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'purchase'""",
+    "contract_rejects": """
+SELECT o_orderkey,
+       CASE WHEN o_custkey IS NULL THEN 'null_key' WHEN o_orderdate IS NULL THEN 'null_o_orderdate'
+            WHEN length(o_orderpriority) > 8 THEN 'too_long_o_orderpriority' ELSE 'too_long_o_orderstatus' END AS reason
+FROM orders
+WHERE o_custkey IS NULL OR o_orderdate IS NULL OR length(o_orderpriority) > 8 OR length(o_orderstatus) > 1""",
+    "insert_unusable": f"""
+WITH {_PROPOSALS},
+odd AS (
+  SELECT CASE WHEN seq % 2 = 0 THEN s_suppkey END AS s_suppkey, CASE WHEN seq % 4 <> 0 THEN seq END AS seq,
+         seq AS order_key
+  FROM inc
+),
+first AS (
+  SELECT s_suppkey, min(seq) AS seq FROM odd WHERE s_suppkey IS NOT NULL AND seq IS NOT NULL GROUP BY s_suppkey
+)
+SELECT o.order_key, o.s_suppkey, o.seq,
+       CASE WHEN o.s_suppkey IS NULL THEN 'null_key' WHEN o.seq IS NULL THEN 'null_seq'
+            WHEN o.seq <> f.seq THEN 'duplicate_in_batch' ELSE 'key_exists' END AS reason
+FROM odd o LEFT JOIN first f ON o.s_suppkey = f.s_suppkey
+WHERE o.s_suppkey IS NULL OR o.seq IS NULL OR o.seq <> f.seq OR o.s_suppkey IN (SELECT s_suppkey FROM supplier)""",
+    "apply_defaults": """
+SELECT p_partkey, p_name, p_brand, p_type, CASE WHEN p_size > 10 THEN p_size ELSE 0 END AS p_size, p_retailprice,
+       '2024-01-02 03:04:05' AS loaded_at
+FROM part""",
+    "patch_list": """
+SELECT p_partkey,
+       CASE WHEN e.event_id IS NULL THEN p_name ELSE e.event_type || coalesce(',' || e.user_id, '') END AS p_name,
+       p_brand, p_type, p_size, p_retailprice
+FROM part LEFT JOIN events e ON e.event_id = p_partkey""",
+    "append_overwrite": "SELECT *, CAST(2 AS BIGINT) AS copies FROM customer",
+    "store_flat": _STORE,
+    "store_bucketed": _STORE,
 }

@@ -16,7 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from recordtable.fields import HERO_CONTRACT, HERO_FIELDS, Contract, Field
 from recordtable.functions.json_rules import join_list
 from recordtable.operators import change, read
-from recordtable.operators.contract import apply_defaults, check_batch
+from recordtable.operators.contract import apply_defaults, check_batch, split_contract
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
@@ -38,7 +38,8 @@ from recordtable.sources.layout import (
     write_bucketed,
 )
 from recordtable.sources.fs import path_exists
-from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
+from recordtable.sources.publish import publish_table, read_facts, read_published, recover
+from recordtable.sources.sinks import ParquetSink, stage
 
 # ---------------------------------------------------------------------------
 # The original tool's projections, sort column, statistics
@@ -82,7 +83,11 @@ class RecordStore:
     # -- reads ---------------------------------------------------------------
     def raw_table(self) -> DataFrame:
         """The stored table, with the layout's ``_bucket`` column when bucketed."""
-        return self.spark.read.parquet(self.path)
+        recover(self.spark, self.path)
+        facts = read_facts(self.spark, self.path)
+        if facts is not None and facts["buckets"] != self.buckets:
+            raise ValueError(f"the table at {self.path} has buckets={facts['buckets']}, opened with {self.buckets}")
+        return read_published(self.spark, self.path)
 
     def table(self) -> DataFrame:
         """The table as users see it (no layout columns)."""
@@ -124,6 +129,7 @@ class RecordStore:
         return self.spark.read.parquet(out)
 
     def exists(self) -> bool:
+        recover(self.spark, self.path)
         return path_exists(self.spark, self.path)
 
     def _require(self) -> None:
@@ -143,20 +149,13 @@ class RecordStore:
         return self.raw_table().where(F.col(BUCKET_COL).isin(touched)), touched
 
     def _replace(self, result: DataFrame, touched: list[int] | None, first: bool = False) -> None:
-        """Write the new table: whole (flat layout) or only the touched buckets.
-
-        ``first``: the table does not exist yet, so nothing reads it and it is
-        written directly, without a stage.
-        """
-        if first:
-            if self.buckets:
-                write_bucketed(result, self.path)
-            else:
-                append(result, ParquetSink(self.path), mode="error")
-        elif touched is None:
-            overwrite_staged(self.spark, result, ParquetSink(self.path))
-        else:
+        """Write the new table once, whole (flat layout) or only the touched buckets, and put it in place."""
+        if touched is not None and not first:
             overwrite_buckets(self.spark, result, self.path, touched)
+        elif self.buckets:
+            write_bucketed(result, self.path, self.contract.key, self.buckets)
+        else:
+            publish_table(self.spark, result, self.path, self.contract.key)
 
     @staticmethod
     def _check(batch: DataFrame, key: str, seq: str) -> None:
@@ -168,22 +167,27 @@ class RecordStore:
             run_ts: datetime | None = None, check: bool = False) -> DataFrame:
         """Insert records (one JSON object per row, ordered by ``seq``) whose key is new.
 
-        Returns the rejected rows (existing key, in-batch duplicate, no key).
+        Returns the rejected rows (existing key, in-batch duplicate, no key,
+        or a broken rule of the contract). The batch is parsed once and
+        staged, and the load time is taken once and decides no tie.
         ``check=True`` first refuses a batch that repeats a (key, seq) pair.
         """
         parsed = parse_records(records, json_col, self.fields, keep=[seq])
-        incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts)
-        if check:
-            self._check(incoming, self.contract.key, "seq")
+        incoming = self._table_shape(parsed.withColumnRenamed(seq, "seq"), run_ts or datetime.now(timezone.utc))
         if self.buckets:
             incoming = with_bucket(incoming, self.contract.key, self.buckets)
+        incoming = stage(incoming, "add-batch")
+        if check:
+            self._check(incoming, self.contract.key, "seq")
+        incoming, broken = split_contract(incoming, self.contract)
         first = not self.exists()
         if first:  # the first add creates the table (an empty one of the batch's shape)
             table, touched = incoming.drop("seq").limit(0), None
         else:
             table, touched = self._scope(incoming, self.contract.key)
-        result, rejected = change.insert_new(table, incoming, self.contract.key, "seq")
-        kept = self._keep(rejected, "rejected")
+        untied = [self.contract.load_ts] if self.contract.load_ts else []
+        result, rejected = change.insert_new(table, incoming, self.contract.key, "seq", untied=untied, staged=True)
+        kept = self._keep(rejected.unionByName(broken), "rejected")
         self._replace(result, touched, first=first)
         return kept
 
@@ -191,10 +195,13 @@ class RecordStore:
                check: bool = False) -> DataFrame:
         """Apply partial updates ``(key, seq, json)``; the key inside the JSON is ignored.
 
-        Returns the patch rows whose key is not in the table. ``check=True``
-        first refuses a batch that repeats a (key, seq) pair.
+        Returns the patch rows that were not applied: those whose key is not
+        in the table, and those of a key whose row would break the contract
+        (that row stays as it was). ``check=True`` first refuses a batch that
+        repeats a (key, seq) pair.
         """
         self._require()
+        patches = stage(patches, "patches")
         if check:
             self._check(patches, key or self.contract.key, seq)
         key = key or self.contract.key
@@ -202,6 +209,12 @@ class RecordStore:
         p = patches.withColumnRenamed(key, self.contract.key) if key != self.contract.key else patches
         table, touched = self._scope(p, self.contract.key)
         result, missing = change.patch(table, p, self.contract.key, seq, json_col, fields, list_sep=self.list_sep)
+        result, broken = split_contract(result, self.contract)
+        broken = stage(broken.select(self.contract.key), "broken")
+        if not broken.isEmpty():
+            held = table.join(broken, self.contract.key, "left_semi")
+            result = result.unionByName(held)
+            missing = missing.unionByName(p.join(broken, self.contract.key, "left_semi").select(*missing.columns))
         kept = self._keep(missing, "missing")
         self._replace(result, touched)
         return kept
@@ -209,6 +222,7 @@ class RecordStore:
     def delete(self, keys: DataFrame, key: str | None = None) -> DataFrame:
         """Remove rows by key; returns the requested keys that matched nothing."""
         self._require()
+        keys = stage(keys, "delete-keys")
         table, touched = self._scope(keys, key or self.contract.key)
         result, missing = change.delete(table, keys, self.contract.key, key)
         kept = self._keep(missing, "missing")

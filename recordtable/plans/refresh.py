@@ -1,7 +1,7 @@
 """Refresh pipeline (W18): landed documents -> checked, upserted, safely rewritten table.
 
 documents -> explode_documents -> map (rename, list join) -> apply_defaults
--> check_contract -> upsert into the current table -> overwrite_staged.
+-> split_contract -> upsert into the current table -> published by renames.
 
 Running it twice on the same documents leaves the table unchanged (apart
 from the load timestamp of the re-loaded rows): upsert is idempotent.
@@ -11,23 +11,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordtable.fields import Contract, Field
 from recordtable.functions.json_rules import join_list
 from recordtable.operators.change import upsert
-from recordtable.operators.contract import apply_defaults, check_contract
+from recordtable.operators.contract import apply_defaults, check_contract, split_contract
 from recordtable.operators.ingest import explode_documents
 from recordtable.session import shared_path
 from recordtable.sources.layout import BUCKET_COL, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
-from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
+from recordtable.sources.publish import publish_table
+from recordtable.sources.sinks import ParquetSink, stage
 
 
 @dataclass
 class RefreshResult:
+    """``rows_loaded``: rows written, i.e. the whole table, or the touched buckets of a bucketed one."""
+
     contract_row: dict
     rejects: int
     rows_loaded: int
@@ -75,48 +78,53 @@ def refresh(
     buckets: int | None = None,
     single: bool = False,
 ) -> RefreshResult:
-    """Load documents into ``target``: upsert by key (records without a key are left out).
+    """Load documents into ``target``: upsert by key.
 
     ``current`` is the table now at ``target``, or None for a first load
-    (then ``target`` must not exist yet).
+    (then ``target`` must not exist yet). The batch is parsed once and staged;
+    the load time is taken once.
 
-    The elements and documents that could not be read are written under the
-    shared checkpoint folder (``RefreshResult.rejects_path``).
+    What could not be loaded is written under the shared checkpoint folder
+    (``RefreshResult.rejects_path``): elements and documents that could not be
+    read, and, as JSON text, records that break the contract (``null_key``,
+    ``null_<col>``, ``too_long_<col>``). Elements = records loaded or replaced
+    by a later one + rejects.
 
     With ``buckets``, the target uses the key-bucket layout
     (``recordtable.sources.layout``) and only the buckets holding incoming
     keys are read and rewritten.
     """
+    run_ts = run_ts or datetime.now(timezone.utc)
     batch, rejects = build_batch(documents, doc_col, fields, contract, run_ts, single=single)
     if buckets:
         batch = with_bucket(batch, contract.key, buckets)
-    batch = batch.persist()
-    try:
-        contract_row = check_contract(batch.drop("__seq"), contract).first().asDict()
-        rejects_path = shared_path(spark, "rejects")
-        rejects.write.parquet(rejects_path)
-        n_rejects = spark.read.parquet(rejects_path).count()
-        table_cols = [c for c in batch.columns if c != "__seq"]
-        incoming = batch.where(F.col(contract.key).isNotNull())
-        touched = touched_buckets(incoming, contract.key, buckets) if (buckets and current is not None) else None
-        if current is None:
-            base = incoming.limit(0).drop("__seq")
-        elif touched is not None:  # only the buckets holding incoming keys are read
-            base = current.select(*table_cols).where(F.col(BUCKET_COL).isin(touched))
-        else:
-            base = current.select(*table_cols)
-        result = upsert(base, incoming, contract.key, "__seq").select(*table_cols)
-        if current is None:  # first load: nothing reads the target, no stage needed
-            if buckets:
-                write_bucketed(result, target.path)
-            else:
-                append(result, target, mode="error")
-            stage = None
-        elif not buckets:
-            stage = overwrite_staged(spark, result, target)
-        else:
-            stage = overwrite_buckets(spark, result, target.path, touched)
-    finally:
-        batch.unpersist()
-    rows = spark.read.parquet(target.path).count()
-    return RefreshResult(contract_row, n_rejects, rows, stage, rejects_path)
+    batch = stage(batch, "refresh-batch")
+    contract_row = check_contract(batch.drop("__seq"), contract).first().asDict()
+    incoming, broken = split_contract(batch, contract)
+    content = [c for c in broken.columns if c not in ("reason", "__seq", BUCKET_COL)]
+    broken = broken.select(
+        F.col("__seq.pos").alias("pos"), "reason", F.to_json(F.struct(*content)).alias("value")
+    )
+    rejects_path = shared_path(spark, "rejects")
+    rejects.unionByName(broken, allowMissingColumns=True).write.parquet(rejects_path)
+    n_rejects = spark.read.parquet(rejects_path).count()
+
+    table_cols = [c for c in batch.columns if c != "__seq"]
+    touched = touched_buckets(incoming, contract.key, buckets) if (buckets and current is not None) else None
+    if current is None:
+        base = incoming.limit(0).drop("__seq")
+    elif touched is not None:  # only the buckets holding incoming keys are read
+        base = current.select(*table_cols).where(F.col(BUCKET_COL).isin(touched))
+    else:
+        base = current.select(*table_cols)
+    untied = [contract.load_ts] if contract.load_ts else []
+    result, _ = upsert(base, incoming, contract.key, "__seq", untied=untied, staged=True)
+    seen = Observation()
+    result = result.select(*table_cols).observe(seen, F.count(F.lit(1)).alias("rows"))
+    if touched is not None:
+        written = overwrite_buckets(spark, result, target.path, touched)
+    elif buckets:
+        written = write_bucketed(result, target.path, contract.key, buckets)
+    else:
+        written = publish_table(spark, result, target.path, contract.key, None, tuple(target.partition_by))
+    return RefreshResult(contract_row, n_rejects, seen.get["rows"], written, rejects_path)

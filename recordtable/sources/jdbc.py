@@ -47,8 +47,15 @@ def read_jdbc(
     table: str,
     partition: tuple[str, Any, Any, int] | None = None,
     fetchsize: int = 10_000,
+    single_task: bool = False,
 ) -> DataFrame:
-    """Partitioned JDBC scan; filters and column pruning are pushed to the database."""
+    """Partitioned JDBC scan; filters and column pruning are pushed to the database.
+
+    Without ``partition`` (column, lower, upper, tasks) one task would read the
+    whole table; ``single_task=True`` says that it is small enough for that.
+    """
+    if partition is None and not single_task:
+        raise ValueError("give partition bounds, or single_task=True for a small table")
     return spark.read.format("jdbc").options(**jdbc_read_options(options, table, partition, fetchsize)).load()
 
 

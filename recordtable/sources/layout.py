@@ -5,8 +5,7 @@ A table is stored as parquet partitioned by
 puts a key in the same bucket whether a batch carries it as int or bigint.
 A change set names at most ``n`` buckets; the new table is computed for
 those buckets only (the bucket filter prunes the scan to their
-directories) and written with dynamic partition overwrite, which replaces
-exactly the partitions present in the written data. A small change to a
+directories), written beside the table and renamed into place. A small change to a
 big table then reads and writes about ``touched / n`` of it instead of all
 of it. Point lookups by key prune to one bucket.
 """
@@ -18,8 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtable.session import shared_path
-from recordtable.sources.fs import delete_path
+from recordtable.sources.publish import publish_buckets, publish_table
 
 BUCKET_COL = "_bucket"
 
@@ -45,46 +43,26 @@ def touched_buckets(changes: DataFrame, key: str, n: int) -> list[int]:
     return sorted(r.b for r in rows)
 
 
-def write_bucketed(df: DataFrame, path: str, mode: str = "error") -> None:
+def write_bucketed(df: DataFrame, path: str, key: str | None = None, buckets: int | None = None) -> None:
     """First write of a bucketed table (``df`` must carry ``_bucket``).
 
     Rows are hash-partitioned on the bucket first, so each bucket is written
     by one task: one file per bucket instead of one per task and bucket.
-    Keys are unique, so buckets are even and no task gets a hot bucket.
+    Keys are unique, so buckets are even; choose their number so that a
+    bucket fits a task.
     """
-    df.repartition(BUCKET_COL).write.mode(mode).partitionBy(BUCKET_COL).parquet(path)
+    publish_table(df.sparkSession, df.repartition(BUCKET_COL), path, key, buckets, (BUCKET_COL,))
 
 
-def overwrite_buckets(
-    spark: SparkSession,
-    result: DataFrame,
-    path: str,
-    buckets: Iterable[int],
-    keep_stage: bool = False,
-) -> str:
+def overwrite_buckets(spark: SparkSession, result: DataFrame, path: str, buckets: Iterable[int]) -> str:
     """Replace the given buckets of the table at ``path`` with ``result``'s rows for them.
 
-    ``result`` may read the table itself: it is first written to a stage
-    under the shared checkpoint folder. Buckets left empty by the change are
-    removed; all other buckets are not read or written. Returns the stage path.
+    ``result`` may read the table itself: it is first written beside the
+    table, once, and its bucket folders are then renamed into place. Buckets
+    left empty by the change are removed; the table's schema is kept, so it
+    can be read when no bucket is left. All other buckets are not read or
+    written.
     """
     buckets = sorted(set(int(b) for b in buckets))
-    stage = shared_path(spark, "stage")
-    if not buckets:
-        return stage
-    # one task per bucket (see write_bucketed): the stage and the table get one file per bucket
-    result.where(F.col(BUCKET_COL).isin(buckets)).repartition(BUCKET_COL).write.mode("error").parquet(stage)
-    staged = spark.read.parquet(stage)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET_COL)
-        .parquet(path)
-    )
-    present = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
-    for b in buckets:
-        if b not in present:
-            delete_path(spark, f"{path.rstrip('/')}/{BUCKET_COL}={b}")
-    if not keep_stage:
-        delete_path(spark, stage)
-    return stage
+    rows = result.where(F.col(BUCKET_COL).isin(buckets)).repartition(BUCKET_COL)
+    return publish_buckets(spark, rows, path, BUCKET_COL, buckets)

@@ -1,0 +1,115 @@
+"""Publishing a new state of a parquet table: written once beside it, then put in place by renames.
+
+The new files go to ``<path>__new-<id>``. When they are complete, the old
+folder (or the touched bucket folders) is renamed to ``<path>__old`` and the
+new one takes its place. A failure before the renames leaves the old table
+as it was; one between them leaves ``<path>__old``, from which
+:func:`recover` puts back what is missing. The table is never deleted before
+its successor is complete, and changed data is written once.
+
+A small file in the table's folder (hidden from readers of the folder) holds
+its schema, key and bucket count, so an empty table can be read and a table
+is not opened with another bucket count.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from recordtable.sources.fs import (
+    child_names,
+    delete_path,
+    make_dir,
+    path_exists,
+    read_text,
+    rename_path,
+    write_text,
+)
+
+META = "_rt_table.json"
+_BUCKET_DIR = "_bucket="
+
+
+def _beside(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}__{name}"
+
+
+def write_facts(spark: SparkSession, path: str, schema: StructType, key: str | None, buckets: int | None) -> None:
+    facts = {"schema": json.loads(schema.json()), "key": key, "buckets": buckets}
+    write_text(spark, f"{path.rstrip('/')}/{META}", json.dumps(facts))
+
+
+def read_facts(spark: SparkSession, path: str) -> dict | None:
+    """``{"schema", "key", "buckets"}`` of a published table; None for a folder written by other means."""
+    at = f"{path.rstrip('/')}/{META}"
+    return json.loads(read_text(spark, at)) if path_exists(spark, at) else None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``, also when it has no data files."""
+    facts = read_facts(spark, path)
+    reader = spark.read if facts is None else spark.read.schema(StructType.fromJson(facts["schema"]))
+    return reader.parquet(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a publish that a failure cut short: nothing of the old table stays aside."""
+    old = _beside(path, "old")
+    if not path_exists(spark, old):
+        return
+    if not path_exists(spark, path):
+        rename_path(spark, old, path)
+        return
+    for name in child_names(spark, old):
+        here = f"{path.rstrip('/')}/{name}"
+        if name.startswith(_BUCKET_DIR) and not path_exists(spark, here):
+            rename_path(spark, f"{old}/{name}", here)
+    delete_path(spark, old)
+
+
+def publish_table(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    key: str | None = None,
+    buckets: int | None = None,
+    partition_by: tuple[str, ...] = (),
+) -> str:
+    """Make ``df`` the table at ``path`` (new or in place of the old one); ``df`` may read the old one."""
+    recover(spark, path)
+    new = _beside(path, f"new-{uuid.uuid4().hex}")
+    writer = df.write.mode("error")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(new)
+    write_facts(spark, new, df.schema, key, buckets)
+    swap_table(spark, new, path)
+    return new
+
+
+def swap_table(spark: SparkSession, new: str, path: str) -> None:
+    old = _beside(path, "old")
+    if path_exists(spark, path):
+        rename_path(spark, path, old)
+    rename_path(spark, new, path)
+    delete_path(spark, old)
+
+
+def publish_buckets(spark: SparkSession, df: DataFrame, path: str, bucket_col: str, touched: list[int]) -> str:
+    """Replace the ``touched`` buckets of the table at ``path`` by the rows of ``df`` (all in those buckets)."""
+    recover(spark, path)
+    new, old = _beside(path, f"new-{uuid.uuid4().hex}"), _beside(path, "old")
+    df.write.mode("error").partitionBy(bucket_col).parquet(new)
+    present, written = set(child_names(spark, path)), set(child_names(spark, new))
+    make_dir(spark, old)
+    for bucket in touched:
+        name = f"{bucket_col}={bucket}"
+        if name in present:
+            rename_path(spark, f"{path.rstrip('/')}/{name}", f"{old}/{name}")
+        if name in written:
+            rename_path(spark, f"{new}/{name}", f"{path.rstrip('/')}/{name}")
+    delete_path(spark, old)
+    delete_path(spark, new)
+    return new

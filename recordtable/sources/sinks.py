@@ -1,12 +1,11 @@
-"""Sinks: append and staged overwrite to parquet or JDBC (W06, W07).
+"""Sinks: append and safe overwrite to parquet or JDBC (W06, W07).
 
 Overwriting a table with a plan that reads the same table loses data: the
-target is emptied before the lazy read runs (the JDBC form keeps only the
-new rows; the parquet form fails with a missing-file error). The staged
-overwrite first materialises the result as parquet under the session's
-shared checkpoint folder, then overwrites the target from that copy, and
-removes the copy only after the overwrite succeeded. A failed overwrite
-leaves the stage in place, so the data is never only in flight.
+target is emptied before the lazy read runs. A parquet table is therefore
+written beside the old one and put in its place by renames
+(``recordtable.sources.publish``); a database table is overwritten from a
+parquet copy under the session's shared checkpoint folder, which stays if the
+overwrite fails.
 """
 
 from __future__ import annotations
@@ -17,9 +16,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordtable.session import shared_path
+from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.fs import delete_path
 from recordtable.sources.jdbc import jdbc_write_options
+from recordtable.sources.publish import publish_table
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,19 @@ def append(df: DataFrame, sink: Sink, mode: str = "append") -> None:
     _write(df, sink, mode)
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    What is read more than once is computed once, and a lost executor re-reads
+    the written copy.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = shared_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def overwrite_staged(
     spark: SparkSession,
     df: DataFrame,
@@ -70,15 +83,15 @@ def overwrite_staged(
 ) -> str:
     """Replace the sink's contents with ``df`` safely, even when ``df`` reads the sink.
 
-    Returns the stage path (already removed unless ``keep_stage``). The
-    stage defaults to a fresh folder under ``spark.checkpoint.dir``, which
-    on a cluster must be shared storage; the written stage also cuts the
-    lineage, so a lost executor re-reads the stage, not the old table.
+    Returns the path the rows were first written to. For parquet that folder
+    has become the table; for JDBC it is a copy under ``spark.checkpoint.dir``
+    (or ``stage_path``), removed unless ``keep_stage``.
     """
-    stage = stage_path or shared_path(spark, "stage")
-    df.write.mode("error").parquet(stage)
-    staged = spark.read.parquet(stage)
-    _write(staged, sink, "overwrite")
+    if isinstance(sink, ParquetSink):
+        return publish_table(spark, df, sink.path, partition_by=tuple(sink.partition_by))
+    path = stage_path or shared_path(spark, "stage")
+    df.write.mode("error").parquet(path)
+    _write(spark.read.schema(df.schema).parquet(path), sink, "overwrite")
     if not keep_stage:
-        delete_path(spark, stage)
-    return stage
+        delete_path(spark, path)
+    return path

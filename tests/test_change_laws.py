@@ -41,9 +41,9 @@ def test_insert_new(table, incoming, bcast):
 
 @pytest.mark.parametrize("bcast", [2_000_000, None], ids=["broadcast", "shuffle"])
 def test_upsert_last_wins_and_idempotent(table, incoming, bcast):
-    once = upsert(table, incoming, "k", "seq", max_broadcast_rows=bcast)
+    once = upsert(table, incoming, "k", "seq", max_broadcast_rows=bcast)[0]
     assert rows(once) == [(1, 10, "x"), (2, 20, "y"), (3, 31, "z1"), (4, 41, "n2"), (5, 50, "m")]
-    twice = upsert(once, incoming, "k", "seq", max_broadcast_rows=bcast)
+    twice = upsert(once, incoming, "k", "seq", max_broadcast_rows=bcast)[0]
     assert rows(twice) == rows(once)
 
 
@@ -111,7 +111,7 @@ def test_hot_key_batch(spark, table):
     cold = spark.range(0, 100).select((F.col("id") + 10).alias("k"), F.lit(1).alias("a"),
                                       F.lit("c").alias("b"), F.col("id").alias("seq"))
     batch = hot.unionByName(cold)
-    up = upsert(table, batch, "k", "seq", max_broadcast_rows=None)
+    up = upsert(table, batch, "k", "seq", max_broadcast_rows=None)[0]
     assert up.where("k = 4").collect()[0].b == "4999"
     ins, rej = insert_new(table, batch, "k", "seq", max_broadcast_rows=None)
     assert ins.where("k = 4").collect()[0].b == "0"
@@ -158,7 +158,7 @@ def test_seq_ties_pick_the_same_row_in_any_order(spark, table):
     picks, rejects = set(), set()
     for order in (rows_, rows_[::-1], [rows_[1], rows_[3], rows_[0], rows_[2]]):
         b = spark.createDataFrame(order, "k long, a int, b string, seq long").repartition(3)
-        up = upsert(table, b, "k", "seq", max_broadcast_rows=None)
+        up = upsert(table, b, "k", "seq", max_broadcast_rows=None)[0]
         picks.add(up.where("k = 4").collect()[0].b)
         ins, rej = insert_new(table, b, "k", "seq", max_broadcast_rows=None)
         assert ins.count() + rej.count() == table.count() + b.count()

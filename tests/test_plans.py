@@ -1,10 +1,11 @@
 """Physical plan shapes: pushdown, pruning, broadcast only behind a bounded count, partial aggregation."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from recordtable.operators.change import delete
-from recordtable.operators.joins import bounded_rows, checked_broadcast
+from recordtable.operators.joins import bounded_bytes, bounded_rows
 from recordtable.plans import catalog as C
 
 
@@ -52,7 +53,12 @@ def test_bounded_rows(spark):
     df = spark.range(0, 1000)
     assert bounded_rows(df, 5) is None
     assert bounded_rows(df, 1000) == 1000
-    assert "BroadcastExchange" not in plan(checked_broadcast(df, 10).join(spark.range(0, 5), "id"))
+
+
+def test_bounded_bytes(spark):
+    narrow = spark.range(0, 1000)
+    wide = narrow.select("id", F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert bounded_bytes(narrow, 100_000) and not bounded_bytes(wide, 1_000_000)
 
 
 def test_upsert_winner_needs_no_window(spark):

@@ -1,0 +1,194 @@
+"""What must not be lost: ties, crashes between renames, emptied tables, wrong bucket counts, caps, bad records."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from recordtable.fields import Contract, Field
+from recordtable.operators import change
+from recordtable.operators.ingest import explode_documents, parse_records, to_documents
+from recordtable.operators.read import find, list_rows
+from recordtable.plans.commands import RecordStore
+from recordtable.plans.refresh import refresh
+from recordtable.sources import publish
+from recordtable.sources.fs import path_exists
+from recordtable.sources.jdbc import read_jdbc
+from recordtable.sources.sinks import ParquetSink
+
+FIELDS = (Field("k", "long", default=None), Field("name", "text"), Field("n", "int"))
+CONTRACT = Contract(key="k", not_null=("k",), max_len={"name": 20}, load_ts="at")
+
+
+def store(spark, tmp_path, buckets=None):
+    return RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, name_col="name", buckets=buckets)
+
+
+def records(spark, data):
+    """(seq, k, name, n) rows as JSON records."""
+    out = [(s, json.dumps({"k": k, "name": name, "n": n})) for s, k, name, n in data]
+    return spark.createDataFrame(out, "seq long, json string")
+
+
+def content(df):
+    return sorted(tuple(r) for r in df.select("k", "name", "n").collect())
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_seq_ties_with_the_clock(spark, tmp_path, buckets):
+    """No run_ts: the load time must not decide which of the tied rows is inserted and which rejected."""
+    data = [(1, k, f"name{i}", i) for k in range(40) for i in range(5)]
+    s = store(spark, tmp_path, buckets)
+    rejected = content(s.add(records(spark, data).repartition(7)))
+    kept = content(s.table())
+    assert len(kept) == 40 and sorted(kept + rejected) == sorted((k, name, n) for _, k, name, n in data)
+
+
+def test_loading_the_same_documents_twice_changes_nothing(spark, tmp_path):
+    docs = [json.dumps([{"k": i % 20, "name": f"v{i}"}]) for i in range(60)]
+    docs = spark.createDataFrame([(d,) for d in docs], "doc string").repartition(5)  # no order columns
+    target = ParquetSink(str(tmp_path / "t"))
+    refresh(spark, docs, "doc", FIELDS, CONTRACT, target)
+    first = content(spark.read.parquet(target.path))
+    refresh(spark, docs.repartition(3), "doc", FIELDS, CONTRACT, target, current=spark.read.parquet(target.path))
+    assert content(spark.read.parquet(target.path)) == first and len(first) == 20
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize("fail_at", [1, 2, 3])
+def test_failure_between_renames_then_replay(spark, tmp_path, monkeypatch, buckets, fail_at):
+    s = store(spark, tmp_path, buckets)
+    s.add(records(spark, [(i, i, f"a{i}", 0) for i in range(50)]))
+    batch = records(spark, [(1, 100, "new", 1), (2, 3, "old key", 1)])
+    calls, rename = [], publish.rename_path
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == fail_at:
+            raise OSError("killed")
+        rename(*args)
+
+    monkeypatch.setattr(publish, "rename_path", failing)
+    failed = False
+    try:
+        s.add(batch)
+    except OSError:
+        failed = True
+    monkeypatch.setattr(publish, "rename_path", rename)
+    want = sorted([(i, f"a{i}", 0) for i in range(50)])
+    if failed:
+        assert content(s.table()) in (want, sorted([*want, (100, "new", 1)]))
+    s.add(batch)
+    assert sorted(content(s.table())) == sorted([*want, (100, "new", 1)])
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_emptied_table_keeps_its_schema(spark, tmp_path, buckets):
+    s = store(spark, tmp_path, buckets)
+    s.add(records(spark, [(1, 1, "a", 1), (2, 2, "b", 2)]))
+    s.delete(spark.createDataFrame([(1,), (2,)], "k long"))
+    assert s.table().count() == 0 and s.table().columns == ["k", "name", "n", "at"]
+    s.add(records(spark, [(1, 7, "c", 3)]))
+    assert content(s.table()) == [(7, "c", 3)]
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_first_add_all_rejected(spark, tmp_path, buckets):
+    s = store(spark, tmp_path, buckets)
+    assert s.add(records(spark, [(1, None, "a", 1)])).count() == 1
+    assert s.table().count() == 0
+    s.add(records(spark, [(1, 7, "c", 3)]))
+    assert content(s.table()) == [(7, "c", 3)]
+
+
+def test_other_bucket_count_is_refused(spark, tmp_path):
+    store(spark, tmp_path, 8).add(records(spark, [(1, 1, "a", 1)]))
+    for other in (12, None):
+        with pytest.raises(ValueError, match="buckets=8"):
+            store(spark, tmp_path, other).add(records(spark, [(1, 1, "a", 1)]))
+
+
+def test_contract_is_kept_by_every_command(spark, tmp_path):
+    s = store(spark, tmp_path)
+    long = "x" * 21
+    rejected = s.add(records(spark, [(1, 1, "a", 1), (2, 2, long, 2), (3, None, "c", 3)]))
+    assert {(r.k, r.reason) for r in rejected.collect()} == {(2, "too_long_name"), (None, "null_key")}
+    patches = [(1, 1, json.dumps({"name": long})), (9, 1, json.dumps({"name": "b"}))]
+    left = s.update(spark.createDataFrame(patches, "k long, seq long, json string"))
+    assert {r.k for r in left.collect()} == {1, 9}
+    assert content(s.table()) == [(1, "a", 1)]
+    docs = spark.createDataFrame([(json.dumps([{"k": 5, "name": long}, {"name": "no key"}, {"k": 6}, 7]),)], "doc string")
+    r = s.download(docs)
+    reasons = sorted(x.reason for x in spark.read.parquet(r.rejects_path).collect())
+    assert reasons == ["not_an_object", "null_key", "too_long_name"]
+    assert content(s.table()) == [(1, "a", 1), (6, "", 0)]
+
+
+def test_upsert_reports_unusable_rows(spark):
+    t = spark.createDataFrame([(1, "a")], "k long, v string")
+    b = spark.createDataFrame([(1, "b", 1), (None, "c", 2), (3, "d", None)], "k long, v string, seq long")
+    result, rejected = change.upsert(t, b, "k", "seq")
+    assert rows(result) == [(1, "b")]
+    assert rows(rejected.select("v", "reason")) == [("c", "null_key"), ("d", "null_seq")]
+
+
+def test_a_bad_record_costs_itself_only(spark):
+    docs = ['[{"k":1},{"k":2,"k":3},{"k":4},null,"{\\"k\\":9}"]', '{"b":{"k":6},"a":{"k":5}}', '{"b":{"k":7},"a":1,"b":{"k":8}}', '[{"k":1},{bad}]']
+    df = spark.createDataFrame(list(enumerate(docs)), "d int, doc string")
+    records_, rejects = explode_documents(df, "doc", [Field("k", "int")], keep=["d"])
+    assert [tuple(r) for r in records_.where("d = 1").orderBy("pos").collect()] == [(1, 0, 6), (1, 1, 5)]  # document order
+    assert rows(records_.where("d = 2").select("k")) == [(7,), (8,)]
+    assert {r.k for r in records_.where("d = 0").collect()} >= {1, 4}
+    assert {(r.d, r.reason) for r in rejects.collect()} >= {(0, "unparsable_element"), (0, "not_an_object"), (3, "unparsable")}
+
+
+def test_document_above_the_variant_limit(spark, tmp_path):
+    n = 140_000
+    with open(tmp_path / "big.json", "w") as f:
+        f.write("[" + ",".join('{"k":%d,"pad":"%s"}' % (i, "x" * 1000) for i in range(n)) + "]")
+    df = spark.read.text(str(tmp_path / "big.json"), wholetext=True)
+    found, rejects = explode_documents(df, "value", [Field("k", "int")])
+    assert found.agg(F.count("*"), F.sum("k")).first()[:] == (n, n * (n - 1) // 2)
+    assert rejects.count() == 0
+
+
+def test_long_lists_have_the_rows_of_short_ones(spark):
+    df = spark.range(0, 500).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("v"), "id")
+    for n in (0, 1, 77, 499, 500, 9000):
+        want = [tuple(r) for r in list_rows(df, ["v", "id"], ["v"], n, key="id").collect()]
+        assert [tuple(r) for r in list_rows(df, ["v", "id"], ["v"], n, key="id", top_n=0).collect()] == want
+
+
+def test_find_without_order(spark):
+    df = spark.createDataFrame([(2, "xa"), (1, "xb"), (3, "c")], "k int, s string")
+    assert rows(find(df, "s", "x", key="k", order=False)) == [(1, "xb"), (2, "xa")]
+    assert [r.k for r in find(df, "s", "x", key="k").collect()] == [2, 1]
+
+
+def test_numbers_keep_their_digits(spark):
+    texts = ['"9007199254740993.0"', "9007199254740993", '"-12.9"', '"1e3"', '"NaN"', '"1e400"']
+    df = spark.createDataFrame([(f'{{"a": {t}}}',) for t in texts], "j string")
+    longs = [r.a for r in parse_records(df, "j", [Field("a", "long")]).collect()]
+    assert longs == [9007199254740993, 9007199254740993, -12, 1000, 0, 0]
+    doubles = [r.a for r in parse_records(df, "j", [Field("a", "double")]).collect()]
+    assert doubles[2:] == [-12.9, 1000.0, 0.0, 0.0]
+
+
+def test_chunk_key_must_be_unique(spark):
+    df = spark.createDataFrame([(None, i) for i in range(5)], "k long, v int")
+    with pytest.raises(Exception, match="not unique"):
+        to_documents(df, [], ["v"], "k", 4).collect()
+
+
+def test_jdbc_asks_for_bounds(spark):
+    with pytest.raises(ValueError, match="partition"):
+        read_jdbc(spark, {"url": "jdbc:none"}, "t")
+
+
+def test_publish_leaves_nothing_beside_the_table(spark, tmp_path):
+    s = store(spark, tmp_path)
+    s.add(records(spark, [(1, 1, "a", 1)]))
+    s.add(records(spark, [(1, 2, "b", 1)]))
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+    assert not path_exists(spark, f"{s.path}__old")
