@@ -121,9 +121,12 @@ LEFT JOIN whole USING (digest) LEFT JOIN named USING (doc_id)
 
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op8.scan_secrets(read_table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{op8.KINDS[i]}") for i in range(3)
-    ]
+
+    def count(kind: str) -> Column:
+        number = op8.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("assign", "access", "hex")]
     digest = F.sha2(op8.span_text(F.col("base")), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, op8.span_text(F.col("spans")).alias("spans"))
 
