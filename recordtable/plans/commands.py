@@ -26,6 +26,7 @@ from recordtable.fields import HERO_CONTRACT, HERO_FIELDS, Contract, Field
 from recordtable.functions.json_rules import join_list
 from recordtable.operators import change, read
 from recordtable.operators.contract import apply_defaults, check_batch, split_contract
+from recordtable.operators.joins import split_join
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
@@ -229,6 +230,77 @@ class RecordStore:
         self._replace(result, touched)
         return kept
 
+    def apply(self, changes: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+        """Apply mixed changes ``(op, seq, <key>, json)`` as if one by one in order of ``seq`` (unique per key).
+
+        ``op``: ``add`` (``json`` holds the record with its key), ``update``
+        (``json`` the patch) or ``delete``. For each key only what follows its
+        last delete counts, so the batch is one delete, one insert and one
+        patch, computed together and published once. Returns the rows that
+        took no effect, with ``reason``: ``superseded`` (before a delete of its
+        key in the batch), ``key_exists``, ``duplicate_in_batch``,
+        ``unknown_key`` (for a delete: not in the stored table), ``unknown_op``, ``null_key``, ``null_seq`` or a broken
+        rule of the contract.
+        """
+        key = self.contract.key
+        staged = stage(changes.select("op", "seq", key, "json"), "changes")
+        known = F.coalesce(F.col("op").isin("add", "update", "delete"), F.lit(False))
+        unusable = F.coalesce(
+            F.when(~known, F.lit("unknown_op")), F.when(F.col(key).isNull(), F.lit("null_key")), F.when(F.col("seq").isNull(), F.lit("null_seq"))
+        )
+        usable = staged.where(unusable.isNull())
+        last = usable.where("op = 'delete'").groupBy(key).agg(F.max("seq").alias("__last"))
+        dated = stage(split_join(usable, last, key, "left"), "changes-dated")
+        after = dated.where(F.col("__last").isNull() | (F.col("seq") > F.col("__last")))
+
+        adds = after.where("op = 'add'").select("seq", F.col(key).alias("__key"), "json")
+        parsed = parse_records(adds, "json", self.fields, keep=["seq", "__key"])
+        incoming = self._table_shape(parsed.withColumn(key, F.col("__key").cast(parsed.schema[key].dataType)), run_ts or datetime.now(timezone.utc))
+        if self.buckets:
+            incoming = with_bucket(incoming, key, self.buckets)
+        incoming, broken = split_contract(stage(incoming, "add-batch"), self.contract)
+        first = not self.exists()
+        table, touched = (incoming.drop("seq").limit(0), None) if first else self._scope(usable, key)
+
+        deletes = dated.where("op = 'delete'").select(F.col(key)).distinct()
+        base, missing = change.delete(table, deletes, key)
+        untied = [self.contract.load_ts] if self.contract.load_ts else []
+        added, rejected = change.insert_new(base, incoming, key, "seq", untied=untied, staged=True)
+
+        # a key that was not there takes patches from its first add on
+        starts = incoming.join(base.select(key), key, "left_anti").groupBy(key).agg(F.min("seq").alias("__start"))
+        updates = split_join(after.where("op = 'update'").drop("__last"), starts, key, "left")
+        updates = stage(updates, "updates")
+        timely = updates.where(F.col("__start").isNull() | (F.col("seq") > F.col("__start"))).select(key, "seq", "json")
+        fields = [f for f in self.fields if f.out != key]
+        result, unmatched = change.patch(added, timely, key, "seq", "json", fields, list_sep=self.list_sep)
+        good, bad = split_contract(result, self.contract)
+        bad = stage(bad.select(key, "reason"), "broken")
+        if not bad.isEmpty():  # such a key keeps the row it had before its patches
+            good = good.unionByName(added.join(bad, key, "left_semi"))
+
+        def report(df: DataFrame, op: str, reason) -> DataFrame:
+            return df.select(F.lit(op).alias("op"), "seq", F.col(key), reason.alias("reason"))
+
+        gone = dated.where("seq < __last")
+        none = dated.where("op = 'delete' and seq = __last").join(missing.distinct(), key, "left_semi")
+        early = updates.where(F.col("seq") < F.col("__start"))
+        outcome = [
+            staged.withColumn("reason", unusable).where("reason is not null").select("op", "seq", key, "reason"),
+            gone.select("op", "seq", key, F.lit("superseded").alias("reason")),
+            report(none, "delete", F.lit("unknown_key")),
+            report(rejected, "add", F.col("reason")),
+            report(broken, "add", F.col("reason")),
+            report(early.select(key, "seq").union(unmatched.select(key, "seq")), "update", F.lit("unknown_key")),
+            report(timely.join(bad, key), "update", F.col("reason")),
+        ]
+        idle = outcome[0]
+        for part in outcome[1:]:
+            idle = idle.unionByName(part)
+        kept = self._keep(idle, "idle")
+        self._replace(good, touched, first=first)
+        return kept
+
     def download(self, documents: DataFrame, doc_col: str = "doc", run_ts: datetime | None = None,
                  single: bool = False) -> RefreshResult:
         """Load landed documents (see ``read_documents``): upsert by key, safe rewrite.

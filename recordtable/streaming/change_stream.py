@@ -2,11 +2,15 @@
 
 Each landed file holds change rows (JSON Lines or parquet) with the columns
 the command takes: add ``(seq, json)``, update ``(<key>, seq, json)``,
-delete ``(<key>)``. Structured Streaming tracks which files were applied;
-every micro-batch runs the batch command through ``foreachBatch``. All three
-commands are idempotent, so a micro-batch replayed after a failure leaves
+delete ``(<key>)``, or all of them in one ordered stream: apply ``(op, seq,
+<key>, json)``. Run one stream per table: separate streams that write the
+same table do not see each other. Structured Streaming tracks which files were applied;
+every micro-batch runs the batch command through ``foreachBatch``. The
+first three commands are idempotent, so a micro-batch replayed after a failure leaves
 the same table: a replayed add is rejected as existing keys, a replayed
-patch sets the same values again, a replayed delete finds nothing.
+patch sets the same values again, a replayed delete finds nothing. A replayed
+``apply`` gives the same rows too, unless a patch stands before the add of a
+key that was not there: the first time it found nothing, now it finds the row.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql.types import StructType
 from recordtable.plans.commands import RecordStore
 from recordtable.session import shared_path
 
-COMMANDS = ("add", "update", "delete")
+COMMANDS = ("add", "update", "delete", "apply")
 
 
 def start_change_stream(
@@ -49,6 +53,8 @@ def start_change_stream(
             store.add(batch)
         elif command == "update":
             store.update(batch)
+        elif command == "apply":
+            store.apply(batch)
         else:
             store.delete(batch)
 

@@ -1,0 +1,94 @@
+"""Mixed changes in one batch or stream against applying them one by one in plain Python."""
+
+import json
+import random
+
+import pytest
+
+from recordtable.fields import Contract, Field
+from recordtable.plans.commands import RecordStore
+from recordtable.streaming.change_stream import start_change_stream
+
+FIELDS = (Field("k", "long", default=None), Field("name", "text"), Field("n", "int"))
+CONTRACT = Contract(key="k", not_null=("k",), max_len={"name": 12}, load_ts="at")
+SCHEMA = "op string, seq long, k long, json string"
+
+
+def sequential(table, changes):
+    """(rows after all changes, changes that took effect) one by one in order of seq."""
+    table, done = dict(table), set()
+    for op, seq, k, text in sorted(changes, key=lambda c: c[1]):
+        value = json.loads(text) if text else {}
+        if op == "add" and k not in table:
+            table[k] = (value.get("name", ""), value.get("n", 0))
+        elif op == "update" and k in table:
+            table[k] = (value.get("name", table[k][0]), value.get("n", table[k][1]))
+        elif op == "delete" and k in table:
+            del table[k]
+        else:
+            continue
+        done.add(seq)
+    return table, done
+
+
+def mixed(rng, n, keys, start=0):
+    out = []
+    for seq in range(start, start + n):
+        op = rng.choice(["add", "update", "update", "delete"])
+        value = {"name": f"v{seq}"} if rng.random() < 0.6 else {"n": seq}
+        out.append((op, seq, rng.randrange(keys), None if op == "delete" else json.dumps(value)))
+    return out
+
+
+def content(store):
+    return {r.k: (r.name, r.n) for r in store.table().collect()}
+
+
+@pytest.mark.parametrize("buckets,seed", [(None, 1), (4, 2)])
+def test_batch_equals_one_by_one(spark, tmp_path, buckets, seed):
+    rng = random.Random(seed)
+    store = RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, name_col="name", buckets=buckets)
+    want = {}
+    for turn in range(2):
+        changes = mixed(rng, 120, 25, 1000 * turn)
+        shuffled = rng.sample(changes, len(changes))
+        idle = store.apply(spark.createDataFrame(shuffled, SCHEMA).repartition(3))
+        want, done = sequential(want, changes)
+        assert content(store) == want
+        reported = {r.seq for r in idle.collect()}
+        # adds and patches that are reported took no effect, or were deleted again within the batch
+        assert {c[1] for c in changes if c[0] != "delete"} - reported <= done
+        assert all(r.reason == "superseded" or r.op == "delete" or r.seq not in done for r in idle.collect())
+
+
+def test_unusable_rows_and_broken_rules(spark, tmp_path):
+    store = RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, name_col="name")
+    changes = [
+        ("add", 1, 1, '{"name": "a"}'), ("update", 2, 1, '{"name": "far too long a name"}'),
+        ("add", 3, 2, '{"name": "far too long a name"}'), ("add", None, 3, "{}"), ("add", 4, None, "{}"),
+        ("other", 5, 1, None), (None, 6, 1, None), ("delete", 7, 9, None),
+    ]
+    idle = store.apply(spark.createDataFrame(changes, SCHEMA))
+    assert content(store) == {1: ("a", 0)}
+    assert {(r.op, r.seq, r.reason) for r in idle.collect()} == {
+        ("update", 2, "too_long_name"), ("add", 3, "too_long_name"), ("add", None, "null_seq"), ("add", 4, "null_key"),
+        ("other", 5, "unknown_op"), (None, 6, "unknown_op"), ("delete", 7, "unknown_key"),
+    }
+
+
+def test_stream(spark, tmp_path):
+    rng = random.Random(3)
+    store = RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, name_col="name", buckets=4)
+    landing, want = tmp_path / "land", {}
+    landing.mkdir()
+    for turn in range(2):
+        changes = mixed(rng, 60, 15, 1000 * turn)
+        with open(landing / f"c{turn}.json", "w") as f:
+            f.writelines(json.dumps(dict(zip(("op", "seq", "k", "json"), c))) + "\n" for c in changes)
+        start_change_stream(store, str(landing), "apply", SCHEMA, str(tmp_path / "ck")).awaitTermination()
+        want, _ = sequential(want, changes)
+        assert content(store) == want
+    # replayed, the batch acts on the table it has made
+    store.apply(spark.read.schema(SCHEMA).json(str(landing / "c1.json")))
+    replayed, _ = sequential(want, changes)
+    assert content(store) == replayed
