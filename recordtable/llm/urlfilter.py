@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import join_hot, stage
+from recordtable.llm.common import join_hot, let, stage
 
 ORDER = 4
 START, END = "\u0002", "\u0003"
@@ -91,7 +91,11 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 def grams(text: Column, order: int = ORDER) -> Column:
     """All runs of ``order + 1`` characters of the marked text, one for each character and the end."""
     chars = F.concat(F.array_repeat(F.lit(START), order), F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), F.array(F.lit(END)))
-    return F.transform(F.sequence(F.lit(1), F.size(chars) - order), lambda i: F.array_join(F.slice(chars, i, order + 1), ""))
+
+    def runs(c: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(c) - order), lambda i: F.array_join(F.slice(c, i, order + 1), ""))
+
+    return let(chars, runs)
 
 
 def gram_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
