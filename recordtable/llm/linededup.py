@@ -10,14 +10,16 @@ corpus only the first, by document id and line number, stays.
    values per different line; each of the ``BANDS`` bands gives a key. At
    similarity 0.8 two lines share a key with probability 99.8 %
    (1 - (1 - 0.8^4)^12).
-2. Keys with several lines are kept; their lines' texts are fetched by a second
-   read of the table, past a bounded bitmap, so texts of other lines are never
-   shuffled.
-3. In each key every line is compared exactly with the key's smallest one: as
-   many pairs as lines. Links are joined by union-find.
-4. Lines of one key that are still in different components are compared pair
-   by pair, so no pair of a key is left out, while a large group of alike lines
-   is not paired with itself. Union-find gives the classes.
+2. Rows of (key, line hash) are sorted by key; runs of several lines are kept
+   and named by the hash of their members, so that lines which meet in many
+   bands meet once. Their texts are fetched by a second read of the table,
+   past a bounded bitmap, so texts of other lines are never shuffled.
+3. The lines of a run meet in one task, which compares them exactly and returns
+   the links of a spanning forest: a line already linked is not compared again,
+   and never do all pairs leave the task. A run of more than ``BLOCK`` lines
+   is cut into blocks, and each pair of blocks is a task's work of bounded size,
+   so no link is lost.
+4. Union-find over the links gives the classes.
 
 Lines are 128-bit hashes of their normal forms in all shuffles.
 
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +45,8 @@ from recordtable.llm.components import connected_components
 SHINGLE = 7
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
+#: Lines of a key compared in one task's work; larger keys are cut into blocks of about this size.
+BLOCK = 2048
 #: Characters hashed at a time, so that the work stays in a core's cache.
 CHUNK_CHARS = 1 << 16
 
@@ -52,10 +57,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint32(16)
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and offsets of the hash functions, the same in every task."""
-    draw = np.random.default_rng(20240601).integers(0, 1 << 32, size=(2, BANDS * ROWS), dtype=np.uint32)
-    return draw[0] | np.uint32(1), draw[1]
+def _factors() -> np.ndarray:
+    """Odd factors: each permutes the 32-bit hashes; the same in every task."""
+    draw = np.random.default_rng(20240601).integers(0, 1 << 32, size=BANDS * ROWS, dtype=np.uint32)
+    return draw | np.uint32(1)
 
 
 def code_points(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +82,7 @@ def _shingles(points: np.ndarray) -> np.ndarray:
 
 def signatures(lines: pa.Array) -> np.ndarray:
     """(lines, BANDS * ROWS) MinHash values."""
-    factor, offset = _permutations()
+    factor = _factors()
     out = np.empty((len(lines), BANDS * ROWS), dtype=np.uint32)
     if not len(lines):
         return out
@@ -85,7 +90,7 @@ def signatures(lines: pa.Array) -> np.ndarray:
     n = np.diff(starts)
     for i in np.nonzero(n < SHINGLE)[0]:
         whole = np.uint32(xxhash.xxh32_intdigest(points[starts[i] : starts[i + 1]].tobytes()))
-        out[i] = whole * factor + offset
+        out[i] = whole * factor
     long = np.nonzero(n >= SHINGLE)[0]
     first = 0
     while first < len(long):
@@ -100,8 +105,10 @@ def signatures(lines: pa.Array) -> np.ndarray:
         np.add.at(edge, starts[some + 1] - begin - SHINGLE + 1, -1)
         h = h[np.cumsum(edge[:-1])[: len(h)] > 0]
         at = np.concatenate([[0], np.cumsum(n[some] - SHINGLE + 1)[:-1]])
+        work, found = np.empty_like(h), np.empty((BANDS * ROWS, len(some)), dtype=np.uint32)
         for k in range(BANDS * ROWS):
-            out[some, k] = np.minimum.reduceat(h * factor[k] + offset[k], at)
+            np.minimum.reduceat(np.multiply(h, factor[k], out=work), at, out=found[k])
+        out[some] = found.T
         first = last
     return out
 
@@ -117,86 +124,308 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without the line's text, with its keys; of lines that are equal within a batch one has them."""
     with np.errstate(over="ignore"):
         for b in batches:
-            _, first = np.unique(b.column("h").to_numpy(), return_index=True)  # a common line once
-            some = b.take(pa.array(first))
-            keys = band_keys(signatures(some.column("line").cast(pa.string())))
-            yield pa.record_batch({"h": some.column("h"), "keys": pa.array(list(keys), pa.list_(pa.int64()))})
+            h = b.column("h").to_numpy()
+            _, first = np.unique(h, return_index=True)
+            first.sort()
+            keys = band_keys(signatures(b.column("line").take(pa.array(first)).cast(pa.string())))
+            has = np.zeros(len(h), dtype=np.int32)
+            has[first] = BANDS
+            offsets = pa.array(np.concatenate([[0], np.cumsum(has)]).astype(np.int32))
+            columns = {c: b.column(c) for c in ("row", "no", "h", "g")}
+            yield pa.record_batch(columns | {"keys": pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))})
+
+
+def _mixed64(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+#: Rows of one key that a task holds to name the run by its members; a longer run is named by its key.
+NAMED_ROWS = 1 << 18
+
+
+def _key_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (k, h) sorted by k: (run, h) of the keys with several different h."""
+
+    def out(run: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"run": pa.array(run.view(np.int64)), "h": pa.array(h)})
+
+    def done(k: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((h, k))
+        k, h = k[order], h[order]
+        first = np.ones(len(k), dtype=bool)
+        first[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+        k, h = k[first], h[first]
+        start = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0]
+        size = np.diff(np.concatenate([start, [len(k)]]))
+        name = _mixed64(np.add.reduceat(_mixed64(h.view(np.uint64)), start))
+        several = np.repeat(size > 1, size)
+        return out(np.repeat(name, size)[several], h[several])
+
+    k, h, long = np.empty(0, np.int64), np.empty(0, np.int64), None
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            k = np.concatenate([k, batch.column("k").to_numpy()])
+            h = np.concatenate([h, batch.column("h").to_numpy()])
+            if long is not None:
+                n = int(np.searchsorted(k != long, True))
+                yield out(_mixed64(k[:n].view(np.uint64)), h[:n])
+                long = long if n == len(k) else None
+                k, h = k[n:], h[n:]
+            if not len(k):
+                continue
+            cut = int(np.nonzero(k != k[-1])[0][-1]) + 1 if k[0] != k[-1] else 0
+            if cut:
+                yield done(k[:cut], h[:cut])
+                k, h = k[cut:], h[cut:]
+            if len(k) > NAMED_ROWS:
+                long = k[0]
+                yield out(_mixed64(k.view(np.uint64)), h)
+                k, h = k[:0], h[:0]
+        if len(k):
+            yield done(k, h)
 
 
 def shingle_set(line: str) -> set[str]:
     return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def _alike(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        left, right = b.column("line_a").to_pylist(), b.column("line_b").to_pylist()
-        keep, known = [], ("", shingle_set(""))
-        for i, (x, y) in enumerate(zip(left, right, strict=True)):
-            if y != known[0]:
-                known = (y, shingle_set(y))
-            a, c = shingle_set(x), known[1]
-            both = len(a & c)
-            if both >= threshold * (len(a) + len(c) - both):
-                keep.append(i)
-        yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+#: Lines whose shingles are hashed together at most, and the bits of a shingle's hash beside the line's number.
+CHUNK_LINES = 1 << 12
+HASH_BITS = 52
+#: Lines x different shingles up to which a run's intersections are counted at once.
+DENSE_CELLS = 1 << 18
+
+
+def _chunks(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` entries and about ``CHUNK_CHARS`` in all (one entry may be longer)."""
+    total, first = np.cumsum(size), 0
+    while first < len(size):
+        before = total[first] - size[first]
+        last = int(np.searchsorted(total, before + CHUNK_CHARS, side="right"))
+        last = min(max(last, first + 1), first + most)
+        yield first, last
+        first = last
+
+
+def shingle_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(different shingle hashes of all lines, in order; start of each line's and the end); at most ``CHUNK_LINES`` lines."""
+    points, starts = code_points(lines)
+    n = np.diff(starts)
+    count = np.maximum(n - SHINGLE + 1, 1)
+    line = np.repeat(np.arange(len(n)), count)
+    at = np.arange(len(line)) + np.repeat(starts[:-1] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+    padded = np.concatenate([points, np.zeros(SHINGLE, np.uint32)]).astype(np.uint64)
+    h = np.repeat(np.minimum(n, SHINGLE).astype(np.uint64), count)
+    short = np.repeat(n < SHINGLE, count)
+    for j in range(SHINGLE):
+        c = padded[at + j]
+        if short.any():  # a short line is one shingle of its own length
+            c = np.where(short & (j >= np.repeat(n, count)), np.uint64(0), c)
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    key = line.astype(np.uint64) << np.uint64(HASH_BITS) | _mixed64(h) >> np.uint64(64 - HASH_BITS)
+    key.sort()
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+    size = np.bincount((key >> np.uint64(HASH_BITS)).astype(np.int64), minlength=len(n))
+    return key & np.uint64((1 << HASH_BITS) - 1), np.concatenate([[0], np.cumsum(size)])
+
+
+def forest(flat: np.ndarray, start: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links (numbers of lines) of a spanning forest of the lines that are alike, from their sets of shingle hashes.
+
+    Intersections of a line with all that are not yet in a tree are counted at once.
+    """
+    size = np.diff(start)
+    numbers, flat = np.unique(flat, return_inverse=True)
+    if len(size) * len(numbers) <= DENSE_CELLS:  # a small run: all intersections as one product
+        cells = np.zeros((len(size), len(numbers)), dtype=np.float32)
+        cells[np.repeat(np.arange(len(size)), size), flat] = 1
+        both = cells @ cells.T
+        alike = both >= threshold * (size[:, None] + size[None, :] - both)
+        left, links = set(range(len(size))), []
+        while left:
+            todo = [left.pop()]
+            while todo:
+                x = todo.pop()
+                new = left.intersection(np.nonzero(alike[x])[0].tolist())
+                left -= new
+                links += [(x, y) for y in new]
+                todo += new
+        return links
+    flat, marked = flat.astype(np.int32), np.zeros(len(numbers), dtype=np.int32)
+    left, links = np.arange(len(size)), []
+    while len(left):
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            x = todo.pop()
+            near = left[(size[left] >= threshold * size[x]) & (size[x] >= threshold * size[left])]
+            if not len(near):
+                continue
+            marked[flat[start[x] : start[x + 1]]] = 1
+            both = np.empty(len(near), dtype=np.int64)
+            for i, j in _chunks(size[near], len(near)):
+                n = size[near[i:j]]
+                at = np.concatenate([[0], np.cumsum(n)])
+                places = np.arange(at[-1]) + np.repeat(start[near[i:j]] - at[:-1], n)
+                both[i:j] = np.add.reduceat(marked[flat[places]], at[:-1])
+            marked[flat[start[x] : start[x + 1]]] = 0
+            alike = near[both >= threshold * (size[near] + size[x] - both)]
+            links += [(x, int(y)) for y in alike]
+            todo += alike.tolist()
+            left = np.setdiff1d(left, alike, assume_unique=True)
+    return links
+
+
+def run_links(run: np.ndarray, lines: pa.Array, threshold: float) -> np.ndarray:
+    """(links, 2) numbers of lines: a spanning forest of the alike lines of every run (equal neighbours in ``run``)."""
+    out = [np.empty((0, 2), dtype=np.int64)]
+    start = np.nonzero(np.concatenate([[True], run[1:] != run[:-1]]))[0]
+    size = np.diff(np.concatenate([start, [len(run)]]))
+    twos, more = start[size == 2], np.nonzero(size > 2)[0]
+    chars = pc.binary_length(lines).to_numpy()
+    for i, j in _chunks(chars[twos] + chars[twos + 1], CHUNK_LINES // 2):  # pairs: a hash in both sets stands twice
+        some = twos[i:j]
+        flat, at = shingle_hashes(lines.take(pa.array(np.stack([some, some + 1], axis=1).ravel())))
+        n = np.diff(at).reshape(-1, 2).sum(axis=1)
+        key = np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(HASH_BITS) | flat
+        key.sort()
+        twice = (key[:-1][key[1:] == key[:-1]] >> np.uint64(HASH_BITS)).astype(np.int64)
+        both = np.bincount(twice, minlength=len(some))
+        alike = some[both >= threshold * (n - both)]
+        out.append(np.stack([alike, alike + 1], axis=1))
+    for r in more:
+        parts, at = [], [0]
+        for i, j in _chunks(chars[start[r] : start[r] + size[r]], CHUNK_LINES):
+            flat, own = shingle_hashes(lines.slice(start[r] + i, j - i))
+            parts.append(flat)
+            at += (own[1:] + at[-1]).tolist()
+        links = forest(np.concatenate(parts), np.array(at), threshold)
+        out.append(np.array(links, dtype=np.int64).reshape(-1, 2) + start[r])
+    return np.concatenate(out)
 
 
 _NODE = "struct<h:bigint,g:bigint>"
+_LINKS = f"hot boolean, run bigint, a {_NODE}, b {_NODE}, line string"
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links ``a, b`` (nodes) of the pairs ``x, y`` (line hashes) that are alike."""
-    at = texts.select("h", F.struct("h", "g").alias("node"), "line")
-    both = pairs.join(at.toDF("x", "a", "line_a"), "x").join(at.toDF("y", "b", "line_b"), "y")
+def _link_runs(batches: Iterator[pa.RecordBatch], threshold: float, longest: int) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by ``run``: links (hot false); runs over ``longest`` come out as they are (hot true: run, a, line).
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _alike(batches, threshold)
+    Holds one Arrow batch and one run of at most ``longest`` lines.
+    """
 
-    return both.select("a", "b", "line_a", "line_b").mapInArrow(alike, f"a {_NODE}, b {_NODE}")
+    def node(t: pa.Table) -> pa.Array:
+        h, g = (t.column(c).combine_chunks() for c in ("h", "g"))
+        return pa.StructArray.from_arrays([h, g], ["h", "g"])
+
+    def out(hot: bool, a: pa.Table, b: pa.Table) -> pa.RecordBatch:
+        line = a.column("line").combine_chunks() if hot else pa.nulls(len(a), pa.string())
+        columns = {"hot": pa.array(np.full(len(a), hot)), "run": a.column("run").combine_chunks(), "a": node(a), "b": node(b)}
+        return pa.record_batch(columns | {"line": line})
+
+    def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        run = t.column("run").to_numpy()
+        _, number, size = np.unique(run, return_inverse=True, return_counts=True)
+        long = size[number] > longest
+        if long.any():
+            some = t.take(pa.array(np.nonzero(long)[0]))
+            yield out(True, some, some)
+            t = t.take(pa.array(np.nonzero(~long)[0]))
+            run = t.column("run").to_numpy()
+        if len(t):
+            with np.errstate(over="ignore"):
+                links = run_links(run, t.column("line").combine_chunks(), threshold)
+            if len(links):
+                yield out(False, t.take(pa.array(links[:, 0])), t.take(pa.array(links[:, 1])))
+
+    held: pa.Table | None = None
+    hot_run = None
+    for batch in batches:
+        t = pa.table([batch.column("run"), batch.column("h"), batch.column("g"), batch.column("line").cast(pa.string())], ["run", "h", "g", "line"])
+        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+        run = t.column("run").to_numpy()
+        if hot_run is not None and len(t):
+            n = int(np.searchsorted(run != hot_run, True))
+            some = t.slice(0, n)
+            yield out(True, some, some)
+            hot_run = hot_run if n == len(t) else None
+            t, run = t.slice(n), run[n:]
+        held = None
+        if not len(t):
+            continue
+        cut = int(np.nonzero(run != run[-1])[0][-1]) + 1 if run[0] != run[-1] else 0  # the last run may go on
+        if cut:
+            yield from done(t.slice(0, cut).combine_chunks())
+        held = t.slice(cut)
+        if len(held) > longest:
+            hot_run = run[-1]
+            yield out(True, held, held)
+            held = None
+    if held is not None and len(held):
+        yield from done(held.combine_chunks())
+
+
+def _linked(rows: DataFrame, threshold: float, longest: int) -> DataFrame:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _link_runs(batches, threshold, longest)
+
+    runs = rows.select("run", "h", "g", "line").repartition("run").sortWithinPartitions("run")
+    return runs.mapInArrow(links, _LINKS)
+
+
+def line_links(rows: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` that connect all alike lines of each run of ``rows(run, h, g, line)``."""
+    found = stage(_linked(rows, threshold, block), "line-links")
+    links, hot = found.where("not hot").select("a", "b"), found.where("hot").select("run", "a.h", "a.g", "line")
+    if hot.isEmpty():
+        return links
+    blocks = hot.groupBy("run").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    split = (
+        hot.join(blocks, "run")
+        .withColumn("own", F.pmod(F.xxhash64("h", "g"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    )
+    pair = F.xxhash64("run", F.least("own", "other"), F.greatest("own", "other")).alias("run")
+    return links.union(_linked(split.select(pair, "h", "g", "line"), threshold, 1 << 62).select("a", "b"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, key, no, h, g, line`` of every line that is not blank."""
     each = docs.select(
-        F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.posexplode(F.split(text_col, "\n")).alias("no", "line")
+        F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.split(F.lower(text_col), "\n").alias("lines")
     )
-    each = each.withColumn("line", F.lower(F.trim("line"))).where("line <> ''")
+    each = each.select("id", "key", F.posexplode("lines").alias("no", "line")).withColumn("line", F.trim("line"))
+    each = each.where("line <> ''")
     return each.select("id", "key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), "line")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keyed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row (id, key), no, h, g, keys`` of every line that is not blank, written once; repeats of a line may lack keys."""
+    lines = _lines(docs, id_col, text_col).select(F.struct("id", "key").alias("row"), "no", "h", "g", "line")
+    kind = lines.schema["row"].dataType.simpleString()
+    return stage(lines.mapInArrow(_keys, f"row {kind}, no int, h long, g long, keys array<bigint>"), "line-keys")
+
+
+def line_classes(
+    docs: DataFrame, keyed: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
     """``node, root`` of the different lines that are alike to another one (``struct<h, g>``, 128-bit line hashes)."""
     lines = _lines(docs, id_col, text_col)
-    keyed = stage(lines.select("h", "line").mapInArrow(_keys, "h long, keys array<bigint>"), "line-keys")
     rows = keyed.select("h", F.explode("keys").alias("k"))
-    shared = rows.groupBy("k").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most")
-    shared = stage(shared.select("k", "least"), "line-shared")
-    found = with_membership(rows, F.col("k"), shared, "k", "maybe").where("maybe").select("k", "h").distinct()
-    found = stage(join_hot(found, shared, "k"), "line-candidates")
+    found = rows.repartition("k").sortWithinPartitions("k").mapInArrow(_key_runs, "run long, h long")
+    found = stage(found.distinct(), "line-runs")
 
-    wanted = stage(found.select("h").distinct(), "line-wanted")
+    wanted = found.select("h").distinct()
     texts = with_membership(lines.select("h", "g", "line"), F.col("h"), wanted, "h", "maybe").where("maybe")
-    texts = texts.select("h", "g", "line").dropDuplicates(["h", "g"]).join(wanted, "h", "left_semi")
-    texts = stage(texts, "line-texts")
-
-    stars = found.where("h <> least").select(F.col("h").alias("x"), F.col("least").alias("y")).distinct()
-    # lines of different normal forms but equal 64-bit hashes are told apart by their second hash
-    links = stage(_verified(stars, texts, threshold), "line-links")
-    classes = stage(connected_components(links), "line-classes")
-
-    member = F.coalesce(F.col("root"), F.col("node"))
-    nodes = texts.select("h", F.struct("h", "g").alias("node")).join(classes, "node", "left").select("h", "node", member.alias("root"))
-    members = found.select("k", "h").join(nodes, "h").select("k", "h", "root")
-    mixed = members.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("k")
-    members = stage(members.join(mixed, "k", "left_semi"), "line-mixed")
-    other = members.toDF("k", "y", "root_y")
-    rest = members.join(other, "k").where("root < root_y").select(F.col("h").alias("x"), "y").distinct()
-    more = stage(_verified(rest, texts, threshold), "line-links")
-    if more.isEmpty():
-        return classes
-    return connected_components(links.union(more))
+    # lines of equal 64-bit hashes are told apart by their second hash
+    texts = texts.groupBy("h", "g").agg(F.min("line").alias("line"))
+    links = line_links(found.join(texts, "h"), threshold)
+    return connected_components(links.distinct())
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -204,26 +433,38 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``keep_id, keep_line``: the line that stays of the class (from 0, by document).
     """
-    classes = line_classes(docs, id_col, text_col, threshold).select("node.h", "node.g", F.col("root").alias("root"))
-    lines = _lines(docs, id_col, text_col).drop("line").dropDuplicates(["key", "no"])
-    lines = stage(lines.join(classes, ["h", "g"], "left").withColumn("root", F.coalesce("root", F.struct("h", "g"))), "lines")
+    keyed = keyed_lines(docs, id_col, text_col)
+    classes = line_classes(docs, keyed, id_col, text_col, threshold)
+    classes = stage(classes.select("node.h", "node.g", "root"), "line-classes")
+    lines = keyed.select("row.id", "row.key", "no", "h", "g")
+    # only lines that may have a class are shuffled to meet it
+    maybe = with_membership(lines, F.col("h"), classes, "h", "maybe")
+    alone = maybe.where("not maybe").drop("maybe").withColumn("root", F.struct("h", "g"))
+    named = maybe.where("maybe").drop("maybe").join(classes, ["h", "g"], "left").withColumn("root", F.coalesce("root", F.struct("h", "g")))
+    lines = stage(alone.unionByName(named.select(alone.columns)).drop("h", "g"), "lines")
+
     place = F.struct("id", "no", "key")
-    first = lines.groupBy("root").agg(F.min(place).alias("first"))
-    placed = join_hot(lines, first, "root")
-    return placed.select(
+    # a line that is the only one of its class need not meet any other
+    shared = lines.groupBy("root.h", "root.g").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(shared.select(F.xxhash64(F.struct("h", "g")).alias("r")), "line-shared")
+    maybe = with_membership(lines, F.xxhash64("root"), shared, "r", "maybe")
+    first = maybe.where("maybe").groupBy("root").agg(F.min(place).alias("first"))
+    several = join_hot(maybe.where("maybe").drop("maybe"), first, "root")
+    single = maybe.where("not maybe").drop("maybe").withColumn("first", place)
+    return single.unionByName(several.select(single.columns)).select(
         F.col("id").alias(id_col),
         F.col("key").alias("row_key"),
         F.col("no").alias("line_no"),
         F.col("first.id").alias("keep_id"),
         F.col("first.no").alias("keep_line"),
-        (place.eqNullSafe(F.col("first"))).alias("kept"),
+        place.eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
 def without_lines(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that do not stay taken out of the text; all rows and columns stay."""
-    gone = decided.where("not kept").groupBy("row_key").agg(F.collect_set("line_no").alias("__gone"))
+    gone = decided.where("not kept").groupBy(F.col("row_key").alias("__row")).agg(F.collect_set("line_no").alias("__gone"))
     kept: Column = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    keyed = docs.withColumn("row_key", row_key(docs, id_col, text_col))
-    return keyed.join(gone, "row_key", "left").withColumn(text_col, text).select(*docs.columns)
+    keyed = docs.withColumn("__row", row_key(docs, id_col, text_col))
+    return keyed.join(gone, "__row", "left").withColumn(text_col, text).select(*docs.columns)

@@ -47,6 +47,16 @@ def test_signatures_do_not_depend_on_the_batch():
         assert (D.signatures(pa.array(["skip", *lines]).slice(1)) == whole).all()
 
 
+def test_shingle_hashes_of_odd_lines():
+    lines = ["", "a", "ab", "a\x00", "abcdefg", "abcdefgabcdefg", "é😀é😀é😀é😀é"]
+    with np.errstate(over="ignore"):
+        flat, at = D.shingle_hashes(pa.array(lines))
+        alone = [D.shingle_hashes(pa.array([x]))[0].tolist() for x in lines]
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == alone
+    assert [len(x) for x in alone] == [len(D.shingle_set(x)) for x in lines]
+    assert len({tuple(x) for x in alone}) == len(lines)
+
+
 def test_recall_of_the_bands():
     rng = np.random.default_rng(4)
     found = alike = 0
@@ -76,7 +86,12 @@ def test_forest_connects_what_is_alike():
             lines.append("".join(x))
     sets = [D.shingle_set(x) for x in lines]
     links = [(i, j) for i in range(100) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    got = D.forest(lines, 0.8)
+    with np.errstate(over="ignore"):
+        got = [tuple(x) for x in D.run_links(np.zeros(100, np.int64), pa.array(lines), 0.8).tolist()]
+        assert [len(x) for x in sets] == np.diff(D.shingle_hashes(pa.array(lines))[1]).tolist()
+        pairs = pa.array([x for i, j in [(0, 1), (0, 30), (30, 31), (2, 3)] for x in (lines[i], lines[j])])
+        two = D.run_links(np.repeat(np.arange(4), 2), pairs, 0.8).tolist()
+    assert [t[0] // 2 for t in two] == [n for n, p in enumerate([(1, 0), (30, 0), (31, 30), (3, 2)]) if p in links]
     assert set(got) <= {(i, j) for i, j in links} | {(j, i) for i, j in links}
     assert roots(range(100), got) == roots(range(100), links)
     assert len(got) < 100
