@@ -212,29 +212,50 @@ def _chunks(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def shingle_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(different shingle hashes of all lines, in order; start of each line's and the end); at most ``CHUNK_LINES`` lines."""
+def _hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every shingle, number of its line) with repeats."""
     points, starts = code_points(lines)
     n = np.diff(starts)
-    count = np.maximum(n - SHINGLE + 1, 1)
-    line = np.repeat(np.arange(len(n)), count)
-    at = np.arange(len(line)) + np.repeat(starts[:-1] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
     padded = np.concatenate([points, np.zeros(SHINGLE, np.uint32)]).astype(np.uint64)
-    h = np.repeat(np.minimum(n, SHINGLE).astype(np.uint64), count)
-    short = np.repeat(n < SHINGLE, count)
-    for j in range(SHINGLE):
-        c = padded[at + j]
-        if short.any():  # a short line is one shingle of its own length
-            c = np.where(short & (j >= np.repeat(n, count)), np.uint64(0), c)
-        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+    h = np.full(len(points) + 1, SHINGLE, dtype=np.uint64)
+    for j in range(SHINGLE):  # windows at every place; those over a line's end are not taken
+        h ^= padded[j : j + len(h)]
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    key = line.astype(np.uint64) << np.uint64(HASH_BITS) | _mixed64(h) >> np.uint64(64 - HASH_BITS)
+    count = np.maximum(n - SHINGLE + 1, 1)
+    line = np.repeat(np.arange(len(n), dtype=np.uint64), count)
+    first = np.concatenate([[0], np.cumsum(count)[:-1]])
+    h = h[np.arange(len(line)) + np.repeat(starts[:-1] - first, count)]
+    for i in np.nonzero(n < SHINGLE)[0]:  # a short line is one shingle of its own length
+        h[first[i]] = xxhash.xxh3_64_intdigest(points[starts[i] : starts[i + 1]].tobytes(), int(n[i]))
+    return _mixed64(h), line
+
+
+def _distinct(key: np.ndarray) -> np.ndarray:
     key.sort()
-    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
-    size = np.bincount((key >> np.uint64(HASH_BITS)).astype(np.int64), minlength=len(n))
+    return key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+
+
+def shingle_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(different shingle hashes of all lines, in order; start of each line's and the end); at most ``CHUNK_LINES`` lines."""
+    h, line = _hashes(lines)
+    key = _distinct(line << np.uint64(HASH_BITS) | h >> np.uint64(64 - HASH_BITS))
+    size = np.bincount((key >> np.uint64(HASH_BITS)).astype(np.int64), minlength=len(lines))
     return key & np.uint64((1 << HASH_BITS) - 1), np.concatenate([[0], np.cumsum(size)])
 
 
+def pair_counts(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles in both, shingles of one plus those of the other) of lines 0 and 1, 2 and 3, ...; one sort for all."""
+    h, line = _hashes(lines)
+    side = line & np.uint64(1)
+    cut = np.uint64(64 - HASH_BITS + 1)
+    key = _distinct(line >> np.uint64(1) << np.uint64(HASH_BITS) | h >> cut << np.uint64(1) | side)
+    pair = (key >> np.uint64(HASH_BITS)).astype(np.int64)
+    twice = key[1:] >> np.uint64(1) == key[:-1] >> np.uint64(1)
+    pairs = len(lines) // 2
+    return np.bincount(pair[1:][twice], minlength=pairs), np.bincount(pair, minlength=pairs)
+
+
 def forest(flat: np.ndarray, start: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Links (numbers of lines) of a spanning forest of the lines that are alike, from their sets of shingle hashes.
 
@@ -288,14 +309,9 @@ def run_links(run: np.ndarray, lines: pa.Array, threshold: float) -> np.ndarray:
     size = np.diff(np.concatenate([start, [len(run)]]))
     twos, more = start[size == 2], np.nonzero(size > 2)[0]
     chars = pc.binary_length(lines).to_numpy()
-    for i, j in _chunks(chars[twos] + chars[twos + 1], CHUNK_LINES // 2):  # pairs: a hash in both sets stands twice
+    for i, j in _chunks(chars[twos] + chars[twos + 1], CHUNK_LINES // 2):  # pairs, many at once
         some = twos[i:j]
-        flat, at = shingle_hashes(lines.take(pa.array(np.stack([some, some + 1], axis=1).ravel())))
-        n = np.diff(at).reshape(-1, 2).sum(axis=1)
-        key = np.repeat(np.arange(len(some), dtype=np.uint64), n) << np.uint64(HASH_BITS) | flat
-        key.sort()
-        twice = (key[:-1][key[1:] == key[:-1]] >> np.uint64(HASH_BITS)).astype(np.int64)
-        both = np.bincount(twice, minlength=len(some))
+        both, n = pair_counts(lines.take(pa.array(np.stack([some, some + 1], axis=1).ravel())))
         alike = some[both >= threshold * (n - both)]
         out.append(np.stack([alike, alike + 1], axis=1))
     for r in more:
