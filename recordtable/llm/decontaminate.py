@@ -4,10 +4,13 @@ A text becomes a sequence of template tokens: numbers, names (capitalised
 words that do not start a sentence) and units (unit words after a number)
 are typed placeholders, other words are case-folded. Windows of
 ``window`` template tokens of documents and benchmark items are hashed and
-joined; for a joined window the values in its placeholders are compared: a
-document matches an item at an offset if the item's values map one-to-one to
-the document's (3 -> 7 and Ann -> Bob everywhere), so a re-parameterised
-question is caught and a chance meeting of two templates is not.
+joined; for a joined window the values in its placeholders are compared. With
+``per_window``, as the registered query and the pipeline have it, a window
+matches if each of the item's values in it has one value in the document's (3
+and 4 may both become 5): a verbatim window always does, whatever stands
+around it. By default all windows at an offset are taken together, and the
+item's values must map one-to-one to the document's (3 -> 7 and Ann -> Bob
+everywhere); one changed value then clears verbatim windows beside it too.
 
 A match is at least ``window`` (10) template tokens long, or a whole item that
 is shorter; documents are searched at those items' lengths too.
@@ -187,11 +190,13 @@ def find_leaks(
     item_text_col: str = "text",
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
+    per_window: bool = False,
 ) -> DataFrame:
     """One row per contaminated document row and item: ``<id_col>, <item_col>, row_key, matched_windows, first_token, changed``.
 
     ``first_token``: template token at which the item's first match begins;
     ``changed``: some placeholder's value differs (a re-parameterised copy).
+    ``per_window``: values are compared within each window, not over all windows of an alignment.
     """
     items = _window_rows(benchmark, F.col(item_col), item_text_col, window, min_literals, None, None)
     items = stage(items, "leak-items")
@@ -211,21 +216,24 @@ def find_leaks(
     pairs = pairs.select(
         "id", "key", "item", "pos", "size", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip("item_slots", "slots").alias("values")
     )
-    at = ["id", "key", "item", "shift"]
-    matched = pairs.groupBy(*at).agg(
-        F.count("*").alias("matched_windows"),
-        F.min("pos").alias("first_token"),
-        F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),  # bounded by the item's length
-    )
-    one_to_one = (
-        (F.size(F.array_distinct(F.transform("values", lambda v: v["item_slots"]))) == F.size("values"))
-        & (F.size(F.array_distinct(F.transform("values", lambda v: v["slots"]))) == F.size("values"))
-    )
     changed = F.exists("values", lambda v: v["item_slots"] != v["slots"])
+    item_values = F.size(F.array_distinct(F.transform("values", lambda v: v["item_slots"])))
+    at = ["id", "key", "item", "shift"]
+    if per_window:
+        # each value of the item has one value in the document's window; two may have the same
+        fits = pairs.where(item_values == F.size(F.array_distinct("values"))).withColumn("changed", changed)
+        each = fits.groupBy(*at, "pos").agg(F.min("changed").alias("changed"))
+        matched = each.groupBy(*at).agg(F.count("*").alias("matched_windows"), F.min("pos").alias("first_token"), F.max("changed").alias("changed"))
+    else:
+        pooled = pairs.groupBy(*at).agg(
+            F.count("*").alias("matched_windows"),
+            F.min("pos").alias("first_token"),
+            F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),  # bounded by the item's length
+        )
+        values = F.size(F.array_distinct(F.transform("values", lambda v: v["slots"])))
+        matched = pooled.where((item_values == F.size("values")) & (values == F.size("values"))).withColumn("changed", changed)
     return (
-        matched.where(one_to_one)
-        .withColumn("changed", changed)
-        .groupBy("id", "key", "item")
+        matched.groupBy("id", "key", "item")
         .agg(F.sum("matched_windows").alias("matched_windows"), F.min("first_token").alias("first_token"), F.min("changed").alias("changed"))
         .select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("key").alias("row_key"), "matched_windows", "first_token", "changed")
     )

@@ -5,6 +5,7 @@ import pytest
 from cases import SF_ORACLE, awkward, nothing  # noqa: F401
 
 from recordtable.llm import decontaminate as D
+from recordtable.llm.queries import QUERIES
 
 ITEM = "Ann has 3 apples and gives 2 of them to Bob who then eats 3 apples at home with Ann before 5 km of walking."
 
@@ -98,3 +99,23 @@ def test_awkward_rows(spark, awkward, nothing):
 @pytest.mark.parametrize("copies", [40])
 def test_repeats_within_a_document(spark, copies):
     assert leaks(spark, [" ".join([ITEM] * copies)], [ITEM]) == {(0, 0): False}
+
+
+def leaks_of_query(spark, tmp_path, texts, items):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return {(r.doc_id, r.item_id): r.changed for r in QUERIES["op6_decontamination"](spark, str(tmp_path)).collect()}
+
+
+def test_query_counts_verbatim_windows_beside_a_changed_value(spark, tmp_path):
+    item = "they sold 3 apples and 4 pears to some people who came by with 20 friends in the evening"
+    texts = [
+        ITEM.replace("eats 3", "eats 9"),
+        ITEM.replace("Bob", "Ann"),
+        item.replace("3", "5").replace("4", "5"),  # two values become one
+        "they sold 3 apples and 3 pears to some people who",
+        "they gave 3 apples and 4 pears to all people who came",
+    ]
+    assert leaks_of_query(spark, tmp_path, texts, [ITEM, item]) == dict.fromkeys([(0, 0), (1, 0), (2, 1), (3, 1)], True)
+    same_value = [item.replace("4", "3")]
+    assert leaks_of_query(spark, tmp_path / "one", ["they sold 5 apples and 6 pears to some people who"], same_value) == {}
