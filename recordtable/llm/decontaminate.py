@@ -1,8 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of template tokens: numbers, names (capitalised
-words that do not start a sentence) and units (unit words after a number)
-are typed placeholders, other words are case-folded. Windows of
+words) and units (unit words after a number) are typed placeholders, other
+words are case-folded. A capitalised word that starts a sentence or line, or
+follows a colon, may be a name or not: windows are hashed with every choice of
+the two readings (``k`` such words in a window make at most ``2**k`` hashes),
+so a window matches whatever stands before it. Windows of
 ``window`` template tokens of documents and benchmark items are hashed and
 joined; for a joined window the values in its placeholders are compared. With
 ``per_window``, as the registered query and the pipeline have it, a window
@@ -58,7 +61,7 @@ UNITS = frozenset(
 #: Signs stripped from both ends of a white-space token; a number keeps its currency or per cent sign.
 OUTER = "".join(c for c in string.punctuation if c not in "%$") + "“”„‘’«»‹›¿¡…–—·•"
 WORD, NUMBER, UNIT, CAPITALISED, NOTHING = range(5)
-#: Set beside the kind of a token that ends a sentence.
+#: Set beside the kind of a token that ends a sentence or introduces one.
 STOP = 8
 #: Entries of a task's word table; a fuller one is emptied, which costs time only.
 WORD_TABLE = 1 << 18
@@ -85,7 +88,7 @@ class _Words(dict):
             kind = UNIT
         else:
             kind = NUMBER if any(map(str.isdigit, word)) and word.lstrip("$€£+-")[:1].isdigit() else WORD
-        if any(c in token[len(token.rstrip(OUTER)) :] for c in ".!?"):
+        if any(c in token[len(token.rstrip(OUTER)) :] for c in ".!?:"):
             kind |= STOP
         value = self[token] = xxhash.xxh3_64_intdigest(folded.encode("utf-8", "surrogatepass")) >> 4 << 4 | kind
         return value
@@ -97,26 +100,51 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 def template(tokens: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(template hashes, literal flags, places in ``tokens``) of white-space tokens, bare punctuation left out."""
+    return _template(tokens, words, [])[:3]
+
+
+def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`template`, and flags of literals that may be names. ``lines``: places that start a line."""
     value = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     low = (value & np.uint64(15)).astype(np.int8)
     kind, starts = low & 7, np.ones(len(tokens), dtype=bool)
     starts[1:] = low[:-1] >= STOP
+    starts[lines] = True
     slot = np.zeros(len(tokens), dtype=np.int8)
     slot[kind == NUMBER] = 1
     slot[1:][(kind[1:] == UNIT) & (low[:-1] == NUMBER)] = 2
-    slot[(kind == CAPITALISED) & ~starts] = 3
     at = np.nonzero(kind != NOTHING)[0]
-    slot = slot[at]
+    slot, capitalised = slot[at], kind[at] == CAPITALISED
+    # bare punctuation between a start and a word leaves it a start
+    maybe = capitalised & (np.diff(np.cumsum(starts)[at], prepend=0) > 0)
+    slot[capitalised & ~maybe] = 3
     hashed = np.where(slot > 0, _PLACEHOLDER[slot], value[at] >> np.uint64(4) << np.uint64(4))
-    return hashed, slot == 0, at
+    return hashed, slot == 0, at, maybe
+
+
+def _lines(text: str) -> tuple[list[str], list[int]]:
+    """(white-space tokens, places of those that start a line)."""
+    tokens: list[str] = []
+    starts = []
+    for line in text.splitlines():
+        new = line.split()
+        if new:
+            starts.append(len(tokens))
+            tokens += new
+    return tokens, starts
 
 
 def windows(hashed: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every window of ``size`` template tokens, as a polynomial put together from power-of-two widths."""
+    """Hash of every window of ``size`` template tokens."""
+    return _mix(_sums(hashed, size), size)
+
+
+def _sums(hashed: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial of every window, put together from power-of-two widths."""
     if len(hashed) < size:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        # power: hashes of windows of ``width`` tokens; total: of the ``done`` tokens put together so far
+        # power: sums of windows of ``width`` tokens; total: of the ``done`` tokens put together so far
         power, width, base = hashed, 1, _BASE
         total, done = np.zeros(len(hashed) + 1, dtype=np.uint64), 0
         while True:
@@ -127,12 +155,51 @@ def windows(hashed: np.ndarray, size: int) -> np.ndarray:
                 break
             power, base = power[:-width] * base + power[width:], base * base
             width *= 2
+        return total
+
+
+def _mix(total: np.ndarray, size: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
         h = total ^ np.uint64(size)
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xD6E8FEB86659FD93)
         return h ^ h >> np.uint64(32)
 
 
+#: Windows with doubtful words that are read at a time: at most this many times 2**size hashes are held.
+READ_AT_ONCE = 512
+
+
+def _readings(
+    hashed: np.ndarray, literal: np.ndarray, maybe: np.ndarray, size: int, min_literals: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, hashes, names) of windows in every reading that has ``min_literals``; names: bits of literals read as names."""
+    total = _sums(hashed, size)
+    if not len(total):
+        return
+    before = np.concatenate([[0], np.cumsum(literal)])
+    spare = before[size:] - before[:-size] - min_literals
+    at = np.nonzero(spare >= 0)[0]
+    yield at, _mix(total[at], size), np.zeros(len(at), dtype=object if size > 63 else np.int64)
+    before = np.concatenate([[0], np.cumsum(maybe)])
+    doubtful = np.nonzero((spare > 0) & (before[size:] > before[:-size]))[0]
+    weight = [pow(int(_BASE), size - 1 - o, 1 << 64) for o in range(size)]
+    with np.errstate(over="ignore"):
+        change = np.where(maybe, _PLACEHOLDER[3] - hashed, np.uint64(0))
+        for i in range(0, len(doubtful), READ_AT_ONCE):
+            at = doubtful[i : i + READ_AT_ONCE]
+            first, left, sums = len(at), spare[at], total[at]
+            names = np.zeros(len(at), dtype=object if size > 63 else np.int64)
+            for o in range(size):
+                m = np.nonzero(maybe[at + o] & (left > 0))[0]
+                if len(m):
+                    sums = np.concatenate([sums, sums[m] + change[at[m] + o] * np.uint64(weight[o])])
+                    names = np.concatenate([names, names[m] | 1 << o])
+                    left = np.concatenate([left, left[m] - 1])
+                    at = np.concatenate([at, at[m]])
+            yield at[first:], _mix(sums[first:], size), names[first:]
+
+
 def _windows(
     batches: Iterator[pa.RecordBatch], window: int, min_literals: int, short: list[int] | None, bits: np.ndarray | None
 ) -> Iterator[pa.RecordBatch]:
@@ -146,20 +213,21 @@ def _windows(
         ids, text = b.column("__row"), b.column("__text")
         out: dict[str, list] = {"row": [], "size": [], "h": [], "pos": [], "slots": []}
         for i in range(b.num_rows):
-            tokens = (text[i].as_py() or "").split()
-            hashed, literal, place = template(tokens, words)
+            tokens, lines = _lines(text[i].as_py() or "")
+            hashed, literal, place, maybe = _template(tokens, words, lines)
             if len(words) > WORD_TABLE:
                 words.clear()
             for size in [min(window, len(hashed)) or 1] if short is None else [window, *short]:
-                h = windows(hashed, size)
-                at = np.arange(len(h)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0]
-                for p in at.tolist():
-                    if literal[p : p + size].sum() >= min_literals:
+                for at, h, names in _readings(hashed, literal, maybe, size, min_literals):
+                    hits = range(len(at)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0].tolist()
+                    for k in hits:
+                        p, named = int(at[k]), int(names[k])
                         out["row"].append(i)
                         out["size"].append(size)
-                        out["h"].append(h[p].view(np.int64))
+                        out["h"].append(h[k].view(np.int64))
                         out["pos"].append(p)
-                        out["slots"].append([tokens[place[q]].strip(OUTER) for q in range(p, p + size) if not literal[q]])
+                        slots = [place[p + o] for o in range(size) if not literal[p + o] or named >> o & 1]
+                        out["slots"].append([tokens[q].strip(OUTER) for q in slots])
         yield pa.record_batch(
             {
                 "row": ids.take(pa.array(out["row"], pa.int64())),
@@ -225,6 +293,8 @@ def find_leaks(
         each = fits.groupBy(*at, "pos").agg(F.min("changed").alias("changed"))
         matched = each.groupBy(*at).agg(F.count("*").alias("matched_windows"), F.min("pos").alias("first_token"), F.max("changed").alias("changed"))
     else:
+        # of a window's readings the one with most literals: the others add values that are the same on both sides
+        pairs = pairs.groupBy(*at, "size", "pos").agg(F.min_by("values", F.size("values")).alias("values"))
         pooled = pairs.groupBy(*at).agg(
             F.count("*").alias("matched_windows"),
             F.min("pos").alias("first_token"),

@@ -119,3 +119,41 @@ def test_query_counts_verbatim_windows_beside_a_changed_value(spark, tmp_path):
     assert leaks_of_query(spark, tmp_path, texts, [ITEM, item]) == dict.fromkeys([(0, 0), (1, 0), (2, 1), (3, 1)], True)
     same_value = [item.replace("4", "3")]
     assert leaks_of_query(spark, tmp_path / "one", ["they sold 5 apples and 6 pears to some people who"], same_value) == {}
+
+
+def test_readings_are_windows_of_the_changed_tokens():
+    words = D._Words()
+    hashed, literal, _, maybe = D._template("Ann ran. Bob ate. Then: Eve saw Tom go home".split(), words, [])
+    assert [int(i) for i in np.nonzero(maybe)[0]] == [0, 2, 4, 5]
+    tokens, lines = D._lines("so Ann\n - Bob saw\n\n Eve")
+    assert D._template(tokens, words, lines)[3].tolist() == [False, False, True, False, True]
+    for size in (3, 6, 10):
+        got = {(int(p), int(b)): int(x) for at, h, names in D._readings(hashed, literal, maybe, size, 1) for p, x, b in zip(at, h, names, strict=True)}
+        want = {}
+        for p in range(len(hashed) - size + 1):
+            for bits in range(1 << size):
+                read = [o for o in range(size) if bits >> o & 1]
+                if all(maybe[p + o] for o in read) and literal[p : p + size].sum() - len(read) >= 1:
+                    changed = hashed.copy()
+                    changed[[p + o for o in read]] = D._PLACEHOLDER[3]
+                    want[p, bits] = int(D.windows(changed, size)[p])
+        assert got == want
+
+
+def test_names_that_start_sentences(spark, tmp_path):
+    item = "Ann has 3 apples. Ann buys 4 pears at the market. Bob takes 2 apples from Ann. The rest is left."
+    short = "Where do the birds of the north go"
+    named = "Rome is where the emperors lived"
+    texts = [
+        item.replace("Ann", "Eve").replace("Bob", "Tom"),
+        "Question: " + item.replace("Ann", "Eve").replace("Bob", "Tom").replace("The rest", "the rest"),
+        f"Question: {short}? Answer",
+        f"# A Heading\n{short}",
+        f"and we ask {short} in winter",
+        f"Places\n{named.replace('Rome', 'Paris')}\n",
+        f"as said {named}",
+        "rome was where the emperors lived",
+    ]
+    assert leaks_of_query(spark, tmp_path, texts, [item, short, named]) == {
+        (0, 0): True, (1, 0): True, (2, 1): False, (3, 1): False, (4, 1): False, (5, 2): True, (6, 2): False
+    }
