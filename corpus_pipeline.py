@@ -32,7 +32,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark passage."""
-    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"), per_window=True)
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"), per_window=True, verbatim=True)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

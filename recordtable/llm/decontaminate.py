@@ -23,9 +23,13 @@ table built from the benchmark's windows, whatever the benchmark's size, and
 what passes is hash-joined by Spark. Nothing else of either side is
 broadcast or collected.
 
-Defined results: null and empty texts match nothing; an item with fewer than
-``min_literals`` ordinary words in a window is not matched there (placeholders
-alone would match everything); repeated rows give the same
+A window with fewer than ``min_literals`` ordinary words would match by
+placeholders alone. With ``verbatim``, as the registered query and the pipeline
+have it, it matches where all its words, numbers and names are the same but
+for case; a whole item of a single word then matches wherever that word
+stands. By default such windows match nothing.
+
+Defined results: null and empty texts match nothing; repeated rows give the same
 result; rows of equal id are reported once per id and item; other columns
 are ignored.
 """
@@ -103,8 +107,8 @@ def template(tokens: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray,
     return _template(tokens, words, [])[:3]
 
 
-def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As :func:`template`, and flags of literals that may be names. ``lines``: places that start a line."""
+def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.ndarray, ...]:
+    """As :func:`template`, flags of literals that may be names, and word hashes. ``lines``: places that start a line."""
     value = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     low = (value & np.uint64(15)).astype(np.int8)
     kind, starts = low & 7, np.ones(len(tokens), dtype=bool)
@@ -118,8 +122,8 @@ def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.nd
     # bare punctuation between a start and a word leaves it a start
     maybe = capitalised & (np.diff(np.cumsum(starts)[at], prepend=0) > 0)
     slot[capitalised & ~maybe] = 3
-    hashed = np.where(slot > 0, _PLACEHOLDER[slot], value[at] >> np.uint64(4) << np.uint64(4))
-    return hashed, slot == 0, at, maybe
+    word = value[at] >> np.uint64(4) << np.uint64(4)
+    return np.where(slot > 0, _PLACEHOLDER[slot], word), slot == 0, at, maybe, word
 
 
 def _lines(text: str) -> tuple[list[str], list[int]]:
@@ -200,12 +204,30 @@ def _readings(
             yield at[first:], _mix(sums[first:], size), names[first:]
 
 
+#: Keeps hashes of windows of words from meeting those of templates.
+_VERBATIM = np.uint64(0xA5A5A5A5A5A5A5A5)
+
+
+def _verbatim(word: np.ndarray, literal: np.ndarray, maybe: np.ndarray, size: int, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes of all words) of windows that have fewer than ``below`` literals in some reading."""
+    h = windows(word, size) ^ _VERBATIM
+    sure = np.concatenate([[0], np.cumsum(literal & ~maybe)])
+    at = np.nonzero(sure[size:] - sure[:-size] < below)[0] if len(h) else np.arange(0)
+    return at, h[at]
+
+
 def _windows(
-    batches: Iterator[pa.RecordBatch], window: int, min_literals: int, short: list[int] | None, bits: np.ndarray | None
+    batches: Iterator[pa.RecordBatch],
+    window: int,
+    min_literals: int,
+    short: list[int] | None,
+    bits: np.ndarray | None,
+    verbatim: bool,
 ) -> Iterator[pa.RecordBatch]:
     """Windows of each row: (row, size, hash, position, slot values). ``short``: sizes to search for besides.
 
     Without ``short`` the rows are benchmark items: those below ``window`` are one window of their own length.
+    ``verbatim``: windows that may lack ``min_literals`` come with the hash of their words too, without slot values.
     """
     words = _Words()
     table = None if bits is None else np.unpackbits(bits).astype(bool)
@@ -214,7 +236,7 @@ def _windows(
         out: dict[str, list] = {"row": [], "size": [], "h": [], "pos": [], "slots": []}
         for i in range(b.num_rows):
             tokens, lines = _lines(text[i].as_py() or "")
-            hashed, literal, place, maybe = _template(tokens, words, lines)
+            hashed, literal, place, maybe, word = _template(tokens, words, lines)
             if len(words) > WORD_TABLE:
                 words.clear()
             for size in [min(window, len(hashed)) or 1] if short is None else [window, *short]:
@@ -228,6 +250,16 @@ def _windows(
                         out["pos"].append(p)
                         slots = [place[p + o] for o in range(size) if not literal[p + o] or named >> o & 1]
                         out["slots"].append([tokens[q].strip(OUTER) for q in slots])
+                if verbatim:
+                    # a document's reading of the same words may have fewer literals or more: all its windows are looked up
+                    at, h = _verbatim(word, literal, maybe, size, min_literals if short is None else size + 1)
+                    hits = range(len(at)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0].tolist()
+                    for k in hits:
+                        out["row"].append(i)
+                        out["size"].append(size)
+                        out["h"].append(h[k].view(np.int64))
+                        out["pos"].append(int(at[k]))
+                        out["slots"].append([])
         yield pa.record_batch(
             {
                 "row": ids.take(pa.array(out["row"], pa.int64())),
@@ -259,14 +291,16 @@ def find_leaks(
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
     per_window: bool = False,
+    verbatim: bool = False,
 ) -> DataFrame:
     """One row per contaminated document row and item: ``<id_col>, <item_col>, row_key, matched_windows, first_token, changed``.
 
     ``first_token``: template token at which the item's first match begins;
     ``changed``: some placeholder's value differs (a re-parameterised copy).
     ``per_window``: values are compared within each window, not over all windows of an alignment.
+    ``verbatim``: windows and whole items below ``min_literals`` match where all their words are the same.
     """
-    items = _window_rows(benchmark, F.col(item_col), item_text_col, window, min_literals, None, None)
+    items = _window_rows(benchmark, F.col(item_col), item_text_col, window, min_literals, None, None, verbatim)
     items = stage(items, "leak-items")
     # at most 2**TABLE_BITS slots and ``window`` sizes reach the driver; tasks get 512 KB
     slots = items.select(F.shiftrightunsigned("h", 64 - TABLE_BITS).cast("int").alias("s")).distinct().toPandas()["s"]
@@ -275,7 +309,7 @@ def find_leaks(
     short = [r["size"] for r in items.where(F.col("size") < window).select("size").distinct().collect()]
 
     row = F.struct(F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"))
-    found = _window_rows(docs, row, text_col, window, min_literals, short, np.packbits(table))
+    found = _window_rows(docs, row, text_col, window, min_literals, short, np.packbits(table), verbatim)
     found = stage(found.select("row.id", "row.key", "size", "h", "pos", "slots").distinct(), "leak-windows")
 
     known = items.select(F.col("row").alias("item"), "size", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))

@@ -77,7 +77,7 @@ def q_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    leaks = op6.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), per_window=True)
+    leaks = op6.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), per_window=True, verbatim=True)
     return leaks.drop("row_key")
 
 

@@ -123,7 +123,7 @@ def test_query_counts_verbatim_windows_beside_a_changed_value(spark, tmp_path):
 
 def test_readings_are_windows_of_the_changed_tokens():
     words = D._Words()
-    hashed, literal, _, maybe = D._template("Ann ran. Bob ate. Then: Eve saw Tom go home".split(), words, [])
+    hashed, literal, _, maybe, _ = D._template("Ann ran. Bob ate. Then: Eve saw Tom go home".split(), words, [])
     assert [int(i) for i in np.nonzero(maybe)[0]] == [0, 2, 4, 5]
     tokens, lines = D._lines("so Ann\n - Bob saw\n\n Eve")
     assert D._template(tokens, words, lines)[3].tolist() == [False, False, True, False, True]
@@ -157,3 +157,17 @@ def test_names_that_start_sentences(spark, tmp_path):
     assert leaks_of_query(spark, tmp_path, texts, [item, short, named]) == {
         (0, 0): True, (1, 0): True, (2, 1): False, (3, 1): False, (4, 1): False, (5, 2): True, (6, 2): False
     }
+
+
+def test_verbatim_windows_of_few_words(spark, tmp_path):
+    items = ["What is 12 + 15 ?", "Solve 3x + 4 = 10", "1 2 3 4 5 6 7 8 9 10 11 12", "Ann met Bob Eve Tom Joe Max Ida Leo Kim Una Zoe"]
+    texts = [
+        "Question: what is 12 + 15? Answer: 27",
+        "now solve 3x + 4 = 10 for x",
+        "rows\n2 3 4 5 6 7 8 9 10 11\n",
+        "and Bob Eve Tom Joe Max Ida Leo Kim Una Zoe went",
+        "What is 12 + 16 ? Solve 3x + 4 = 11",
+        "2 3 4 5 6 7 8 9 10 12",
+        "and Bob Eve Tom Joe Max Ida Leo Kim Una Pat went",
+    ]
+    assert leaks_of_query(spark, tmp_path, texts, items) == {(0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False}
