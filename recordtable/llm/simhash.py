@@ -277,7 +277,10 @@ def near_duplicates(
     max_distance: int = MAX_DISTANCE,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per input row: ``<id_col>, fingerprint, component_id, row_key``."""
+    """One row per input row: ``<id_col>, fingerprint, component_id, row_key, root``.
+
+    ``root`` names the component; several components may have the same ``component_id`` (null, or an id that repeats).
+    """
     rows = docs.select(
         F.struct(F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key")).alias("__row"),
         F.col(text_col).alias("__text"),
@@ -292,26 +295,25 @@ def near_duplicates(
     roots = connected_components(fingerprint_links(distinct, max_distance, block))
     grouped = distinct.join(roots, distinct.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = join_hot(grouped.select("fp", "root"), least, "root").select("fp", "component_id")
+    named = join_hot(grouped.select("fp", "root"), least, "root").select("fp", "component_id", "root")
     return marked.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         F.col("key").alias("row_key"),
+        "root",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the row of the smallest id of each group (one copy of it, if it repeats); all columns stay."""
-    marked = near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "component_id", "row_key")
+    marked = near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "root", "row_key")
     marked = stage(marked, "simhash-groups")
-    stays = F.col("id").eqNullSafe(F.col("component_id"))
-    # several rows of different texts may bear the smallest id: the one of the smallest key stays
-    keeper = marked.where(stays).groupBy("component_id").agg(F.min("row_key").alias("keeper"))
+    # several rows of different texts may bear the smallest id: the one of the smallest key stays; null ids come last
+    keeper = marked.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_key"))["row_key"].alias("keeper"))
+    keys = marked.groupBy("root", F.col("row_key").alias("__key")).agg(F.count("*").alias("__n"))
     removed = (
-        marked.groupBy("component_id", F.col("row_key").alias("__key"))
-        .agg(F.count("*").alias("__n"))
-        .join(keeper.withColumnRenamed("component_id", "c"), F.col("component_id").eqNullSafe(F.col("c")))
+        join_hot(keys, keeper, "root")
         .withColumn("__keep", (F.col("__key") == F.col("keeper")).cast("int"))
         .where("__keep < __n")
         .select("__key", "__keep")

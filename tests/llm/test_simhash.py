@@ -99,6 +99,19 @@ def test_drop(spark, awkward):
     assert S.drop_near_duplicates(awkward.limit(0)).count() == 0
 
 
+def test_drop_keeps_a_row_of_each_component(spark):
+    rows = [
+        (None, "one text without an id about the weather in spring"),
+        (None, "something else entirely, on ships and harbours, without an id"),
+        (None, "something else entirely, on ships and harbours, without an id"),
+        (5, "a text under a repeated id that tells of mountains"),
+        (5, "quite another one under that id, which lists kinds of bread"),
+        (None, "a text under a repeated id that tells of mountains"),
+    ]
+    left = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert Counter(map(tuple, left)) == Counter([rows[0], rows[1], rows[3], rows[4]])
+
+
 def test_empty(spark, nothing):
     assert S.near_duplicates(nothing).count() == 0
 
