@@ -38,7 +38,21 @@ SPELLINGS = (
     ("&", " and "),
 )
 
-# Patterns of canonicalisation, the same in Java and RE2.
+# The spellings of two words where a line ends between them, as (pattern, replacement).
+_LINE_END = r"([ \t]*\n[\s*#/;<!-]*)"
+WRAPPED_SPELLINGS = (
+    (rf"copyright{_LINE_END}holder", "copyright$1owner"),
+    (rf"\bper{_LINE_END}cent\b", "percent$1"),
+    (rf"\bfulfil{_LINE_END}", "fulfill$1"),
+)
+
+#: Words after "copyright" with which a sentence of a licence goes on, also on the next line: no copyright statement.
+_GOES_ON = "holders?|owners?|notices?|interests?|laws?|licen[cs]es?|permissions?|statements?|disclaimers?|protection|treaty|acts?|and|or|in|is|of|to"
+# Patterns of canonicalisation. COPYRIGHT_LINE is the SQL twin's, which has no look-ahead: it takes any
+# line that begins with the word.
+COPYRIGHT_STATEMENT = (
+    r"(^|\n)[ \t*#/;<!-]*(copyright\b(?![\s*#/;<!-]*(" + _GOES_ON + r")\b)|\(c\)|©|all rights reserved)[^\n]*"
+)
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/;<!-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
@@ -164,8 +178,9 @@ def known_licenses() -> list[tuple[str, str, str]]:
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form of a text's lines that have letters or digits."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
+    out = F.regexp_replace(F.lower(text), COPYRIGHT_STATEMENT, "$1")
     out = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), SPELLINGS, out)
+    out = reduce(lambda t, s: F.regexp_replace(t, *s), WRAPPED_SPELLINGS, out)
     out = F.regexp_replace(out, NOT_WORD, " ")
     lines = F.transform(F.split(out, "\n"), lambda x: F.trim(x))
     return F.filter(lines, lambda x: x != "")

@@ -1,5 +1,7 @@
 """Licence scan: variants of known texts, and near misses."""
 
+import textwrap
+
 from cases import awkward, nothing  # noqa: F401
 
 from recordtable.llm import licenses as L
@@ -25,6 +27,17 @@ def test_known_texts_in_other_dress(spark):
     assert scan(spark, texts) == {n: (i, []) for n, i in enumerate(ids)}
 
 
+def test_known_texts_at_any_width(spark):
+    texts, want = [], []
+    for i, text in TEXT.items():
+        for width in range(12, 110, 3):
+            texts.append("Copyright (c) 2020 A. Person\nCopyright The Authors\n\n" + "\n".join(textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)))
+            want.append((i, []))
+    texts.append(" * " + TEXT["MIT"].replace(" COPYRIGHT ", "\n * COPYRIGHT\n * "))
+    want.append(("MIT", []))
+    assert scan(spark, texts) == dict(enumerate(want))
+
+
 def test_near_misses(spark):
     texts = [TEXT["MIT"] + " And one more word.", TEXT["MIT"].replace("free of charge", "for a fee"), TEXT["MIT"][:-20], "Some MIT licensed thing"]
     assert scan(spark, texts) == {n: (None, []) for n in range(4)}
