@@ -3,16 +3,24 @@
 Base spans are found by pattern alone (``assign``, ``access``, ``hex``). Weak
 parts are common in clean text and reported only in company: a credential is
 an identifier, a secret and often an endpoint, so a weak part counts when the
-complementary part starts within ``scope`` code points of it:
+complementary part is within ``scope`` code points of it:
 
 * ``weak_id`` (user, client id, ...): a secret in scope;
-* ``weak_secret`` (a short assigned value, a bare 40-character key): an identifier or an endpoint in scope;
+* ``weak_secret`` (a short assigned value, a bare key of 40 characters): an identifier or an endpoint in scope;
 * ``endpoint`` (a URL with a scheme): both an identifier and a secret in scope.
 
 Identifiers are ``access`` and ``weak_id``, secrets are ``assign``, ``hex``
 and ``weak_secret``.
 
-The interval join works on cells of ``scope`` code points: each part joins the
+With ``by_gap``, as the registered query has it, the distance of two parts is
+the gap from the end of one to the start of the other, so a long token or URL
+does not put its neighbours out of scope, and bare keys of more than 40
+characters count too. The parts of a text are swept in order of position: a
+part has company of a class if, among the parts of that class that start up to
+``scope`` after its end, the last end is at most ``scope`` before its start.
+
+By default starts are compared with starts, and a bare key has exactly 40
+characters. The interval join then works on cells of ``scope`` code points: each part joins the
 summary of its cell (for each class: last start of the cell before, any in the
 cell, first start of the cell after), which decides exactly whether a part of
 that class is in scope. Summaries are partial aggregates; pairs of parts are
@@ -25,7 +33,9 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordtable.llm.common import row_key, stage
@@ -83,7 +93,7 @@ def _none() -> Column:
     return F.expr(f"cast(array() as {_SPAN})")
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
+def _parts(text: Column, by_gap: bool = False) -> tuple[Column, Column]:
     """(base spans, weak parts) of a text; the plain tests before the patterns are conditions of any match."""
     assigns = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
     assign = _matches(text, ASSIGN, 2)
@@ -93,7 +103,7 @@ def _parts(text: Column) -> tuple[Column, Column]:
         F.when(text.rlike(HEX), _spans(_matches(text, HEX), "hex")).otherwise(_none()),
     )
     short = F.filter(assign, lambda x: (x["size"] >= LEAST_WEAK_SECRET) & (x["size"] < LEAST_SECRET))
-    bare = F.filter(_matches(text, KEY_RUN), lambda x: x["size"] == KEY_LENGTH)
+    bare = F.filter(_matches(text, KEY_RUN), lambda x: F.lit(by_gap) | (x["size"] == KEY_LENGTH))
     weak = F.concat(
         F.when(assigns, F.concat(_spans(_matches(text, WEAK_ID), "weak_id"), _spans(short, "weak_secret"))).otherwise(_none()),
         F.when(text.rlike(KEY_RUN), _spans(bare, "weak_secret")).otherwise(_none()),
@@ -102,6 +112,35 @@ def _parts(text: Column) -> tuple[Column, Column]:
     return base, weak
 
 
+def _counts(near: Callable[[int], Column]) -> Column:
+    """Whether part ``p`` is reported, by the classes that are near it."""
+    kind = F.col("p.kind")
+    return (
+        F.when(kind == KINDS.index("weak_id"), near(SECRET))
+        .when(kind == KINDS.index("weak_secret"), near(IDENTIFIER) | near(END))
+        .when(kind == KINDS.index("endpoint"), near(IDENTIFIER) & near(SECRET))
+        .otherwise(F.lit(False))
+    )
+
+
+def _linked_by_gap(parts: DataFrame, scope: int) -> DataFrame:
+    """As :func:`_linked`, by the gap between parts."""
+    class_of = F.element_at(F.array(*map(F.lit, CLASS_OF)), F.col("p.kind") + 1)
+    each = parts.where(F.size("weak") > 0).select("key", F.explode(F.concat("base", "weak")).alias("p"))
+    each = each.select("key", "p", class_of.alias("class"))
+    # a part is seen from its start on and asks, if weak, ``scope`` after its end
+    seen = each.select("*", F.col("p.start").alias("at"), F.lit(0).alias("asks"))
+    asks = each.where(F.col("p.kind") >= KINDS.index("weak_id")).select("*", F.col("p.end") + scope, F.lit(1))
+    order = Window.partitionBy("key").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = [F.max(F.when(F.col("class") == c, F.col("p.end"))).over(order).alias(f"end{c}") for c in (IDENTIFIER, SECRET, END)]
+
+    def near(c: int) -> Column:
+        return F.coalesce(F.col(f"end{c}") >= F.col("p.start") - scope, F.lit(False))
+
+    swept = seen.union(asks).select("*", *ends)
+    return swept.where((F.col("asks") == 1) & _counts(near)).groupBy("key").agg(F.collect_set("p").alias("extra"))
+
+
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """``key, extra``: the weak parts of each text that have their complement in scope."""
     class_of = F.element_at(F.array(*map(F.lit, CLASS_OF)), F.col("p.kind") + 1)
@@ -135,18 +174,13 @@ def _linked(parts: DataFrame, scope: int) -> DataFrame:
             | F.coalesce(F.col(f"after{c}") - start <= scope, F.lit(False))
         )
 
-    kind = F.col("p.kind")
-    counts = (
-        F.when(kind == KINDS.index("weak_id"), near(SECRET))
-        .when(kind == KINDS.index("weak_secret"), near(IDENTIFIER) | near(END))
-        .when(kind == KINDS.index("endpoint"), near(IDENTIFIER) & near(SECRET))
-        .otherwise(F.lit(False))
-    )
     weak = each.where(F.col("p.kind") >= KINDS.index("weak_id"))
-    return weak.join(around, ["key", "cell"]).where(counts).groupBy("key").agg(F.collect_set("p").alias("extra"))
+    return weak.join(around, ["key", "cell"]).where(_counts(near)).groupBy("key").agg(F.collect_set("p").alias("extra"))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, by_gap: bool = False
+) -> DataFrame:
     """One row per input row: ``<id_col>, row_key, base, spans``, the last two ``array<struct<start, kind, end>>``.
 
     ``kind`` is a place in :data:`KINDS`; spans are in order of start, kind, end.
@@ -154,12 +188,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(
         F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    base, weak = _parts(F.col("text"))
+    base, weak = _parts(F.col("text"), by_gap)
     parts = rows.select("id", "key", F.array_sort(base).alias("base"), weak.alias("weak"))
     # a bare key inside a base span is no finding of its own
     inside = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"])))
     parts = stage(parts.withColumn("weak", inside), "secret-parts")
-    joined = parts.join(_linked(parts, scope), "key", "left")
+    joined = parts.join((_linked_by_gap if by_gap else _linked)(parts, scope), "key", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", _none())))
     return joined.select(F.col("id").alias(id_col), F.col("key").alias("row_key"), "base", spans.alias("spans"))
 

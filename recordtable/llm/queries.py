@@ -120,7 +120,7 @@ LEFT JOIN whole USING (digest) LEFT JOIN named USING (doc_id)
 
 
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = op8.scan_secrets(read_table(spark, sf_dir, "documents"))
+    found = op8.scan_secrets(read_table(spark, sf_dir, "documents"), by_gap=True)
 
     def count(kind: str) -> Column:
         number = op8.KINDS.index(kind)

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from recordtable.llm import credentials as C
+from recordtable.llm.queries import QUERIES
 
 PATTERNS = {
     "assign": (re.compile(C.ASSIGN, re.A), 2, 12, 10**9),
@@ -107,3 +108,38 @@ def test_table(spark):
 def test_no_python_in_the_plan(spark, awkward, capsys):
     C.scan_secrets(awkward).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def spans_by_gap(text, scope=C.SCOPE):
+    base = base_spans(text)
+    weak = [(m.start(), 3, m.end()) for m in re.compile(C.WEAK_ID, re.A).finditer(text)]
+    weak += [(m.start(), 4, m.end()) for m in re.compile(C.ASSIGN, re.A).finditer(text) if 4 <= len(m[2]) < 12]
+    weak += [(m.start(), 4, m.end()) for m in re.compile(C.KEY_RUN).finditer(text)]
+    weak += [(m.start(), 5, m.end()) for m in re.compile(C.ENDPOINT, re.A).finditer(text)]
+    weak = [w for w in weak if not any(b[0] <= w[0] and w[2] <= b[2] for b in base)]
+
+    def near(w, c):
+        return any(C.CLASS_OF[p[1]] == c and max(p[0] - w[2], w[0] - p[2]) <= scope for p in base + weak)
+
+    rules = {3: lambda w: near(w, 1), 4: lambda w: near(w, 0) or near(w, 2), 5: lambda w: near(w, 0) and near(w, 1)}
+    return sorted([*base, *{w for w in weak if rules[w[1]](w)}])
+
+
+def test_query_measures_gaps(spark, tmp_path):
+    jwt, url = "token=" + "eyJhbG.x-" * 33, "https://h.example/" + "path/" * 80
+    texts = [
+        jwt + " client_id=abc",
+        "client_id=abc " + jwt,
+        url + " user=bob token=abcdef",
+        "user=bob token=abcdef " + url,
+        *(jwt + " " * n + "client_id=abc" for n in (255, 256, 257)),
+        *("client_id=abc" + " " * n + jwt for n in (255, 256, 257)),
+        *(f"user=bob {'kE' * (n // 2)}{'+' * (n % 2)} x" for n in (39, 40, 43, 64, 88)),
+        "kE" * 32,
+        *cases(),
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in QUERIES["op8_secrets"](spark, str(tmp_path)).collect()}
+    assert got == {i: ",".join(f"{C.KINDS[k]}:{a}:{b}" for a, k, b in spans_by_gap(t)) for i, t in enumerate(texts)}
+    kinds = [{s.split(":")[0] for s in got[i].split(",") if s} for i in range(16)]
+    assert [len(k) for k in kinds] == [2, 2, 3, 3, 2, 2, 1, 2, 2, 1, 0, 2, 2, 2, 2, 0]
