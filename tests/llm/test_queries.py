@@ -28,6 +28,9 @@ COLUMNS = {
     "op8_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op10_simhash": "doc_id fingerprint component_id",
+    "op11_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op12_conversation_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
