@@ -12,22 +12,38 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from recordtable.llm import bytebpe
 from recordtable.llm import packing as P
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ENCODER = P.byte_bpe(PATH)
+ENCODER = bytebpe.encoder(PATH)
 TOKENIZER = Tokenizer.from_file(PATH)
 
 
 @settings(deadline=None, max_examples=300)
 @given(st.text(max_size=80) | st.text(alphabet=st.sampled_from("ab1 2.é\n\t'sß世  <|endoftext>"), max_size=80))
 def test_ids_are_those_of_the_tokenizers_library(text):
-    assert ENCODER.encode(text, allowed_special="all") == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert ENCODER.encode(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_with_special_token():
     text = "a<|endoftext|> b<|endoftext|><|endoftext"
-    assert ENCODER.encode(text, allowed_special="all") == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert ENCODER.encode(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+RUN = 1_000_000
+LONG_RUNS = [" " * RUN + "x", "\n" * RUN + "x", "\t" * RUN, " \n\t\r" * (RUN // 4) + "y", "a" + " " * RUN + "b", "a\n" + "\u3000 " * (RUN // 2) + "é", "a" * RUN]
+
+
+@pytest.mark.parametrize("n", range(len(LONG_RUNS)))
+def test_long_runs(n):
+    assert ENCODER.encode(LONG_RUNS[n]) == TOKENIZER.encode(LONG_RUNS[n], add_special_tokens=False).ids
+
+
+def test_long_runs_through_the_operator(spark):
+    docs = spark.createDataFrame(list(enumerate(LONG_RUNS)), "doc_id long, text string").repartition(4)
+    rows = P.pack_documents(docs, PATH, carry={}).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n - 1 for r in rows} == {i: len(TOKENIZER.encode(t, add_special_tokens=False).ids) for i, t in enumerate(LONG_RUNS)}
 
 
 @cache
