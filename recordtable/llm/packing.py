@@ -41,7 +41,7 @@ PATIENCE = 2
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    encode = bytebpe.encoder(vocabulary).encode
+    encode = bytebpe.encoder(vocabulary).ids_of
     for b in batches:
         ids, text = b.column("__id"), b.column("__text")
         for at in range(0, b.num_rows, 128):
