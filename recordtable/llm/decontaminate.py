@@ -7,27 +7,25 @@ follows a colon, may be a name or not: windows are hashed with every choice of
 the two readings (``k`` such words in a window make at most ``2**k`` hashes),
 so a window matches whatever stands before it. Windows of
 ``window`` template tokens of documents and benchmark items are hashed and
-joined; for a joined window the values in its placeholders are compared. With
-``per_window``, as the registered query and the pipeline have it, a window
+joined; for a joined window the values in its placeholders are compared. It
 matches if each of the item's values in it has one value in the document's (3
 and 4 may both become 5): a verbatim window always does, whatever stands
-around it. By default all windows at an offset are taken together, and the
-item's values must map one-to-one to the document's (3 -> 7 and Ann -> Bob
-everywhere); one changed value then clears verbatim windows beside it too.
+around it.
 
 A match is at least ``window`` (10) template tokens long, or a whole item that
-is shorter; documents are searched at those items' lengths too.
-
-Whole texts are read in tasks (Arrow batches); windows pass a fixed-size bit
-table built from the benchmark's windows, whatever the benchmark's size, and
-what passes is hash-joined by Spark. Nothing else of either side is
-broadcast or collected.
+is shorter; documents are searched at those items' lengths too. An item of
+fewer than ``SHORT_ITEM`` (4) template tokens names nothing in particular: it
+matches only a document that has no other tokens.
 
 A window with fewer than ``min_literals`` ordinary words would match by
-placeholders alone. With ``verbatim``, as the registered query and the pipeline
-have it, it matches where all its words, numbers and names are the same but
-for case; a whole item of a single word then matches wherever that word
-stands. By default such windows match nothing.
+placeholders alone; it matches where all its words, numbers and names are the
+same but for case.
+
+Whole texts are read in tasks (Arrow batches). A window is hashed only if all
+its neighbouring tokens, in some reading, are neighbours in the benchmark too, by a
+bit table of fixed size that never says no wrongly; its hash then passes a second
+such table, built from the benchmark's windows, and what passes is
+hash-joined by Spark. Nothing else of either side is broadcast or collected.
 
 Defined results: null and empty texts match nothing; repeated rows give the same
 result; rows of equal id are reported once per id and item; other columns
@@ -41,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +48,13 @@ from recordtable.llm.common import remove_rows, row_key, stage
 
 WINDOW = 10
 MIN_LITERALS = 5
-#: log2 of the slots of the bit table that windows pass before the join (2**22 slots: 4 MB in a task).
+SHORT_ITEM = 4
+#: log2 of the slots of each of the two bit tables (2**22 slots: 4 MB in a task).
 TABLE_BITS = 22
+#: Stretches of windows to hash that are closer than this are taken together.
+STRETCH = 64
+#: Characters of documents whose tokens are worked on together (a longer document by itself).
+READ_CHARACTERS = 1 << 18
 
 # Unit words and signs, read as units only after a number.
 UNITS = frozenset(
@@ -68,7 +72,11 @@ WORD, NUMBER, UNIT, CAPITALISED, NOTHING = range(5)
 #: Set beside the kind of a token that ends a sentence or introduces one.
 STOP = 8
 #: Entries of a task's word table; a fuller one is emptied, which costs time only.
-WORD_TABLE = 1 << 18
+WORD_TABLE = 1 << 19
+
+
+_STOPS = frozenset(".!?:")
+_HIGH = (1 << 64) - 16
 
 
 class _Words(dict):
@@ -77,7 +85,7 @@ class _Words(dict):
     def __missing__(self, token: str) -> int:
         if token.islower() and token.isalpha():  # most tokens
             kind = UNIT if token in UNITS else WORD
-            value = self[token] = xxhash.xxh3_64_intdigest(token.encode()) >> 4 << 4 | kind
+            value = self[token] = xxhash.xxh3_64_intdigest(token) & _HIGH | kind
             return value
         word = token.strip(OUTER)
         folded = word.lower()
@@ -91,10 +99,10 @@ class _Words(dict):
         elif folded in UNITS:
             kind = UNIT
         else:
-            kind = NUMBER if any(map(str.isdigit, word)) and word.lstrip("$€£+-")[:1].isdigit() else WORD
-        if any(c in token[len(token.rstrip(OUTER)) :] for c in ".!?:"):
+            kind = NUMBER if word.lstrip("$€£+-")[:1].isdigit() else WORD
+        if not _STOPS.isdisjoint(token[len(token.rstrip(OUTER)) :]):
             kind |= STOP
-        value = self[token] = xxhash.xxh3_64_intdigest(folded.encode("utf-8", "surrogatepass")) >> 4 << 4 | kind
+        value = self[token] = xxhash.xxh3_64_intdigest(folded.encode("utf-8", "surrogatepass")) & _HIGH | kind
         return value
 
 
@@ -107,8 +115,11 @@ def template(tokens: list[str], words: _Words) -> tuple[np.ndarray, np.ndarray,
     return _template(tokens, words, [])[:3]
 
 
-def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.ndarray, ...]:
-    """As :func:`template`, flags of literals that may be names, and word hashes. ``lines``: places that start a line."""
+def _template(tokens: list[str], words: _Words, lines: list[int], texts: list[int] | None = None) -> tuple[np.ndarray, ...]:
+    """As :func:`template`, flags of literals that may be names, and word hashes.
+
+    ``lines``: places that start a line; ``texts``: places that start another text, whose tokens see none before.
+    """
     value = np.fromiter(map(words.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     low = (value & np.uint64(15)).astype(np.int8)
     kind, starts = low & 7, np.ones(len(tokens), dtype=bool)
@@ -117,6 +128,8 @@ def _template(tokens: list[str], words: _Words, lines: list[int]) -> tuple[np.nd
     slot = np.zeros(len(tokens), dtype=np.int8)
     slot[kind == NUMBER] = 1
     slot[1:][(kind[1:] == UNIT) & (low[:-1] == NUMBER)] = 2
+    if texts:
+        slot[[t for t in texts if t < len(tokens) and slot[t] == 2]] = 0
     at = np.nonzero(kind != NOTHING)[0]
     slot, capitalised = slot[at], kind[at] == CAPITALISED
     # bare punctuation between a start and a word leaves it a start
@@ -216,49 +229,133 @@ def _verbatim(word: np.ndarray, literal: np.ndarray, maybe: np.ndarray, size: in
     return at, h[at]
 
 
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - TABLE_BITS)
+
+
+def _pairs(hashed: np.ndarray, maybe: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of neighbouring tokens in each reading."""
+    yield np.arange(max(0, len(hashed) - 1)), windows(hashed, 2)
+    named = np.where(maybe, _PLACEHOLDER[3], hashed)
+    at = np.nonzero(maybe[:-1] | maybe[1:])[0]
+    if len(at):
+        with np.errstate(over="ignore"):
+            for a, b in ((named, hashed), (hashed, named), (named, named)):
+                yield at, _mix(a[at] * _BASE + b[at + 1], 2)
+
+
+def _stretches(known: np.ndarray, size: int, text: np.ndarray, length: np.ndarray) -> list[tuple[int, int]]:
+    """(first, end) of runs of windows in which all pairs may be known, near ones of a text taken together.
+
+    ``text``: number of each token's text; ``length``: tokens of each text. Windows below ``SHORT_ITEM`` must be a whole text.
+    """
+    count = np.concatenate([[0], np.cumsum(known)])
+    at = np.nonzero(count[size - 1 :] - count[: len(count) - size + 1] == size - 1)[0]
+    if size < SHORT_ITEM:
+        at = at[length[text[at]] == size]
+    if not len(at):
+        return []
+    cut = np.nonzero((np.diff(at) > STRETCH) | (np.diff(text[at]) > 0))[0]
+    first, last = at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])]
+    return list(zip(first.tolist(), (last + 1).tolist(), strict=True))
+
+
+def _groups(text: pa.Array, size: int) -> Iterator[list[int]]:
+    """Rows of a batch, as many at a time as have ``size`` characters, one at least."""
+    rows: list[int] = []
+    total = 0
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(text), 0).to_pylist()):
+        if rows and total + n > size:
+            yield rows
+            rows, total = [], 0
+        rows.append(i)
+        total += n
+    if rows:
+        yield rows
+
+
+def _known_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slots of the benchmark's pairs of neighbouring tokens, of templates and of words."""
+    words = _Words()
+    for b in batches:
+        slots = [np.empty(0, np.int64)]
+        for t in b.column("__text"):
+            tokens, lines = _lines(t.as_py() or "")
+            hashed, _, _, maybe, word = _template(tokens, words, lines)
+            slots += [_slot(h).astype(np.int64) for _, h in _pairs(hashed, maybe)]
+            slots.append(_slot(windows(word, 2)).astype(np.int64))
+        yield pa.record_batch({"s": pa.array(np.unique(np.concatenate(slots)), pa.int64())})
+
+
 def _windows(
     batches: Iterator[pa.RecordBatch],
     window: int,
     min_literals: int,
     short: list[int] | None,
     bits: np.ndarray | None,
-    verbatim: bool,
+    pair_bits: np.ndarray | None,
 ) -> Iterator[pa.RecordBatch]:
     """Windows of each row: (row, size, hash, position, slot values). ``short``: sizes to search for besides.
 
     Without ``short`` the rows are benchmark items: those below ``window`` are one window of their own length.
-    ``verbatim``: windows that may lack ``min_literals`` come with the hash of their words too, without slot values.
+    Windows that may lack ``min_literals`` come with the hash of their words too, without slot values.
     """
     words = _Words()
     table = None if bits is None else np.unpackbits(bits).astype(bool)
+    pairs = None if pair_bits is None else np.unpackbits(pair_bits).astype(bool)
     for b in batches:
         ids, text = b.column("__row"), b.column("__text")
         out: dict[str, list] = {"row": [], "size": [], "h": [], "pos": [], "slots": []}
-        for i in range(b.num_rows):
-            tokens, lines = _lines(text[i].as_py() or "")
-            hashed, literal, place, maybe, word = _template(tokens, words, lines)
+        # benchmark items are read one by one, documents some at a time: their tokens stand one after the other
+        for rows in [[i] for i in range(b.num_rows)] if short is None else _groups(text, READ_CHARACTERS):
+            tokens: list[str] = []
+            lines, begin = [], []
+            for i in rows:
+                begin.append(len(tokens))
+                new, starts = _lines(text[i].as_py() or "")
+                lines += [len(tokens) + n for n in starts] if tokens else starts
+                tokens += new
+            hashed, literal, place, maybe, word = _template(tokens, words, lines, begin)
             if len(words) > WORD_TABLE:
                 words.clear()
+            first_of = np.searchsorted(place, begin)
+            length = np.diff(first_of, append=len(hashed))
+            of = np.repeat(np.arange(len(rows)), length)
+            known = same = np.ones(max(0, len(hashed) - 1), dtype=bool)
+            if pairs is not None:
+                known = np.zeros(max(0, len(hashed) - 1), dtype=bool)
+                for at, h in _pairs(hashed, maybe):
+                    known[at] |= pairs[_slot(h)]
+                same = pairs[_slot(windows(word, 2))]
+            apart = np.nonzero(np.diff(of))[0]  # no window spans two texts
+            known[apart] = same[apart] = False
             for size in [min(window, len(hashed)) or 1] if short is None else [window, *short]:
-                for at, h, names in _readings(hashed, literal, maybe, size, min_literals):
-                    hits = range(len(at)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0].tolist()
-                    for k in hits:
-                        p, named = int(at[k]), int(names[k])
-                        out["row"].append(i)
-                        out["size"].append(size)
-                        out["h"].append(h[k].view(np.int64))
-                        out["pos"].append(p)
-                        slots = [place[p + o] for o in range(size) if not literal[p + o] or named >> o & 1]
-                        out["slots"].append([tokens[q].strip(OUTER) for q in slots])
-                if verbatim:
+                if len(hashed) < size:
+                    continue
+                whole = [(0, len(hashed) - size + 1)]
+                for first, end in whole if short is None else _stretches(known, size, of, length):
+                    part, row = slice(first, end + size - 1), int(of[first])
+                    for at, h, names in _readings(hashed[part], literal[part], maybe[part], size, min_literals):
+                        hits = range(len(at)) if table is None else np.nonzero(table[_slot(h)])[0].tolist()
+                        for k in hits:
+                            p, named = first + int(at[k]), int(names[k])
+                            out["row"].append(rows[row])
+                            out["size"].append(size)
+                            out["h"].append(h[k].view(np.int64))
+                            out["pos"].append(p - int(first_of[row]))
+                            slots = [place[p + o] for o in range(size) if not literal[p + o] or named >> o & 1]
+                            out["slots"].append([tokens[q].strip(OUTER) for q in slots])
+                for first, end in whole if short is None else _stretches(same, size, of, length):
+                    part, row = slice(first, end + size - 1), int(of[first])
                     # a document's reading of the same words may have fewer literals or more: all its windows are looked up
-                    at, h = _verbatim(word, literal, maybe, size, min_literals if short is None else size + 1)
-                    hits = range(len(at)) if table is None else np.nonzero(table[h >> np.uint64(64 - TABLE_BITS)])[0].tolist()
+                    below = min_literals if short is None else size + 1
+                    at, h = _verbatim(word[part], literal[part], maybe[part], size, below)
+                    hits = range(len(at)) if table is None else np.nonzero(table[_slot(h)])[0].tolist()
                     for k in hits:
-                        out["row"].append(i)
+                        out["row"].append(rows[row])
                         out["size"].append(size)
                         out["h"].append(h[k].view(np.int64))
-                        out["pos"].append(int(at[k]))
+                        out["pos"].append(first + int(at[k]) - int(first_of[row]))
                         out["slots"].append([])
         yield pa.record_batch(
             {
@@ -281,6 +378,13 @@ def _window_rows(df: DataFrame, row: Column, text_col: str, *options) -> DataFra
     return rows.mapInArrow(cut, f"row {kind}, size int, h long, pos int, slots array<string>")
 
 
+def _bit_table(slots: DataFrame) -> np.ndarray:
+    """Packed bits of ``slots(s)``: at most 2**TABLE_BITS numbers reach the driver, tasks get 512 KB."""
+    table = np.zeros(1 << TABLE_BITS, dtype=bool)
+    table[slots.distinct().toPandas()["s"].to_numpy(dtype=np.int64)] = True
+    return np.packbits(table)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -290,26 +394,21 @@ def find_leaks(
     item_text_col: str = "text",
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
-    per_window: bool = False,
-    verbatim: bool = False,
 ) -> DataFrame:
     """One row per contaminated document row and item: ``<id_col>, <item_col>, row_key, matched_windows, first_token, changed``.
 
     ``first_token``: template token at which the item's first match begins;
     ``changed``: some placeholder's value differs (a re-parameterised copy).
-    ``per_window``: values are compared within each window, not over all windows of an alignment.
-    ``verbatim``: windows and whole items below ``min_literals`` match where all their words are the same.
     """
-    items = _window_rows(benchmark, F.col(item_col), item_text_col, window, min_literals, None, None, verbatim)
+    items = _window_rows(benchmark, F.col(item_col), item_text_col, window, min_literals, None, None, None)
     items = stage(items, "leak-items")
-    # at most 2**TABLE_BITS slots and ``window`` sizes reach the driver; tasks get 512 KB
-    slots = items.select(F.shiftrightunsigned("h", 64 - TABLE_BITS).cast("int").alias("s")).distinct().toPandas()["s"]
-    table = np.zeros(1 << TABLE_BITS, dtype=bool)
-    table[slots.to_numpy(dtype=np.int64)] = True
+    neighbours = benchmark.select(F.col(item_text_col).alias("__text")).mapInArrow(_known_pairs, "s long")
+    bits = _bit_table(items.select(F.shiftrightunsigned("h", 64 - TABLE_BITS).alias("s")))
+    pair_bits = _bit_table(neighbours)
     short = [r["size"] for r in items.where(F.col("size") < window).select("size").distinct().collect()]
 
     row = F.struct(F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"))
-    found = _window_rows(docs, row, text_col, window, min_literals, short, np.packbits(table), verbatim)
+    found = _window_rows(docs, row, text_col, window, min_literals, short, bits, pair_bits)
     found = stage(found.select("row.id", "row.key", "size", "h", "pos", "slots").distinct(), "leak-windows")
 
     known = items.select(F.col("row").alias("item"), "size", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
@@ -321,21 +420,10 @@ def find_leaks(
     changed = F.exists("values", lambda v: v["item_slots"] != v["slots"])
     item_values = F.size(F.array_distinct(F.transform("values", lambda v: v["item_slots"])))
     at = ["id", "key", "item", "shift"]
-    if per_window:
-        # each value of the item has one value in the document's window; two may have the same
-        fits = pairs.where(item_values == F.size(F.array_distinct("values"))).withColumn("changed", changed)
-        each = fits.groupBy(*at, "pos").agg(F.min("changed").alias("changed"))
-        matched = each.groupBy(*at).agg(F.count("*").alias("matched_windows"), F.min("pos").alias("first_token"), F.max("changed").alias("changed"))
-    else:
-        # of a window's readings the one with most literals: the others add values that are the same on both sides
-        pairs = pairs.groupBy(*at, "size", "pos").agg(F.min_by("values", F.size("values")).alias("values"))
-        pooled = pairs.groupBy(*at).agg(
-            F.count("*").alias("matched_windows"),
-            F.min("pos").alias("first_token"),
-            F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"),  # bounded by the item's length
-        )
-        values = F.size(F.array_distinct(F.transform("values", lambda v: v["slots"])))
-        matched = pooled.where((item_values == F.size("values")) & (values == F.size("values"))).withColumn("changed", changed)
+    # each value of the item has one value in the document's window; two may have the same
+    fits = pairs.where(item_values == F.size(F.array_distinct("values"))).withColumn("changed", changed)
+    each = fits.groupBy(*at, "pos").agg(F.min("changed").alias("changed"))
+    matched = each.groupBy(*at).agg(F.count("*").alias("matched_windows"), F.min("pos").alias("first_token"), F.max("changed").alias("changed"))
     return (
         matched.groupBy("id", "key", "item")
         .agg(F.sum("matched_windows").alias("matched_windows"), F.min("first_token").alias("first_token"), F.min("changed").alias("changed"))

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from cases import SF_ORACLE, awkward, nothing  # noqa: F401
+from pyspark.sql import functions as F
 
 from recordtable.llm import decontaminate as D
 from recordtable.llm.queries import QUERIES
@@ -49,14 +50,17 @@ def test_copies_changed_copies_and_others(spark):
         "",
     ]
     got = leaks(spark, texts, [ITEM, None, ""])
-    # in capitals the stretch before the first name is the same
-    assert got == {(0, 0): False, (1, 0): False, (2, 0): True, (6, 0): False}
+    # windows beside one changed value, or a name that stands for two, are verbatim; in capitals the stretch before the first name is
+    assert got == {(0, 0): False, (1, 0): False, (2, 0): True, (3, 0): True, (4, 0): True, (6, 0): False}
 
 
 def test_short_items_and_placeholders_only(spark):
     items = ["only five words are here", "1 2 3 4 5 6 7 8 9 10 11 12", "three words only"]
     texts = ["and only five words are here again", "9 8 7 6 5 4 3 2 1 10 11 12 13", "these three words only", "only five words are not here"]
     assert leaks(spark, texts, items) == {(0, 0): False}
+    # items below SHORT_ITEM tokens match whole documents only
+    items, texts = ["Yes", "three words only"], ["Yes , he said", "yes!", "Oh yes", "Three words only.", "three words only here", "Yes yes"]
+    assert leaks(spark, texts, items) == {(1, 0): False, (3, 1): False}
 
 
 def test_part_of_an_item(spark):
@@ -66,6 +70,25 @@ def test_part_of_an_item(spark):
     assert set(leaks(spark, texts, [item])) == {(0, 0), (2, 0)}
 
 
+def test_tables_of_pairs_say_no_only_where_no_window_matches(spark):
+    docs, bench = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "benchmark"))
+    texts = [r.text for r in docs.select("text").limit(150).collect()] + [r.text for r in bench.collect()]
+
+    def found(pair_bits):
+        import pyarrow as pa
+
+        rows = pa.record_batch({"__row": pa.array(range(len(texts))), "__text": pa.array(texts)})
+        out = next(D._windows(iter([rows]), D.WINDOW, D.MIN_LITERALS, [4, 6], bits, pair_bits)).to_pylist()
+        return {(r["row"], r["size"], r["h"], r["pos"], tuple(r["slots"])) for r in out}
+
+    items = D._window_rows(bench, F.col("item_id"), "text", D.WINDOW, D.MIN_LITERALS, None, None, None)
+    bits = D._bit_table(items.select(F.shiftrightunsigned("h", 64 - D.TABLE_BITS).alias("s")))
+    pair_bits = D._bit_table(bench.select(F.col("text").alias("__text")).mapInArrow(D._known_pairs, "s long"))
+    known = {(r["size"], r["h"]) for r in items.select("size", "h").collect()}
+    everything = {x for x in found(None) if x[1:3] in known}
+    assert everything and everything == {x for x in found(pair_bits) if x[1:3] in known}
+
+
 def test_table(spark):
     docs, bench = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "benchmark"))
 
