@@ -1,6 +1,7 @@
 """Language identification by nearest centroids of TF-IDF byte n-gram vectors.
 
-A text is lower-cased, everything but letters becomes one space, and its byte
+A text is lower-cased, runs of ASCII characters other than letters become one space
+(characters beyond ASCII all stay), and its byte
 trigrams (of UTF-8, so accents count) are hashed to ``DIMENSIONS`` features.
 A document's vector is (1 + ln count) * idf, normalised to length 1. Each
 language has up to ``CENTROIDS`` centroids, clustered by spherical k-means;
@@ -17,10 +18,11 @@ and none for shorter ones. Texts without letters are ``und`` and rejected.
 
 What covers what: document frequencies and the rejection quantiles are taken
 over all training documents; only the clustering is fitted on a sample, of
-``SAMPLE_PER_LANGUAGE`` (400) documents per language on average (documents of
-the smallest id hashes), at most twice that in all. The vectors of the sample, the frequencies
-(at most ``DIMENSIONS`` numbers) and the labels (at most ``MAX_LABELS``) are
-all that reaches the driver.
+``SAMPLE_PER_LANGUAGE`` (400) different texts per language: exactly those of the
+smallest hashes of the text, so neither ids nor copies nor the order of rows
+matter. A language's sample is clustered in one task (400 vectors at most). The frequencies
+(at most ``DIMENSIONS`` numbers), the labels (at most ``MAX_LABELS``) and their centroids are
+all that reaches the driver; the model is broadcast.
 
 Defined results: null text or one without letters: ``und``, score 0; ties go
 to the alphabetically first language; no usable labels at all: every text is
@@ -35,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordtable.llm.common import remove_rows, row_key, stage
@@ -87,18 +89,6 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = [features(t.as_py()) for t in b.column("__text")]
-        yield pa.record_batch(
-            {
-                "label": b.column("__label"),
-                "number": pa.array([n.astype("<u2").tobytes() for n, _ in found], pa.binary()),
-                "count": pa.array([c.astype("<u4").tobytes() for _, c in found], pa.binary()),
-            }
-        )
-
-
 @dataclass(frozen=True)
 class Model:
     """Centroids as columns of ``weight`` (idf already applied), each column's label, and the idf."""
@@ -128,7 +118,28 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centre
 
 
-def fit(training: DataFrame, id_col: str, text_col: str, label_col: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
+def _centroids(table: pa.Table, idf: np.ndarray) -> pa.Table:
+    """Centroids, weighted by idf, of one language's texts."""
+    found = [features(t.as_py()) for t in table.column("text")]
+    # the order of arrival must not matter
+    found = sorted((f for f in found if len(f[0])), key=lambda f: (f[0].tobytes(), f[1].tobytes()))
+    x = np.zeros((len(found), DIMENSIONS), dtype=np.float32)
+    for i, (number, count) in enumerate(found):
+        x[i, number] = (1 + np.log(count)) * idf[number]
+    if not len(x):
+        return pa.table({"label": pa.array([], pa.string()), "centroid": pa.array([], pa.int32()), "weight": pa.array([], pa.binary())})
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centre = (cluster(x, CENTROIDS) * idf).astype("<f4")
+    return pa.table(
+        {
+            "label": pa.array([table.column("label")[0].as_py()] * len(centre), pa.string()),
+            "centroid": pa.array(range(len(centre)), pa.int32()),
+            "weight": pa.array([c.tobytes() for c in centre], pa.binary()),
+        }
+    )
+
+
+def fit(training: DataFrame, text_col: str, label_col: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     """Model of the labelled rows of ``training``; None if there are none with letters."""
     labelled = training.where(F.col(label_col).isNotNull())
     sizes = {r[0]: r[1] for r in labelled.groupBy(label_col).count().limit(MAX_LABELS + 1).collect()}
@@ -145,32 +156,24 @@ def fit(training: DataFrame, id_col: str, text_col: str, label_col: str, per_lan
     idf = np.full(DIMENSIONS, np.log(1 + rows) + 1, dtype=np.float32)
     idf[frequency["feature"].to_numpy()] = np.log((1 + rows) / (1 + frequency["n"].to_numpy())) + 1
 
-    # a row is in the sample if its id's hash falls below its language's share
-    share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, per_language / n))])[F.col(label_col)]
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
-    sample = labelled.where(place < share).limit(2 * per_language * len(sizes))
-    sample = sample.select(F.col(label_col).alias("__label"), F.col(text_col).alias("__text"))
-    vectors = sample.mapInArrow(_vectors, "label string, number binary, count binary").toPandas()
-    # the order of arrival must not matter
-    vectors = vectors.sort_values(["label", "number", "count"], kind="stable")
-
-    labels: list[str] = []
-    weights = []
-    for label, group in vectors.groupby("label", sort=True):
-        x = np.zeros((len(group), DIMENSIONS), dtype=np.float32)
-        for i, (number, count) in enumerate(zip(group["number"], group["count"], strict=True)):
-            at = np.frombuffer(number, "<u2")
-            x[i, at] = (1 + np.log(np.frombuffer(count, "<u4"))) * idf[at]
-        x = x[x.any(axis=1)]
-        if not len(x):
-            continue
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        centre = cluster(x, CENTROIDS)
-        labels += [str(label)] * len(centre)
-        weights.append(centre * idf)
+    hashed = F.xxhash64(F.col(text_col), F.lit("sample"))
+    lettered = labelled.where(F.col(text_col).rlike("\\p{L}")).select(
+        F.col(label_col).alias("label"), hashed.alias("h"), F.col(text_col).alias("text")
+    )
+    # the rank limit is applied in every task before rows are exchanged
+    least = Window.partitionBy("label").orderBy("h")
+    chosen = lettered.select("label", "h").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= per_language)
+    # at most MAX_LABELS * per_language hashes
+    sample = lettered.join(F.broadcast(chosen.select("label", "h")), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text"))
+    found = sample.select("label", "text").groupBy("label").applyInArrow(
+        lambda table: _centroids(table, idf), "label string, centroid int, weight binary"
+    )
+    centroids = found.toPandas().sort_values(["label", "centroid"])
+    labels = centroids["label"].tolist()
+    weights = [np.frombuffer(w, "<f4") for w in centroids["weight"]]
     if not labels:
         return None
-    return Model(tuple(labels), np.ascontiguousarray(np.concatenate(weights).T, dtype=np.float32), idf)
+    return Model(tuple(labels), np.ascontiguousarray(np.stack(weights).T), idf)
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
@@ -210,7 +213,8 @@ def identify(
     ``training``: condition on the rows that may be learned from (all by default).
     """
     training = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
-    model = fit(docs.where(training), id_col, text_col, label_col, per_language)
+    model = fit(docs.where(training), text_col, label_col, per_language)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(
         F.struct(
             F.col(id_col).alias("id"),
@@ -222,7 +226,7 @@ def identify(
     kind = rows.schema["__row"].dataType.simpleString()
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _predict(batches, model)
+        return _predict(batches, sent.value)
 
     out = rows.mapInArrow(predict, f"__row {kind}, lang_pred string, score double, features int")
     out = out.select("__row.*", "lang_pred", "score", F.length(F.bin("features")).alias("size_class"), "features")

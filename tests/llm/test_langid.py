@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from cases import SF_ORACLE, awkward, nothing  # noqa: F401
+from cases import SF_ORACLE, SF_SMALL, awkward, nothing  # noqa: F401
 from pyspark.sql import functions as F
 
 from recordtable.llm import langid as L
@@ -56,6 +56,64 @@ def test_far_text_is_rejected(spark):
     assert rows == {10**9: True, 10**9 + 1: True}
 
 
+def test_null_and_repeated_ids(spark):
+    """The model is learned from texts: ids, their absence and the order of rows do not matter."""
+    words = {"en": "the quick brown fox jumps over lazy dogs and cats while running home".split()}
+    words["de"] = "der schnelle braune Fuchs springt über faule Hunde und Katzen nach Hause".split()
+    rng = np.random.default_rng(5)
+    rows = [(lang, " ".join(rng.choice(w, 12))) for lang, w in words.items() for _ in range(500)]
+    rows += [("en", rows[0][1])] * 1000  # copies do not crowd out other texts
+
+    def result(ids, order):
+        data = [(i, rows[k][1], rows[k][0]) for k, i in zip(order, ids, strict=True)]
+        df = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+        return sorted((r.lang_pred, round(r.score, 4)) for r in L.identify(df, per_language=50).collect())
+
+    n = len(rows)
+    want = result(range(n), range(n))
+    assert [x[0] for x in want].count("en") == 1500 and [x[0] for x in want].count("de") == 500
+    assert result([None] * n, range(n)) == want
+    assert result([7] * n, rng.permutation(n).tolist()) == want
+
+
+def slow_features(text):
+    """Trigrams of bytes counted one by one."""
+    raw = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").lower().encode())
+    raw = b" " + b" ".join(raw.split(b" ")) + b" "
+    while b"  " in raw:
+        raw = raw.replace(b"  ", b" ")
+    counts = {}
+    for i in range(len(raw) - 2):
+        code = (raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 0x9E3779B1 % 2**32 >> 18
+        counts[code] = counts.get(code, 0) + 1
+    return counts
+
+
+def test_nearest_centroid_by_plain_python(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = L.fit(docs.where(~held_out()), "text", "lang")
+    rows = docs.collect()
+    learned = [slow_features(r.text) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None]
+    learned = [c for c in learned if c]
+    seen = {}
+    for c in learned:
+        for f in c:
+            seen[f] = seen.get(f, 0) + 1
+    idf = {f: np.log((1 + len(learned)) / (1 + n)) + 1 for f, n in seen.items()}
+    rarest = np.log(1 + len(learned)) + 1
+    got = {r.doc_id: r for r in q_language_id(spark, SF_SMALL).collect()}
+    for r in rows:
+        x = {f: (1 + np.log(n)) * idf.get(f, rarest) for f, n in slow_features(r.text).items()}
+        norm = sum(v * v for v in x.values()) ** 0.5
+        # a column of weights is a centroid times idf, so it meets the plain counts
+        cosines = [sum((1 + np.log(n)) * model.weight[f, j] for f, n in slow_features(r.text).items()) / norm for j in range(len(model.labels))]
+        best = int(np.argmax(cosines))
+        assert abs(got[r.doc_id].score - max(0, cosines[best])) < 1e-4
+        assert got[r.doc_id].lang_pred == model.labels[best] or sorted(cosines)[-1] - sorted(cosines)[-2] < 1e-4
+    centroids = model.weight / model.idf[:, None]
+    assert np.allclose(np.linalg.norm(centroids, axis=0), 1, atol=1e-3)
+
+
 def test_awkward_rows(spark, awkward):
     rows = L.identify(awkward).collect()
     assert len(rows) == awkward.count()
