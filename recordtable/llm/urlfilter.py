@@ -8,8 +8,8 @@ the last fifth, which the models have not seen: the cut with the least sum of
 the two error rates, in the middle of the widest gap of equal cuts. URLs that
 no rule decides are allowed if their score is not below it.
 
-Model. A URL's characters are its host and path, after ``ORDER`` start marks
-and before an end mark. The probability of a character after a context of
+Model. A URL's characters are all of it, scheme, query and fragment too, with the host
+in lower case, after ``ORDER`` start marks and before an end mark. The probability of a character after a context of
 length k mixes its share there with the shorter context's probability
 (Witten-Bell): ``(n + t * p_shorter) / (total + t)``, t being the number of
 different characters seen in the context; a context never seen leaves the
@@ -24,7 +24,7 @@ depend on the order of rows. Nothing that grows with the data is broadcast or
 collected; the calibration histogram has at most ``2 * SCORE_BINS + 1`` bins.
 
 Defined results: null or no ``://``: host and path are empty, no rule fits and
-the method judges the empty string; equal URLs are scored once and get equal
+the method judges the URL as it stands (null: the empty string); equal URLs are scored once and get equal
 verdicts; a class without training URLs leaves no ratio: then every URL
 without a rule is allowed, with a null score; a class without URLs to
 calibrate on leaves the cut at 0 (equally likely); other columns are ignored.
@@ -76,6 +76,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, string.ascii_uppercase, string.ascii_lowercase), path
 
 
+def whole_text(url: Column, host: Column) -> Column:
+    """The whole URL, its host (as :func:`host_and_path` gives it) in lower case; empty for null."""
+    at = F.locate("://", url)
+    before = F.substring(url, 1, at + 2)
+    lowered = F.concat(before, host, F.substring(url, at + 3 + F.length(host), F.length(url)))
+    return F.coalesce(F.when(at > 0, lowered).otherwise(url), F.lit(""))
+
+
 def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """``struct<size, rule, verdict>`` of the longest rule that fits, or null."""
     fitting = [
@@ -152,9 +160,10 @@ def judge_urls(
     """One row per input row: ``<id_col>, host, path, rule, verdict, score``."""
     rows = pages.select(F.col(id_col).alias("__id"), F.col(url_col).alias("__url"))
     host, path = host_and_path(F.col("__url"))
-    rows = rows.select("__id", host.alias("host"), path.alias("path"))
+    rows = rows.select("__id", host.alias("host"), path.alias("path"), "__url")
+    rows = rows.withColumn("text", whole_text(F.col("__url"), F.col("host"))).drop("__url")
     rows = rows.withColumn("__m", matched_rule(F.col("host"), F.col("path"), rules))
-    rows = rows.select("__id", "host", "path", "__m.rule", F.col("__m.verdict").alias("ruled"), F.concat("host", "path").alias("text"))
+    rows = rows.select("__id", "host", "path", "__m.rule", F.col("__m.verdict").alias("ruled"), "text")
     rows = stage(rows, "url-rows")
 
     texts = rows.groupBy("text").agg(
@@ -162,7 +171,9 @@ def judge_urls(
     )
     unseen = F.crc32(F.col("text").cast("binary")) % FOLDS == 0
     texts = stage(texts.withColumn("unseen", unseen), "url-texts")
-    each = texts.select("text", "unseen", "allow", "block", F.explode(grams(F.col("text"), order)).alias("gram"))
+    # grams are many times the bytes of their URLs: URLs are dealt out before
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = texts.repartition(parts).select("text", "unseen", "allow", "block", F.explode(grams(F.col("text"), order)).alias("gram"))
     learned = [F.sum(F.when(F.col("unseen"), 0).otherwise(F.col(c))).alias(c) for c in ("allow", "block")]
     counts = stage(each.groupBy("gram").agg(*learned), "url-grams")
     trained = counts.agg(F.max("allow"), F.max("block")).first()

@@ -22,6 +22,11 @@ def split(url):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path[:at]
 
 
+def whole(url):
+    host = split(url)[0]
+    return (url or "") if "://" not in (url or "") else url.split("://", 1)[0] + "://" + host + url.split("://", 1)[1][len(host) :]
+
+
 def rule_of(host, path, rules):
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     return max(fits, key=lambda r: (len(r.rule), r.rule), default=None)
@@ -33,12 +38,12 @@ def brute(rows, rules, order=U.ORDER):
         return ["".join(c[i : i + order + 1]) for i in range(len(c) - order)]
 
     n, total, kinds = (defaultdict(lambda: [0, 0]) for _ in range(3))
-    judged = [(i, *split(u)) for i, u in rows]
-    judged = [(i, h, p, rule_of(h, p, rules)) for i, h, p in judged]
-    for _, h, p, r in judged:
-        if r and zlib.crc32((h + p).encode()) % U.FOLDS:
+    judged = [(i, *split(u), whole(u)) for i, u in rows]
+    judged = [(i, h, p, u, rule_of(h, p, rules)) for i, h, p, u in judged]
+    for _, _, _, u, r in judged:
+        if r and zlib.crc32(u.encode()) % U.FOLDS:
             c = r.verdict == "block"
-            for g in grams(h + p):
+            for g in grams(u):
                 for k in range(order + 1):
                     x = g[order - k :]
                     kinds[x[:-1], k][c] += not n[x][c]
@@ -55,15 +60,15 @@ def brute(rows, rules, order=U.ORDER):
         return q
 
     scores, bins = [], defaultdict(lambda: [0, 0])
-    for _, h, p, r in judged:
-        s = sum(round((math.log(prob(g, 0)) - math.log(prob(g, 1))) * 1e6) for g in grams(h + p)) / (len(h + p) + 1) / 1e6
+    for _, _, _, u, r in judged:
+        s = sum(round((math.log(prob(g, 0)) - math.log(prob(g, 1))) * 1e6) for g in grams(u)) / (len(u) + 1) / 1e6
         scores.append(s)
-        if r and not zlib.crc32((h + p).encode()) % U.FOLDS:
+        if r and not zlib.crc32(u.encode()) % U.FOLDS:
             bins[math.floor(s * 1000)][r.verdict == "block"] += 1
     cut = U.threshold([(k, *v) for k, v in bins.items()])
     return {
         i: (h, p, r and r.rule, r.verdict if r else "allow" if math.floor(s * 1000) >= cut else "block", s)
-        for (i, h, p, r), s in zip(judged, scores, strict=True)
+        for (i, h, p, _, r), s in zip(judged, scores, strict=True)
     }
 
 
@@ -89,6 +94,16 @@ def test_parts_and_rules(spark):
         assert rows[i].verdict == (r.verdict if r else "allow")  # no blocked URL: nothing to compare with
 
 
+def test_query_and_fragment_are_read(spark):
+    urls = ["http://a.org/x"] * 1 + [f"http://b{i}.com/de/{i}?ref=spam" for i in range(40)] + [f"http://c{i}.org/{i}?ref=good" for i in range(40)]
+    same = ["http://n.net/p?ref=spam", "http://n.net/p?ref=good", "HTTP://N.net/p#ref=good", None, "no scheme"]
+    df = spark.createDataFrame(list(enumerate(urls + same)), "page_id int, url string")
+    got = {r.page_id: r for r in U.judge_urls(df, URL_RULES).collect()}
+    spam, good, other, null, plain = (got[len(urls) + i] for i in range(5))
+    assert spam.score < good.score and other.score != good.score and null.score != plain.score
+    assert {(r.host, r.path, r.rule) for r in (spam, good, other)} == {("n.net", "/p", None)}
+
+
 def test_longest_rule_wins(spark):
     df = spark.createDataFrame([(1, "http://www.example.org/es/1"), (2, "http://example.org/en/12"), (3, "http://example.org/en/2")], "page_id int, url string")
     got = {r.page_id: (r.rule, r.verdict) for r in U.judge_urls(df, URL_RULES).collect()}
