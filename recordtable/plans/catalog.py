@@ -11,7 +11,8 @@ over the same parquet files. Change sets are derived from whole tables:
   with its ``props`` JSON (``k`` -> ``s_acctbal``), ``seq`` = event id.
   User ids beyond the supplier keys are unknown keys.
 * delete: orders of every ``MACHINERY`` customer are removed.
-* store: supplier rows, then customers added, events as patches, orders' customers deleted.
+* store: supplier rows, then customers added, events as patches, customers of one segment that have orders deleted;
+  refresh_published does the bulk load through a stored table and back.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch
 from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.files import read_table
-from recordtable.sources.publish import read_published
 from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,7 +405,7 @@ def q_append_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     append(customer, sink)
     twice = spark.read.parquet(sink.path)
     overwrite_staged(spark, twice.groupBy(*customer.columns).agg(F.count(F.lit(1)).alias("copies")), sink)
-    return read_published(spark, sink.path)
+    return spark.read.parquet(sink.path)
 
 
 STORE_FIELDS = (
@@ -417,8 +417,14 @@ STORE_FIELDS = (
 STORE_CONTRACT = Contract(key="s_suppkey", not_null=("s_suppkey",), max_len={"s_name": 100})
 
 
+def building_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers in the BUILDING segment."""
+    segment = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return table(spark, sf_dir, "orders").join(segment, "o_custkey", "left_semi")
+
+
 def stored_suppliers(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
-    """A store filled from ``supplier``, then add (customers), update (events) and delete (orders' customers)."""
+    """A store filled from ``supplier``, then add (customers), update (events) and delete (customers of one segment that have orders)."""
     ensure_checkpoint_dir(spark)
     store = RecordStore(spark, shared_path(spark, "suppliers"), STORE_FIELDS, STORE_CONTRACT, buckets=buckets)
     supplier, customer = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
@@ -430,7 +436,7 @@ def stored_suppliers(spark: SparkSession, sf_dir: str, buckets: int | None) -> D
     events = table(spark, sf_dir, "events")
     patched = F.to_json(F.struct(F.col("event_type").alias("s_name")))
     store.update(events.select(F.col("user_id").alias("s_suppkey"), F.col("event_id").alias("seq"), patched.alias("json")))
-    store.delete(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("s_suppkey")))
+    store.delete(building_orders(spark, sf_dir).select(F.col("o_custkey").alias("s_suppkey")))
     return store.table()
 
 
@@ -438,6 +444,18 @@ def q_store_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_suppliers(spark, sf_dir, None)
 
 
+def q_refresh_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bulk loads into one bucketed table, published and read back: suppliers, then customers that replace by key."""
+    ensure_checkpoint_dir(spark)
+    store = RecordStore(spark, shared_path(spark, "loaded"), STORE_FIELDS, STORE_CONTRACT, buckets=8)
+    supplier, customer = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    as_supplier = [F.col(f"c_{n}").alias(f"s_{n if n != 'custkey' else 'suppkey'}") for n in ("custkey", "name", "nationkey", "acctbal")]
+    store.download(to_documents(supplier, ["s_nationkey"], [f.name for f in STORE_FIELDS], "s_suppkey", 50), "doc")
+    richer = customer.where("c_acctbal > 0").select(*as_supplier)
+    store.download(to_documents(richer, ["s_nationkey"], [f.name for f in STORE_FIELDS], "s_suppkey", 50), "doc")
+    return store.table()
+
+
 def q_store_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_suppliers(spark, sf_dir, 8)
 
@@ -481,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "append_overwrite": q_append_overwrite,
     "store_flat": q_store_flat,
     "store_bucketed": q_store_bucketed,
+    "refresh_published": q_refresh_published,
 }
 
 
@@ -505,7 +524,7 @@ WITH added AS (
 last AS (SELECT user_id, arg_max(event_type, event_id) AS name FROM events GROUP BY user_id)
 SELECT s_suppkey, coalesce(l.name, s_name) AS s_name, s_nationkey, s_acctbal
 FROM added LEFT JOIN last l ON l.user_id = s_suppkey
-WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders)"""
+WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')"""
 
 ORACLE_SQL: dict[str, str] = {
     "flagship_stats": _STATS,
@@ -681,4 +700,9 @@ FROM part LEFT JOIN events e ON e.event_id = p_partkey""",
     "append_overwrite": "SELECT *, CAST(2 AS BIGINT) AS copies FROM customer",
     "store_flat": _STORE,
     "store_bucketed": _STORE,
+    "refresh_published": """
+SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey, c_acctbal AS s_acctbal FROM customer WHERE c_acctbal > 0
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
+WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
 }

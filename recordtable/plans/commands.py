@@ -30,16 +30,8 @@ from recordtable.operators.joins import split_join
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
-from recordtable.sources.layout import (
-    BUCKET_COL,
-    bucket_of,
-    overwrite_buckets,
-    touched_buckets,
-    with_bucket,
-    write_bucketed,
-)
-from recordtable.sources.fs import path_exists
-from recordtable.sources.publish import publish_table, read_facts, read_published, recover
+from recordtable.sources import tables
+from recordtable.sources.layout import BUCKET_COL, bucket_of, in_buckets, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.sinks import ParquetSink, stage
 
 # ---------------------------------------------------------------------------
@@ -84,11 +76,10 @@ class RecordStore:
     # -- reads ---------------------------------------------------------------
     def raw_table(self) -> DataFrame:
         """The stored table, with the layout's ``_bucket`` column when bucketed."""
-        recover(self.spark, self.path)
-        facts = read_facts(self.spark, self.path)
-        if facts is not None and facts["buckets"] != self.buckets:
-            raise ValueError(f"the table at {self.path} has buckets={facts['buckets']}, opened with {self.buckets}")
-        return read_published(self.spark, self.path)
+        stored = tables.stored_buckets(self.spark, self.path)
+        if stored not in ("unknown", self.buckets):
+            raise ValueError(f"the table at {self.path} has buckets={stored}, opened with {self.buckets}")
+        return tables.read_stored(self.spark, self.path)
 
     def table(self) -> DataFrame:
         """The table as users see it (no layout columns)."""
@@ -130,8 +121,7 @@ class RecordStore:
         return self.spark.read.parquet(out)
 
     def exists(self) -> bool:
-        recover(self.spark, self.path)
-        return path_exists(self.spark, self.path)
+        return tables.exists(self.spark, self.path)
 
     def _require(self) -> None:
         if not self.exists():
@@ -147,16 +137,18 @@ class RecordStore:
         if not self.buckets:
             return self.table(), None
         touched = touched_buckets(changed, key, self.buckets)
-        return self.raw_table().where(F.col(BUCKET_COL).isin(touched)), touched
+        return in_buckets(self.raw_table(), touched, self.buckets), touched
 
     def _replace(self, result: DataFrame, touched: list[int] | None, first: bool = False) -> None:
-        """Write the new table once, whole (flat layout) or only the touched buckets, and put it in place."""
+        """Publish the new table, whole (flat layout) or only the touched buckets."""
         if touched is not None and not first:
-            overwrite_buckets(self.spark, result, self.path, touched)
+            if 2 * len(touched) > self.buckets:  # all buckets were read
+                touched = list(range(self.buckets))
+            overwrite_buckets(self.spark, result, self.path, self.contract.key, self.buckets, touched)
         elif self.buckets:
             write_bucketed(result, self.path, self.contract.key, self.buckets)
         else:
-            publish_table(self.spark, result, self.path, self.contract.key)
+            tables.publish(self.spark, result, self.path, self.contract.key)
 
     @staticmethod
     def _check(batch: DataFrame, key: str, seq: str) -> None:

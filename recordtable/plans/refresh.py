@@ -1,7 +1,7 @@
 """Refresh pipeline (W18): landed documents -> checked, upserted, safely rewritten table.
 
 documents -> explode_documents -> map (rename, list join) -> apply_defaults
--> split_contract -> upsert into the current table -> published by renames.
+-> split_contract -> upsert into the current table -> published by Spark's writers.
 
 Running it twice on the same documents leaves the table unchanged (apart
 from the load timestamp of the re-loaded rows): upsert is idempotent.
@@ -22,9 +22,9 @@ from recordtable.operators.change import upsert
 from recordtable.operators.contract import apply_defaults, check_contract, split_contract
 from recordtable.operators.ingest import explode_documents
 from recordtable.session import shared_path
-from recordtable.sources.layout import BUCKET_COL, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
-from recordtable.sources.publish import publish_table
+from recordtable.sources.layout import BUCKET_COL, in_buckets, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.sinks import ParquetSink, stage
+from recordtable.sources.tables import publish
 
 
 @dataclass
@@ -114,7 +114,9 @@ def refresh(
     if current is None:
         base = incoming.limit(0).drop("__seq")
     elif touched is not None:  # only the buckets holding incoming keys are read
-        base = current.select(*table_cols).where(F.col(BUCKET_COL).isin(touched))
+        base = in_buckets(current.select(*table_cols), touched, buckets)
+        if 2 * len(touched) > buckets:  # all buckets are read
+            touched = list(range(buckets))
     else:
         base = current.select(*table_cols)
     untied = [contract.load_ts] if contract.load_ts else []
@@ -122,9 +124,9 @@ def refresh(
     seen = Observation()
     result = result.select(*table_cols).observe(seen, F.count(F.lit(1)).alias("rows"))
     if touched is not None:
-        written = overwrite_buckets(spark, result, target.path, touched)
+        written = overwrite_buckets(spark, result, target.path, contract.key, buckets, touched)
     elif buckets:
         written = write_bucketed(result, target.path, contract.key, buckets)
     else:
-        written = publish_table(spark, result, target.path, contract.key, None, tuple(target.partition_by))
+        written = publish(spark, result, target.path, contract.key)
     return RefreshResult(contract_row, n_rejects, seen.get["rows"], written, rejects_path)

@@ -17,41 +17,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a file or folder tree (used for stages and emptied buckets only)."""
+    """Remove a file or folder tree (used for staged copies and emptied buckets only)."""
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
-
-
-def rename_path(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _fs_path(spark, src)
-    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)):
-        raise OSError(f"cannot rename {src} to {dst}")
-
-
-def make_dir(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    fs.mkdirs(p)
-
-
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs_path(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs_path(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    """Content of a small file."""
-    fs, p = _fs_path(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()

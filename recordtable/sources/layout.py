@@ -5,21 +5,19 @@ A table is stored as parquet partitioned by
 puts a key in the same bucket whether a batch carries it as int or bigint.
 A change set names at most ``n`` buckets; the new table is computed for
 those buckets only (the bucket filter prunes the scan to their
-directories), written beside the table and renamed into place. A small change to a
+directories), staged, and put in place by Spark's dynamic partition overwrite. A small change to a
 big table then reads and writes about ``touched / n`` of it instead of all
 of it. Point lookups by key prune to one bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtable.sources.publish import publish_buckets, publish_table
-
-BUCKET_COL = "_bucket"
+from recordtable.sources.tables import BUCKET_COL, publish
 
 
 def bucket_of(key: Column | str, n: int) -> Column:
@@ -43,7 +41,7 @@ def touched_buckets(changes: DataFrame, key: str, n: int) -> list[int]:
     return sorted(r.b for r in rows)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str | None = None, buckets: int | None = None) -> None:
+def write_bucketed(df: DataFrame, path: str, key: str | None, buckets: int) -> None:
     """First write of a bucketed table (``df`` must carry ``_bucket``).
 
     Rows are hash-partitioned on the bucket first, so each bucket is written
@@ -51,18 +49,20 @@ def write_bucketed(df: DataFrame, path: str, key: str | None = None, buckets: in
     Keys are unique, so buckets are even; choose their number so that a
     bucket fits a task.
     """
-    publish_table(df.sparkSession, df.repartition(BUCKET_COL), path, key, buckets, (BUCKET_COL,))
+    publish(df.sparkSession, df, path, key, buckets)
+
+
+def in_buckets(df: DataFrame, touched: Sequence[int], n: int) -> DataFrame:
+    """Rows of the given buckets of ``n``: pruned by a filter, which is left out where it names more than half of them."""
+    return df.where(F.col(BUCKET_COL).isin(list(touched))) if 2 * len(touched) <= n else df
 
 
-def overwrite_buckets(spark: SparkSession, result: DataFrame, path: str, buckets: Iterable[int]) -> str:
-    """Replace the given buckets of the table at ``path`` with ``result``'s rows for them.
+def overwrite_buckets(spark: SparkSession, result: DataFrame, path: str, key: str | None, n: int, touched: Iterable[int]) -> str:
+    """Replace the touched buckets of the table at ``path`` (of ``n`` buckets) with ``result``'s rows for them.
 
-    ``result`` may read the table itself: it is first written beside the
-    table, once, and its bucket folders are then renamed into place. Buckets
+    ``result`` may read the table itself: it is staged first. Buckets
     left empty by the change are removed; the table's schema is kept, so it
-    can be read when no bucket is left. All other buckets are not read or
-    written.
+    can be read when no bucket is left. All other buckets are not written.
     """
-    buckets = sorted(set(int(b) for b in buckets))
-    rows = result.where(F.col(BUCKET_COL).isin(buckets)).repartition(BUCKET_COL)
-    return publish_buckets(spark, rows, path, BUCKET_COL, buckets)
+    touched = sorted(set(int(b) for b in touched))
+    return publish(spark, result, path, key, n, touched)

@@ -1,11 +1,10 @@
 """Sinks: append and safe overwrite to parquet or JDBC (W06, W07).
 
 Overwriting a table with a plan that reads the same table loses data: the
-target is emptied before the lazy read runs. A parquet table is therefore
-written beside the old one and put in its place by renames
-(``recordtable.sources.publish``); a database table is overwritten from a
-parquet copy under the session's shared checkpoint folder, which stays if the
-overwrite fails.
+target is emptied before the lazy read runs. Every sink is therefore overwritten
+from a parquet copy under the session's shared checkpoint folder, which stays if the
+overwrite fails. Stored tables (``recordtable.sources.tables``) also
+remember that copy and finish from it.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.fs import delete_path
 from recordtable.sources.jdbc import jdbc_write_options
-from recordtable.sources.publish import publish_table
 
 
 @dataclass(frozen=True)
@@ -83,12 +81,10 @@ def overwrite_staged(
 ) -> str:
     """Replace the sink's contents with ``df`` safely, even when ``df`` reads the sink.
 
-    Returns the path the rows were first written to. For parquet that folder
-    has become the table; for JDBC it is a copy under ``spark.checkpoint.dir``
-    (or ``stage_path``), removed unless ``keep_stage``.
+    Returns the path the rows were first written to, under ``spark.checkpoint.dir``
+    (or ``stage_path``): removed after the overwrite unless ``keep_stage``.
     """
-    if isinstance(sink, ParquetSink):
-        return publish_table(spark, df, sink.path, partition_by=tuple(sink.partition_by))
+    ensure_checkpoint_dir(spark)
     path = stage_path or shared_path(spark, "stage")
     df.write.mode("error").parquet(path)
     _write(spark.read.schema(df.schema).parquet(path), sink, "overwrite")

@@ -18,9 +18,8 @@ from recordtable.fields import Contract, Field
 from recordtable.plans.refresh import refresh
 from recordtable.session import shared_path
 from recordtable.sources.files import doc_order
-from recordtable.sources.fs import path_exists
-from recordtable.sources.publish import read_published, recover
 from recordtable.sources.sinks import ParquetSink
+from recordtable.sources.tables import exists, read_stored
 
 
 def start_refresh_stream(
@@ -57,8 +56,7 @@ def start_refresh_stream(
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.withColumn("doc_order", doc_order("block")).drop("block")
-        recover(spark, target.path)
-        current = read_published(spark, target.path) if path_exists(spark, target.path) else None
+        current = read_stored(spark, target.path) if exists(spark, target.path) else None
         refresh(spark, batch, "doc", fields, contract, target, current=current, buckets=buckets, single=single)
 
     writer = (

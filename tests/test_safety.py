@@ -12,8 +12,7 @@ from recordtable.operators.ingest import explode_documents, parse_records, to_do
 from recordtable.operators.read import find, list_rows
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import refresh
-from recordtable.sources import publish
-from recordtable.sources.fs import path_exists
+from recordtable.sources import tables
 from recordtable.sources.jdbc import read_jdbc
 from recordtable.sources.sinks import ParquetSink
 
@@ -56,33 +55,64 @@ def test_loading_the_same_documents_twice_changes_nothing(spark, tmp_path):
 
 
 @pytest.mark.parametrize("buckets", [None, 4])
-@pytest.mark.parametrize("fail_at", [1, 2, 3])
-def test_failure_between_renames_then_replay(spark, tmp_path, monkeypatch, buckets, fail_at):
+@pytest.mark.parametrize("fail_at", ["before", "half", "after"])
+def test_failure_while_publishing_then_replay(spark, tmp_path, monkeypatch, buckets, fail_at):
     s = store(spark, tmp_path, buckets)
     s.add(records(spark, [(i, i, f"a{i}", 0) for i in range(50)]))
     batch = records(spark, [(1, 100, "new", 1), (2, 3, "old key", 1)])
-    calls, rename = [], publish.rename_path
+    write = tables._overwrite
 
-    def failing(*args):
-        calls.append(args)
-        if len(calls) == fail_at:
-            raise OSError("killed")
-        rename(*args)
+    def failing(staged, path, n):
+        if fail_at == "half":  # the old files are gone, some of the new ones are there
+            write(staged.where("k % 2 = 0"), path, n)
+        if fail_at == "after":
+            write(staged, path, n)
+        raise OSError("killed")
 
-    monkeypatch.setattr(publish, "rename_path", failing)
-    failed = False
-    try:
+    monkeypatch.setattr(tables, "_overwrite", failing)
+    with pytest.raises(OSError):
         s.add(batch)
-    except OSError:
-        failed = True
-    monkeypatch.setattr(publish, "rename_path", rename)
+    monkeypatch.setattr(tables, "_overwrite", write)
     want = sorted([(i, f"a{i}", 0) for i in range(50)])
-    if failed:
-        assert content(s.table()) in (want, sorted([*want, (100, "new", 1)]))
+    assert content(s.table()) == sorted([*want, (100, "new", 1)])
     s.add(batch)
     assert sorted(content(s.table())) == sorted([*want, (100, "new", 1)])
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_failure_while_staging_leaves_the_table(spark, tmp_path, monkeypatch, buckets):
+    s = store(spark, tmp_path, buckets)
+    s.add(records(spark, [(i, i, f"a{i}", 0) for i in range(20)]))
+    bad = s.raw_table().withColumn("name", F.when(F.col("k") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(spark, bad, s.path, "k", buckets)
+    assert content(s.table()) == sorted((i, f"a{i}", 0) for i in range(20))
+
+
+def test_emptied_buckets_are_removed_after_a_failure_too(spark, tmp_path, monkeypatch):
+    s = store(spark, tmp_path, 4)
+    s.add(records(spark, [(i, i, f"a{i}", 0) for i in range(12)]))
+    gone = [r.k for r in s.raw_table().where("_bucket = 1").collect()]
+    delete = tables.delete_path
+    monkeypatch.setattr(tables, "delete_path", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        s.delete(spark.createDataFrame([(k,) for k in gone], "k long"))
+    monkeypatch.setattr(tables, "delete_path", delete)
+    assert content(s.table()) == sorted((i, f"a{i}", 0) for i in range(12) if i not in gone) and gone
+    assert s.raw_table().where("_bucket = 1").count() == 0
+
+
+def test_the_catalog_table_is_the_stored_table(spark, tmp_path):
+    s = store(spark, tmp_path, 4)
+    s.add(records(spark, [(i, i, f"a{i}", 0) for i in range(12)]))
+    s.delete(spark.createDataFrame([(k,) for k in range(6)], "k long"))
+    assert content(spark.table(tables.table_name(s.path))) == content(s.table()) and s.table().count() == 6
+    spark.sql(f"DROP TABLE {tables.table_name(s.path)}")  # a session whose catalog does not know the folder
+    assert content(store(spark, tmp_path, 4).table()) == sorted((i, f"a{i}", 0) for i in range(6, 12))
+    s.add(records(spark, [(1, 50, "b", 0)]))
+    assert s.table().count() == 7
+
+
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_emptied_table_keeps_its_schema(spark, tmp_path, buckets):
     s = store(spark, tmp_path, buckets)
@@ -191,4 +221,3 @@ def test_publish_leaves_nothing_beside_the_table(spark, tmp_path):
     s.add(records(spark, [(1, 1, "a", 1)]))
     s.add(records(spark, [(1, 2, "b", 1)]))
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
-    assert not path_exists(spark, f"{s.path}__old")
