@@ -34,6 +34,7 @@ from recordtable.plans.refresh import build_batch
 from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.files import read_table
 from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
+from recordtable.streaming.ordered_stream import start_ordered_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -460,6 +461,35 @@ def q_store_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_suppliers(spark, sf_dir, 8)
 
 
+def landed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(op, seq, s_suppkey, json)``: supplier and customer records, events as patches, urgent orders as deletes."""
+    supplier, customer, events, orders = (table(spark, sf_dir, t) for t in ("supplier", "customer", "events", "orders"))
+
+    def row(df: DataFrame, op: str, seq: str, key: str, **doc: str) -> DataFrame:
+        fields = [F.expr(v).alias(f"s_{c}") for c, v in doc.items()]
+        doc_json = F.to_json(F.struct(*fields)) if fields else F.lit(None).cast("string")
+        return df.select(F.lit(op).alias("op"), F.expr(seq).cast("long").alias("seq"), F.col(key).alias("s_suppkey"), doc_json.alias("json"))
+
+    adds = row(supplier, "add", "10", "s_suppkey", suppkey="s_suppkey", name="s_name", nationkey="s_nationkey", acctbal="s_acctbal")
+    late = row(customer, "add", "15 * c_custkey + 102", "c_custkey", suppkey="c_custkey", name="c_name", nationkey="c_nationkey", acctbal="c_acctbal")
+    patches = row(events, "update", "3 * event_id + 100", "user_id", name="event_type", acctbal="if(event_type = 'purchase', value, null)")
+    urgent = orders.where("o_orderpriority = '1-URGENT'")
+    deletes = row(urgent, "delete", "3 * o_orderkey + 101", "o_custkey")
+    return adds.unionByName(late).unionByName(patches).unionByName(deletes)
+
+
+def q_ordered_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes landed twice, in files without order, and streamed into a store by three micro-batches."""
+    ensure_checkpoint_dir(spark)
+    landed = shared_path(spark, "landed")
+    scattered = landed_changes(spark, sf_dir).repartition(6, F.xxhash64("seq", "op"))
+    scattered.write.json(landed)
+    scattered.write.mode("append").json(landed)
+    store = RecordStore(spark, shared_path(spark, "ordered"), STORE_FIELDS, STORE_CONTRACT, buckets=8)
+    start_ordered_stream(store, landed, max_files_per_trigger=4).awaitTermination()
+    return store.table()
+
+
 QUERIES: dict[str, Query] = {
     "flagship_stats": q_flagship,
     "parse_records": q_parse_records,
@@ -500,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "store_flat": q_store_flat,
     "store_bucketed": q_store_bucketed,
     "refresh_published": q_refresh_published,
+    "ordered_changes": q_ordered_changes,
 }
 
 
@@ -700,6 +731,23 @@ FROM part LEFT JOIN events e ON e.event_id = p_partkey""",
     "append_overwrite": "SELECT *, CAST(2 AS BIGINT) AS copies FROM customer",
     "store_flat": _STORE,
     "store_bucketed": _STORE,
+    "ordered_changes": """
+WITH adds AS (
+  SELECT s_suppkey AS k, 10 AS seq, s_name, s_nationkey, s_acctbal FROM supplier
+  UNION ALL
+  SELECT c_custkey, 15 * c_custkey + 102, c_name, c_nationkey, c_acctbal FROM customer
+),
+gone AS (SELECT o_custkey AS k, max(3 * o_orderkey + 101) AS seq FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey),
+first AS (
+  SELECT k, min(a.seq) AS seq, arg_min(s_name, a.seq) AS s_name, arg_min(s_nationkey, a.seq) AS s_nationkey, arg_min(s_acctbal, a.seq) AS s_acctbal
+  FROM adds a LEFT JOIN gone g USING (k) WHERE g.seq IS NULL OR a.seq > g.seq GROUP BY k
+),
+patched AS (
+  SELECT k, arg_max(event_type, event_id) AS name, arg_max(value, event_id) FILTER (event_type = 'purchase') AS balance
+  FROM first JOIN events ON user_id = k AND 3 * event_id + 100 > seq GROUP BY k
+)
+SELECT k AS s_suppkey, coalesce(name, s_name) AS s_name, s_nationkey, coalesce(balance, s_acctbal) AS s_acctbal
+FROM first LEFT JOIN patched USING (k)""",
     "refresh_published": """
 SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey, c_acctbal AS s_acctbal FROM customer WHERE c_acctbal > 0
 UNION ALL
