@@ -14,6 +14,7 @@ from recordtable.operators.contract import apply_defaults, check_batch, check_co
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.joins import bounded_bytes, bounded_rows, split_join
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
+from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, stats_of_parts
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch, refresh
 from recordtable.sources.layout import bucket_of, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
@@ -29,6 +30,7 @@ __all__ = [
     "explode_documents", "map_columns", "parse_records", "to_documents",
     "bounded_bytes", "bounded_rows", "split_join",
     "count_rows", "find", "group_stats", "key_counts", "list_rows", "lookup", "run_sql",
+    "merge_parts", "stat_delta", "stat_parts", "stats_of_parts",
     "RecordStore", "build_batch", "refresh",
     "bucket_of", "overwrite_buckets", "touched_buckets", "with_bucket", "write_bucketed",
     "read_documents", "read_table", "read_jdbc",

@@ -29,11 +29,12 @@ from recordtable.operators.change import delete, insert_new, patch, upsert
 from recordtable.operators.contract import apply_defaults, check_batch, check_contract, split_contract
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
+from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, stats_of_parts
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch
 from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.files import read_table
-from recordtable.sources.sinks import ParquetSink, append, overwrite_staged
+from recordtable.sources.sinks import ParquetSink, append, overwrite_staged, stage
 from recordtable.streaming.ordered_stream import start_ordered_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,6 +462,32 @@ def q_store_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_suppliers(spark, sf_dir, 8)
 
 
+SEGMENT_AVGS = {"c_acctbal": "avg_balance", "c_nationkey": "avg_nation"}
+SEGMENT_FIELDS = (Field("s", "text", "c_mktsegment"), Field("b", "double", "c_acctbal"))
+
+
+def q_group_stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer statistics by segment, kept while urgent orders delete customers, suppliers are added and events patch."""
+    ensure_checkpoint_dir(spark)
+    customer, supplier, events = (table(spark, sf_dir, t) for t in ("customer", "supplier", "events"))
+    key, by = "c_custkey", "c_mktsegment"
+    parts = stage(stat_parts(customer, by, SEGMENT_AVGS), "stat-parts")
+
+    gone = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias(key))
+    new = supplier.select((F.lit(-1) - F.col("s_suppkey")).alias(key), F.col("s_name").alias("c_name"), F.col("s_nationkey").alias("c_nationkey"),
+                          F.col("s_acctbal").alias("c_acctbal"), F.lit("SUPPLIER").alias(by), F.col("s_suppkey").alias("seq"))
+    doc = F.to_json(F.struct(F.when(F.col("event_type") == "signup", F.lit("MOVED")).alias("s"), F.col("value").alias("b")))
+    patches = events.select(F.col("user_id").alias(key), F.col("event_id").alias("seq"), doc.alias("doc"))
+    named = gone.union(new.select(key)).union(patches.select(key))
+    touched = stage(lookup(customer, key, keys=named), "stat-touched")  # all that is read of the table
+    left, _ = delete(touched, gone, key)
+    more, _ = insert_new(left, new, key, "seq")
+    after, _ = patch(more, patches, key, "seq", "doc", SEGMENT_FIELDS)
+    parts = merge_parts(parts, stat_delta(touched, after, by, SEGMENT_AVGS), by)
+    rounded = [F.round(c, 4).alias(c) for c in SEGMENT_AVGS.values()]
+    return stats_of_parts(parts, by, SEGMENT_AVGS, "customers").select(by, "customers", *rounded)
+
+
 def landed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(op, seq, s_suppkey, json)``: supplier and customer records, events as patches, urgent orders as deletes."""
     supplier, customer, events, orders = (table(spark, sf_dir, t) for t in ("supplier", "customer", "events", "orders"))
@@ -531,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "store_bucketed": q_store_bucketed,
     "refresh_published": q_refresh_published,
     "ordered_changes": q_ordered_changes,
+    "group_stats_incremental": q_group_stats_incremental,
 }
 
 
@@ -731,6 +759,22 @@ FROM part LEFT JOIN events e ON e.event_id = p_partkey""",
     "append_overwrite": "SELECT *, CAST(2 AS BIGINT) AS copies FROM customer",
     "store_flat": _STORE,
     "store_bucketed": _STORE,
+    "group_stats_incremental": """
+WITH kept AS (
+  SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer
+  WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+  UNION ALL
+  SELECT -1 - s_suppkey, s_nationkey, s_acctbal, 'SUPPLIER' FROM supplier
+),
+last AS (
+  SELECT user_id, arg_max(value, event_id) AS balance, max(event_id) FILTER (event_type = 'signup') AS moved FROM events GROUP BY user_id
+),
+patched AS (
+  SELECT c_nationkey, coalesce(balance, c_acctbal) AS c_acctbal, CASE WHEN moved IS NULL THEN c_mktsegment ELSE 'MOVED' END AS c_mktsegment
+  FROM kept LEFT JOIN last ON user_id = c_custkey
+)
+SELECT c_mktsegment, count(*) AS customers, round(avg(c_acctbal), 4) AS avg_balance, round(avg(c_nationkey), 4) AS avg_nation
+FROM patched GROUP BY c_mktsegment""",
     "ordered_changes": """
 WITH adds AS (
   SELECT s_suppkey AS k, 10 AS seq, s_name, s_nationkey, s_acctbal FROM supplier
