@@ -19,7 +19,7 @@ from recordtable.sources.sinks import stage
 
 
 # Up to this many rows a listing is a top-n, merged in one place; a longer one is a range sort.
-TOP_N_ROWS = 1_000_000
+TOP_N_ROWS = 10_000
 
 
 def _check_limit(n: Any) -> int:
