@@ -33,7 +33,7 @@ from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, sta
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch
 from recordtable.session import ensure_checkpoint_dir, shared_path
-from recordtable.sources.files import read_table
+from recordtable.sources.files import read_documents, read_table
 from recordtable.sources.sinks import ParquetSink, append, overwrite_staged, stage
 from recordtable.streaming.ordered_stream import start_ordered_stream
 
@@ -517,6 +517,30 @@ def q_ordered_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.table()
 
 
+ARRAY_FIELDS = (Field("o_orderkey", "long", default=None), Field("note", "text"), Field("marks", "list"))
+ORDERS_A_FILE = 100_000
+
+
+def q_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as files of one JSON array each, read back by byte ranges.
+
+    The notes hold commas, brackets, quotes and backslashes; each array ends with a bare number, which is no record.
+    """
+    orders = table(spark, sf_dir, "orders")
+    note = F.concat(F.lit('a "'), "o_orderpriority", F.lit('", ['), "o_orderstatus", F.lit(" {\\"))
+    record = F.struct("o_orderkey", note.alias("note"), F.array("o_orderstatus", "o_orderpriority").alias("marks"))
+    number = F.expr(f"o_orderkey div {ORDERS_A_FILE}").alias("number")
+    records = orders.select(number, F.lit(1).alias("place"), F.concat(F.to_json(record), F.lit(",")).alias("line"))
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("place"), F.lit("[").alias("line")), F.struct(F.lit(2).alias("place"), F.lit("0]").alias("line"))))
+    lines = records.unionByName(orders.select(number).distinct().select("number", ends.alias("e")).select("number", "e.*"))
+    ensure_checkpoint_dir(spark)
+    landed = shared_path(spark, "arrays")
+    lines.repartition("number").sortWithinPartitions("number", "place").select("number", "line").write.partitionBy("number").text(landed)
+    documents = read_documents(spark, f"{landed}/*", layout="array")
+    records, _ = explode_documents(documents, "doc", ARRAY_FIELDS, single=True)
+    return records.select("o_orderkey", "note", join_list_expr("marks").alias("marks"))
+
+
 QUERIES: dict[str, Query] = {
     "flagship_stats": q_flagship,
     "parse_records": q_parse_records,
@@ -559,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "refresh_published": q_refresh_published,
     "ordered_changes": q_ordered_changes,
     "group_stats_incremental": q_group_stats_incremental,
+    "array_files": q_array_files,
 }
 
 
@@ -792,6 +817,9 @@ patched AS (
 )
 SELECT k AS s_suppkey, coalesce(name, s_name) AS s_name, s_nationkey, coalesce(balance, s_acctbal) AS s_acctbal
 FROM first LEFT JOIN patched USING (k)""",
+    "array_files": """
+SELECT o_orderkey, 'a "' || o_orderpriority || '", [' || o_orderstatus || ' {\\' AS note, o_orderstatus || ',' || o_orderpriority AS marks
+FROM orders""",
     "refresh_published": """
 SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey, c_acctbal AS s_acctbal FROM customer WHERE c_acctbal > 0
 UNION ALL
