@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from recordtable.fields import Field
 from recordtable.functions.json_rules import has_field, join_list, read_field
+from recordtable.operators.bitmaps import MAX_BITMAPS, is_integer_key, key_bitmaps, present_bitmaps, where_in_bitmaps
 from recordtable.operators.joins import (
     DEFAULT_MAX_BROADCAST_BYTES,
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -191,17 +192,25 @@ def delete(
     key: str,
     keys_key: str | None = None,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bitmaps: int = MAX_BITMAPS,
 ) -> tuple[DataFrame, DataFrame]:
     """Remove every row whose key is in ``keys``.
 
     Returns ``(result, missing)``: ``missing`` holds the requested keys (one
-    row per request) that matched no row.
+    row per request) that matched no row. Integer keys beyond
+    ``max_broadcast_rows`` are broadcast as bitmaps where ``max_bitmaps``
+    hold them, so the table is not shuffled; others use a shuffle join.
     """
     wanted = keys.select(F.col(keys_key or key).alias(key)).where(F.col(key).isNotNull())
     small = _small(wanted, max_broadcast_rows)
-    result = table.join(F.broadcast(wanted) if small else wanted.distinct(), key, "left_anti")
-    present = _side(_present_keys(table, wanted, key, small), small)
-    missing = wanted.join(present, key, "left_anti")
+    bitmaps = None if small or not is_integer_key(table, key) else key_bitmaps(wanted, key, max_bitmaps)
+    if bitmaps is not None:
+        result = where_in_bitmaps(table, key, bitmaps, present=False)
+        missing = where_in_bitmaps(wanted, key, present_bitmaps(table, key, bitmaps), present=False)
+    else:
+        result = table.join(F.broadcast(wanted) if small else wanted.distinct(), key, "left_anti")
+        present = _side(_present_keys(table, wanted, key, small), small)
+        missing = wanted.join(present, key, "left_anti")
     if keys_key and keys_key != key:
         missing = missing.withColumnRenamed(key, keys_key)
     return result, missing

@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recordtable.operators.bitmaps import is_integer_key, key_bitmaps, where_in_bitmaps
 from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_set
 from recordtable.sources.sinks import stage
 
@@ -115,14 +116,15 @@ def lookup(
     keys_key: str | None = None,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows whose key equals ``value``, or whose key is in ``keys`` (semi join)."""
+    """Rows whose key equals ``value``, or whose key is in ``keys`` (semi join; integer keys too many to broadcast: bitmaps)."""
     if keys is None:
         if value is None:
             raise ValueError("lookup needs a value or a keys DataFrame")
         return df.where(F.col(key) == F.lit(value))
     wanted = keys.select(F.col(keys_key or key).alias(key))
-    ks, _ = key_set(wanted, key, max_broadcast_rows)
-    return df.join(ks, key, "left_semi")
+    ks, small = key_set(wanted, key, max_broadcast_rows)
+    bitmaps = None if small or not is_integer_key(df, key) else key_bitmaps(wanted, key)
+    return where_in_bitmaps(df, key, bitmaps) if bitmaps is not None else df.join(ks, key, "left_semi")
 
 
 def find(

@@ -43,8 +43,8 @@ def test_delete_broadcasts_small_key_set_and_never_shuffles_table(spark):
 def test_large_change_set_is_not_broadcast(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    # bound smaller than the key set: no broadcast, shuffle join instead
-    result, _ = delete(orders, customer, "o_custkey", "c_custkey", max_broadcast_rows=10)
+    # bound smaller than the key set, no bitmaps: no broadcast, shuffle join instead
+    result, _ = delete(orders, customer, "o_custkey", "c_custkey", max_broadcast_rows=10, max_bitmaps=0)
     p = plan(result)
     assert "BroadcastExchange" not in p and "SortMergeJoin" in p
 
