@@ -6,25 +6,23 @@ an identifier, a secret and often an endpoint, so a weak part counts when the
 complementary part is within ``scope`` code points of it:
 
 * ``weak_id`` (user, client id, ...): a secret in scope;
-* ``weak_secret`` (a short assigned value, a bare key of 40 characters): an identifier or an endpoint in scope;
+* ``weak_secret`` (a short assigned value, a bare key of 40 characters or more): an identifier or an endpoint in scope;
 * ``endpoint`` (a URL with a scheme): both an identifier and a secret in scope.
 
 Identifiers are ``access`` and ``weak_id``, secrets are ``assign``, ``hex``
 and ``weak_secret``.
 
-With ``by_gap``, as the registered query has it, the distance of two parts is
-the gap from the end of one to the start of the other, so a long token or URL
-does not put its neighbours out of scope, and bare keys of more than 40
-characters count too. The parts of a text are swept in order of position: a
-part has company of a class if, among the parts of that class that start up to
-``scope`` after its end, the last end is at most ``scope`` before its start.
-
-By default starts are compared with starts, and a bare key has exactly 40
-characters. The interval join then works on cells of ``scope`` code points: each part joins the
-summary of its cell (for each class: last start of the cell before, any in the
-cell, first start of the cell after), which decides exactly whether a part of
-that class is in scope. Summaries are partial aggregates; pairs of parts are
-never made, so a text full of parts costs time in proportion to its length.
+The distance of two parts is the gap from the end of one to the start of the
+other, so a long token or URL does not put its neighbours out of scope.
+Parts meet by an interval join over cells of ``scope`` code points: each
+part is summed up in the cells that it covers (for each class: first start
+and last end), and a weak part asks the cells that its interval, widened by ``scope`` on
+both sides, covers. In the first of them the last end decides, in the last one the first start, and any
+part in those between is in scope, so the answer is exact. Sums
+are partial aggregates; pairs of parts are never made, and parts of a kind do
+not overlap, so a text full of parts costs time in proportion to its length.
+A weak part inside a base span is no finding of its own: it is held against the
+base spans of the cell in which it starts, of which there are at most some 70.
 
 Defined results: null text counts as empty (no spans); repeated rows get equal
 results; spans may overlap; positions are code points, ends exclusive; other
@@ -33,12 +31,10 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import row_key, stage
+from recordtable.llm.common import join_hot, let, row_key, stage
 
 SCOPE = 256
 
@@ -54,7 +50,9 @@ ENDPOINT = r"""(?i)(https?|ftps?|ssh|s3|jdbc:[a-z]+|postgres|postgresql|mysql|mo
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
 IDENTIFIER, SECRET, END = 0, 1, 2
 CLASS_OF = (SECRET, IDENTIFIER, SECRET, IDENTIFIER, SECRET, END)
-LEAST_SECRET, LEAST_WEAK_SECRET, KEY_LENGTH = 12, 4, 40
+LEAST_SECRET, LEAST_WEAK_SECRET = 12, 4
+
+_CHUNK = 256
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -62,7 +60,8 @@ _SPAN = "array<struct<start:int,kind:int,end:int>>"
 def _matches(text: Column, pattern: str, value_group: int = 0) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start, end, size>>``; size: length of the value group.
 
-    A text is its gaps and matches in turn, so a match starts at the sum of the lengths before it.
+    A text is its gaps and matches in turn, so a match starts at the sum of the lengths before it. The sums
+    run over chunks of matches, then inside each: an array grown by one copies itself, so none is long.
     """
     p = F.lit(pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
@@ -72,7 +71,16 @@ def _matches(text: Column, pattern: str, value_group: int = 0) -> Column:
         F.transform(whole, F.length).alias("match"),
         F.transform(value, F.length).alias("size"),
     )
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,size:int>>) as found)")
+
+    def chunked(all_: Column) -> Column:
+        last = F.floor(F.size(all_) / _CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(all_, c * _CHUNK + 1, F.lit(_CHUNK)))
+
+    def advance(acc: Column, x: Column) -> Column:
+        return acc + x["gap"] + x["match"]
+
+    def next_start(acc: Column, width: Column) -> Column:
+        return F.struct((acc["at"] + width).alias("at"), F.concat(acc["found"], F.array(acc["at"])).alias("found"))
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
@@ -80,8 +88,17 @@ def _matches(text: Column, pattern: str, value_group: int = 0) -> Column:
         one = F.array(F.struct(start.alias("start"), end.alias("end"), x["size"].alias("size")))
         return F.struct(end.alias("at"), F.concat(acc["found"], one).alias("found"))
 
+    def inside(chunk: Column, start: Column) -> Column:
+        nothing = F.expr("cast(array() as array<struct<start:int,end:int,size:int>>)")
+        return F.aggregate(chunk, F.struct(start.alias("at"), nothing.alias("found")), add)["found"]
+
+    def placed(chunks: Column) -> Column:
+        widths = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), advance))
+        first = F.expr("struct(0 as at, cast(array() as array<int>) as found)")
+        return F.flatten(F.zip_with(chunks, F.aggregate(widths, first, next_start)["found"], inside))
+
     # the last gap has no match: its fields are null
-    return F.aggregate(F.filter(lengths, lambda x: x["match"].isNotNull()), empty, add)["found"]
+    return let(let(F.filter(lengths, lambda x: x["match"].isNotNull()), chunked), placed)
 
 
 def _spans(found: Column, kind: str) -> Column:
@@ -93,7 +110,7 @@ def _none() -> Column:
     return F.expr(f"cast(array() as {_SPAN})")
 
 
-def _parts(text: Column, by_gap: bool = False) -> tuple[Column, Column]:
+def _parts(text: Column) -> tuple[Column, Column]:
     """(base spans, weak parts) of a text; the plain tests before the patterns are conditions of any match."""
     assigns = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
     assign = _matches(text, ASSIGN, 2)
@@ -103,84 +120,62 @@ def _parts(text: Column, by_gap: bool = False) -> tuple[Column, Column]:
         F.when(text.rlike(HEX), _spans(_matches(text, HEX), "hex")).otherwise(_none()),
     )
     short = F.filter(assign, lambda x: (x["size"] >= LEAST_WEAK_SECRET) & (x["size"] < LEAST_SECRET))
-    bare = F.filter(_matches(text, KEY_RUN), lambda x: F.lit(by_gap) | (x["size"] == KEY_LENGTH))
     weak = F.concat(
         F.when(assigns, F.concat(_spans(_matches(text, WEAK_ID), "weak_id"), _spans(short, "weak_secret"))).otherwise(_none()),
-        F.when(text.rlike(KEY_RUN), _spans(bare, "weak_secret")).otherwise(_none()),
+        F.when(text.rlike(KEY_RUN), _spans(_matches(text, KEY_RUN), "weak_secret")).otherwise(_none()),
         F.when(F.contains(text, F.lit("://")), _spans(_matches(text, ENDPOINT), "endpoint")).otherwise(_none()),
     )
     return base, weak
 
 
-def _counts(near: Callable[[int], Column]) -> Column:
-    """Whether part ``p`` is reported, by the classes that are near it."""
-    kind = F.col("p.kind")
-    return (
-        F.when(kind == KINDS.index("weak_id"), near(SECRET))
-        .when(kind == KINDS.index("weak_secret"), near(IDENTIFIER) | near(END))
-        .when(kind == KINDS.index("endpoint"), near(IDENTIFIER) & near(SECRET))
-        .otherwise(F.lit(False))
-    )
+def _in_cells(df: DataFrame, first: Column, last: Column, scope: int) -> DataFrame:
+    """``df`` once for each cell from that of place ``first`` to that of place ``last``."""
+    return df.withColumn("cell", F.explode(F.sequence(F.floor(first / scope), F.floor(last / scope))))
 
 
-def _linked_by_gap(parts: DataFrame, scope: int) -> DataFrame:
-    """As :func:`_linked`, by the gap between parts."""
-    class_of = F.element_at(F.array(*map(F.lit, CLASS_OF)), F.col("p.kind") + 1)
-    each = parts.where(F.size("weak") > 0).select("key", F.explode(F.concat("base", "weak")).alias("p"))
-    each = each.select("key", "p", class_of.alias("class"))
-    # a part is seen from its start on and asks, if weak, ``scope`` after its end
-    seen = each.select("*", F.col("p.start").alias("at"), F.lit(0).alias("asks"))
-    asks = each.where(F.col("p.kind") >= KINDS.index("weak_id")).select("*", F.col("p.end") + scope, F.lit(1))
-    order = Window.partitionBy("key").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = [F.max(F.when(F.col("class") == c, F.col("p.end"))).over(order).alias(f"end{c}") for c in (IDENTIFIER, SECRET, END)]
-
-    def near(c: int) -> Column:
-        return F.coalesce(F.col(f"end{c}") >= F.col("p.start") - scope, F.lit(False))
-
-    swept = seen.union(asks).select("*", *ends)
-    return swept.where((F.col("asks") == 1) & _counts(near)).groupBy("key").agg(F.collect_set("p").alias("extra"))
+def _own(each: DataFrame, scope: int) -> DataFrame:
+    """``key, p`` without the weak parts that lie inside a base span."""
+    weak_kind = F.col("p.kind") >= KINDS.index("weak_id")
+    cells = _in_cells(each.where(~weak_kind), F.col("p.start"), F.col("p.end"), scope)
+    bases = cells.groupBy("key", "cell").agg(F.collect_list("p").alias("bases"))  # of one cell: at most some 70
+    weak = each.where(weak_kind).withColumn("cell", F.floor(F.col("p.start") / scope)).join(bases, ["key", "cell"], "left")
+    inside = F.exists("bases", lambda b: (b["start"] <= F.col("p.start")) & (F.col("p.end") <= b["end"]))
+    return weak.where(~F.coalesce(inside, F.lit(False))).select("key", "p")
 
 
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """``key, extra``: the weak parts of each text that have their complement in scope."""
+    # repeated rows have one key and equal parts
+    texts = parts.where(F.size("weak") > 0).select("key", "base", "weak").dropDuplicates(["key"])
+    each = texts.select("key", F.explode(F.concat("base", "weak")).alias("p"))
+    weak = stage(_own(each, scope), "secret-weak")
+    base = texts.select("key", F.explode("base").alias("p"))
+
     class_of = F.element_at(F.array(*map(F.lit, CLASS_OF)), F.col("p.kind") + 1)
-    each = (
-        parts.where(F.size("weak") > 0)
-        .select("key", F.explode(F.concat("base", "weak")).alias("p"))
-        .select("key", "p", class_of.alias("class"), F.floor(F.col("p.start") / scope).alias("cell"))
-    )
+    covered = _in_cells(base.unionByName(weak), F.col("p.start"), F.col("p.end"), scope).withColumn("class", class_of)
     sums = []
     for c in (IDENTIFIER, SECRET, END):
-        at = F.when(F.col("class") == c, F.col("p.start"))
-        sums += [F.min(at).alias(f"first{c}"), F.max(at).alias(f"last{c}")]
-    cells = each.groupBy("key", "cell").agg(*sums)
-    # a cell's summary as its neighbours see it
-    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("step")
-    seen = cells.select("*", step).withColumn("cell", F.col("cell") + F.col("step"))
-    sums = []
-    for c in (IDENTIFIER, SECRET, END):
-        sums += [
-            F.max(F.when(F.col("step") == 1, F.col(f"last{c}"))).alias(f"before{c}"),
-            F.count(F.when(F.col("step") == 0, F.col(f"last{c}"))).alias(f"here{c}"),
-            F.min(F.when(F.col("step") == -1, F.col(f"first{c}"))).alias(f"after{c}"),
-        ]
-    around = seen.groupBy("key", "cell").agg(*sums)
+        of_class = F.col("class") == c
+        sums += [F.min(F.when(of_class, F.col("p.start"))).alias(f"first{c}"), F.max(F.when(of_class, F.col("p.end"))).alias(f"last{c}")]
+    cells = covered.groupBy("key", "cell").agg(*sums)
+
+    asked = _in_cells(weak, F.col("p.start") - scope, F.col("p.end") + scope, scope).join(cells, ["key", "cell"])
 
     def near(c: int) -> Column:
-        start = F.col("p.start")
-        return (
-            F.coalesce(start - F.col(f"before{c}") <= scope, F.lit(False))
-            | (F.col(f"here{c}") > 0)
-            | F.coalesce(F.col(f"after{c}") - start <= scope, F.lit(False))
-        )
+        close = (F.col(f"last{c}") >= F.col("p.start") - scope) & (F.col(f"first{c}") <= F.col("p.end") + scope)
+        return F.coalesce(F.max(close), F.lit(False)).alias(f"near{c}")
 
-    weak = each.where(F.col("p.kind") >= KINDS.index("weak_id"))
-    return weak.join(around, ["key", "cell"]).where(_counts(near)).groupBy("key").agg(F.collect_set("p").alias("extra"))
+    found = asked.groupBy("key", "p").agg(near(IDENTIFIER), near(SECRET), near(END))
+    kind = F.col("p.kind")
+    counts = (
+        F.when(kind == KINDS.index("weak_id"), F.col(f"near{SECRET}"))
+        .when(kind == KINDS.index("weak_secret"), F.col(f"near{IDENTIFIER}") | F.col(f"near{END}"))
+        .when(kind == KINDS.index("endpoint"), F.col(f"near{IDENTIFIER}") & F.col(f"near{SECRET}"))
+    )
+    return found.where(counts).groupBy("key").agg(F.collect_set("p").alias("extra"))
 
 
-def scan_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, by_gap: bool = False
-) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per input row: ``<id_col>, row_key, base, spans``, the last two ``array<struct<start, kind, end>>``.
 
     ``kind`` is a place in :data:`KINDS`; spans are in order of start, kind, end.
@@ -188,12 +183,9 @@ def scan_secrets(
     rows = docs.select(
         F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    base, weak = _parts(F.col("text"), by_gap)
-    parts = rows.select("id", "key", F.array_sort(base).alias("base"), weak.alias("weak"))
-    # a bare key inside a base span is no finding of its own
-    inside = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] <= w["start"]) & (w["end"] <= b["end"])))
-    parts = stage(parts.withColumn("weak", inside), "secret-parts")
-    joined = parts.join((_linked_by_gap if by_gap else _linked)(parts, scope), "key", "left")
+    base, weak = _parts(F.col("text"))
+    parts = stage(rows.select("id", "key", F.array_sort(base).alias("base"), weak.alias("weak")), "secret-parts")
+    joined = join_hot(parts, _linked(parts, scope), "key", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", _none())))
     return joined.select(F.col("id").alias(id_col), F.col("key").alias("row_key"), "base", spans.alias("spans"))
 
