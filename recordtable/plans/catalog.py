@@ -27,6 +27,7 @@ from recordtable.fields import Contract, Field
 from recordtable.functions.json_rules import join_list as join_list_expr
 from recordtable.operators.change import delete, insert_new, patch, upsert
 from recordtable.operators.contract import apply_defaults, check_batch, check_contract, split_contract
+from recordtable.operators.discover import schema_drift
 from recordtable.operators.ingest import explode_documents, map_columns, parse_records, to_documents
 from recordtable.operators.read import count_rows, find, group_stats, key_counts, list_rows, lookup, run_sql
 from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, stats_of_parts
@@ -541,6 +542,18 @@ def q_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("o_orderkey", "note", join_list_expr("marks").alias("marks"))
 
 
+DRIFT_FIELDS = (Field("k", "int"), Field("label", "text"), Field("stamp", "long"))
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the events' documents by event type, against declared ones: numbers landed as text, lists, nulls and objects,
+    a field that no document holds and, in every second document, one that is not declared."""
+    docs = mixed_event_json(table(spark, sf_dir, "events"), keep=("event_id", "event_type"))
+    extra = F.regexp_replace("doc", r"\}$", ', "extra": {"id": 1}}')
+    docs = docs.select(F.col("event_type").alias("kind"), F.when(F.col("event_id") % 2 == 0, extra).otherwise(F.col("doc")).alias("doc"))
+    return schema_drift(docs, "doc", "kind", DRIFT_FIELDS)
+
+
 QUERIES: dict[str, Query] = {
     "flagship_stats": q_flagship,
     "parse_records": q_parse_records,
@@ -584,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "ordered_changes": q_ordered_changes,
     "group_stats_incremental": q_group_stats_incremental,
     "array_files": q_array_files,
+    "schema_drift": q_schema_drift,
 }
 
 
@@ -817,6 +831,36 @@ patched AS (
 )
 SELECT k AS s_suppkey, coalesce(name, s_name) AS s_name, s_nationkey, coalesce(balance, s_acctbal) AS s_acctbal
 FROM first LEFT JOIN patched USING (k)""",
+    "schema_drift": """
+WITH d AS (
+  SELECT event_type AS source, event_id,
+         CASE event_type
+           WHEN 'click' THEN json_object('k', 1, 'label', 'click')
+           WHEN 'view' THEN json_object('k', '1', 'label', NULL)
+           WHEN 'error' THEN json_object('k', ' 1 ')
+           WHEN 'purchase' THEN json_object('k', value, 'label', true)
+           ELSE json_object('k', [1], 'label', json_object('t', event_type))
+         END AS doc
+  FROM events
+),
+each AS (
+  SELECT source, unnest(json_keys(doc)) AS field, doc FROM d
+  UNION ALL SELECT source, 'extra', '{"extra": {}}' FROM d WHERE event_id % 2 = 0
+),
+found AS (
+  SELECT source, field, count(*) AS n,
+         max(CASE json_type(doc, '$.' || field) WHEN 'UBIGINT' THEN 'whole' WHEN 'BIGINT' THEN 'whole' WHEN 'DOUBLE' THEN 'fraction'
+             WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'object' ELSE 'null' END) AS seen
+  FROM each GROUP BY source, field
+),
+declared AS (SELECT * FROM (VALUES ('k', 'int'), ('label', 'text'), ('stamp', 'long')) v(field, declared)),
+documents AS (SELECT source, count(*) AS documents FROM d GROUP BY source),
+wanted AS (SELECT source, field FROM found UNION SELECT source, field FROM documents CROSS JOIN declared)
+SELECT source, field,
+       CASE WHEN declared IS NULL THEN 'new' WHEN n IS NULL THEN 'missing' WHEN seen = 'null' THEN 'null_only'
+            WHEN (declared, seen) IN (('int', 'whole'), ('text', 'text')) THEN 'as_declared' ELSE 'retyped' END AS status,
+       declared, seen, coalesce(n, 0) AS n, documents
+FROM wanted JOIN documents USING (source) LEFT JOIN found USING (source, field) LEFT JOIN declared USING (field)""",
     "array_files": """
 SELECT o_orderkey, 'a "' || o_orderpriority || '", [' || o_orderstatus || ' {\\' AS note, o_orderstatus || ',' || o_orderpriority AS marks
 FROM orders""",
