@@ -46,6 +46,7 @@ from recordtable.sources.layout import with_bucket
 from recordtable.sources.sinks import stage
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FIRST = -(2**63)  # rows of the table at the start of the stream
 COLUMNS = "op string, seq long, json string"
@@ -169,10 +170,14 @@ def start_ordered_stream(
     file_format: str = "json",
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Apply the landed ``(op, seq, <key>, json)`` rows to the store, whatever the order of the files.
 
     The state lives in the stream's checkpoint; a stream that starts anew takes the table as it is.
+    ``state_partitions`` is the number of state stores, fixed when a stream first starts and opened by every
+    micro-batch. State grows with the table, not with a batch, so it defaults to the store's buckets
+    (without buckets: to ``spark.sql.shuffle.partitions``).
     """
     spark: SparkSession = store.spark
     table = store.table() if store.exists() else None
@@ -184,9 +189,14 @@ def start_ordered_stream(
     writer = rows.writeStream.outputMode("update").foreachBatch(lambda batch, _: merge_rows(store, batch))
     writer = writer.option("checkpointLocation", checkpoint_location or shared_path(spark, "ordered-stream"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, STATE_STORE)  # the only one with map state; a query takes its settings along when it starts
-    try:
+    settings = {PROVIDER: STATE_STORE}  # the only one with map state
+    if state_partitions or store.buckets:
+        settings[PARTITIONS] = str(state_partitions or store.buckets)
+    before = {name: spark.conf.get(name) for name in settings}
+    try:  # a query takes its settings along when it starts
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         return writer.start()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -84,3 +84,14 @@ def test_late_patches_and_contract(spark, tmp_path):
     put("5", [("add", 11, 1, '{"k": 1, "n": 1}'), ("update", 12, 1, '{"n": 2}')])
     stream(store, tmp_path, 1)
     assert content(store) == [(1, "", 2, 0.0, None)]
+
+
+def test_state_partitions_follow_the_buckets(spark, tmp_path):
+    put = land(tmp_path / "land", [])
+    put("a", [("add", 1, 7, json.dumps({"k": 7, "name": "a"}))])
+    store = RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, buckets=3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream(store, tmp_path, None)
+    assert [r.k for r in store.table().collect()] == [7]
+    assert len([d for d in (tmp_path / "ckpt" / "state" / "0").iterdir() if d.name.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
