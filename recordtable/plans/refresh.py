@@ -77,6 +77,7 @@ def refresh(
     run_ts: datetime | None = None,
     buckets: int | None = None,
     single: bool = False,
+    sort: Sequence[str] = (),
 ) -> RefreshResult:
     """Load documents into ``target``: upsert by key.
 
@@ -90,7 +91,7 @@ def refresh(
     ``null_<col>``, ``too_long_<col>``). Elements = records loaded or replaced
     by a later one + rejects.
 
-    With ``buckets``, the target uses the key-bucket layout
+    ``sort``: the order in which a flat target is kept. With ``buckets``, the target uses the key-bucket layout
     (``recordtable.sources.layout``) and only the buckets holding incoming
     keys are read and rewritten.
     """
@@ -128,5 +129,5 @@ def refresh(
     elif buckets:
         written = write_bucketed(result, target.path, contract.key, buckets)
     else:
-        written = publish(spark, result, target.path, contract.key)
+        written = publish(spark, result, target.path, contract.key, sort=sort)
     return RefreshResult(contract_row, n_rejects, seen.get["rows"], written, rejects_path)

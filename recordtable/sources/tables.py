@@ -17,6 +17,7 @@ writes it again: the same rows, so it may be repeated.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -25,7 +26,7 @@ from recordtable.session import ensure_checkpoint_dir, shared_path
 from recordtable.sources.fs import delete_path, path_exists
 
 BUCKET_COL = "_bucket"
-_KEY, _BUCKETS, _PENDING, _EMPTIED = (f"recordtable.{n}" for n in ("key", "buckets", "pending", "emptied"))
+_KEY, _BUCKETS, _PENDING, _EMPTIED, _SORT = (f"recordtable.{n}" for n in ("key", "buckets", "pending", "emptied", "sort"))
 
 
 def table_name(path: str) -> str:
@@ -86,18 +87,23 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(spark.table(table_name(path)).schema).parquet(path)
 
 
-def _overwrite(staged: DataFrame, path: str, buckets: int | None) -> None:
+def _overwrite(staged: DataFrame, path: str, buckets: int | None, sort: Sequence[str] = ()) -> None:
     writer = staged.write.mode("overwrite")
     if buckets:
         # one task per bucket; buckets without rows here are left as they are
-        bucketed = staged.repartition(BUCKET_COL).write.mode("overwrite")
-        writer = bucketed.option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL)
+        bucketed = staged.repartition(BUCKET_COL)
+        if sort:
+            bucketed = bucketed.sortWithinPartitions(BUCKET_COL, *sort)
+        writer = bucketed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL)
+    elif sort:  # each file is a range of the order
+        writer = staged.repartitionByRange(*sort).sortWithinPartitions(*sort).write.mode("overwrite")
     writer.parquet(path)
 
 
 def _finish(spark: SparkSession, path: str, pending: str, buckets: int | None, emptied: list[int]) -> None:
     schema = spark.table(table_name(path)).schema
-    _overwrite(spark.read.schema(schema).parquet(pending), path, buckets)
+    sort = [c for c in _properties(spark, path).get(_SORT, "").split(",") if c]
+    _overwrite(spark.read.schema(schema).parquet(pending), path, buckets, sort)
     for bucket in emptied:
         delete_path(spark, f"{path.rstrip('/')}/{BUCKET_COL}={bucket}")
     if buckets:
@@ -123,9 +129,13 @@ def publish(
     key: str | None = None,
     buckets: int | None = None,
     touched: list[int] | None = None,
+    sort: Sequence[str] = (),
 ) -> str:
     """Make ``df`` the table at ``path``, or with ``touched`` the content of those buckets; ``df`` may read the table.
 
+    ``sort`` (column names without commas) orders the rows of a bucket's file, or of
+    a flat table, whose files are then ranges of that order: files and row groups have narrow
+    ranges to prune by. A table keeps its order when it is published without one.
     Returns the folder that held the staged copy.
     """
     ensure_checkpoint_dir(spark)
@@ -139,6 +149,6 @@ def publish(
         staged = spark.read.schema(df.schema).parquet(pending)
         filled = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()}  # at most ``buckets`` numbers
         emptied = [b for b in touched if b not in filled]
-    _set(spark, path, {_PENDING: pending, _EMPTIED: ",".join(map(str, emptied))})
+    _set(spark, path, {_PENDING: pending, _EMPTIED: ",".join(map(str, emptied))} | ({_SORT: ",".join(sort)} if sort else {}))
     _finish(spark, path, pending, buckets, emptied)
     return pending
