@@ -8,7 +8,9 @@ overwrite. See README.md.
 """
 
 from recordtable.fields import HERO_CONTRACT, HERO_FIELDS, Contract, Field
+from recordtable.functions.collations import collated
 from recordtable.functions.json_rules import has_field, is_object, join_list, json_int, json_list, json_text, read_field
+from recordtable.functions.sql_functions import register_functions
 from recordtable.operators.bitmaps import key_bitmaps, where_in_bitmaps
 from recordtable.operators.change import delete, fold_patches, insert_new, patch, upsert
 from recordtable.operators.contract import apply_defaults, check_batch, check_contract
@@ -19,15 +21,17 @@ from recordtable.operators.read import count_rows, find, group_stats, key_counts
 from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, stats_of_parts
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch, refresh
+from recordtable.sources.clustered import cluster_table, page, write_fences
 from recordtable.sources.layout import bucket_of, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.files import read_documents, read_table
 from recordtable.sources.jdbc import read_jdbc
 from recordtable.sources.json_array import read_elements
 from recordtable.sources.sinks import JdbcSink, ParquetSink, append, overwrite_staged
+from recordtable.sources.text_index import find_indexed, index_text, stale_buckets
 
 __all__ = [
     "Contract", "Field", "HERO_CONTRACT", "HERO_FIELDS",
-    "has_field", "is_object", "join_list", "json_int", "json_list", "json_text", "read_field",
+    "collated", "register_functions", "has_field", "is_object", "join_list", "json_int", "json_list", "json_text", "read_field",
     "key_bitmaps", "where_in_bitmaps", "discover_fields", "schema_drift",
     "delete", "fold_patches", "insert_new", "patch", "upsert",
     "apply_defaults", "check_batch", "check_contract",
@@ -37,6 +41,7 @@ __all__ = [
     "merge_parts", "stat_delta", "stat_parts", "stats_of_parts",
     "RecordStore", "build_batch", "refresh",
     "bucket_of", "overwrite_buckets", "touched_buckets", "with_bucket", "write_bucketed",
+    "cluster_table", "page", "write_fences", "find_indexed", "index_text", "stale_buckets",
     "read_documents", "read_elements", "read_table", "read_jdbc",
     "JdbcSink", "ParquetSink", "append", "overwrite_staged",
 ]

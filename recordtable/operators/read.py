@@ -13,7 +13,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from recordtable.functions.collations import collated, contains_pattern, plain
+from recordtable.functions.sql_functions import register_functions
 from recordtable.operators.bitmaps import is_integer_key, key_bitmaps, where_in_bitmaps
 from recordtable.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_set
 from recordtable.sources.sinks import stage
@@ -66,7 +69,10 @@ def key_counts(
     )
 
 
-def _sort_cols(order_by: Sequence[str | Column], key: str | None) -> list[Column]:
+def _sort_cols(order_by: Sequence[str | Column], key: str | None, df: DataFrame | None = None, collation: str | None = None) -> list[Column]:
+    if collation is not None:  # the texts among the columns
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+        order_by = [collated(c, collation).asc_nulls_first() if c in text else c for c in order_by]
     cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
     if key is not None and key not in [c for c in order_by if isinstance(c, str)]:
         cols.append(F.col(key).asc())
@@ -80,8 +86,9 @@ def list_rows(
     n: int = 10,
     key: str | None = None,
     top_n: int = TOP_N_ROWS,
+    collation: str | None = None,
 ) -> DataFrame:
-    """First ``n`` rows by ``order_by`` (nulls first), key as last tie-break.
+    """First ``n`` rows by ``order_by`` (nulls first, texts by ``collation`` if given), key as last tie-break.
 
     Up to ``top_n`` rows this plans as TakeOrderedAndProject: every task keeps
     its own top ``n`` and only those reach the final merge, so the cost is one
@@ -91,7 +98,7 @@ def list_rows(
     it, is below ``n``.
     """
     n = _check_limit(n)
-    order = _sort_cols(order_by, key)
+    order = _sort_cols(order_by, key, df, collation)
     if n <= top_n:
         return df.select(*cols).orderBy(*order).limit(n)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -137,13 +144,15 @@ def find(
     order_by: Sequence[str] | None = None,
     key: str | None = None,
     order: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
     """Rows whose ``col`` contains ``text``.
 
     ``mode="like"``: ``text`` is placed inside ``%...%`` and its own ``%``
     and ``_`` act as wildcards (a backslash is matched literally).
     ``mode="literal"``: plain substring.
-    ``ignore_case`` lowers both sides. ``text`` is always a bound literal,
+    ``ignore_case`` lowers both sides; ``collation`` compares and sorts as that
+    collation does (see ``functions.collations``). ``text`` is always a bound literal,
     never spliced into SQL. NULL values never match. Sorted by
     ``order_by`` (default ``col``) with ``key`` as tie-break when given;
     ``order=False`` leaves the matches as they are found. A range sort reads
@@ -154,9 +163,13 @@ def find(
         raise ValueError("find needs a search text")
     c = F.col(col)
     t = text
+    if ignore_case and collation is not None:
+        raise ValueError("a collation has its own rule for case")
     if ignore_case:
         c, t = F.lower(c), text.lower()
-    if mode == "like":
+    if collation is not None:
+        cond = contains_pattern(c, text, mode, collation)
+    elif mode == "like":
         # % and _ stay wildcards; a backslash is data, not LIKE's escape
         cond = c.like("%" + t.replace("\\", "\\\\") + "%")
     elif mode == "literal":
@@ -169,7 +182,7 @@ def find(
     if not order:
         return out
     by = list(order_by) if order_by is not None else [col]
-    return out.repartition(F.col(key if key is not None else by[0])).orderBy(*_sort_cols(by, key))
+    return out.repartition(F.col(key if key is not None else by[0])).orderBy(*_sort_cols(by, key, out, collation))
 
 
 def group_stats(
@@ -179,9 +192,12 @@ def group_stats(
     count_name: str = "n",
     digits: int | None = None,
     order: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
     """Rows and averages per ``key`` value; NULL key is a group of its own.
 
+    With ``collation`` the keys it holds equal are one group, named by the least of them (by bytes).
+
     ``avg_cols`` is ``{column: output name}`` or a list (names ``avg_<col>``).
     Averages skip NULLs and are doubles; ``digits`` rounds them. Sorted by
     count descending, then key. Plans as partial + final HashAggregate, so
@@ -195,9 +211,13 @@ def group_stats(
         if digits is not None:
             a = F.round(a, digits)
         aggs.append(a.alias(name))
-    out = df.groupBy(key).agg(*aggs)
+    if collation is None:
+        out = df.groupBy(key).agg(*aggs)
+    else:
+        named = df.groupBy(collated(key, collation).alias("__rt_group")).agg(F.min(plain(key)).alias(key), *aggs)
+        out = named.drop("__rt_group")
     if order:
-        out = out.orderBy(F.col(count_name).desc(), F.col(key).asc_nulls_first())
+        out = out.orderBy(F.col(count_name).desc(), collated(key, collation).asc_nulls_first())
     return out
 
 
@@ -206,8 +226,14 @@ def run_sql(
     sql: str,
     views: Mapping[str, DataFrame] | None = None,
     args: Mapping[str, Any] | Sequence[Any] | None = None,
+    functions: bool = False,
 ) -> DataFrame:
-    """Register ``views`` as temp views and run ``sql`` with bound ``args`` (``:name`` or ``?``)."""
+    """Register ``views`` as temp views and run ``sql`` with bound ``args`` (``:name`` or ``?``).
+
+    ``functions``: the coercion rules are known as SQL functions (see ``functions.sql_functions``).
+    """
+    if functions:
+        register_functions(spark)
     for name, view in (views or {}).items():
         view.createOrReplaceTempView(name)
     return spark.sql(sql, args=args) if args else spark.sql(sql)

@@ -34,6 +34,7 @@ from recordtable.operators.stats import merge_parts, stat_delta, stat_parts, sta
 from recordtable.plans.commands import RecordStore
 from recordtable.plans.refresh import build_batch
 from recordtable.session import ensure_checkpoint_dir, shared_path
+from recordtable.sources.clustered import cluster_table, page
 from recordtable.sources.files import read_documents, read_table
 from recordtable.sources.sinks import ParquetSink, append, overwrite_staged, stage
 from recordtable.streaming.ordered_stream import start_ordered_stream
@@ -554,6 +555,101 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift(docs, "doc", "kind", DRIFT_FIELDS)
 
 
+NAME_STORE_FIELDS = (Field("p_partkey", "long", default=None), Field("p_name", "text"), Field("p_size", "int"))
+NAME_STORE_CONTRACT = Contract(key="p_partkey", not_null=("p_partkey",), max_len={"p_name": 100})
+
+
+def q_find_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in a bucketed table with a trigram index on the name. Some get a nation's name and the index is brought up to date,
+    some a region's and it is not; then a pattern with wildcards, one that only new names match and one without a trigram."""
+    ensure_checkpoint_dir(spark)
+    store = RecordStore(spark, shared_path(spark, "named"), NAME_STORE_FIELDS, NAME_STORE_CONTRACT, name_col="p_name",
+                        find_cols=("p_partkey", "p_name", "p_size"), buckets=32)
+    part, nation, region = (table(spark, sf_dir, t) for t in ("part", "nation", "region"))
+    record = F.to_json(F.struct(*[f.name for f in NAME_STORE_FIELDS]))
+    store.add(part.select(F.col("p_partkey").alias("seq"), record.alias("json")))
+    store.index_names()
+    for names, key, name in ((nation, "n_nationkey", "n_name"), (region, "r_regionkey", "r_name")):
+        patch_doc = F.to_json(F.struct(F.col(name).alias("p_name")))
+        store.update(names.select((F.col(key) * 3 + 1).alias("p_partkey"), F.col(key).alias("seq"), patch_doc.alias("json")))
+        if names is nation:
+            store.index_names()
+    found = None
+    for pattern in ("ld w%dge", "ION_1", "AS", "ot"):
+        rows = store.find(pattern).withColumn("pattern", F.lit(pattern))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+PAGE_ROWS = 500
+
+
+def q_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders kept in the order of (customer, order key), urgent ones without a customer; three pages, each behind the last row of the one before."""
+    ensure_checkpoint_dir(spark)
+    path, order = shared_path(spark, "clustered"), ["customer"]
+    orders = table(spark, sf_dir, "orders").withColumn("customer", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")))
+    cluster_table(spark, orders.select("o_orderkey", "customer", "o_totalprice"), path, order, "o_orderkey")
+    pages, after = None, None
+    for number in range(3):
+        rows = stage(page(spark, path, ["customer", "o_orderkey", "o_totalprice"], order, "o_orderkey", PAGE_ROWS, after), "page")
+        last = rows.agg(F.max(F.struct("customer", "o_orderkey"))).first()[0]  # the cursor: nulls are least
+        after = tuple(last) if last is not None else after
+        rows = rows.withColumn("page", F.lit(number))
+        pages = rows if pages is None else pages.unionByName(rows)
+    return pages
+
+
+def dressed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose names are in capitals, accented or as they were, by size."""
+    name = F.col("p_name")
+    dressed = F.when(F.col("p_size") % 3 == 0, F.upper(name)).when(F.col("p_size") % 3 == 1, F.translate(name, "aeiou", "àéíöû")).otherwise(name)
+    return table(spark, sf_dir, "part").withColumn("p_name", dressed)
+
+
+def q_find_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that contain two parts whatever their case and accents."""
+    return find(dressed_parts(spark, sf_dir), "p_name", "ÓLD%Ge", cols=["p_partkey", "p_name"], key="p_partkey", collation="UNICODE_CI_AI")
+
+
+def q_list_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = dressed_parts(spark, sf_dir)
+    return list_rows(parts, ["p_partkey", "p_name"], ["p_name"], 50, key="p_partkey", collation="UNICODE_CI_AI")
+
+
+def q_stats_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_stats(dressed_parts(spark, sf_dir), "p_name", {"p_size": "avg_size"}, "n", digits=4, collation="UNICODE_CI_AI")
+
+
+def q_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship as one SQL text: documents exploded, coerced and grouped."""
+    return run_sql(
+        spark,
+        """
+        SELECT p_type, count(*) AS n, round(avg(p_size), :digits) AS avg_size, round(avg(p_retailprice), :digits) AS avg_price
+        FROM (
+          SELECT json_text(element, 'p_type') AS p_type, json_int(element, 'p_size') AS p_size, json_double(element, 'p_retailprice') AS p_retailprice
+          FROM documents_of_parts, LATERAL json_elements(doc)
+        )
+        GROUP BY p_type ORDER BY n DESC, p_type NULLS FIRST""",
+        views={"documents_of_parts": part_documents(spark, sf_dir, with_words=False)},
+        args={"digits": 4},
+        functions=True,
+    )
+
+
+def q_sql_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and rejects of documents of every kind, in SQL."""
+    return run_sql(
+        spark,
+        """
+        SELECT event_id, pos, 'record' AS reason, cast(json_long(element, 'k', null) AS string) AS value FROM landed, LATERAL json_elements(doc)
+        UNION ALL SELECT event_id, pos, reason, value FROM landed, LATERAL json_rejects(doc)""",
+        views={"landed": landed_documents(spark, sf_dir)},
+        functions=True,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "flagship_stats": q_flagship,
     "parse_records": q_parse_records,
@@ -598,6 +694,13 @@ QUERIES: dict[str, Query] = {
     "group_stats_incremental": q_group_stats_incremental,
     "array_files": q_array_files,
     "schema_drift": q_schema_drift,
+    "find_indexed": q_find_indexed,
+    "list_pages": q_list_pages,
+    "find_collated": q_find_collated,
+    "list_collated": q_list_collated,
+    "stats_collated": q_stats_collated,
+    "sql_functions": q_sql_functions,
+    "sql_rejects": q_sql_rejects,
 }
 
 
@@ -624,7 +727,45 @@ SELECT s_suppkey, coalesce(l.name, s_name) AS s_name, s_nationkey, s_acctbal
 FROM added LEFT JOIN last l ON l.user_id = s_suppkey
 WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')"""
 
+_BAD_DOCUMENTS = """
+SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS pos, 'record' AS reason,
+       CAST(event_id AS VARCHAR) AS value
+FROM events WHERE event_type IN ('click', 'view')
+UNION ALL
+SELECT event_id, 0, 'unparsable_element', '{"k":1,"k":2}' FROM events WHERE event_type = 'view'
+UNION ALL
+SELECT event_id, NULL, 'unparsable', '[{"k": ' || event_id || '}' FROM events WHERE event_type = 'error'
+UNION ALL
+SELECT event_id, NULL, 'scalar_root', CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'purchase'"""
+
+_DRESSED = """
+WITH dressed AS (
+  SELECT p_partkey, p_size, CASE p_size % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN translate(p_name, 'aeiou', 'àéíöû') ELSE p_name END AS p_name
+  FROM part
+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "find_indexed": """
+WITH named AS (
+  SELECT p_partkey, coalesce(r_name, n_name, p_name) AS p_name, p_size
+  FROM part LEFT JOIN nation ON n_nationkey * 3 + 1 = p_partkey LEFT JOIN region ON r_regionkey * 3 + 1 = p_partkey
+)
+SELECT named.*, pattern FROM named, (VALUES ('ld w%dge'), ('ION_1'), ('AS'), ('ot')) v(pattern) WHERE p_name LIKE '%' || pattern || '%'""",
+    "list_pages": f"""
+WITH placed AS (
+  SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS customer, o_orderkey, o_totalprice,
+         row_number() OVER (ORDER BY customer NULLS FIRST, o_orderkey) - 1 AS place
+  FROM orders
+)
+SELECT customer, o_orderkey, o_totalprice, CAST(place // {PAGE_ROWS} AS INTEGER) AS page FROM placed WHERE place < {3 * PAGE_ROWS}""",
+    "find_collated": f"""{_DRESSED}
+SELECT p_partkey, p_name FROM dressed WHERE lower(strip_accents(p_name)) LIKE '%old%ge%'""",
+    "list_collated": f"""{_DRESSED}
+SELECT p_partkey, p_name FROM dressed ORDER BY lower(strip_accents(p_name)) NULLS FIRST, p_partkey LIMIT 50""",
+    "stats_collated": f"""{_DRESSED}
+SELECT min(p_name) AS p_name, count(*) AS n, round(avg(p_size), 4) AS avg_size FROM dressed GROUP BY lower(strip_accents(p_name))""",
+    "sql_functions": _STATS,
+    "sql_rejects": _BAD_DOCUMENTS,
     "flagship_stats": _STATS,
     "parse_records": """
 SELECT event_id,
@@ -755,16 +896,7 @@ SELECT * FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')""",
     "delete_missing": """
 SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
-    "explode_bad_documents": """
-SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS pos, 'record' AS reason,
-       CAST(event_id AS VARCHAR) AS value
-FROM events WHERE event_type IN ('click', 'view')
-UNION ALL
-SELECT event_id, 0, 'unparsable_element', '{"k":1,"k":2}' FROM events WHERE event_type = 'view'
-UNION ALL
-SELECT event_id, NULL, 'unparsable', '[{"k": ' || event_id || '}' FROM events WHERE event_type = 'error'
-UNION ALL
-SELECT event_id, NULL, 'scalar_root', CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'purchase'""",
+    "explode_bad_documents": _BAD_DOCUMENTS,
     "contract_rejects": """
 SELECT o_orderkey,
        CASE WHEN o_custkey IS NULL THEN 'null_key' WHEN o_orderdate IS NULL THEN 'null_o_orderdate'

@@ -30,7 +30,7 @@ from recordtable.operators.joins import split_join
 from recordtable.operators.ingest import parse_records
 from recordtable.plans.refresh import RefreshResult, refresh
 from recordtable.session import shared_path
-from recordtable.sources import tables
+from recordtable.sources import clustered, tables, text_index
 from recordtable.sources.layout import BUCKET_COL, bucket_of, in_buckets, overwrite_buckets, touched_buckets, with_bucket, write_bucketed
 from recordtable.sources.sinks import ParquetSink, stage
 
@@ -69,6 +69,10 @@ class RecordStore:
     # change; n = partitioned into n key buckets, changes rewrite only the
     # buckets they touch and key lookups read one bucket.
     buckets: int | None = None
+    # A flat table kept in the order of its listing (name, key), to be read by pages.
+    clustered: bool = False
+    # Collation under which list, find and stats compare texts (None: by bytes).
+    collation: str | None = None
     # Where add/update/delete write the rows they could not apply (default:
     # a fresh folder under the shared spark.checkpoint.dir). Kept for the caller.
     report_dir: str | None = None
@@ -87,7 +91,17 @@ class RecordStore:
         return raw.drop(BUCKET_COL) if BUCKET_COL in raw.columns else raw
 
     def list(self, n: int = HERO_LIST_DEFAULT) -> DataFrame:
-        return read.list_rows(self.table(), self.list_cols, [self.name_col], n, key=self.contract.key)
+        return read.list_rows(self.table(), self.list_cols, [self.name_col], n, key=self.contract.key, collation=self.collation)
+
+    def page(self, n: int = HERO_LIST_DEFAULT, after: tuple[Any, Any] | None = None) -> DataFrame:
+        """The ``n`` rows behind ``after``, the (name, key) of the last row seen; by bytes, whatever the collation."""
+        if not self.clustered:
+            raise ValueError("pages need a table opened with clustered=True")
+        return clustered.page(self.spark, self.path, self.list_cols, [self.name_col], self.contract.key, n, after)
+
+    def index_names(self, ignore_case: bool = False) -> list[int] | None:
+        """Make or bring up to date the trigram index that ``find`` uses (bucketed tables); see ``text_index``."""
+        return text_index.index_text(self.spark, self.path, self.contract.key, self.name_col, ignore_case)
 
     def view_one(self, key_value: Any) -> DataFrame:
         if not self.buckets:
@@ -96,16 +110,19 @@ class RecordStore:
         return read.lookup(t, self.contract.key, key_value).drop(BUCKET_COL)
 
     def find(self, text: str, mode: str = "like", ignore_case: bool = False) -> DataFrame:
-        return read.find(self.table(), self.name_col, text, mode, ignore_case, cols=self.find_cols, key=self.contract.key)
+        table, key = self.table(), self.contract.key
+        if self.buckets and self.collation is None:
+            return text_index.find_indexed(self.spark, self.path, key, self.name_col, text, mode, ignore_case, cols=self.find_cols)
+        return read.find(table, self.name_col, text, mode, ignore_case, cols=self.find_cols, key=key, collation=self.collation)
 
     def stats(self) -> DataFrame:
-        return read.group_stats(self.table(), self.stats_key, self.stats_avgs, self.stats_count)
+        return read.group_stats(self.table(), self.stats_key, self.stats_avgs, self.stats_count, collation=self.collation)
 
     def count(self) -> DataFrame:
         return read.count_rows(self.table())
 
     def query(self, sql: str, args: Mapping[str, Any] | None = None) -> DataFrame:
-        return read.run_sql(self.spark, sql, {self.view: self.table()}, args)
+        return read.run_sql(self.spark, sql, {self.view: self.table()}, args, functions=True)
 
     # -- changes -------------------------------------------------------------
     def _table_shape(self, records: DataFrame, run_ts: datetime | None) -> DataFrame:
@@ -147,6 +164,8 @@ class RecordStore:
             overwrite_buckets(self.spark, result, self.path, self.contract.key, self.buckets, touched)
         elif self.buckets:
             write_bucketed(result, self.path, self.contract.key, self.buckets)
+        elif self.clustered:
+            clustered.cluster_table(self.spark, result, self.path, [self.name_col], self.contract.key)
         else:
             tables.publish(self.spark, result, self.path, self.contract.key)
 
@@ -300,5 +319,9 @@ class RecordStore:
         ``single=True`` for one record per document (JSON Lines of objects).
         """
         current = self.raw_table() if self.exists() else None
-        return refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
-                       current=current, run_ts=run_ts, buckets=self.buckets, single=single)
+        done = refresh(self.spark, documents, doc_col, self.fields, self.contract, ParquetSink(self.path),
+                       current=current, run_ts=run_ts, buckets=self.buckets, single=single,
+                       sort=[self.name_col, self.contract.key] if self.clustered else ())
+        if self.clustered:
+            clustered.write_fences(self.spark, self.path, [self.name_col], self.contract.key)
+        return done

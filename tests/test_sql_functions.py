@@ -1,0 +1,55 @@
+"""The coercion rules as SQL functions give the values and the plans of the DataFrame form."""
+
+import json
+
+from conftest import SF_SMALL, rows
+from recordtable.fields import Field
+from recordtable.operators.ingest import explode_documents, parse_records
+from recordtable.operators.read import run_sql
+from recordtable.plans.catalog import q_flagship, q_sql_functions
+
+VALUES = [
+    "1", "-7", "12.7", "-12.7", '"12"', '" 12 "', '"12.7"', '"-0.9"', "true", "false", "null", '"x"', '""', "[1]", "{}", '{"a": 1}', "[]", "2147483648",
+    "-2147483649", "9007199254740993", '"9007199254740993"', "1e3", '"1e3"', '"1e400"', '"NaN"', '"Infinity"', "1e300", '[1, null, "a", [2]]', "99999999999999999999999",
+]
+KINDS = ("int", "long", "double", "text", "list")
+
+
+def test_every_rule_on_every_value(spark):
+    docs = [(i, f'{{"v": {v}}}') for i, v in enumerate(VALUES)] + [(90, "{}"), (91, "[1]"), (92, "{"), (93, None), (94, "5")]
+    df = spark.createDataFrame(docs, "id int, doc string")
+    want = parse_records(df, "doc", [Field("v", k, k, default=d) for k, d in zip(KINDS, (0, 0, 0.0, "", None))], keep=["id"])
+    calls = ", ".join(f"json_{k}(v, 'v') AS {k}" for k in KINDS)
+    got = run_sql(spark, f"SELECT id, {calls} FROM (SELECT id, try_parse_json(doc) AS v FROM docs)", {"docs": df}, functions=True)
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    nulls = parse_records(df, "doc", [Field("v", k, k, default=None) for k in KINDS[:4]], keep=["id"])
+    calls = ", ".join(f"json_{k}(v, 'v', null) AS {k}" for k in KINDS[:4])
+    assert rows(run_sql(spark, f"SELECT id, {calls} FROM (SELECT id, try_parse_json(doc) AS v FROM docs)", functions=True)) == rows(nulls)
+
+
+def test_names_with_quotes(spark):
+    doc = json.dumps({"it's": 1, 'a"b': 2, "a.b": 3, "a b": 4})
+    df = spark.createDataFrame([(doc,)], "doc string")
+    sql = """SELECT json_int(v, "it's"), json_int(v, 'a"b'), json_int(v, 'a.b'), json_int(v, 'a b') FROM (SELECT try_parse_json(doc) AS v FROM quoted)"""
+    assert rows(run_sql(spark, sql, {"quoted": df}, functions=True)) == [(1, 2, 3, 4)]
+
+
+def test_elements_and_rejects(spark):
+    docs = [
+        '[{"k": 1}, 5, {"k": 1, "k": 2}, {"k": "3"}]', '[{"k": 1}, null, "x", [2]]', '{"b": {"k": 4}, "a": {"k": 5}, "c": 6}', "[]", "{}", "7", "[1", None, '"t"',
+        '{"x": {"k": 1, "k": 2}, "y": {"k": 8}}',
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    records, rejects = explode_documents(df, "doc", [Field("k", "int")], keep=["id"])
+    got = run_sql(spark, "SELECT id, pos, json_int(element, 'k') AS k FROM docs, LATERAL json_elements(doc)", {"docs": df}, functions=True)
+    assert rows(got) == rows(records)
+    assert rows(run_sql(spark, "SELECT id, pos, reason, value FROM docs, LATERAL json_rejects(doc)", functions=True)) == rows(rejects)
+
+
+
+def test_flagship_in_sql_has_the_operators_of_the_flagship(spark):
+    sql, frame = q_sql_functions(spark, SF_SMALL), q_flagship(spark, SF_SMALL)
+    assert rows(sql) == rows(frame)
+    kinds = ("Generate", "HashAggregate", "Exchange", "Sort", "Join", "ArrowEvalPython", "BatchEvalPython", "ObjectHashAggregate")
+    count = lambda df: {k: df._jdf.queryExecution().sparkPlan().toString().count(k) for k in kinds}
+    assert count(sql) == count(frame)
