@@ -1,7 +1,7 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard verification, union-find.
 
-A line's normal form is its text, trimmed and lower-cased; blank lines are
-left alone. Lines are alike if the Jaccard similarity of their sets of
+A line's normal form is its text, trimmed of white space (``WHITE``, so a line end's ``\\r`` too) and lower-cased; blank lines
+are left alone. Lines are alike if the Jaccard similarity of their sets of
 ``SHINGLE``-character shingles (a shorter line is one shingle) is at least
 ``threshold``; a class is a connected component, and of its lines in the whole
 corpus only the first, by document id and line number, stays.
@@ -31,12 +31,13 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordtable.llm.common import join_hot, row_key, stage, with_membership
@@ -47,6 +48,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 #: Lines of a key compared in one task's work; larger keys are cut into blocks of about this size.
 BLOCK = 2048
+#: Runs of more blocks than this are cut by their rarest shingles first: blocks alone would copy each line once per block.
+WIDE = 8
+#: White space that a line is trimmed of.
+WHITE = " \t\r\x0b\x0c\x85\xa0\u2028\u2029\u3000"
 #: Characters hashed at a time, so that the work stays in a core's cache.
 CHUNK_CHARS = 1 << 16
 
@@ -394,35 +399,87 @@ def _linked(rows: DataFrame, threshold: float, longest: int) -> DataFrame:
     return runs.mapInArrow(links, _LINKS)
 
 
-def line_links(rows: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def _line_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per line and different shingle: its hash, and how many the line has."""
+    with np.errstate(over="ignore"):
+        for b in batches:
+            line = b.column("line").cast(pa.string())
+            for i, j in _chunks(pc.binary_length(line).to_numpy(), CHUNK_LINES):
+                flat, start = shingle_hashes(line.slice(i, j - i))
+                size = np.diff(start)
+                row = pa.array(np.repeat(np.arange(i, j), size))
+                columns = {c: b.column(c).take(row) for c in ("run", "h", "g")}
+                yield pa.record_batch(columns | {"size": pa.array(np.repeat(size, size)), "s": pa.array(flat.astype(np.int64))})
+
+
+def prefix_runs(hot: DataFrame, threshold: float) -> DataFrame:
+    """``hot(run, h, g, line)`` as smaller runs: lines of a run that share one of the rarest shingles of each.
+
+    Two sets of similarity t share t of the larger one's shingles at least, so
+    in an order common to both they share one of the first ``size - ceil(t * size) + 1`` of each.
+    The order is by how many lines of the run have a shingle, the rarest first.
+    """
+    shingles = hot.select("run", "h", "g", "line").mapInArrow(_line_shingles, "run long, h long, g long, size long, s long")
+    shingles = stage(shingles.withColumn("t", F.xxhash64("run", "s")), "line-shingles")
+    counted = join_hot(shingles, shingles.groupBy("t").agg(F.count("*").alias("n")), "t")
+    first = F.row_number().over(Window.partitionBy("run", "h", "g").orderBy("n", "s", "t"))  # a line's shingles
+    prefix = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
+    meet = counted.withColumn("__first", first).where((F.col("__first") <= prefix) & (F.col("n") > 1)).select("run", "h", "g", "t")
+    return hot.join(meet, ["run", "h", "g"]).select(F.col("t").alias("run"), "h", "g", "line")
+
+
+def line_links(rows: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, wide: int = WIDE) -> DataFrame:
     """Links ``a, b`` that connect all alike lines of each run of ``rows(run, h, g, line)``."""
     found = stage(_linked(rows, threshold, block), "line-links")
     links, hot = found.where("not hot").select("a", "b"), found.where("hot").select("run", "a.h", "a.g", "line")
     if hot.isEmpty():
         return links
     blocks = hot.groupBy("run").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    split = (
-        hot.join(blocks, "run")
-        .withColumn("own", F.pmod(F.xxhash64("h", "g"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    sized = stage(hot.join(blocks, "run"), "line-hot")
+    few, many = sized.where(F.col("blocks") <= wide), sized.where(F.col("blocks") > wide)
+    links = links.union(_block_links(few, threshold))
+    if many.isEmpty():
+        return links
+    found = stage(_linked(prefix_runs(many, threshold), threshold, block), "line-prefix-links")
+    links, hot = links.union(found.where("not hot").select("a", "b")), found.where("hot").select("run", "a.h", "a.g", "line")
+    if hot.isEmpty():
+        return links
+    blocks = hot.groupBy("run").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    return links.union(_block_links(hot.join(blocks, "run"), threshold))
+
+
+def _block_links(hot: DataFrame, threshold: float) -> DataFrame:
+    """Links of runs of ``hot(run, h, g, line, blocks)``, a pair of blocks at a time."""
+    split = hot.withColumn("own", F.pmod(F.xxhash64("h", "g"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     )
     pair = F.xxhash64("run", F.least("own", "other"), F.greatest("own", "other")).alias("run")
-    return links.union(_linked(split.select(pair, "h", "g", "line"), threshold, 1 << 62).select("a", "b"))
+    return _linked(split.select(pair, "h", "g", "line"), threshold, 1 << 62).select("a", "b")
+
+
+def _trimmed(line: str) -> Column:
+    """The line without white space at its ends; the general trim is for lines that end in more than spaces."""
+    c = F.trim(line)
+    odd = reduce(lambda a, b: a | b, [edge(c, F.lit(x)) for x in WHITE[1:] for edge in (F.startswith, F.endswith)])
+    return F.when(odd, F.trim(line, F.lit(WHITE))).otherwise(c)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, key, no, h, g, line`` of every line that is not blank."""
+    """``id, key, no, line, h`` of every line that is not blank; ``h`` is the first of its two hashes."""
     each = docs.select(
         F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), F.split(F.lower(text_col), "\n").alias("lines")
     )
-    each = each.select("id", "key", F.posexplode("lines").alias("no", "line")).withColumn("line", F.trim("line"))
-    each = each.where("line <> ''")
-    return each.select("id", "key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), "line")
+    each = each.select("id", "key", F.posexplode("lines").alias("no", "raw")).withColumn("line", _trimmed("raw")).where("line <> ''")
+    return each.select("id", "key", "no", "line", F.xxhash64("line").alias("h"))
+
+
+def _second_hash() -> Column:
+    return F.xxhash64(F.lit(1), "line").alias("g")
 
 
 def keyed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row (id, key), no, h, g, keys`` of every line that is not blank, written once; repeats of a line may lack keys."""
-    lines = _lines(docs, id_col, text_col).select(F.struct("id", "key").alias("row"), "no", "h", "g", "line")
+    lines = _lines(docs, id_col, text_col).select(F.struct("id", "key").alias("row"), "no", "h", _second_hash(), "line")
     kind = lines.schema["row"].dataType.simpleString()
     return stage(lines.mapInArrow(_keys, f"row {kind}, no int, h long, g long, keys array<bigint>"), "line-keys")
 
@@ -437,9 +494,9 @@ def line_classes(
     found = stage(found.distinct(), "line-runs")
 
     wanted = found.select("h").distinct()
-    texts = with_membership(lines.select("h", "g", "line"), F.col("h"), wanted, "h", "maybe").where("maybe")
+    texts = with_membership(lines.select("h", "line"), F.col("h"), wanted, "h", "maybe").where("maybe")
     # lines of equal 64-bit hashes are told apart by their second hash
-    texts = texts.groupBy("h", "g").agg(F.min("line").alias("line"))
+    texts = texts.select("h", _second_hash(), "line").groupBy("h", "g").agg(F.min("line").alias("line"))
     links = line_links(found.join(texts, "h"), threshold)
     return connected_components(links.distinct())
 

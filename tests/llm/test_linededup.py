@@ -16,8 +16,8 @@ def brute(rows, threshold=D.THRESHOLD):
     places = defaultdict(list)
     for i, text in rows:
         for no, line in enumerate((text or "").split("\n")):
-            if line.strip(" "):
-                places[line.strip(" ").lower()].append((i, no))
+            if line.strip(D.WHITE):
+                places[line.strip(D.WHITE).lower()].append((i, no))
     lines = list(places)
     sets = [D.shingle_set(x) for x in lines]
     links = []
@@ -97,7 +97,7 @@ def test_forest_connects_what_is_alike():
     assert len(got) < 100
 
 
-@pytest.mark.parametrize("block", [2, 7, 2048])
+@pytest.mark.parametrize("block", [2, 7, 16, 2048])
 def test_hot_keys_in_blocks(spark, block):
     lines = [f"the same long line with a small change at its very end {i % 37}" for i in range(60)] + ["quite another line"]
     rows = [(1, i, -i, x) for i, x in enumerate(lines)] + [(2, 5, -5, lines[5])]
@@ -107,6 +107,25 @@ def test_hot_keys_in_blocks(spark, block):
     assert roots(range(61), [(r.a.h, r.b.h) for r in got]) == roots(range(61), links)
 
 
+def test_wide_keys_are_cut_by_their_rarest_shingles(spark):
+    rng = np.random.default_rng(7)
+    lines = [f"order {rng.integers(10**12)} of customer {rng.integers(10**12)} was sent on the same day" for _ in range(150)]
+    lines += [x + "s" for x in lines[:40]] + ["ab", "abc"]
+    df = spark.createDataFrame([(1, i, -i, x) for i, x in enumerate(lines)], "run long, h long, g long, line string")
+    got = D.line_links(df, block=8).collect()
+    sets = [D.shingle_set(x) for x in lines]
+    n = len(lines)
+    links = [(i, j) for i in range(n) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert links and roots(range(n), [(r.a.h, r.b.h) for r in got]) == roots(range(n), links)
+    assert D.prefix_runs(df, 0.8).count() < 12 * n  # blocks would make 25 rows of each line
+
+
+def test_white_space_at_the_ends_of_a_line(spark):
+    rows = [(1, "\t\n\t"), (2, "a line that stays here\r\n\u3000\xa0 \t\n x y\tz\r"), (3, "\ta line that stays here \r\t"), (4, "x y\tz")]
+    got = decided(D.dedup_lines(spark.createDataFrame(rows, "doc_id int, text string")))
+    assert got == brute(rows) == {(2, 0): (2, 0), (3, 0): (2, 0), (2, 2): (2, 2), (4, 0): (2, 2)}
+
+
 def test_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert decided(D.dedup_lines(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
