@@ -4,7 +4,10 @@ A text is canonicalised (case, copyright lines, equivalent spellings, then
 punctuation and white space), its SHA-256 is taken, and digests are
 hash-joined with those of known licence texts, canonicalised by the same
 functions. Two units are looked up, always whole: the entire document, and
-each of its lines (licence notices stand on a line of their own).
+each of its lines (licence notices stand on a line of their own). A line is
+hashed only if a known notice has its canonical length, which no match can lack.
+
+The longer licences are files of ``license_texts``, named by their SPDX ids: public texts as their stewards publish them.
 
 Defined results: null text counts as empty and matches nothing, as does a
 text or line without letters or digits; a line that repeats counts once;
@@ -14,11 +17,14 @@ repeated rows get equal results; other columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordtable.llm.common import row_key, stage
+from recordtable.llm.common import join_hot, row_key, stage
+
+TEXT_FILES = Path(__file__).parent / "license_texts"
 
 # Words that count as the same, after lower-casing (first form -> second form).
 SPELLINGS = (
@@ -48,12 +54,11 @@ WRAPPED_SPELLINGS = (
 
 #: Words after "copyright" with which a sentence of a licence goes on, also on the next line: no copyright statement.
 _GOES_ON = "holders?|owners?|notices?|interests?|laws?|licen[cs]es?|permissions?|statements?|disclaimers?|protection|treaty|acts?|and|or|in|is|of|to"
-# Patterns of canonicalisation. COPYRIGHT_LINE is the SQL twin's, which has no look-ahead: it takes any
-# line that begins with the word.
-COPYRIGHT_STATEMENT = (
-    r"(^|\n)[ \t*#/;<!-]*(copyright\b(?![\s*#/;<!-]*(" + _GOES_ON + r")\b)|\(c\)|©|all rights reserved)[^\n]*"
-)
-COPYRIGHT_LINE = r"(^|\n)[ \t*#/;<!-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# Patterns of canonicalisation. A "copyright" that a sentence goes on from is spelt HELD while statements are
+# taken out, so that no pattern needs to look ahead and all of them mean the same in other engines.
+HELD = "\x01held\x01"
+COPYRIGHT_SENTENCE = (r"copyright\b([\s*#/;<!-]*)(" + _GOES_ON + r")\b", HELD + "$1$2")
+COPYRIGHT_STATEMENT = (r"(^|\n)[ \t*#/;<!-]*(copyright\b|\(c\)[ \t]*(copyright|[0-9])|©|all rights reserved)[^\n]*", "$1")
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 # Known licences, (SPDX id, title, text without title and copyright line).
@@ -170,6 +175,7 @@ KNOWN_SCHEMA = "license_id string, unit string, text string"
 def known_licenses() -> list[tuple[str, str, str]]:
     """(license_id, unit, text): unit ``text`` is looked up for documents, ``notice`` for lines and documents."""
     rows = [(i, "text", t) for i, title, body in TEXTS for t in (body, f"{title}\n{body}", f"The {title}\n{body}")]
+    rows += [(f.stem, "text", f.read_text(encoding="utf-8")) for f in sorted(TEXT_FILES.glob("*.txt"))]
     for i, names in NAMES:
         rows.append((i, "notice", f"SPDX-License-Identifier: {i}"))
         rows += [(i, "notice", f"{s}{v}{a}{n}") for n in names for s in SUBJECTS for v in VERBS for a in ARTICLES]
@@ -178,7 +184,8 @@ def known_licenses() -> list[tuple[str, str, str]]:
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form of a text's lines that have letters or digits."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_STATEMENT, "$1")
+    out = F.regexp_replace(F.lower(text), *COPYRIGHT_SENTENCE)
+    out = F.replace(F.regexp_replace(out, *COPYRIGHT_STATEMENT), F.lit(HELD), F.lit("copyright"))
     out = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), SPELLINGS, out)
     out = reduce(lambda t, s: F.regexp_replace(t, *s), WRAPPED_SPELLINGS, out)
     out = F.regexp_replace(out, NOT_WORD, " ")
@@ -191,11 +198,12 @@ def _digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
-    """``digest, unit, license_id``; of several licences with one canonical text the first id stays."""
+    """``digest, unit, license_id, length``; of several licences with one canonical text the first id stays."""
     known = spark.createDataFrame(known_licenses(), KNOWN_SCHEMA) if known is None else known
     lines = canonical_lines(F.coalesce("text", F.lit("")))
     rows = known.select("license_id", "unit", F.concat_ws(" ", lines).alias("canonical")).where("canonical <> ''")
-    return rows.groupBy(_digest(F.col("canonical")).alias("digest"), "unit").agg(F.min("license_id").alias("license_id"))
+    keys = (_digest(F.col("canonical")).alias("digest"), F.length("canonical").alias("length"), "unit")
+    return rows.groupBy(*keys).agg(F.min("license_id").alias("license_id"))
 
 
 def scan_licenses(
@@ -207,13 +215,14 @@ def scan_licenses(
     ``notices``: ids of licences named by a notice that is a whole line, in order.
     """
     digests = stage(known_digests(docs.sparkSession, known), "license-known")
+    lengths = [r["length"] for r in digests.where("unit = 'notice'").select("length").distinct().collect()]  # lengths of known notices
     lines = canonical_lines(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("key"), lines.alias("lines"))
     rows = rows.select(
         "id",
         "key",
         _digest(F.concat_ws(" ", "lines")).alias("digest"),
-        F.transform(F.array_distinct("lines"), lambda x: _digest(x)).alias("line_digests"),
+        F.transform(F.array_distinct(F.filter("lines", lambda x: F.length(x).isin(lengths))), _digest).alias("line_digests"),
     )
     rows = stage(rows, "license-digests")
 
@@ -222,6 +231,6 @@ def scan_licenses(
     named = each.groupBy("key").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))  # bounded by the known ids
     # a document that is nothing but a known text or notice
     whole = digests.groupBy("digest").agg(F.min("license_id").alias("license_id"))
-    out = rows.drop("line_digests").join(whole, "digest", "left").join(named, "key", "left")
+    out = join_hot(join_hot(rows.drop("line_digests"), whole, "digest", "left"), named, "key", "left")
     none = F.expr("cast(array() as array<string>)")
     return out.select(F.col("id").alias(id_col), "digest", "license_id", F.coalesce("notices", none).alias("notices"), F.col("key").alias("row_key"))

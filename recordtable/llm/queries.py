@@ -93,10 +93,17 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _replaced_sql(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(by.replace('$', chr(92)))}, 'g')"
+
+
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(lower({text}), {_quoted(op7.COPYRIGHT_LINE)}, '\\1', 'g')"
+    out = _replaced_sql(_replaced_sql(f"lower({text})", *op7.COPYRIGHT_SENTENCE), *op7.COPYRIGHT_STATEMENT)
+    out = f"replace({out}, {_quoted(op7.HELD)}, 'copyright')"
     for old, new in op7.SPELLINGS:
         out = f"replace({out}, {_quoted(old)}, {_quoted(new)})"
+    for pattern, by in op7.WRAPPED_SPELLINGS:
+        out = _replaced_sql(out, pattern, by)
     out = f"string_split(regexp_replace({out}, {_quoted(op7.NOT_WORD)}, ' ', 'g'), chr(10))"
     return f"[trim(x) FOR x IN {out} IF trim(x) <> '']"
 

@@ -1,10 +1,13 @@
 """Licence scan: variants of known texts, and near misses."""
 
+import re
 import textwrap
 
+import duckdb
 from cases import awkward, nothing  # noqa: F401
 
 from recordtable.llm import licenses as L
+from recordtable.llm.queries import SQL_LICENSES, q_licenses
 
 TEXT = {i: t for i, _, t in L.TEXTS}
 
@@ -62,3 +65,38 @@ def test_awkward_rows(spark, awkward, nothing):
     rows = L.scan_licenses(awkward).collect()
     assert len(rows) == awkward.count() and all(r.license_id is None and r.notices == [] for r in rows)
     assert L.scan_licenses(nothing).count() == 0
+
+
+FILES = {f.stem: f.read_text(encoding="utf-8") for f in sorted(L.TEXT_FILES.glob("*.txt"))}
+
+
+def _wrapped(text, width):
+    """Paragraphs wrapped anew; those that hold a copyright statement, which is a line of its own, stay."""
+    parts = re.split(r"(\n\s*\n)", text)
+    fill = lambda p: p if "copyright" in p.lower() or not p.strip() else "\n".join(textwrap.wrap(p, width, break_on_hyphens=False, break_long_words=False))
+    return "".join(map(fill, parts))
+
+
+def test_texts_of_the_files(spark):
+    assert len(FILES) == 13
+    texts, want = [], []
+    for i, text in FILES.items():
+        for t in (text, text.upper(), *(_wrapped(text, w) for w in (50, 72, 100))):
+            texts += [t, "Copyright (C) 2001 A. Person\n\n" + t, t.replace("license", "licence"), t.rsplit(".", 1)[0] + " or not."]
+            want += [i, i, i, None]
+    got = scan(spark, texts)
+    assert [got[n][0] for n in range(len(texts))] == want
+
+
+def test_twin_is_the_same_function(spark, tmp_path):
+    texts = [None, "", "Copyright holders of the work\nand others", "copyright\n * holder", "x per\ncent y fulfil\n# z", "all rights reserved\nx", "\tcopyright 2001 and\ny"]
+    fills = ["\n".join(textwrap.wrap(t, w, break_on_hyphens=False, break_long_words=False)) for t in TEXT.values() for w in (20, 47, 80)]
+    texts += [t for fill in fills for t in ("Copyright 2020 X\n" + fill, " * " + fill.replace("\n", "\n * "))]
+    texts += list(FILES.values()) + ["Released under the MIT License.\nSPDX-License-Identifier: GPL-3.0"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, digest, license_id, notices FROM ({SQL_LICENSES})").fetchall()}
+    got = {r.doc_id: (r.digest, r.license_id, r.notices) for r in q_licenses(spark, str(tmp_path)).collect()}
+    assert got == want and sum(r[1] is not None for r in got.values()) >= len(FILES) + 2 * 3 * len(TEXT)
