@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordtable.session import ensure_checkpoint_dir, shared_path
@@ -77,12 +77,16 @@ def remove_rows(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", tex
     ``__key`` is :func:`row_key`; of the rows with a named key ``__keep``
     (0 or 1) stay. Only rows that may be named are shuffled: the others pass
     a bounded membership filter and go straight to the output, so texts of
-    kept documents are not moved.
+    kept documents are not moved. Where one row of a key stays it is the least by
+    the hash of all its columns, found by an aggregate that keeps one row per
+    task, so a row repeated any number of times is not gathered.
     """
     keyed = docs.withColumn("__key", row_key(docs, id_col, text_col))
     flagged = with_membership(keyed, F.col("__key"), removed, "__key", "__maybe")
-    clear = flagged.where(~F.col("__maybe"))
-    maybe = flagged.where("__maybe").join(removed.select("__key", "__keep"), "__key", "left")
-    rn = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    rest = maybe.withColumn("__rn", rn).where(F.col("__keep").isNull() | (F.col("__rn") <= F.col("__keep")))
-    return clear.select(*docs.columns).unionByName(rest.select(*docs.columns))
+    clear = flagged.where(~F.col("__maybe")).select(*docs.columns)
+    maybe = join_hot(flagged.where("__maybe"), removed.select("__key", "__keep"), "__key", "left")
+    unnamed = maybe.where("__keep is null").select(*docs.columns)
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
+    hashable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    one = maybe.where("__keep = 1").groupBy("__key").agg(F.min_by(whole, F.xxhash64(*hashable)).alias("__row"))
+    return clear.unionByName(unnamed).unionByName(one.select("__row.*"))

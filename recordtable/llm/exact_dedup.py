@@ -18,7 +18,7 @@ columns of the input are ignored whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtable.llm.common import join_hot, remove_rows, row_key, stage, with_membership
@@ -59,16 +59,17 @@ def exact_dedup(
         "__id",
         "__key",
         F.when(F.col("__shared_prefix") & F.col("__ph").isNotNull(), F.sha2("text", 256)).alias("digest"),
+        F.monotonically_increasing_id().alias("__no"),
         *[c.alias(name) for name, c in carry.items()],
     )
-    hashed = stage(hashed, "dedup-digests")
+    hashed = stage(hashed, "dedup-digests")  # with the rows' numbers, which are settled by this
 
     candidates = hashed.where("digest is not null")
-    groups = candidates.groupBy("digest").agg(F.max("__id").alias("keep_id"), F.count("*").alias("group_size"))
-    # copies of one row are told apart by a number, so exactly one of them stays
-    nth = F.row_number().over(Window.partitionBy("digest", "__id").orderBy("__id"))
-    many = join_hot(candidates.withColumn("__nth", nth), groups, "digest")
-    kept = F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)
+    # rows of one id are told apart by their numbers, so exactly one of them stays
+    last = F.max(F.struct("__id", "__no"))
+    groups = candidates.groupBy("digest").agg(last["__id"].alias("keep_id"), last["__no"].alias("__last"), F.count("*").alias("group_size"))
+    many = join_hot(candidates, groups, "digest")
+    kept = F.col("__no") == F.col("__last")
     columns = ["keep_id", "group_size", "kept", "digest", F.col("__key").alias("row_key"), *carry]
     many = many.withColumn("kept", kept).select(F.col("__id").alias(id_col), *columns)
     alone = (
