@@ -87,23 +87,33 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(spark.table(table_name(path)).schema).parquet(path)
 
 
-def _overwrite(staged: DataFrame, path: str, buckets: int | None, sort: Sequence[str] = ()) -> None:
-    writer = staged.write.mode("overwrite")
+def _overwrite(staged: DataFrame, path: str, buckets: int | None) -> None:
+    # one task per bucket; buckets without rows here are left as they are
+    _write(staged.repartition(BUCKET_COL) if buckets else staged, path, buckets)
+
+
+def _overwrite_sorted(staged: DataFrame, path: str, buckets: int | None, sort: list[str]) -> None:
+    if buckets:
+        _write(staged.repartition(BUCKET_COL).sortWithinPartitions(BUCKET_COL, *sort), path, buckets)
+    else:  # each file is a range of the order
+        _write(staged.repartitionByRange(*sort).sortWithinPartitions(*sort), path, buckets)
+
+
+def _write(df: DataFrame, path: str, buckets: int | None) -> None:
+    writer = df.write.mode("overwrite")
     if buckets:
-        # one task per bucket; buckets without rows here are left as they are
-        bucketed = staged.repartition(BUCKET_COL)
-        if sort:
-            bucketed = bucketed.sortWithinPartitions(BUCKET_COL, *sort)
-        writer = bucketed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL)
-    elif sort:  # each file is a range of the order
-        writer = staged.repartitionByRange(*sort).sortWithinPartitions(*sort).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL)
     writer.parquet(path)
 
 
 def _finish(spark: SparkSession, path: str, pending: str, buckets: int | None, emptied: list[int]) -> None:
     schema = spark.table(table_name(path)).schema
     sort = [c for c in _properties(spark, path).get(_SORT, "").split(",") if c]
-    _overwrite(spark.read.schema(schema).parquet(pending), path, buckets, sort)
+    staged = spark.read.schema(schema).parquet(pending)
+    if sort:
+        _overwrite_sorted(staged, path, buckets, sort)
+    else:
+        _overwrite(staged, path, buckets)
     for bucket in emptied:
         delete_path(spark, f"{path.rstrip('/')}/{BUCKET_COL}={bucket}")
     if buckets:
