@@ -11,7 +11,7 @@ over the same parquet files. Change sets are derived from whole tables:
   with its ``props`` JSON (``k`` -> ``s_acctbal``), ``seq`` = event id.
   User ids beyond the supplier keys are unknown keys.
 * delete: orders of every ``MACHINERY`` customer are removed.
-* store: supplier rows, then customers added, events as patches, customers of one segment that have orders deleted;
+* store: supplier rows, then customers added, events as patches, orders' customers deleted;
   refresh_published does the bulk load through a stored table and back.
 """
 
@@ -421,14 +421,8 @@ STORE_FIELDS = (
 STORE_CONTRACT = Contract(key="s_suppkey", not_null=("s_suppkey",), max_len={"s_name": 100})
 
 
-def building_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers in the BUILDING segment."""
-    segment = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, sf_dir, "orders").join(segment, "o_custkey", "left_semi")
-
-
 def stored_suppliers(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
-    """A store filled from ``supplier``, then add (customers), update (events) and delete (customers of one segment that have orders)."""
+    """A store filled from ``supplier``, then add (customers), update (events) and delete (orders' customers)."""
     ensure_checkpoint_dir(spark)
     store = RecordStore(spark, shared_path(spark, "suppliers"), STORE_FIELDS, STORE_CONTRACT, buckets=buckets)
     supplier, customer = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
@@ -440,7 +434,7 @@ def stored_suppliers(spark: SparkSession, sf_dir: str, buckets: int | None) -> D
     events = table(spark, sf_dir, "events")
     patched = F.to_json(F.struct(F.col("event_type").alias("s_name")))
     store.update(events.select(F.col("user_id").alias("s_suppkey"), F.col("event_id").alias("seq"), patched.alias("json")))
-    store.delete(building_orders(spark, sf_dir).select(F.col("o_custkey").alias("s_suppkey")))
+    store.delete(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("s_suppkey")))
     return store.table()
 
 
@@ -725,7 +719,7 @@ WITH added AS (
 last AS (SELECT user_id, arg_max(event_type, event_id) AS name FROM events GROUP BY user_id)
 SELECT s_suppkey, coalesce(l.name, s_name) AS s_name, s_nationkey, s_acctbal
 FROM added LEFT JOIN last l ON l.user_id = s_suppkey
-WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')"""
+WHERE s_suppkey NOT IN (SELECT o_custkey FROM orders)"""
 
 _BAD_DOCUMENTS = """
 SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS pos, 'record' AS reason,
