@@ -33,3 +33,7 @@ WANT = {
 
 def test_store_flat_deletes_the_customers_of_all_orders(spark, tables):
     assert {tuple(r) for r in E.queries()["store_flat"](spark, tables).collect()} == WANT
+
+
+def test_store_bucketed_deletes_the_customers_of_all_orders(spark, tables):
+    assert {tuple(r) for r in E.queries()["store_bucketed"](spark, tables).collect()} == WANT
