@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtable.fields import Contract
@@ -34,18 +34,20 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return df.agg(*metrics)
 
 
-def split_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """``(rows that keep the contract, rows that break it)``; the latter with ``reason``.
-
-    Reasons, the first that applies: ``null_key``, ``null_<col>``,
-    ``too_long_<col>``. Row by row, so ``df`` is only filtered; uniqueness of
-    the key is the change operators' matter.
-    """
+def broken_rule(contract: Contract) -> Column:
+    """The first rule that a row breaks, NULL if none: ``null_key``, ``null_<col>``, ``too_long_<col>``."""
     rules = [(F.col(contract.key).isNull(), "null_key")]
     rules += [(F.col(c).isNull(), f"null_{c}") for c in contract.not_null if c != contract.key]
     rules += [(F.length(F.col(c)) > F.lit(n), f"too_long_{c}") for c, n in contract.max_len.items()]
-    reason = F.coalesce(*[F.when(broken, F.lit(name)) for broken, name in rules])
-    marked = df.withColumn("reason", reason)
+    return F.coalesce(*[F.when(broken, F.lit(name)) for broken, name in rules])
+
+
+def split_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """``(rows that keep the contract, rows that break it)``; the latter with ``reason``, see :func:`broken_rule`.
+
+    Row by row, so ``df`` is only filtered; uniqueness of the key is the change operators' matter.
+    """
+    marked = df.withColumn("reason", broken_rule(contract))
     return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())
 
 

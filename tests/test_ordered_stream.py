@@ -95,3 +95,23 @@ def test_state_partitions_follow_the_buckets(spark, tmp_path):
     assert [r.k for r in store.table().collect()] == [7]
     assert len([d for d in (tmp_path / "ckpt" / "state" / "0").iterdir() if d.name.isdigit()]) == 3
     assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+
+
+def test_changes_are_read_once_and_kept_by_aggregates(spark, tmp_path):
+    rng = random.Random(8)
+    rows = random_changes(rng, [*range(6), 2, 2], 80)
+    store = RecordStore(spark, str(tmp_path / "t"), FIELDS, CONTRACT, buckets=2)
+    store.apply(spark.createDataFrame([("add", -2, 2, '{"k": 2, "n": 1}'), ("add", -1, 50, '{"k": 50, "n": 2}')], SCHEMA))
+    at = store.table().where("k = 50").first()["at"]
+    whole = RecordStore(spark, str(tmp_path / "whole"), FIELDS, CONTRACT)
+    whole.apply(spark.createDataFrame([("add", -2, 2, '{"k": 2, "n": 1}'), ("add", -1, 50, '{"k": 50, "n": 2}'), *rows], SCHEMA))
+    put = land(tmp_path / "land", [])
+    for i in range(3):
+        put(f"a{i}", rows[i::3])
+    q = start_ordered_stream(store, str(tmp_path / "land"), str(tmp_path / "ckpt"), max_files_per_trigger=2)
+    q.awaitTermination(240)
+    assert q.exception() is None and content(store) == content(whole)
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in progress) == len(rows) + 2  # each landed row, and the table at the start, once
+    assert {o["operatorName"] for p in progress for o in p["stateOperators"]} == {"stateStoreSave"}
+    assert store.table().where("k = 50").first()["at"] == at  # no change named it
