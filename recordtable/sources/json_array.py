@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,29 +36,57 @@ _EFFECTS = "file string, block long, root int, quotes long, depth0 long, depth1
 _ELEMENTS = "file string, pos long, block long, whole boolean, text string"
 
 
-def _depth_change(outside: Column) -> Column:
-    """Opening less closing brackets of a text without strings."""
-    return F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
-
-
 def _fragments(spark: SparkSession, path: str) -> DataFrame:
-    """Texts between commas: quotes in them (0 or 1, modulo 2) and change of depth if entered outside (0) or inside (1) a string."""
-    text = F.col("value")
-    clean = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\.", "")).otherwise(text)
-    has_quote, string = F.contains(clean, F.lit('"')), r'"[^"]*+(?:"|\z)'
-    outside = F.when(has_quote, F.regexp_replace(clean, string, "")).otherwise(clean)
-    after = F.when(has_quote, F.regexp_replace(clean, r'\A[^"]*+"|' + string, "")).otherwise(F.lit(""))
+    """Texts between commas, with the file and the split that they are from."""
     df = spark.read.option("lineSep", ",").text(path)
-    block = F.col("_metadata.file_block_start")
-    return df.select(
-        F.col("_metadata.file_path").alias("file"),
-        block.alias("block"),
-        F.when(block == 0, F.ascii(F.regexp_extract(text, r"\A\s*+(.)", 1))).otherwise(0).alias("root"),
-        ((F.length(clean) - F.length(F.translate(clean, '"', ""))) % 2).alias("quotes"),
-        _depth_change(outside).alias("depth0"),
-        _depth_change(after).alias("depth1"),
-        text.alias("value"),
-    )
+    return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+_QUOTE, _BACKSLASH, _OPEN, _CLOSE = 1, 2, 3, 4
+_KINDS = np.zeros(256, np.uint8)
+for _chars, _kind in ((b'"', _QUOTE), (b"\\", _BACKSLASH), (b"[{", _OPEN), (b"]}", _CLOSE)):
+    _KINDS[list(_chars)] = _kind
+
+
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column("value").cast(pa.string())
+
+
+def _scan(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text: quotes in it, and change of depth if entered outside (0) and inside (1) a string.
+
+    A backslash takes the character behind it along, inside a text only.
+    """
+    n = len(texts)
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + n + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets -= offsets[0]
+    kinds = _KINDS[raw]
+    slashes = np.flatnonzero(kinds == _BACKSLASH)
+    if len(slashes):
+        text = np.searchsorted(offsets, slashes, "right")
+        new = np.r_[True, (slashes[1:] != slashes[:-1] + 1) | (text[1:] != text[:-1])]
+        starts = np.flatnonzero(new)
+        lengths = np.diff(np.r_[starts, len(slashes)])
+        behind = slashes[starts] + lengths
+        taken = behind[(lengths % 2 == 1) & (behind < offsets[text[starts]])]
+        kinds[slashes] = 0
+        kinds[taken] = 0
+    at = np.flatnonzero(kinds)
+    kind, bounds = kinds[at], np.searchsorted(at, offsets)
+    quotes = np.r_[0, np.cumsum(kind == _QUOTE)]
+    first = np.repeat(quotes[bounds[:-1]], np.diff(bounds))
+    odd = (quotes[:-1] - first) & 1
+    change = (kind == _OPEN).astype(np.int64) - (kind == _CLOSE)
+    depth0, depth1 = np.r_[0, np.cumsum(change * (1 - odd))], np.r_[0, np.cumsum(change * odd)]
+    return tuple(np.diff(c[bounds]) for c in (quotes, depth0, depth1))
+
+
+def _root(text: str) -> int:
+    """First character that is no white space: 91 or 123 where it opens a root that holds many, else 0."""
+    start = text.lstrip(" \t\n\x0b\f\r")[:1]
+    return ord(start) if start in ("[", "{") else 0
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
@@ -77,10 +106,6 @@ def _before(changes: np.ndarray, start: int) -> np.ndarray:
     return start + np.cumsum(changes) - changes
 
 
-def _numbers(batch: pa.RecordBatch, name: str, lo: int, hi: int) -> np.ndarray:
-    return batch.column(name).to_numpy()[lo:hi].astype(np.int64)
-
-
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per split, see :data:`_EFFECTS`; ``commas``: number of fragments outside strings by depth before them."""
     schema = pa.schema([
@@ -95,12 +120,14 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     split, root, quotes, depth, commas = None, 0, 0, [0, 0], (Counter(), Counter())
     for batch in batches:
+        texts = _texts(batch)
         for this, lo, hi in _runs(batch):
             if this != split:
                 if split:
                     yield row(split, root, quotes, depth, commas)
-                split, root, quotes, depth, commas = this, batch.column("root")[lo].as_py(), 0, [0, 0], (Counter(), Counter())
-            seen, changes = _numbers(batch, "quotes", lo, hi), [_numbers(batch, f"depth{s}", lo, hi) for s in (0, 1)]
+                root = _root(texts[lo].as_py()) if this[1] == 0 else 0
+                split, quotes, depth, commas = this, 0, [0, 0], (Counter(), Counter())
+            seen, *changes = _scan(texts.slice(lo, hi - lo))
             for s in (0, 1):
                 inside = (_before(seen, quotes + s) & 1).astype(bool)
                 change = np.where(inside, changes[1], changes[0])
@@ -134,36 +161,41 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ("file", pa.string()), ("pos", pa.int64()), ("block", pa.int64()), ("whole", pa.bool_()), ("text", pa.string()),
     ])
     split, quotes, depth, pos, parts, started = None, 0, 0, 0, [], False
-    for batch in batches:
-        out = []
 
-        def flush(whole):
-            if parts:
-                out.append((split[0], pos, split[1], whole, ",".join(parts)))
+    def rows(pos, whole, texts):
+        values = [pa.repeat(split[0], len(texts)), np.arange(pos, pos + len(texts)), np.full(len(texts), split[1]), whole, texts]
+        return pa.record_batch([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+
+    def joined():
+        return [",".join(t for p in parts for t in p.to_pylist())]
 
+    for batch in batches:
+        texts = _texts(batch)
         for this, lo, hi in _runs(batch):
             if this != split:
-                flush(False)
+                if parts:
+                    yield rows(pos, [False], joined())
                 split, parts, started = this, [], False
                 quotes, depth, pos = (batch.column(c)[lo].as_py() for c in ("inside", "level", "begun"))
-            seen = _numbers(batch, "quotes", lo, hi)
+            own = texts.slice(lo, hi - lo)
+            seen, outside, after = _scan(own)
             inside = (_before(seen, quotes) & 1).astype(bool)
-            change = np.where(inside, _numbers(batch, "depth1", lo, hi), _numbers(batch, "depth0", lo, hi))
+            change = np.where(inside, after, outside)
             cuts = np.flatnonzero((_before(change, depth) == 1) & ~inside)
             quotes, depth = quotes + int(seen.sum()), depth + int(change.sum())
-            texts = batch.column("value").slice(lo, hi - lo).to_pylist()
-            last = 0
-            for c in cuts.tolist():
-                parts += texts[last:c]
-                flush(started)
-                last, parts, started, pos = c, [], True, pos + 1
-            parts += texts[last:]
-        if out:
-            yield pa.record_batch([pa.array(v, f.type) for v, f in zip(zip(*out), schema)], schema=schema)
-    if split and parts:
-        yield pa.record_batch(
-            [pa.array([v], f.type) for v, f in zip((split[0], pos, split[1], False, ",".join(parts)), schema)], schema=schema
-        )
+            if not len(cuts):
+                parts.append(own)
+                continue
+            if cuts[0]:
+                parts.append(own.slice(0, cuts[0]))
+            if parts:
+                yield rows(pos, [started], joined())
+            between = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), own)
+            if len(between):
+                yield rows(pos + 1, np.ones(len(between), bool), pc.binary_join(between, ","))
+            parts, started, pos = [own.slice(cuts[-1])], True, pos + len(cuts)
+    if parts:
+        yield rows(pos, [False], joined())
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -186,9 +218,9 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
     no rows; a scalar root is one element.
     """
     fragments = _fragments(spark, path)
-    effects = fragments.drop("value").mapInArrow(_effects, _EFFECTS)
+    effects = fragments.mapInArrow(_effects, _EFFECTS)
     splits = stage(_splits(effects), "json-splits")
-    entered = fragments.drop("root").join(_small(splits.select("file", "block", "inside", "level", "begun")), ["file", "block"])
+    entered = fragments.join(_small(splits.select("file", "block", "inside", "level", "begun")), ["file", "block"])
     cut = stage(entered.mapInArrow(_cut, _ELEMENTS), "json-elements")
 
     pieces = F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda p: p["text"])

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from conftest import rows
@@ -10,7 +11,7 @@ from recordtable.fields import Contract, Field
 from recordtable.operators.ingest import explode_documents
 from recordtable.plans.refresh import build_batch
 from recordtable.sources.files import read_documents
-from recordtable.sources.json_array import read_elements
+from recordtable.sources.json_array import _scan, read_elements
 
 SPLIT = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
 
@@ -120,3 +121,27 @@ def test_broken_elements_are_rejected(spark, tmp_path):
     records, rejects = explode_documents(read_documents(spark, path, layout="array"), "doc", [Field("a", "int")], single=True)
     assert rows(records.select("a")) == [(1,), (4,)]
     assert rows(rejects.select("reason", "value")) == [("not_an_object", "3"), ("unparsable", "["), ("unparsable", '{"a" 2}')]
+
+
+def _by_character(text):
+    """Quotes, and change of depth outside strings if entered outside and inside one, character by character."""
+    quotes, depth, i = 0, [0, 0], 0
+    while i < len(text):
+        c = text[i]
+        if c == "\\":
+            i += 1
+        elif c == '"':
+            quotes += 1
+        elif c in "[{]}":
+            depth[quotes % 2] += 1 if c in "[{" else -1
+        i += 1
+    return quotes, depth[0], depth[1]
+
+
+def test_scan_of_a_batch_equals_each_text_by_character():
+    rng = random.Random(11)
+    texts = ["", "\\", '"', "[", '\\"', "\\\\", '\\\\"', *("".join(rng.choice('a\\\\""[]{}é😀 ') for _ in range(rng.randrange(14))) for _ in range(4000))]
+    rng.shuffle(texts)
+    for part in (pa.array(texts), pa.array(["]["] * 3 + texts).slice(3), pa.array(texts).slice(0, 0), pa.array(["", ""])):
+        quotes, depth0, depth1 = _scan(part)
+        assert list(zip(quotes.tolist(), depth0.tolist(), depth1.tolist())) == [_by_character(t) for t in part.to_pylist()]
