@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from oracle import duck
 
 SEGMENTS = ("BUILDING", "MACHINERY", "AUTOMOBILE")
 
@@ -37,3 +38,7 @@ def test_store_flat_deletes_the_customers_of_all_orders(spark, tables):
 
 def test_store_bucketed_deletes_the_customers_of_all_orders(spark, tables):
     assert {tuple(r) for r in E.queries()["store_bucketed"](spark, tables).collect()} == WANT
+
+
+def test_store_bucketed_sql_deletes_the_customers_of_all_orders(tables):
+    assert set(duck(tables).execute(E.oracle_sql()["store_bucketed"]).fetchall()) == WANT
